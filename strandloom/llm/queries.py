@@ -72,9 +72,24 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(talks.union(extra)))
 
 
+# Escapes of the template: a backslash before \\, ###, </turn> and <|; a line break in a role is written \\n.
+_ESC = r"regexp_replace({0}, '(\\\\|###|</turn>|<\\|)', '\\\\\\1', 'g')".replace("\\\\", "\\")
+OP8_SQL = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(4 + length(replace({_ESC.format("role")}, chr(10), '\n')) + 1 + length({_ESC.format("text")}) + 8) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q for name, q in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": OP5_SQL}
+    return {"op5_url_filter": OP5_SQL, "op8_chat_format": OP8_SQL}
