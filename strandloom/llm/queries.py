@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, urls
+from . import bpe, chat, pii, urls
 from .common import table
 
 try:
@@ -72,6 +72,14 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(talks.union(extra)))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data: counts and digest of the base spans, and all spans."""
+    found = pii.find_spans(table(spark, sf_dir, "documents"), ["doc_id"])
+    written = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    counts = [F.size(F.filter("base", pii.is_kind(k))).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
 # Escapes of the template: a backslash before \\, ###, </turn> and <|; a line break in a role is written \\n.
 _ESC = r"regexp_replace({0}, '(\\\\|###|</turn>|<\\|)', '\\\\\\1', 'g')".replace("\\\\", "\\")
 OP8_SQL = rf"""
