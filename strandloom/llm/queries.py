@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, pii, urls
+from . import bpe, chat, mixing, pii, quality, urls
 from .common import table
 
 try:
@@ -57,6 +57,17 @@ FROM r
 """
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's evidence, site posteriors, quality and decision."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's block, slot and place in the mix of all sources."""
+    return mixing.schedule(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token count and digests of its ids and of the text decoded from them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
