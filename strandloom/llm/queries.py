@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, mixing, pii, quality, urls
+from . import ann, bpe, chat, embeddings, mixing, neardup, pii, quality, urls
 from .common import table
 
 try:
@@ -57,12 +57,27 @@ FROM r
 """
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of shingles and near-duplicate component at a similarity of 0.85."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's evidence, site posteriors, quality and decision."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     return quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links and component at a cosine of 0.9."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest of every vector whose id is divisible by 100."""
+    return ann.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's block, slot and place in the mix of all sources."""
     return mixing.schedule(table(spark, sf_dir, "documents").select("doc_id", "source"))
