@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, embeddings, mixing, neardup, pii, quality, urls
+from . import ann, bpe, chat, embeddings, mixing, neardup, pii, quality, substrings, urls
 from .common import table
 
 try:
@@ -62,6 +62,11 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every repeated unit that goes, with its offsets and where its first occurrence stays."""
+    return substrings.repeated_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's evidence, site posteriors, quality and decision."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
