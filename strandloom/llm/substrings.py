@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MIN_WORDS = 8
+MIN_WORDS = 14
 _PIECE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|\Z)")
 _WORD = re.compile(r"\w+")
 
