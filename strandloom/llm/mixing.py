@@ -130,9 +130,10 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
     table = spark.createDataFrame(table, "s string, from long, phase int, at long, period int, a int, slots array<int>")
     # One row a source: its phases in order. Bounded by MAX_SOURCES phases and PERIOD slots.
     table = table.groupBy("s").agg(F.array_sort(F.collect_list(F.struct("from", "phase", "at", "period", "a", "slots"))).alias("phases"))
-    rows = rows.join(F.broadcast(table), F.col("__s").eqNullSafe(F.col("s")), "left").drop("s")
     number = F.row_number().over(Window.partitionBy("__s", "__b").orderBy("__h", id_col)) - 1 + F.col("__first")
     rows = rows.withColumn("__n", number).withColumn("block", F.floor(F.col("__n") / block_rows)).withColumn("place", (F.col("__n") % block_rows).cast("int"))
+    # Joined last: the tables don't travel with the rows.
+    rows = rows.join(F.broadcast(table), F.col("__s").eqNullSafe(F.col("s")), "left").drop("s")
     rows = rows.withColumn("__p", F.element_at(F.filter("phases", lambda p: p["from"] <= F.col("block")), -1)).withColumn("__j", F.col("block") - F.col("__p.from"))
     a, period_ = F.col("__p.a"), F.col("__p.period")
     rows = rows.withColumns({
