@@ -7,9 +7,9 @@ buckets of candidates; estimated Jaccard similarities, corrected for registers t
 candidates out; the full sets confirm what is left.
 
 Nothing is paired that need not be. Equal sets are one class from the start. In each bucket all compare with one hub;
-what the estimate links forms provisional groups, and in a bucket of several groups only members outside its largest
-group compare with the rest. Inside a provisional group, the sets themselves meet in tiles, and only a spanning forest
-of the confirmed links leaves a task. A pair at the threshold shares no band with a probability below 1e-6; that is
+what the estimate links forms provisional groups. Where several groups meet in a bucket, their members' registers meet
+in tiles, and a task emits only what joins groups. Inside a provisional group the sets themselves meet in tiles, and
+only a spanning forest of the confirmed links leaves a task. A pair at the threshold shares no band with a probability below 1e-6; that is
 the method's only loss.
 """
 
@@ -31,7 +31,9 @@ MANTISSA = 10
 #: An estimate's standard deviation at 0.85 is about 0.022; candidates this far below the threshold go.
 MARGIN = 0.13
 #: A tile of a group holds about so many shingles or sets.
-TILE_SHINGLES, TILE_SETS = 1_000_000, 1_024
+TILE_SHINGLES, TILE_SETS = 1_000_000, 512
+#: Members of one bucket whose registers are compared in one tile.
+BUCKET_TILE = 512
 #: Groups' members are broadcast to fetch their texts up to so many rows; beyond that they are joined by shuffle.
 BROADCAST_ROWS = 100_000
 
@@ -116,6 +118,46 @@ def likely(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
 
 
+def bridges(members: DataFrame, classes: DataFrame, least: float, percent: int) -> DataFrame:
+    """Likely pairs (a, b) between different labels of the same key: enough of them to join what any likely pair joins.
+
+    members: key, rep, n, label, tiles (of their key). Registers meet in pairs of tiles of one bucket; a task compares
+    two tiles' members and emits fewer pairs than these have labels.
+    """
+    rows = members.withColumn("t", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")).join(classes.select("rep", "registers"), "rep")
+    met = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("key", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "t", "rep", "n", "label", "registers")
+
+    def tile_pair(key: tuple, table: pa.Table) -> pa.Table:
+        i, j = key[1].as_py(), key[2].as_py()
+        t, rep, n = (table.column(c).to_numpy() for c in ("t", "rep", "n"))
+        labels, lab = np.unique(table.column("label").to_numpy(), return_inverse=True)
+        regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        left, right = np.flatnonzero(t == i), np.flatnonzero(t == j)
+        parent = np.arange(len(labels))
+        edges = []
+        for r in left if len(right) else ():
+            with_ = right[(lab[right] != lab[r]) & (100 * np.minimum(n[right], n[r]) >= percent * np.maximum(n[right], n[r]))]
+            if not len(with_):
+                continue
+            hits = with_[estimate(regs[with_], regs[r], n[with_], n[r]) >= least]
+            for other, first in zip(*np.unique(lab[hits], return_index=True), strict=True):
+                a, b = (find(parent, x) for x in (lab[r], other))
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    edges.append((rep[r], rep[hits[first]]))
+        return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
+
+    return met.groupBy("key", "i", "j").applyInArrow(tile_pair, "a long, b long")
+
+
+def find(parent: np.ndarray | list[int], k: int) -> int:
+    """The root of k in a union-find forest, which gets flatter."""
+    while parent[k] != k:
+        parent[k] = parent[parent[k]]
+        k = parent[k]
+    return k
+
+
 def confirmed(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
     """A spanning forest, as index pairs, of the pairs of left x right with 100 * intersection >= percent * union."""
     n = len(sets)
@@ -146,15 +188,8 @@ def confirmed(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, perce
     union = size[left][:, None] + size[right][None] - common[np.ix_(left, right)]
     i, j = np.nonzero(100 * common[np.ix_(left, right)].astype(np.int64) >= percent * union)
     label = list(range(n))
-
-    def root(k: int) -> int:
-        while label[k] != k:
-            label[k] = label[label[k]]
-            k = label[k]
-        return k
-
     for a, b in zip(left[i].tolist(), right[j].tolist(), strict=True):
-        p, q = root(a), root(b)
+        p, q = find(label, a), find(label, b)
         if p != q:
             label[max(p, q)] = min(p, q)
             yield a, b
@@ -183,14 +218,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text_col: str = "text")
     first = cut(likely(pairs, classes, least), "likely")
     groups = components(first)
 
-    # Buckets in which several groups meet: members outside the largest one against all others, but the hub, that all know.
+    # Buckets in which several groups meet. The hub has met all others already.
     labelled = members.filter("rep <> hub").join(groups, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("label"))
-    mixed = labelled.groupBy("key", "label").agg(F.count("*").alias("m")).groupBy("key").agg(F.count("*").alias("labels"), F.max(F.struct("m", "label")).alias("top")).filter("labels > 1").select("key", F.col("top.label").alias("top"))
-    open_ = cut(labelled.join(mixed, "key"), "open")
-    x, y = open_.filter("label <> top").alias("x"), open_.alias("y")
-    meets = (F.col("x.key") == F.col("y.key")) & (F.col("x.label") != F.col("y.label")) & fits(F.col("x.n"), F.col("y.n")) & ((F.col("y.label") == F.col("y.top")) | (F.col("x.rep") < F.col("y.rep")))
-    pairs = x.join(y, meets).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-    second = cut(likely(pairs, classes, least), "likely")
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("m")).filter("l0 <> l1").select("key", F.ceil(F.col("m") / BUCKET_TILE).cast("int").alias("tiles"))
+    second = cut(bridges(labelled.join(mixed, "key"), classes, least, percent), "likely")
     groups = cut(components(first.union(second)), "groups")
 
     # Full sets of each group's members, in tiles.
