@@ -43,23 +43,28 @@ def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return dot / (np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y)))
 
 
-def linked(a: np.ndarray, b: np.ndarray, threshold: float) -> Iterator[tuple[int, np.ndarray]]:
-    """(first row, boolean block) over strips of a against all of b: whether the cosine is at least ``threshold``."""
+def linked(a: np.ndarray, b: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of a and of b whose cosine is at least ``threshold``, a strip of a against all of b at a time."""
     qa, sa, na, ea = quantise(a)
     qb, sb, nb, eb = quantise(b)
+    # Products of integers up to 127 over the components stay exact in float32 below 2**24.
+    exact = qa.shape[1] * 127 * 127 < 1 << 24
+    right = qb.T if exact else qb.T.astype(np.float64)
+    # No pair of a row can reach the threshold below this, whatever its own bound: one comparison sorts nearly all out.
+    floor = ((threshold - ea * nb.max() - na * eb.max() - ea * eb.max() - 1e-5) / sa).astype(np.float32)
+    scale = sb.astype(np.float32)
     for at in range(0, len(a), STRIP):
         r = slice(at, at + STRIP)
-        # Products of integers up to 127 over the components stay exact in float32 below 2**24.
-        exact = qa.shape[1] * 127 * 127 < 1 << 24
-        product = (qa[r] @ qb.T).astype(np.float64) if exact else qa[r].astype(np.float64) @ qb.T.astype(np.float64)
-        near = product * sa[r, None] * sb[None]
-        bound = ea[r, None] * nb[None] + na[r, None] * eb[None] + ea[r, None] * eb[None]
-        sure = near - bound >= threshold
-        i, j = np.nonzero((near + bound >= threshold) & ~sure)
-        for k in range(0, len(i), 65536):  # full precision
-            ii, jj = i[k : k + 65536], j[k : k + 65536]
-            sure[ii, jj] = cosines(a[r][ii], b[jj]) >= threshold
-        yield at, sure
+        product = (qa[r] if exact else qa[r].astype(np.float64)) @ right
+        i, j = np.nonzero(product * scale >= floor[r, None])
+        near = product[i, j].astype(np.float64) * sa[r][i] * sb[j]
+        bound = ea[r][i] * nb[j] + na[r][i] * eb[j] + ea[r][i] * eb[j]
+        yes = near - bound >= threshold
+        open_ = np.flatnonzero((near + bound >= threshold) & ~yes)
+        for k in range(0, len(open_), 65536):  # full precision
+            x = open_[k : k + 65536]
+            yes[x] = cosines(a[r][i[x]], b[j[x]]) >= threshold
+        yield i[yes] + at, j[yes]
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -97,19 +102,18 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
 
         edges = []
         if len(left) and len(right):
-            for at, block in linked(x[left], x[right], threshold):
-                rows = left[at : at + len(block)]
+            for ii, jj in linked(x[left], x[right], threshold):
+                r, c = left[ii], right[jj]
                 if i == j:
-                    block[np.arange(len(rows)), at + np.arange(len(rows))] = False
-                links[rows] += block @ copies[right]
+                    r, c = r[r != c], c[r != c]
+                links += np.bincount(r, copies[c], len(t)).astype(np.int64)
                 if i != j:
-                    links[right] += block.T @ copies[rows]
-                for r, hits in zip(rows, block, strict=True):
-                    for c in right[hits]:
-                        p, q = root(r), root(c)
-                        if p != q:
-                            label[max(p, q)] = min(p, q)
-                            edges.append((rep[r], rep[c]))
+                    links += np.bincount(c, copies[r], len(t)).astype(np.int64)
+                for u, v in zip(r.tolist(), c.tolist(), strict=True):
+                    p, q = root(u), root(v)
+                    if p != q:
+                        label[max(p, q)] = min(p, q)
+                        edges.append((rep[u], rep[v]))
         some = np.flatnonzero(links)
         a, b = [e[0] for e in edges], [e[1] for e in edges]
         # One row a linked vector (b null) and one an edge (n null).
