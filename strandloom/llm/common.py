@@ -1,64 +1,22 @@
-"""Shared pieces: tables, lineage cuts in the cluster's shared folder, connected components.
-
-Lineage is cut with Parquet tables written below ``spark.checkpoint.dir``. They live on storage that every executor
-shares, so a lost executor costs a re-read and not a recomputation of everything before.
-"""
+"""Shared pieces: tables, lineage cuts in the cluster's shared folder, connected components, vector checks."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandloom.lineage import cut
+from strandloom.operators.graph import components
+
+__all__ = ["components", "cut", "finite_vector", "table"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Table ``name`` of ``sf_dir``, read by Spark only (the path may lie in any store)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder for lineage cuts: spark.checkpoint.dir, or a temporary one where that is unset (tests on one machine)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='strandloom-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and returns the reread table: same rows, no lineage."""
-    path = f"{shared_dir(df.sparkSession)}/strandloom/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def finite_vector(col: Column) -> Column:
     """True for a vector that is not null, not empty, not all zeros and has only finite components."""
     bad = F.exists(col, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
     return F.coalesce(col.isNotNull() & (F.size(col) > 0) & ~bad & F.exists(col, lambda x: x != 0), F.lit(False))
-
-
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """Connected components of undirected ``edges`` (a long, b long): (node, component), component = smallest id.
-
-    Alternates the large-star and small-star steps until every edge hangs on a root. Each step is a grouped minimum
-    (combined on the map side) and an equi-join, so a hub with very many neighbours never has to fit into one task.
-    Empty edges give no rows; self-loops and repeated edges are ignored.
-    """
-    spark = edges.sparkSession
-    e = cut(edges.filter("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    for _ in range(max_rounds):
-        # A star forest: each left end has one root, and no root is a left end.
-        by_node = e.groupBy("u").agg(F.count("*").alias("n"), F.min("v").alias("v"))
-        loose = by_node.filter("n > 1").select(F.col("u").alias("x")).union(e.join(e.select(F.col("u").alias("w")).distinct(), F.col("v") == F.col("w"), "left_semi").select(F.col("u").alias("x")))
-        if loose.isEmpty():
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("p")).select("p.u", "p.v").filter("u <> v").distinct()
-        e = cut(small, "edges")
-    raise RuntimeError(f"components: not settled after {max_rounds} rounds")
