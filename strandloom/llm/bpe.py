@@ -185,7 +185,7 @@ def encode_decode(df: DataFrame, vocabulary: str, text_col: str = "text", decode
     """
     own = ["ids", "decoded"][: 1 + decode]
     keep = [c for c in df.columns if c not in own and c != text_col]
-    src = df.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_col}`").alias("__text"))
+    src = df.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)), F.col(f"`{text_col}`").alias("text"))
     out = df.select(*(F.col(f"`{c}`") for c in keep), F.lit(b"").alias("ids"), *([F.lit("").alias("decoded")] if decode else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strandloom.lineage import cut
 from strandloom.operators.graph import components
 
-__all__ = ["components", "cut", "finite_vector", "table"]
+__all__ = ["components", "cut", "finite_vector", "table", "whole"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def whole(df: DataFrame) -> Column:
+    """All columns of a row as one struct, so that an operator's own columns can't clash with them."""
+    return F.struct(*(F.col(f"`{c}`").alias(c) for c in df.columns)).alias("row")
+
+
 def finite_vector(col: Column) -> Column:
     """True for a vector that is not null, not empty, not all zeros and has only finite components."""
     bad = F.exists(col, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut
+from .common import cut, whole
 
 BLOCK_ROWS = 64
 #: Weights are rounded to integers that add up to this.
@@ -114,7 +114,8 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
     the counts of those before. Release and deadline are slots since the block's phase began.
     """
     own = ("block", "slot", "release", "deadline", "place")
-    rows = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in own), F.col(f"`{source_col}`").cast("string").alias("__s"), F.xxhash64(F.col(f"`{id_col}`").cast("string"), F.lit(10)).alias("__h"))
+    id_ = F.col(f"`{id_col}`")
+    rows = docs.select(whole(docs), F.col(f"`{source_col}`").cast("string").alias("__s"), F.xxhash64(id_.cast("string"), F.lit(10)).alias("__h"), id_.alias("__id"))
     rows = rows.withColumn("__b", F.shiftrightunsigned("__h", 64 - (buckets - 1).bit_length()))
     counts = cut(rows.groupBy("__s", "__b").count(), "mix-counts")
     sizes = {r["__s"]: r["n"] for r in counts.groupBy("__s").agg(F.sum("count").alias("n")).limit(MAX_SOURCES + 1).collect()}
@@ -130,7 +131,7 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
     table = spark.createDataFrame(table, "s string, from long, phase int, at long, period int, a int, slots array<int>")
     # One row a source: its phases in order. Bounded by MAX_SOURCES phases and PERIOD slots.
     table = table.groupBy("s").agg(F.array_sort(F.collect_list(F.struct("from", "phase", "at", "period", "a", "slots"))).alias("phases"))
-    number = F.row_number().over(Window.partitionBy("__s", "__b").orderBy("__h", id_col)) - 1 + F.col("__first")
+    number = F.row_number().over(Window.partitionBy("__s", "__b").orderBy("__h", "__id")) - 1 + F.col("__first")
     rows = rows.withColumn("__n", number).withColumn("block", F.floor(F.col("__n") / block_rows)).withColumn("place", (F.col("__n") % block_rows).cast("int"))
     # Joined last: the tables don't travel with the rows.
     rows = rows.join(F.broadcast(table), F.col("__s").eqNullSafe(F.col("s")), "left").drop("s")
@@ -141,10 +142,11 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
         "release": F.expr("__j * __p.period div __p.a"),
         "deadline": F.expr("((__j + 1) * __p.period + __p.a - 1) div __p.a"),
     })
-    return rows.select(*(F.col(f"`{c}`") for c in docs.columns if c not in own), *own)
+    return rows.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in own), *own)
 
 
 def mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None, **options) -> DataFrame:
     """The rows of ``docs`` with their own columns, in the order of the mix: range-partitioned by slot and sorted within."""
-    out = schedule(docs, weights, **options)
-    return out.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select(*docs.columns)
+    boxed = docs.select(whole(docs), F.col("source"), F.col("doc_id"))
+    out = schedule(boxed, weights, **options)
+    return out.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select(*(F.col("row")[c].alias(c) for c in docs.columns))

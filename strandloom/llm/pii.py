@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, whole
 
 # Java patterns. Possessive repeats give the same matches as greedy ones here, without going back; the guard before an
 # e-mail keeps a run of its characters from being tried at each place, and lets a match begin where the last ended.
@@ -240,20 +240,22 @@ def find_spans(df: DataFrame, keys: list[str], text_col: str = "text", model: Sp
     Null or empty text: no spans. Repeated rows are repeated. An empty table gives no rows. Columns outside ``keys``
     are left out. ``model``: one trained before; else it is trained on these rows' candidates.
     """
-    found = cut(with_spans(df.select(*(F.col(f"`{k}`") for k in keys), F.col(f"`{text_col}`").alias("__text")), "__text").drop("__text"), "pii-spans")
+    src = df.select(F.struct(*(F.col(f"`{k}`").alias(k) for k in keys)).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    found = cut(with_spans(src).drop("text"), "pii-spans")
     model = model or train(found)
-    return found.select(*(F.col(f"`{k}`") for k in keys), F.col("__base").alias("base"), all_spans(model).alias("spans"))
+    return found.select(*(F.col("row")[k].alias(k) for k in keys), F.col("__base").alias("base"), all_spans(model).alias("spans"))
 
 
 def redact(df: DataFrame, model: SpanModel, text_col: str = "text") -> DataFrame:
     """``df`` with every span of its text replaced by its kind in brackets, ``[EMAIL]``; overlapping spans fall to the first."""
-    text = F.col(f"`{text_col}`")
-    marked = with_spans(df.withColumn("__text", text), "__text")
+    text = F.col("text")
+    marked = with_spans(df.select(whole(df), F.col(f"`{text_col}`").alias("text")))
     ordered = F.array_sort(F.transform(all_spans(model), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
 
     def step(acc: Column, s: Column) -> Column:
-        cuts = F.concat(acc["out"], F.array(F.col("__text").substr(acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
+        cuts = F.concat(acc["out"], F.array(text.substr(acc["at"] + 1, s["start"] - acc["at"]), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], cuts).otherwise(acc["out"]).alias("out"))
 
-    redone = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("__text"), acc["at"] + 1, F.lit(2**31 - 1))))
-    return marked.withColumn("__text", F.when(F.size(F.col("__base")) + F.size(F.col("__cand")) > 0, redone).otherwise(F.col("__text"))).select(*((F.col("__text") if c == text_col else F.col(f"`{c}`")).alias(c) for c in df.columns))
+    redone = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.lit(2**31 - 1))))
+    marked = marked.withColumn("text", F.when(F.size("__base") + F.size("__cand") > 0, redone).otherwise(text))
+    return marked.select(*((F.col("text") if c == text_col else F.col("row")[c]).alias(c) for c in df.columns))

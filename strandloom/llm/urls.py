@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import whole
+
 #: Default block patterns: hosts and words of spam, betting and tracking.
 BLOCK_PATTERNS = (
     "^casino^",
@@ -95,7 +97,7 @@ def filter_urls(pages: DataFrame, patterns: tuple[str, ...] = BLOCK_PATTERNS, ho
         raise ValueError(f"{len(patterns)} rules; at most {MAX_RULES} fit the plan")
     own = ("host", "path", "rule", "verdict", "pattern")
     url = F.col("__u")
-    df = pages.withColumn("__u", F.col(url_col))
+    df = pages.select(whole(pages), F.col(f"`{url_col}`").alias("__u"))
     host, path = host_and_path(url)
     rules = [{"p": p, "re": rule_regex(p), "t": literal_tokens(p)} for p in dict.fromkeys(patterns)]
     counts = token_counts(df, "__u", sorted({t for r in rules for t in r["t"]}))
@@ -119,4 +121,4 @@ def filter_urls(pages: DataFrame, patterns: tuple[str, ...] = BLOCK_PATTERNS, ho
     for r in sorted(host_rules, key=lambda r: (len(r.text), r.text)):  # the longest is tested first
         fits = ((F.col("host") == r.host) | F.endswith(F.col("host"), F.lit("." + r.host))) & F.startswith(F.col("path"), F.lit(r.path))
         rule, said = F.when(fits, r.text).otherwise(rule), F.when(fits, r.verdict).otherwise(said)
-    return df.withColumns({"rule": rule, "verdict": said}).select(*(F.col(f"`{c}`") for c in pages.columns if c not in own), *own)
+    return df.withColumns({"rule": rule, "verdict": said}).select(*(F.col("row")[c].alias(c) for c in pages.columns if c not in own), *own)
