@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut, whole
+
 MIN_WORDS = 14
 _PIECE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|\Z)")
 _WORD = re.compile(r"\w+")
@@ -82,7 +84,8 @@ def repeated_units(docs: DataFrame, text_col: str = "text", min_words: int = MIN
     """
     rows = unit_rows(docs, text_col, min_words)
     first = rows.groupBy("d0", "d1").agg(F.min(F.struct("doc_id", "start", "end")).alias("kept"), F.max(F.struct("doc_id", "start")).alias("last"))
-    first = first.filter((F.col("kept.doc_id") != F.col("last.doc_id")) | (F.col("kept.start") != F.col("last.start"))).select("d0", "d1", "kept")
+    # Written and reread: the join then has a shuffle of its own on both sides, and Spark splits the hot digests' rows.
+    first = cut(first.filter((F.col("kept.doc_id") != F.col("last.doc_id")) | (F.col("kept.start") != F.col("last.start"))).select("d0", "d1", "kept"), "repeated-units")
     found = rows.join(first, ["d0", "d1"]).filter((F.col("doc_id") != F.col("kept.doc_id")) | (F.col("start") >= F.col("kept.end")))
     return found.select("doc_id", "start", "end", "words", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.start").alias("kept_start"), F.col("kept.end").alias("kept_end"))
 
@@ -90,8 +93,8 @@ def repeated_units(docs: DataFrame, text_col: str = "text", min_words: int = MIN
 def without(docs: DataFrame, spans: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the (doc_id, start, end) of ``spans`` cut out of their texts; rows without spans stay as they are."""
     cuts = spans.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("__cuts")).withColumnRenamed("doc_id", "__id")
-    text = F.col(f"`{text_col}`")
+    docs_, text = docs.select(whole(docs), F.col("doc_id").alias("__doc"), F.col(f"`{text_col}`").alias("__text")), F.col("__text")
     step = lambda acc, s: F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(text.substr(acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))))).alias("out"))
     left = F.aggregate("__cuts", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.lit(2**31 - 1))))
-    joined = docs.join(cuts, F.col("doc_id") == F.col("__id"), "left")
-    return joined.select(*(F.when(F.col("__cuts").isNull(), text).otherwise(left).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
+    joined = docs_.join(cuts, F.col("__doc") == F.col("__id"), "left")
+    return joined.select(*((F.when(F.col("__cuts").isNull(), text).otherwise(left) if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns))
