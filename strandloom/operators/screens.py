@@ -106,10 +106,15 @@ def rt_windows(junctions: DataFrame, genome: DataFrame, wiggle: int = 1) -> Data
     return rows.withColumns({"seq_exon": exon, "seq_intron": intron}).drop("__c", "seq")
 
 
-def _exact_hit(a: Column, b: Column, m: int) -> Column:
-    """The smallest (i, j), 0-based, at which ``m`` bases of ``a`` and ``b`` are equal; null if none."""
-    hits = F.transform(F.sequence(F.lit(0), F.length(a) - m), lambda i: F.struct(i.alias("i"), (F.call_function("instr", b, F.substring(a, i + 1, F.lit(m))) - 1).alias("j")))
-    return F.when((F.length(a) >= m) & (F.length(b) >= m), F.get(F.filter(hits, lambda h: h["j"] >= 0), F.lit(0)))
+def _first(hits: Column) -> Column:
+    """Explodes the first element, or no row. As a generator, so that filters on the result don't evaluate ``hits`` again."""
+    return F.explode(F.slice(hits, 1, 1))
+
+
+def _exact_hits(a: Column, b: Column, m: int) -> Column:
+    """(i, j), 0-based, of each run of ``m`` bases of ``a`` that is in ``b``, with its first place there; in order of i."""
+    hits = F.transform(F.sequence(F.lit(0), F.greatest(F.length(a) - m, F.lit(0))), lambda i: F.struct(i.alias("i"), (F.call_function("instr", b, F.substring(a, i + 1, F.lit(m))) - 1).alias("j")))
+    return F.filter(hits, lambda h: (h["j"] >= 0) & (F.length(a) >= m))
 
 
 @screen("rt_switching")
@@ -118,7 +123,7 @@ def rt_switching(windows: DataFrame, min_match: int = 8, wiggle: int = 1) -> Dat
 
     The first place is the smallest (exon offset, intron offset); later ones are not looked at.
     """
-    rows = windows.withColumn("hit", _exact_hit(F.col("seq_exon"), F.col("seq_intron"), min_match)).filter("hit is not null")
+    rows = windows.withColumn("hit", _first(_exact_hits(F.col("seq_exon"), F.col("seq_intron"), min_match)))
     core = F.length("seq_exon") - wiggle
     rows = rows.filter((F.col("hit.i") + min_match <= core) & (F.col("hit.j") + min_match <= core))
     return rows.select("tx", "junction", "chrom", "strand", "donor", "acceptor", F.lit(min_match).alias("match_len"), F.substring("seq_exon", F.col("hit.i") + 1, F.lit(min_match)).alias("match_pat"), F.lit(0).alias("mismatch"))
@@ -156,8 +161,7 @@ def rt_switching_mismatch(windows: DataFrame, min_match: int = 8, wiggle: int =
         return F.when(fits & (right <= 1), hit(i, j, right)).when((i - m >= 0) & (j - m >= 0) & (left <= 1), hit(i - m, j - m, left))
 
     sized = F.transform(places, lambda p: F.struct(p["i"].alias("i"), p["j"].alias("j"), longest(p).alias("k")))
-    first = F.get(F.filter(F.transform(sized, judge), lambda h: h.isNotNull()), F.lit(0))
-    rows = windows.filter((F.length(a) >= seed) & (F.length(b) >= seed)).withColumn("hit", first).filter("hit is not null")
+    rows = windows.filter((F.length(a) >= seed) & (F.length(b) >= seed)).withColumn("hit", _first(F.filter(F.transform(sized, judge), lambda h: h.isNotNull())))
     core = F.length("seq_exon") - wiggle
     rows = rows.filter((F.col("hit.i") + min_match <= core) & (F.col("hit.j") + min_match <= core))
     return rows.select("tx", "junction", "chrom", "strand", "donor", "acceptor", F.lit(min_match).alias("match_len"), F.substring("seq_exon", F.col("hit.i") + 1, F.lit(min_match)).alias("match_pat"), F.col("hit.mismatch").alias("mismatch"))

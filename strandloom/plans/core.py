@@ -289,6 +289,7 @@ def _cluster_query(mode: str):
 
 for _name, (_mode, _sql) in _MODE_SQL.items():
     query(f"cluster_{_name}", _components(_sql))(_cluster_query(_mode))
+query("junction_clusters", _components("shared >= 1"))(_cluster_query("any_shared"))
 query("cluster_exact", ctes("exon", "junc", "txs", "chain") + " SELECT tx, gene, chrom, strand, min(tx) OVER w AS cluster_id, count(*) OVER w AS cluster_size FROM chain WINDOW w AS (PARTITION BY gene, chrom, strand, c)")(_cluster_query("exact"))
 
 

@@ -409,3 +409,16 @@ def novel_gene_rescue(s: SparkSession, d: str) -> DataFrame:
     tx = ex_.select("tx").distinct()
     status = tx.select("tx", F.when(F.col("tx") % 7 == 0, "intergenic").when(F.col("tx") % 7 == 1, "antisense").otherwise("known").alias("status"))
     return reports.novel_gene_rescue(tx.filter("tx % 3 = 0"), ex_, status, tx.filter("tx % 4 = 1"))
+
+
+@query("stages_decisions")
+def stages_decisions(s: SparkSession, d: str) -> DataFrame:
+    """Screens, defragmentation and pruning as one plan; no SQL of its own, its steps have theirs."""
+    from strandloom.config import EngineConfig
+
+    from .stages import Inputs, run_all
+
+    ex_ = exons(s, d).withColumn("ord", F.col("tx"))
+    inp = Inputs(ex_, expression(s, d), reference(exons(s, d)), reference_tss=_reference_tss(s, d), repeats=regions(s, d, "p_partkey % 5 = 0"), par=regions(s, d, "p_partkey % 11 = 0"))
+    out = run_all(inp, EngineConfig(tpm_min=1.0, tss_max_distance=1000))
+    return out["decisions"].select("tx", "cluster_id", "passes", "kept")
