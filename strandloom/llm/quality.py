@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, whole
 
 #: Labelled rows that the document model is fitted on at most (the smallest hashes of their ids).
 SAMPLE_ROWS = 20_000
@@ -24,22 +24,29 @@ BROADCAST_SITES = 20_000
 FEATURES = ("upper", "symbols", "pipes", "echo", "digits", "word_length", "log_words")
 
 
-def features(text: Column) -> list[Column]:
-    """FEATURES of a text, each between about 0 and 1; an empty text has zeros."""
-    n = F.greatest(F.length(text), F.lit(1)).cast("double")
-    words = F.split(text, "[ \\n\\t]+", -1)
-    count = F.size(words).cast("double")
-    gone = lambda chars: F.length(text) - F.length(F.translate(text, chars, ""))
-    echo = F.size(F.filter(F.zip_with(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), words, lambda a, b: a == b), lambda x: x))
-    return [
-        gone("ABCDEFGHIJKLMNOPQRSTUVWXYZ") / n,
-        gone("!$%&#*@^~") / count,
-        gone("|<>{}[]\\") / count,
-        echo / count,
-        gone("0123456789") / n,
-        F.least(n / count / 20, F.lit(1.0)),
-        F.log1p(count) / 12,
+def with_features(df: DataFrame, text_col: str) -> DataFrame:
+    """Adds x0, x1, ...: FEATURES of a text, each between about 0 and 1; null texts count as empty, which have zeros or nearly.
+
+    In steps, so that lengths are counted once and not in each expression that needs them.
+    """
+    text = F.col("t")
+    without = lambda c: F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))
+    gone = lambda chars: F.col("n") - F.length(F.regexp_replace(text, f"{chars}++", ""))
+    # Words that stand before themselves; possessive, so that no word is tried in parts.
+    echo = F.regexp_count(text, F.lit(r"(?<!\S)(\S++)(?=[ \n]\1(?!\S))"))
+    df = df.withColumn("t", F.coalesce(F.col(text_col), F.lit("")))
+    df = df.withColumns({"n": F.length(text), "w": (without(" ") + without("\n") + 1).cast("double")})
+    n, words = F.greatest(F.col("n"), F.lit(1)).cast("double"), F.col("w")
+    x = [
+        gone("[A-Z]") / n,
+        gone("[!$%&#*@^~]") / words,
+        gone(r"[|<>{}\[\]\\]") / words,
+        echo / words,
+        gone("[0-9]") / n,
+        F.least(n / words / 20, F.lit(1.0)),
+        F.log1p(words) / 12,
     ]
+    return df.withColumns({f"x{i}": c for i, c in enumerate(x)}).drop("t", "n", "w")
 
 
 @dataclass(frozen=True)
@@ -48,19 +55,20 @@ class DocumentModel:
 
     weights: tuple[float, ...] = (0.0,) * (1 + len(FEATURES))
 
-    def evidence(self, text: Column) -> Column:
-        """P(good) of each text, between 0.0001 and 0.9999; 0.0001 for null texts and texts of white space alone."""
+    def score(self, df: DataFrame, text_col: str) -> DataFrame:
+        """Adds p, P(good) of each text, between 0.0001 and 0.9999; 0.0001 for null texts and texts of white space alone."""
         score = F.lit(self.weights[0])
-        for w, x in zip(self.weights[1:], features(F.coalesce(text, F.lit(""))), strict=True):
-            score = score + F.lit(w) * x
+        for i, w in enumerate(self.weights[1:]):
+            score = score + F.lit(w) * F.col(f"x{i}")
         p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.least(F.greatest(score, F.lit(-9.2)), F.lit(9.2))))
-        return F.when(F.coalesce(F.length(F.trim(F.translate(text, "\n\t\r", "   "))), F.lit(0)) == 0, F.lit(0.0001)).otherwise(p)
+        blank = ~F.coalesce(F.regexp(F.col(text_col), F.lit(r"\S")), F.lit(False))
+        return with_features(df, text_col).withColumn("p", F.when(blank, F.lit(0.0001)).otherwise(p)).drop(*(f"x{i}" for i in range(len(FEATURES))))
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DocumentModel:
     """Fits the document model on the ``sample_rows`` labelled documents whose hashed ids are smallest."""
     chosen = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    seen = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", *(x.alias(f"x{i}") for i, x in enumerate(features(F.coalesce(F.col("text"), F.lit(""))))))
+    seen = with_features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "text").drop("text")
     rows = sorted(map(tuple, seen.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in seen.columns[1:])).collect()))  # one row an id
     if not rows:
         return DocumentModel()
@@ -130,12 +138,12 @@ def classify(docs: DataFrame, model: DocumentModel, host: Column | None = None,
     table gives no rows; other columns are ignored. Texts are read once: the evidence is written, without texts.
     """
     host, path = F.col("source") if host is None else host, F.col("lang") if path is None else path
-    scored = cut(docs.select("doc_id", host.alias("host"), path.alias("path"), model.evidence(F.col("text")).alias("p")), "quality-evidence")
+    scored = cut(model.score(docs.select("doc_id", host.alias("host"), path.alias("path"), "text"), "text").drop("text"), "quality-evidence")
     return judge(scored, posteriors(scored), threshold).withColumnRenamed("p", "p_document")
 
 
 def keep_good(docs: DataFrame, model: DocumentModel, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that ``classify`` keeps, whole and with the same columns. Texts are read twice and never shuffled."""
-    marked = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__doc"), F.col("source").alias("host"), F.col("lang").alias("path"), model.evidence(F.col("text")).alias("p"))
+    marked = model.score(docs.select(whole(docs), F.col("source").alias("host"), F.col("lang").alias("path"), "text"), "text")
     sites = posteriors(marked.select("host", "path", "p"))
-    return judge(marked, sites, threshold).filter("kept").select(*(F.col("__doc")[c].alias(c) for c in docs.columns))
+    return judge(marked, sites, threshold).filter("kept").select(*(F.col("row")[c].alias(c) for c in docs.columns))
