@@ -47,8 +47,8 @@ def interval_join(a: DataFrame, b: DataFrame, extra: Column | None = None, keys:
     return rows.select(*(F.col(f"`a_{c}`").alias(c) for c in a.columns))
 
 
-def union_intervals(df: DataFrame, keys: tuple[str, ...] = ("chrom",), touching: bool = True) -> DataFrame:
-    """Merged intervals by ``keys``: overlapping ones fuse, and touching ones (half-open end = start) if asked."""
+def _islands(df: DataFrame, keys: tuple[str, ...], touching: bool) -> DataFrame:
+    """Merged intervals of each key, by a running maximum of the ends before."""
     w = Window.partitionBy(*keys).orderBy("start0", "end0")
     reach = F.max("end0").over(w.rowsBetween(Window.unboundedPreceding, -1))
     new = reach.isNull() | ((F.col("start0") > reach) if touching else (F.col("start0") >= reach))
@@ -57,6 +57,16 @@ def union_intervals(df: DataFrame, keys: tuple[str, ...] = ("chrom",), touching:
     return rows.groupBy(*keys, "__g").agg(F.min("start0").alias("start0"), F.max("end0").alias("end0")).drop("__g")
 
 
+def union_intervals(df: DataFrame, keys: tuple[str, ...] = ("chrom",), touching: bool = True, width: int = 1 << 16) -> DataFrame:
+    """Merged intervals by ``keys``: overlapping ones fuse, and touching ones (half-open end = start) if asked.
+
+    First within bins of their starts, by as many tasks as there are bins; then what is left, by key. What is left is
+    disjoint within a bin, so the last step reads no more than the genome's size allows, however many rows came in.
+    """
+    local = _islands(df.withColumn("__bin", F.floor(F.col("start0") / width)), (*keys, "__bin"), touching)
+    return _islands(local, keys, touching)
+
+
 def subtract_intervals(a: DataFrame, b: DataFrame, own: tuple[str, ...], keys: tuple[str, ...] = ("chrom",), extra: Column | None = None, width: int = BIN) -> DataFrame:
     """Rows of ``a`` without the bases that overlapping rows of ``b`` cover: an interval may split or go.
 
