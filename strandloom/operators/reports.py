@@ -33,7 +33,7 @@ def balance(original: DataFrame, failures: DataFrame) -> DataFrame:
 def retained(raw: DataFrame, assigned: DataFrame) -> DataFrame:
     """sample, raw_reads (0 if missing), assigned_reads, retained_pct (NA as null without raw reads)."""
     rows = assigned.join(raw, "sample", "left").select("sample", F.coalesce("raw_reads", F.lit(0)).cast("double").alias("raw_reads"), "assigned_reads")
-    return rows.withColumn("retained_pct", F.when(F.col("raw_reads") > 0, F.round(F.col("assigned_reads") / F.col("raw_reads") * 100, 4)))
+    return rows.withColumn("retained_pct", F.when(F.col("raw_reads") > 0, F.col("assigned_reads") / F.col("raw_reads") * 100))
 
 
 def sequence_stats(lengths: DataFrame) -> DataFrame:

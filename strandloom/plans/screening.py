@@ -334,10 +334,10 @@ def qc_wide_mean(s: SparkSession, d: str) -> DataFrame:
 
 
 @query("retained_pct", ctes("expr") + """, a AS (SELECT sample, CAST(sum(value) AS DOUBLE) AS assigned_reads FROM expr GROUP BY sample), r AS (SELECT user_id % 3 AS sample, count(*) * 1000 AS raw_reads FROM events GROUP BY 1)
-SELECT a.sample, CAST(coalesce(raw_reads, 0) AS DOUBLE) AS raw_reads, assigned_reads, CASE WHEN raw_reads > 0 THEN round(assigned_reads / raw_reads * 100, 4) END AS retained_pct FROM a LEFT JOIN r ON a.sample = r.sample""")
+SELECT a.sample, CAST(coalesce(raw_reads, 0) AS DOUBLE) AS raw_reads, assigned_reads, CASE WHEN raw_reads > 0 THEN round(assigned_reads / raw_reads * 100, 9) END AS retained_pct FROM a LEFT JOIN r ON a.sample = r.sample""")
 def retained_pct(s: SparkSession, d: str) -> DataFrame:
     raw = read(s, d, "events").groupBy((F.col("user_id") % 3).alias("sample")).agg((F.count("*") * 1000).alias("raw_reads"))
-    return reports.retained(raw, expression(s, d).groupBy("sample").agg(F.sum("value").cast("double").alias("assigned_reads")))
+    return reports.retained(raw, expression(s, d).groupBy("sample").agg(F.sum("value").cast("double").alias("assigned_reads"))).withColumn("retained_pct", F.round("retained_pct", 9))
 
 
 def _lengths(s: SparkSession, d: str) -> DataFrame:
