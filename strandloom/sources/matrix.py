@@ -24,7 +24,7 @@ def read_matrix(spark: SparkSession, path: str, id_col: str | None = None, colum
     """(tx, sample, value) from a TSV or CSV; the delimiter is the header's, the id column is found without regard to case."""
     head = spark.read.text(path).first()
     sep = "," if head is None or head[0].count(",") > head[0].count("\t") else "\t"
-    wide = spark.read.csv(path, header=True, sep=sep, comment="" if False else None)
+    wide = spark.read.csv(path, header=True, sep=sep)
     found = wide.columns[0] if id_col is None else next((c for c in wide.columns if c.lower().lstrip("#") == id_col.lower().lstrip("#")), None)
     if found is None:
         raise ValueError(f"no column {id_col} in {path}")
