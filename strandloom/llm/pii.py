@@ -109,7 +109,7 @@ def candidates(text: Column) -> Column:
         left = F.lower(F.right(before, F.lit(CONTEXT)))
         d, width = digits(m), F.length(m)
         secret = F.regexp(m, F.lit("[A-Za-z]"))
-        has = lambda words: F.regexp(left, F.lit("(?:" + "|".join(w.replace(" ", "[ _-]?") for w in words) + ")"))
+        has = lambda words: F.regexp(left, F.lit("(?<![a-z])(?:" + "|".join(w.replace(" ", "[ _-]?") for w in words) + ")(?![a-z])"))
         pattern = F.when(secret & F.regexp(m, F.lit("^(?:[0-9a-f]{16,}|(?:sk|pk|AKIA|ghp)_?[A-Za-z0-9_]{12,})$")), 1).when(~secret & F.regexp(m, F.lit(r"^(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})$")), 1).when(secret, -1).otherwise(0)
         gazetteer = F.when(secret & has(SECRET_WORDS), 1).when(~secret & has(NUMBER_WORDS), 1).when(has(NEGATIVE_WORDS), -1).otherwise(0)
         context = F.when(F.regexp(before, F.lit("[=:][ ]?[\"']?$")), 1).when(F.regexp(before, F.lit(r"[$€£#%][ ]?$")) | F.regexp(after, F.lit(r"^[ ]?(?:%|€|\$|km|kg)")), -1).otherwise(0)
