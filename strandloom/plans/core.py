@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandloom.functions import coords
+from strandloom.lineage import cut
 from strandloom.operators import containment as con
 from strandloom.operators import expression as ex
 from strandloom.operators import graph, prune, splice
@@ -213,19 +213,24 @@ _CASCADE_HEAD = ctes("exon", "junc", "txs", "chain", "expr").replace("WITH", "WI
 _PROP, _EQUAL = "CASE WHEN tot > 0 THEN v / tot ELSE 1.0 / len(dest) END", "1.0 / len(dest)"
 
 
+def _cascade_inputs(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Transcripts, expression, containment and protection, each written once: the cascade reads them several times."""
+    tx, expr = cut(tx_of(s, d), "transcripts"), cut(expression(s, d), "expression")
+    return tx, expr, cut(con.containment(tx), "containment"), cut(ex.protected(expr, tx), "protected")
+
+
 @query("cascade_redistribute", _CASCADE_HEAD + _CASCADE.format(share=_PROP) + " SELECT tx, sample, round(value, 6) AS value FROM moved WHERE tx NOT IN (SELECT child FROM mini WHERE child NOT IN (SELECT tx FROM prot))")
 def cascade_redistribute(s: SparkSession, d: str) -> DataFrame:
     """Contained transcripts give their mass to their supersets and go, unless protected."""
-    tx, expr = tx_of(s, d), expression(s, d)
-    edges, guard = con.containment(tx), ex.protected(expr, tx)
+    tx, expr, edges, guard = _cascade_inputs(s, d)
     out = ex.drop_contained(ex.cascade(expr, tx, edges, guard, samples=SAMPLES), edges, guard)
     return out.withColumn("value", F.round("value", 6))
 
 
 @query("cascade_equal", _CASCADE_HEAD + _CASCADE.format(share=_EQUAL) + " SELECT tx, sample, round(value, 6) AS value FROM moved")
 def cascade_equal(s: SparkSession, d: str) -> DataFrame:
-    tx, expr = tx_of(s, d), expression(s, d)
-    return ex.cascade(expr, tx, con.containment(tx), ex.protected(expr, tx), proportional=False, samples=SAMPLES).withColumn("value", F.round("value", 6))
+    tx, expr, edges, guard = _cascade_inputs(s, d)
+    return ex.cascade(expr, tx, edges, guard, proportional=False, samples=SAMPLES).withColumn("value", F.round("value", 6))
 
 
 def _rounded(base: str, up: str) -> str:
