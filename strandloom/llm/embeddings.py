@@ -75,7 +75,6 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     other. Repeated ids are vectors of their own that count each other if they link. Other columns are left out. An
     empty table gives no rows.
     """
-    spark = vectors.sparkSession
     src = vectors.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
     good = src.filter(F.col("id").isNotNull() & finite_vector(F.col("v")))
     # Classes of equal vectors (zero has one sign), by their smallest id; grouping combines on the map side.

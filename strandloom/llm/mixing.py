@@ -18,7 +18,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -28,6 +28,8 @@ BLOCK_ROWS = 64
 #: Weights are rounded to integers that add up to this.
 PERIOD = 1000
 MAX_SOURCES = 400
+#: Rows that one window numbers, about; and rows of the table of first numbers that are broadcast at most.
+BUCKET_ROWS, BROADCAST_ROWS = 100_000, 100_000
 
 
 def integer_weights(weights: Mapping[str | None, float], period: int = PERIOD) -> dict[str | None, int]:
@@ -98,43 +100,51 @@ def phases(blocks: Mapping[str | None, int], weights: Mapping[str | None, float]
     return out
 
 
+def fingerprint(docs: DataFrame) -> Column:
+    """A hash of a row's columns (maps can't be hashed and are left out): orders rows of one id the same way each time."""
+    return F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind))
+
+
 def default_weights(rows: Mapping[str | None, int], temperature: float = 0.5) -> dict[str | None, float]:
     """Weights in proportion to a source's rows to the power ``temperature``."""
     return {s: float(n) ** temperature for s, n in rows.items()}
 
 
-def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None, source_col: str = "source", id_col: str = "doc_id", block_rows: int = BLOCK_ROWS, period: int = PERIOD, buckets: int = 64) -> DataFrame:
+def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None, source_col: str = "source", id_col: str = "doc_id", block_rows: int = BLOCK_ROWS, period: int = PERIOD, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Adds block (of its source, from 0), slot (of the whole mix, from 0), release, deadline and place (within the block).
 
     Sorting by (slot, place) gives the mix. Rows of a source go in the order of a hash of their id, ties by id; rows
-    with equal ids are equal to the schedule and share out its places in any order. Null sources are one source, named
-    null; null ids are ids. A source without a weight is an error, one without rows is passed over; an empty table
-    gives no rows. All columns of ``docs`` stay (own names given above are replaced). Numbering a source needs no task
-    of its own: rows are numbered within ``buckets`` ranges of their hash, and each bucket's first number comes from
-    the counts of those before. Release and deadline are slots since the block's phase began.
+    of one id go by a hash of their columns, so a task that is run again numbers them as before. Null sources are one
+    source, named null; null ids are ids. A source without a weight is an error, one without rows is passed over; an
+    empty table gives no rows. All columns of ``docs`` stay (own names given above are replaced). Numbering a source
+    needs no task of its own: rows are numbered within ranges of their hash of about ``bucket_rows`` rows, and each
+    range's first number comes from the counts of those before. Release and deadline are slots since the block's phase
+    began.
     """
     own = ("block", "slot", "release", "deadline", "place")
     id_ = F.col(f"`{id_col}`")
-    rows = docs.select(whole(docs), F.col(f"`{source_col}`").cast("string").alias("__s"), F.xxhash64(id_.cast("string"), F.lit(10)).alias("__h"), id_.alias("__id"))
-    rows = rows.withColumn("__b", F.shiftrightunsigned("__h", 64 - (buckets - 1).bit_length()))
+    rows = docs.select(whole(docs), F.coalesce(F.concat(F.lit("s"), F.col(f"`{source_col}`").cast("string")), F.lit("null")).alias("__s"), F.xxhash64(id_.cast("string"), F.lit(10)).alias("__h"), id_.alias("__id"), fingerprint(docs).alias("__tie"))
+    bits = max(6, (docs.count() // bucket_rows).bit_length())
+    rows = rows.withColumn("__b", F.shiftrightunsigned("__h", 64 - bits))
     counts = cut(rows.groupBy("__s", "__b").count(), "mix-counts")
-    sizes = {r["__s"]: r["n"] for r in counts.groupBy("__s").agg(F.sum("count").alias("n")).limit(MAX_SOURCES + 1).collect()}
+    sizes = {r["__s"][1:] if r["__s"] != "null" else None: r["n"] for r in counts.groupBy("__s").agg(F.sum("count").alias("n")).limit(MAX_SOURCES + 1).collect()}
     if len(sizes) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources: group them first")
     weights = default_weights(sizes) if weights is None else weights
     plan = phases({s: -(-n // block_rows) for s, n in sizes.items()}, weights, period)
     before = counts.select(F.col("__s").alias("__s2"), F.col("__b").alias("__b2"), (F.sum("count").over(Window.partitionBy("__s").orderBy("__b")) - F.col("count")).alias("__first"))
-    # At most sources * buckets rows.
-    rows = rows.join(F.broadcast(before), F.col("__s").eqNullSafe(F.col("__s2")) & (F.col("__b") == F.col("__b2"))).drop("__s2", "__b2")
+    # Beyond the bound the join is a shuffle by the keys of the window that follows, which then needs none of its own.
+    before = F.broadcast(before) if len(sizes) << bits <= BROADCAST_ROWS else before
+    rows = rows.join(before, (F.col("__s") == F.col("__s2")) & (F.col("__b") == F.col("__b2"))).drop("__s2", "__b2")
     spark = docs.sparkSession
-    table = [(s, p.blocks[s], i, p.slot, p.period, len(slots), slots) for i, p in enumerate(plan) for s, slots in p.slots.items()]
+    table = [("null" if s is None else f"s{s}", p.blocks[s], i, p.slot, p.period, len(slots), slots) for i, p in enumerate(plan) for s, slots in p.slots.items()]
     table = spark.createDataFrame(table, "s string, from long, phase int, at long, period int, a int, slots array<int>")
     # One row a source: its phases in order. Bounded by MAX_SOURCES phases and PERIOD slots.
     table = table.groupBy("s").agg(F.array_sort(F.collect_list(F.struct("from", "phase", "at", "period", "a", "slots"))).alias("phases"))
-    number = F.row_number().over(Window.partitionBy("__s", "__b").orderBy("__h", "__id")) - 1 + F.col("__first")
+    number = F.row_number().over(Window.partitionBy("__s", "__b").orderBy("__h", "__id", "__tie")) - 1 + F.col("__first")
     rows = rows.withColumn("__n", number).withColumn("block", F.floor(F.col("__n") / block_rows)).withColumn("place", (F.col("__n") % block_rows).cast("int"))
     # Joined last: the tables don't travel with the rows.
-    rows = rows.join(F.broadcast(table), F.col("__s").eqNullSafe(F.col("s")), "left").drop("s")
+    rows = rows.join(F.broadcast(table), F.col("__s") == F.col("s"), "left").drop("s")
     rows = rows.withColumn("__p", F.element_at(F.filter("phases", lambda p: p["from"] <= F.col("block")), -1)).withColumn("__j", F.col("block") - F.col("__p.from"))
     a, period_ = F.col("__p.a"), F.col("__p.period")
     rows = rows.withColumns({
@@ -147,6 +157,6 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
 
 def mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None, **options) -> DataFrame:
     """The rows of ``docs`` with their own columns, in the order of the mix: range-partitioned by slot and sorted within."""
-    boxed = docs.select(whole(docs), F.col("source"), F.col("doc_id"))
+    boxed = docs.select(whole(docs), F.col("source"), F.col("doc_id"), fingerprint(docs).alias("tie"))
     out = schedule(boxed, weights, **options)
     return out.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select(*(F.col("row")[c].alias(c) for c in docs.columns))

@@ -206,7 +206,6 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text_col: str = "text")
     gives no rows.
     """
     least = percent / 100 - MARGIN
-    spark = docs.sparkSession
     rows = cut(signatures(docs, text_col), "signatures")
     full = rows.filter("n > 0 and doc_id is not null")
     classes = cut(full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("registers").alias("registers")), "classes")
