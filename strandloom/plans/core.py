@@ -11,7 +11,7 @@ from strandloom.operators import containment as con
 from strandloom.operators import expression as ex
 from strandloom.operators import graph, prune, splice
 
-from .fixtures import SQL, ctes, exons, expression, read, reference, regions
+from .fixtures import ctes, exons, expression, read, regions
 
 SAMPLES = [0, 1, 2, 3]
 QUERIES: dict = {}

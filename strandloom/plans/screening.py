@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandloom.operators import annotation, reads, reports, screens, splice
-from strandloom.operators import expression as ex
 from strandloom.operators.intervals import interval_join, subtract_intervals, union_intervals
 
 from .core import tx_of
-from .fixtures import SQL, ctes, exons, expression, genome, read, reference, regions
+from .fixtures import ctes, exons, expression, genome, read, reference, regions
 from .fixtures import reads as alignments
 
 QUERIES: dict = {}
