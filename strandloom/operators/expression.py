@@ -111,18 +111,30 @@ def drop_contained(values: DataFrame, edges: DataFrame, protect: DataFrame | Non
     return values.join(gone, "tx", "left_anti")
 
 
+#: Slices of the remainders of one sample when a rank among them is looked for.
+SLICES = 1024
+
+
 def round_preserve_sum(values: DataFrame, method: str = "nearest") -> DataFrame:
     """Integer values whose sum by sample is the rounded sum (half to even): floors (or ceilings), mended by largest remainders.
 
-    nearest is floor; none returns the values. Negative values and NaN count as 0; ties go by tx.
+    nearest is floor; none returns the values. Negative values and NaN count as 0; ties go by tx. Only the rows of the
+    slice of remainders in which the last mended row lies are ranked; of the other slices, counts tell.
     """
     if method == "none":
         return values
     x = F.when(F.isnan("value") | (F.col("value") < 0), F.lit(0.0)).otherwise(F.coalesce("value", F.lit(0.0)))
-    rows = values.withColumn("x", x).withColumn("base", (F.ceil("x") if method == "ceil" else F.floor("x")).cast("bigint"))
-    rows = rows.withColumn("rest", F.col("x") - F.col("base"))
-    by = Window.partitionBy("sample")
-    rows = rows.withColumn("diff", F.bround(F.sum(F.when(~F.isnan("value"), F.col("value")).otherwise(0.0)).over(by) - F.sum("base").over(by), 0).cast("bigint"))
-    up = F.row_number().over(by.orderBy(F.desc("rest"), "tx")) <= F.col("diff")
-    down = F.row_number().over(by.orderBy("rest", "tx")) <= -F.col("diff")
-    return rows.select("tx", "sample", F.when(up, F.col("base") + 1).when(down, F.greatest(F.col("base") - 1, F.lit(0))).otherwise(F.col("base")).cast("bigint").alias("value"))
+    rows = values.select("tx", "sample", "value", x.alias("x")).withColumn("base", (F.ceil("x") if method == "ceil" else F.floor("x")).cast("bigint"))
+    diff = F.bround(F.sum(F.when(~F.isnan("value"), F.col("value")).otherwise(0.0)) - F.sum("base"), 0).cast("bigint")
+    rows = rows.join(F.broadcast(rows.groupBy("sample").agg(diff.alias("diff"))), "sample")  # one row a sample
+    rest = F.col("x") - F.col("base")
+    rows = rows.withColumn("r", F.when(F.col("diff") >= 0, -rest).otherwise(rest)).withColumn("u", F.floor(F.col("r") * SLICES).cast("int"))
+    upto = F.sum("n").over(Window.partitionBy("sample").orderBy("u"))
+    slices = rows.groupBy("sample", "u").agg(F.count("*").alias("n")).withColumn("upto", upto)  # at most 2 * SLICES + 1 rows a sample
+    rows = rows.join(F.broadcast(slices), ["sample", "u"])
+    need, before = F.abs("diff"), F.col("upto") - F.col("n")
+    edge = (before < need) & (F.col("upto") > need)
+    rank = F.row_number().over(Window.partitionBy("sample", "u").orderBy("r", "tx"))
+    ranked = rows.filter(edge).withColumn("mend", rank + before <= need).unionByName(rows.filter(~edge).withColumn("mend", F.col("upto") <= need))
+    value = F.when(~F.col("mend"), F.col("base")).when(F.col("diff") >= 0, F.col("base") + 1).otherwise(F.greatest(F.col("base") - 1, F.lit(0)))
+    return ranked.select("tx", "sample", value.cast("bigint").alias("value"))
