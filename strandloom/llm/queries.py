@@ -4,18 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, bpe, chat, embeddings, mixing, neardup, pii, quality, substrings, urls
 from .common import table
 
-try:
-    import public_tokenizers
-
-    VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-except ImportError:  # the vocabulary's place is a parameter; this is where it is usually found
-    VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
+#: Where the tokenizers' package keeps the file; operators take it as a parameter.
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 URL_RULES = (
     urls.HostRule("block", "net", "/"),
@@ -126,9 +123,42 @@ FROM t GROUP BY conv_id
 """
 
 
+# Smallest id that links (a, b), in both directions, reach from each node.
+_WALK = """walk AS (SELECT a AS node, a AS r FROM links UNION SELECT l.b, w.r FROM walk w JOIN links l ON l.a = w.node),
+comp AS (SELECT node, min(r) AS component FROM walk GROUP BY node)"""
+OP1_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                                      ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS s
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+one AS (SELECT c.a, c.b FROM common c JOIN n x ON x.doc_id = c.a JOIN n y ON y.doc_id = c.b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+links AS (SELECT a, b FROM one UNION ALL SELECT b, a FROM one),
+{_WALK}
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component, d.doc_id) AS component_id, coalesce(c.component, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN comp c ON c.node = d.doc_id
+"""
+OP4_SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (sqrt(list_inner_product(a.e, a.e)) * sqrt(list_inner_product(b.e, b.e))) >= 0.9),
+{_WALK},
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT d.vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.component, d.vec_id) AS component_id, coalesce(c.component, d.vec_id) = d.vec_id AS kept
+FROM embeddings d LEFT JOIN n ON n.a = d.vec_id LEFT JOIN comp c ON c.node = d.vec_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q for name, q in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": OP5_SQL, "op8_chat_format": OP8_SQL}
+    return {"op1_minhash_dedup": OP1_SQL, "op4_embedding_dedup": OP4_SQL, "op5_url_filter": OP5_SQL, "op8_chat_format": OP8_SQL}
