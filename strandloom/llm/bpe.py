@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import batches
+
 NO_RANK = 1 << 60
 # Lower-case mappings of code points newer than Python's own Unicode tables.
 NEWER_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B} | {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
@@ -188,9 +190,9 @@ def encode_decode(df: DataFrame, vocabulary: str, text_col: str = "text", decode
     src = df.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)), F.col(f"`{text_col}`").alias("text"))
     out = df.select(*(F.col(f"`{c}`") for c in keep), F.lit(b"").alias("ids"), *([F.lit("").alias("decoded")] if decode else []))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(vocabulary)
-        for batch in batches:
+        for batch in it:
             at, n = 0, batch.num_rows
             texts = batch.column(len(keep))
             while at < n:  # a few texts at a time: batches are bounded in bytes too
@@ -204,4 +206,4 @@ def encode_decode(df: DataFrame, vocabulary: str, text_col: str = "text", decode
                 yield pa.RecordBatch.from_arrays(cols, [*keep, *own])
                 at = end
 
-    return src.mapInArrow(run, out.schema)
+    return batches(src, run, out.schema)

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import batches
+
 HEAD, END = "### ", "</turn>\n"
 _ESCAPE = re.compile(r"\\|###|</turn>|<\|")
 _UNESCAPE = re.compile(r"\\(\\|###|</turn>|<\||n)")
@@ -121,7 +123,7 @@ def format_conversations(messages: DataFrame, loss_roles: tuple[str, ...] = ("as
     dealt = messages.select(F.col("conv_id").cast("bigint").alias("conv_id"), "turn", "role", parts.cast(PART_TYPE).alias("parts"), *[F.col(c) for c in keys[2:]])
     dealt = dealt.repartition("conv_id").sortWithinPartitions("conv_id", *keys).select("conv_id", "role", "parts")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, piece, turn, rows, size = object(), 0, 0, [], 0
         buf: list[str] = []
         loss: list[dict] = []
@@ -134,7 +136,7 @@ def format_conversations(messages: DataFrame, loss_roles: tuple[str, ...] = ("as
             rows.append({"conv_id": now, "piece": piece, "first_turn": piece == 0, "formatted": "".join(buf), "n_turns": turns, "loss": loss, "attachments": refs, "tokens_expanded": sum(r["tokens"] for r in refs)})
             buf, loss, refs, width, turns, piece = [], [], [], 0, 0, piece + 1
 
-        for b in batches:
+        for b in it:
             for conv, role, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 if not started or conv != now:
                     if turns:
@@ -156,7 +158,7 @@ def format_conversations(messages: DataFrame, loss_roles: tuple[str, ...] = ("as
         if rows:
             yield pa.RecordBatch.from_pylist(rows, _PIECE_SCHEMA)
 
-    return dealt.mapInArrow(run, PIECES)
+    return batches(dealt, run, PIECES)
 
 
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
@@ -168,14 +170,14 @@ def read_back(pieces: DataFrame) -> DataFrame:
     turns_sha256: role, line feed, text, line feed of each turn; loss_*: the unescaped text under the loss spans.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = None
 
         def row() -> dict:
             conv, n, turns, chars, loss, width = now
             return {"conv_id": conv, "n_turns": n, "turns_sha256": turns.hexdigest(), "loss_chars": chars, "loss_sha256": loss.hexdigest(), "formatted_chars": width}
 
-        for b in batches:
+        for b in it:
             rows = []
             for p in b.select(["conv_id", "first_turn", "formatted", "loss"]).to_pylist():
                 if p["first_turn"]:
@@ -196,7 +198,7 @@ def read_back(pieces: DataFrame) -> DataFrame:
         if now is not None:
             yield pa.RecordBatch.from_pylist([row()], _DIGEST_SCHEMA)
 
-    return pieces.mapInArrow(run, DIGESTS)
+    return batches(pieces, run, DIGESTS)
 
 
 _DIGEST_SCHEMA = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.lineage import cut
 from strandloom.operators.graph import components
 
-__all__ = ["components", "cut", "finite_vector", "table", "whole"]
+__all__ = ["batches", "components", "cut", "finite_vector", "table", "whole"]
+
+#: Rows of an Arrow batch of texts: some megabytes, on both sides of the pipe.
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +23,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Returns a worker's freed memory to the machine: workers are kept and would hold the most they ever used."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library, which needs no asking or has no such call
+        pass
+
+
+def batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow over batches of at most BATCH_ROWS rows; the worker's memory goes back after each task.
+
+    The batch size is a setting of the session, read when the plan runs; it is lowered, never raised.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+
+    def task(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(it)
+        give_back()
+
+    return df.mapInArrow(task, schema)
+
+
 def whole(df: DataFrame) -> Column:
     """All columns of a row as one struct, so that an operator's own columns can't clash with them."""
     return F.struct(*(F.col(f"`{c}`").alias(c) for c in df.columns)).alias("row")

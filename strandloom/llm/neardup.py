@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut
+from .common import batches, components, cut, give_back
 from .shingles import digest, mix, sets_of
 
 REGISTERS, BANDS, ROWS = 256, 36, 7
@@ -31,7 +31,7 @@ MANTISSA = 10
 #: An estimate's standard deviation at 0.85 is about 0.022; candidates this far below the threshold go.
 MARGIN = 0.13
 #: A tile of a group holds about so many shingles or sets.
-TILE_SHINGLES, TILE_SETS = 1_000_000, 512
+TILE_SHINGLES, TILE_SETS = 500_000, 512
 #: Members of one bucket whose registers are compared in one tile.
 BUCKET_TILE = 512
 #: Groups' members are broadcast to fetch their texts up to so many rows; beyond that they are joined by shuffle.
@@ -77,8 +77,8 @@ def signatures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """doc_id, n (distinct shingles), digest (of the set) and registers of every row; null registers for an empty set."""
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
             ids, texts = b.column(0), b.column(1)
             step = max(1, min(b.num_rows, 512))
             for at in range(0, b.num_rows, step):
@@ -88,34 +88,34 @@ def signatures(docs: DataFrame, text_col: str = "text") -> DataFrame:
                     ["doc_id", "n", "digest", "registers"],
                 )
 
-    return src.mapInArrow(run, "doc_id long, n long, digest binary, registers binary")
+    return batches(src, run, "doc_id long, n long, digest binary, registers binary")
 
 
 def bands(classes: DataFrame) -> DataFrame:
     """(key, rep, n): the band keys of each class."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
             for at in range(0, b.num_rows, 2048):
                 c = b.slice(at, 2048)
                 regs = np.frombuffer(b"".join(c.column(2).to_pylist()), np.uint16).reshape(-1, REGISTERS)
                 repeat = lambda x: pa.array(np.repeat(x.to_numpy(zero_copy_only=False), BANDS))
                 yield pa.RecordBatch.from_arrays([pa.array(band_keys(regs).ravel()), repeat(c.column(0)), repeat(c.column(1))], ["key", "rep", "n"])
 
-    return classes.select("rep", "n", "registers").mapInArrow(run, "key long, rep long, n long")
+    return batches(classes.select("rep", "n", "registers"), run, "key long, rep long, n long")
 
 
 def likely(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """Those of the distinct pairs (a, b) whose estimate is at least ``least``."""
     side = lambda x: classes.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("registers").alias(f"r{x}"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in it:
             regs = [np.frombuffer(b"".join(t.column(k).to_pylist()), np.uint16).reshape(-1, REGISTERS) for k in ("ra", "rb")]
             n, m = (t.column(k).to_numpy() for k in ("na", "nb"))
             yield t.select(["a", "b"]).filter(pa.array(estimate(*regs, n, m) >= least))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
+    return batches(pairs.join(side("a"), "a").join(side("b"), "b"), run, "a long, b long")
 
 
 def bridges(members: DataFrame, classes: DataFrame, least: float, percent: int) -> DataFrame:
@@ -238,6 +238,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text_col: str = "text")
         some = np.array([len(s) > 0 for s in sets])
         left, right = np.flatnonzero((t == i) & some), np.flatnonzero((t == j) & some)
         edges = [(ids[a], ids[b]) for a, b in confirmed(sets, left, right, percent) if ids[a] != ids[b]] if len(left) and len(right) else []
+        if sum(map(len, sets)) > TILE_SHINGLES // 4:  # large temporaries
+            give_back()
         return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
 
     final = components(met.groupBy("component", "i", "j").applyInArrow(tile_pair, "a long, b long"))

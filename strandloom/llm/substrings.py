@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, whole
+from .common import batches, cut, whole
 
 MIN_WORDS = 14
 _PIECE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|\Z)")
@@ -49,13 +49,13 @@ def units(text: str | None, min_words: int = MIN_WORDS) -> Iterator[tuple[int, i
 def unit_rows(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, start, end, words, d0, d1): every unit of every row; the digest as two longs."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch() -> pa.RecordBatch:
             d = pa.py_buffer(b"".join(digests))
             pairs = pa.Array.from_buffers(pa.int64(), 2 * len(digests), [None, d])
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(words, pa.int32()), pairs.take(pa.array(range(0, 2 * len(digests), 2))), pairs.take(pa.array(range(1, 2 * len(digests), 2)))], ["doc_id", "start", "end", "words", "d0", "d1"])
 
-        for b in batches:
+        for b in it:
             ids, starts, ends, words, digests = [], [], [], [], []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 for start, end, n, digest in units(text.as_py(), min_words):
@@ -71,7 +71,7 @@ def unit_rows(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORD
                 yield batch()
 
     src = docs.filter("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    return src.mapInArrow(run, "doc_id long, start int, end int, words int, d0 long, d1 long")
+    return batches(src, run, "doc_id long, start int, end int, words int, d0 long, d1 long")
 
 
 def repeated_units(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
