@@ -2,9 +2,11 @@
 
 A text is cut at line breaks and after sentence ends. A unit is the shortest run of whole pieces, from one piece's
 start on, that has at least ``min_words`` words; so every piece begins one unit, and a passage that begins in the
-middle of someone's sentence still has its own whole sentences in units. Units are normalised (words only, lower-cased, one
-space between), hashed to 128 bits and grouped over all documents; the occurrence with the smallest (doc_id, start)
-stays and all others go, with their offsets in the original text.
+middle of someone's sentence still has its own whole sentences in units. Each line of at least ``LINE_WORDS`` words is
+a unit of its own too, however short, so that a repeated line is found whatever follows it; the lines of a repeated
+paragraph cover it. Units are normalised (words only, lower-cased, one space between), hashed to 128 bits and grouped
+over all documents; the occurrence with the smallest (doc_id, start) stays and all others go, with their offsets in
+the original text.
 """
 
 from __future__ import annotations
@@ -20,30 +22,48 @@ from pyspark.sql import functions as F
 from .common import batches, cut, whole
 
 MIN_WORDS = 14
+#: A line of so many words is a unit.
+LINE_WORDS = 3
 _PIECE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|\Z)")
 _WORD = re.compile(r"\w+")
 
 
 def units(text: str | None, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int, bytes]]:
     """(start, end, words, digest) of each unit of a text: code points, end exclusive, without white space at its ends."""
-    pieces = []  # start, end, words
-    for m in _PIECE.finditer(text or ""):
+    text = text or ""
+    pieces, lines, line = [], [], 0  # start, end, words; first piece of each line and that after it
+    for m in _PIECE.finditer(text):
         said = m[0]
         words = _WORD.findall(said.lower())
         if words:
             start = m.start() + len(said) - len(said.lstrip())
             pieces.append((start, m.start() + len(said.rstrip()), words))
+        if said.endswith("\n") or m.end() == len(text):
+            if line < len(pieces):
+                lines.append((line, len(pieces)))
+            line = len(pieces)
+    said = [" ".join(p[2]) for p in pieces]
+    out: dict[tuple[int, bytes], tuple[int, int]] = {}  # (start, digest): end, words
+
+    def add(first: int, end: int, n: int) -> None:
+        digest = hashlib.blake2b(" ".join(said[first:end]).encode(), digest_size=16).digest()
+        out[pieces[first][0], digest] = (pieces[end - 1][1], n)
+
     end, held = 0, 0
-    for k, (start, _, own) in enumerate(pieces):
+    for k, (_, _, own) in enumerate(pieces):
         end = max(end, k)
         while held < min_words and end < len(pieces):
             held += len(pieces[end][2])
             end += 1
         if held < min_words:
-            return
-        words = " ".join([" ".join(p[2]) for p in pieces[k:end]])
-        yield start, pieces[end - 1][1], held, hashlib.blake2b(words.encode(), digest_size=16).digest()
+            break
+        add(k, end, held)
         held -= len(own)
+    for first, end in lines:
+        n = sum(len(p[2]) for p in pieces[first:end])
+        if n >= LINE_WORDS:
+            add(first, end, n)
+    yield from sorted((start, end, n, digest) for (start, digest), (end, n) in out.items())
 
 
 def unit_rows(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -78,8 +98,8 @@ def repeated_units(docs: DataFrame, text_col: str = "text", min_words: int = MIN
     """The units to remove: doc_id, start, end, words, kept_doc_id, kept_start, kept_end.
 
     A unit goes if an equal one occurs at a smaller (doc_id, start) and the two don't overlap in one text. Spans of one
-    document may overlap; removing all of them keeps each unit's first occurrence in the corpus. Null texts and texts
-    with fewer than ``min_words`` words have no units; null ids are passed over; repeated rows of one id and text are
+    document may overlap; removing all of them keeps each unit's first occurrence in the corpus. Null texts and lines
+    of fewer than ``LINE_WORDS`` words in texts of fewer than ``min_words`` have no units; null ids are passed over; repeated rows of one id and text are
     one document (its later copies have the same offsets, and stay with the row). Other columns are left out.
     """
     rows = unit_rows(docs, text_col, min_words)

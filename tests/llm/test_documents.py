@@ -153,6 +153,16 @@ def test_a_passage_in_the_middle_of_a_sentence_is_found(spark):
     assert left[1] == rows[0][1] and left[3] == rows[2][1] and "more than fourteen" not in left[2] and left[2].startswith("Other words before")
 
 
+def test_a_short_line_is_found_whatever_follows_it(spark):
+    rows = [(k, f"Text number {k} begins with {w}\nShare this page with friends\nThen {w} goes on alone") for k, w in enumerate(("oaks", "rivers", "stones"))] + [(7, "Short whole text"), (8, "short, whole text!")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = substrings.repeated_units(docs)
+    left = {r.doc_id: r.text for r in substrings.without(docs, spans).collect()}
+    assert [("Share" in left[k]) for k in range(3)] == [True, False, False] and all(w in left[k] for k, w in enumerate(("oaks", "rivers", "stones")))
+    assert left[7] == "Short whole text" and left[8] == ""
+    assert list(substrings.units(None)) == []
+
+
 def test_substrings_of_awkward_rows(awkward, empty):
     got = substrings.repeated_units(awkward, min_words=5).collect()
     assert {(r.doc_id, r.kept_doc_id) for r in got if r.doc_id < 6} == {(2, 1)}
