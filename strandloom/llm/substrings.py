@@ -1,20 +1,25 @@
-"""Substring dedup by hashing lines and short runs of sentences.
+"""Substring dedup by hashing lines, short runs of sentences and chosen runs of words.
 
 A text is cut at line breaks and after sentence ends. A unit is the shortest run of whole pieces, from one piece's
 start on, that has at least ``min_words`` words; so every piece begins one unit, and a passage that begins in the
 middle of someone's sentence still has its own whole sentences in units. Each line of at least ``LINE_WORDS`` words is
 a unit of its own too, however short, so that a repeated line is found whatever follows it; the lines of a repeated
-paragraph cover it. Units are normalised (words only, lower-cased, one space between), hashed to 128 bits and grouped
+paragraph cover it. Passages that begin and end inside sentences are met by runs of exactly ``min_words`` words wherever
+they lie: a run is chosen if its hash is the smallest of some ``SPREAD`` neighbours, which depends on the words alone, so
+texts that share ``min_words + SPREAD - 1`` words share a chosen run. Units are normalised (words only, lower-cased, one space between), hashed to 128 bits and grouped
 over all documents; the occurrence with the smallest (doc_id, start) stays and all others go, with their offsets in
 the original text.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
+import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,13 +29,74 @@ from .common import batches, cut, whole
 MIN_WORDS = 14
 #: A line of so many words is a unit.
 LINE_WORDS = 3
+#: Of so many neighbouring runs of words at least one is a unit.
+SPREAD = 12
 _PIECE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|\Z)")
 _WORD = re.compile(r"\w+")
-
-
-def units(text: str | None, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int, bytes]]:
-    """(start, end, words, digest) of each unit of a text: code points, end exclusive, without white space at its ends."""
-    text = text or ""
+#: Two hashes a run; a hash is a sum of mixed values by powers of an odd factor, so that differences of running sums give
+#: any word's and any run's.
+_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_ODD = np.uint64(0xD6E8FEB86659FD93)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    for _ in range(2):
+        x = (x ^ (x >> np.uint64(32))) * _ODD
+    return x ^ (x >> np.uint64(32))
+
+
+@functools.cache
+def _letters() -> tuple[np.ndarray, list[np.ndarray]]:
+    """For each code point: whether it is part of a word, and a value of its small letter for each hash."""
+    chars = [chr(c) for c in range(sys.maxunicode + 1)]
+    small = np.array([ord(x) if len(x := c.lower()) == 1 else ord(c) for c in chars], np.uint64)
+    return np.array([c == "_" or c.isalnum() for c in chars]), [_mix((small + np.uint64(1)) * np.uint64(f)) for f in _FACTORS]
+
+
+@functools.cache
+def _powers(factor: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of a factor and of its inverse, modulo 2**64."""
+    return tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full((1 << bits) - 1, f, np.uint64))]) for f in (factor, pow(factor, -1, 1 << 64)))
+
+
+def _sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, factor: int) -> np.ndarray:
+    """A hash of each stretch of ``values``, wherever it lies."""
+    up, down = _powers(factor, max(12, len(values).bit_length()))
+    upto = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=upto[1:])
+    return (upto[ends] - upto[starts]) * down[starts]
+
+
+def _extremes(x: np.ndarray, width: int, of: np.ufunc) -> np.ndarray:
+    """The extreme of each window of ``width`` values (at most as many as there are)."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        x = of(x[:-step], x[step:])
+        done += step
+    return x
+
+
+def runs(text: str, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and digests (two longs each) of the chosen runs of ``size`` words of a text."""
+    in_word, letters = _letters()
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    bounds = np.flatnonzero(np.diff(in_word[c].view(np.int8), prepend=0, append=0))
+    starts, ends = bounds[::2], bounds[1::2]
+    n = len(starts) - size + 1
+    if n < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.uint64)
+    at = np.arange(n)
+    hashes = [_mix(_sums(_mix(_sums(v[c], starts, ends, f)), at, at + size, f)) for v, f in zip(letters, _FACTORS, strict=True)]
+    width = min(SPREAD, n)
+    edge = np.zeros(width - 1, np.uint64)
+    least = np.concatenate([edge, _extremes(hashes[0], width, np.minimum), edge])
+    chosen = np.flatnonzero(_extremes(least, width, np.maximum) == hashes[0])
+    return starts[chosen], ends[chosen + size - 1], np.stack([h[chosen] for h in hashes], axis=1)
+
+
+def pieced(text: str, min_words: int) -> list[tuple[int, int, int, bytes]]:
+    """(start, end, words, digest) of a text's runs of sentences and of its lines."""
     pieces, lines, line = [], [], 0  # start, end, words; first piece of each line and that after it
     for m in _PIECE.finditer(text):
         said = m[0]
@@ -63,31 +129,50 @@ def units(text: str | None, min_words: int = MIN_WORDS) -> Iterator[tuple[int, i
         n = sum(len(p[2]) for p in pieces[first:end])
         if n >= LINE_WORDS:
             add(first, end, n)
-    yield from sorted((start, end, n, digest) for (start, digest), (end, n) in out.items())
+    return [(start, end, n, digest) for (start, digest), (end, n) in out.items()]
+
+
+def units(text: str | None, min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int, bytes]]:
+    """(start, end, words, digest) of each unit of a text: code points, end exclusive, without white space at its ends."""
+    starts, ends, digests = runs(text or "", min_words)
+    chosen = [(start, end, min_words, d.tobytes()) for start, end, d in zip(starts.tolist(), ends.tolist(), digests, strict=True)]
+    yield from sorted(pieced(text or "", min_words) + chosen)
 
 
 def unit_rows(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, start, end, words, d0, d1): every unit of every row; the digest as two longs."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "start", "end", "words", "d0", "d1"]
+
         def batch() -> pa.RecordBatch:
-            d = pa.py_buffer(b"".join(digests))
-            pairs = pa.Array.from_buffers(pa.int64(), 2 * len(digests), [None, d])
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(words, pa.int32()), pairs.take(pa.array(range(0, 2 * len(digests), 2))), pairs.take(pa.array(range(1, 2 * len(digests), 2)))], ["doc_id", "start", "end", "words", "d0", "d1"])
+            d = np.concatenate([np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2), *(x[2].view(np.int64) for _, x in chosen)])
+            of = [len(x[0]) for _, x in chosen]
+            columns = [
+                np.concatenate([np.array(ids, np.int64), np.repeat(np.array([doc for doc, _ in chosen], np.int64), of)]),
+                *(np.concatenate([np.array(own, np.int32), *(x[k].astype(np.int32) for _, x in chosen)]) for k, own in enumerate((starts, ends))),
+                np.concatenate([np.array(words, np.int32), np.full(sum(of), min_words, np.int32)]),
+                np.ascontiguousarray(d[:, 0]),
+                np.ascontiguousarray(d[:, 1]),
+            ]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
         for b in it:
-            ids, starts, ends, words, digests = [], [], [], [], []
+            ids, starts, ends, words, digests, chosen, held = [], [], [], [], [], [], 0
             for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                for start, end, n, digest in units(text.as_py(), min_words):
+                text = text.as_py() or ""
+                for start, end, n, digest in pieced(text, min_words):
                     ids.append(doc)
                     starts.append(start)
                     ends.append(end)
                     words.append(n)
                     digests.append(digest)
-                if len(ids) >= 20_000:
+                chosen.append((doc, runs(text, min_words)))
+                held += len(chosen[-1][1][0])
+                if len(ids) + held >= 20_000:
                     yield batch()
-                    ids, starts, ends, words, digests = [], [], [], [], []
-            if ids:
+                    ids, starts, ends, words, digests, chosen, held = [], [], [], [], [], [], 0
+            if len(ids) + held:
                 yield batch()
 
     src = docs.filter("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))

@@ -163,6 +163,19 @@ def test_a_short_line_is_found_whatever_follows_it(spark):
     assert list(substrings.units(None)) == []
 
 
+def test_a_passage_inside_long_sentences_is_found(spark):
+    rng = random.Random(5)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(n))
+    passage = words(60)
+    rows = [(1, f"{words(20)} {passage} {words(20)}."), (2, f"{words(9)} {passage.upper()}, {words(30)}"), (3, words(80))]
+    got = substrings.repeated_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.kept_doc_id) for r in got} == {(2, 1)}
+    at = rows[1][1].index(passage.upper())
+    reached = {k for r in got for k in range(r.start, r.end)}
+    assert all(at <= r.start and r.end <= at + len(passage) for r in got)
+    assert len(reached) >= 6 * (60 - 2 * (substrings.SPREAD - 1)) - 1
+
+
 def test_substrings_of_awkward_rows(awkward, empty):
     got = substrings.repeated_units(awkward, min_words=5).collect()
     assert {(r.doc_id, r.kept_doc_id) for r in got if r.doc_id < 6} == {(2, 1)}
