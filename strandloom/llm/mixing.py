@@ -1,19 +1,24 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Each source's rows are numbered in hashed order and cut into blocks. In a fluid mix, a source of weight w has received
-w * t blocks after t slots; its i-th block (from 1) may go out from slot floor((i - 1) / w) and must by ceil(i / w).
-Earliest deadline first among the released blocks keeps every source within one block of the fluid mix. Weights are
-integers over a period, so the schedule of one period serves them all: block i of a source falls into period
-(i - 1) div a at a slot known from the table of one period. When a source has no blocks left, the others go on with
-their weights in a new phase, with schedule and deviation counted from there; so every row is placed, once.
-
-The driver holds one number of rows a source and the phases' tables: at most sources^2 + sources * period numbers.
+Each source's rows are numbered in hashed order and cut into blocks. In the fluid mix all sources flow at once, each in
+proportion to its weight, and when one has run out the others share its part; one block flows in one slot. A block may
+go out from the slot in which it begins to flow and must be out by the end of that in which it has flowed (by Pfair
+with weights w that stay: from slot floor((i - 1) / w) and by ceil(i / w) for the i-th block). Earliest deadline first
+among the released blocks meets all deadlines, since the fluid mix does; so every source is within one block of the
+fluid mix at every slot. Weights are exact rationals and nothing is rounded.
+
+With ``period``, weights are rounded to integers over it and the schedule of one period serves them all: block i of a
+source falls into period (i - 1) div a at a slot known from the table of one period. When a source has no blocks left,
+the others go on with their weights in a new phase, with schedule and deviation counted from there.
+
+The driver holds one number of rows a source and one row a block, a 64th of the table's rows.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from bisect import bisect_right
 from collections.abc import Mapping
 from dataclasses import dataclass
 from fractions import Fraction
@@ -25,14 +30,55 @@ from pyspark.sql.window import Window
 from .common import cut, whole
 
 BLOCK_ROWS = 64
-#: Weights are rounded to integers that add up to this.
-PERIOD = 1000
 MAX_SOURCES = 400
-#: Rows that one window numbers, about; and rows of the table of first numbers that are broadcast at most.
+#: Rows that one window numbers, about; and rows of the tables of first numbers and of blocks that are broadcast at most.
 BUCKET_ROWS, BROADCAST_ROWS = 100_000, 100_000
 
 
-def integer_weights(weights: Mapping[str | None, float], period: int = PERIOD) -> dict[str | None, int]:
+#: Of one source, each block's slot, first slot and deadline.
+Slots = dict[str | None, list[tuple[int, int, int]]]
+
+
+def fluid(blocks: Mapping[str | None, int], weights: Mapping[str | None, float]) -> Slots:
+    """Slot, release and deadline of each block by source, within one block of the fluid mix; those without weight last."""
+    share = {s: Fraction(str(weights[s])) for s, n in blocks.items() if n}
+    if any(w < 0 for w in share.values()):
+        raise ValueError("weights are not negative")
+    rest = [s for s, w in share.items() if not w]
+    unit = math.lcm(*(w.denominator for w in share.values()))
+    share = {s: int(w * unit) for s, w in share.items() if w}
+    # The fluid mix: a source ends when its blocks by its weight have flowed; what has gone by then, who flows after.
+    last = sorted((Fraction(blocks[s], w), w, blocks[s]) for s, w in share.items())
+    ends, gone, active = [x[0] for x in last], [0], [sum(share.values())]
+    for _, w, n in last:
+        gone.append(gone[-1] + n)
+        active.append(active[-1] - w)
+
+    def flowed(s: str | None, i: int) -> tuple[int, int]:
+        """Slot in which i blocks of a source have flowed, rounded down and up."""
+        w = share[s]
+        k = bisect_right(ends, Fraction(i, w))
+        return gone[k] + i * active[k] // w, gone[k] - -i * active[k] // w
+
+    out: Slots = {s: [] for s in share}
+    names = sorted(share, key=str)
+    ready: list[tuple[int, int, int]] = []  # deadline, source, release
+    later = [(0, k) for k in range(len(names))]  # release, source
+    for slot in range(gone[-1]):
+        while later and later[0][0] <= slot:
+            release, k = heapq.heappop(later)
+            heapq.heappush(ready, (flowed(names[k], len(out[names[k]]) + 1)[1], k, release))
+        deadline, k, release = heapq.heappop(ready)
+        s = names[k]
+        out[s].append((slot, release, deadline))
+        if len(out[s]) < blocks[s]:
+            heapq.heappush(later, (flowed(s, len(out[s]))[0], k))
+    if rest:
+        out |= {s: [tuple(x + gone[-1] for x in t) for t in own] for s, own in fluid({s: blocks[s] for s in rest}, dict.fromkeys(rest, 1)).items()}
+    return out
+
+
+def integer_weights(weights: Mapping[str | None, float], period: int) -> dict[str | None, int]:
     """Weights as integers of at least 1 that add up to ``period``, by largest remainders."""
     total = sum(weights.values())
     share = {s: max(Fraction(w).limit_denominator(10**9) / Fraction(total).limit_denominator(10**9) * period, Fraction(1)) for s, w in weights.items()}
@@ -80,7 +126,7 @@ def place(phase: Phase, source: str | None, i: int) -> int:
     return phase.slot + j // a * phase.period + phase.slots[source][j % a]
 
 
-def phases(blocks: Mapping[str | None, int], weights: Mapping[str | None, float], period: int = PERIOD) -> list[Phase]:
+def phases(blocks: Mapping[str | None, int], weights: Mapping[str | None, float], period: int) -> list[Phase]:
     """The schedule of ``blocks`` by source: a new phase begins where the first source runs out."""
     left = {s: n for s, n in blocks.items() if n}
     gone = dict.fromkeys(blocks, 0)
@@ -100,6 +146,17 @@ def phases(blocks: Mapping[str | None, int], weights: Mapping[str | None, float]
     return out
 
 
+def periodic(blocks: Mapping[str | None, int], weights: Mapping[str | None, float], period: int) -> Slots:
+    """As ``fluid``, from ``phases``; release and deadline are slots since the block's phase began."""
+    plan = phases(blocks, weights, period)
+    out: Slots = {s: [] for s in blocks}
+    for p, after in zip(plan, [*plan[1:], None], strict=True):
+        for s, slots in p.slots.items():
+            for j in range((after.blocks.get(s, blocks[s]) if after else blocks[s]) - p.blocks[s]):
+                out[s].append((place(p, s, p.blocks[s] + j), j * p.period // len(slots), -(-(j + 1) * p.period // len(slots))))
+    return out
+
+
 def fingerprint(docs: DataFrame) -> Column:
     """A hash of a row's columns (maps can't be hashed and are left out): orders rows of one id the same way each time."""
     return F.xxhash64(*(F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind))
@@ -110,7 +167,7 @@ def default_weights(rows: Mapping[str | None, int], temperature: float = 0.5) ->
     return {s: float(n) ** temperature for s, n in rows.items()}
 
 
-def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None, source_col: str = "source", id_col: str = "doc_id", block_rows: int = BLOCK_ROWS, period: int = PERIOD, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None, source_col: str = "source", id_col: str = "doc_id", block_rows: int = BLOCK_ROWS, period: int | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Adds block (of its source, from 0), slot (of the whole mix, from 0), release, deadline and place (within the block).
 
     Sorting by (slot, place) gives the mix. Rows of a source go in the order of a hash of their id, ties by id; rows
@@ -118,8 +175,9 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
     source, named null; null ids are ids. A source without a weight is an error, one without rows is passed over; an
     empty table gives no rows. All columns of ``docs`` stay (own names given above are replaced). Numbering a source
     needs no task of its own: rows are numbered within ranges of their hash of about ``bucket_rows`` rows, and each
-    range's first number comes from the counts of those before. Release and deadline are slots since the block's phase
-    began.
+    range's first number comes from the counts of those before. Sources of weight zero go after all others, in equal
+    shares. With ``period``, weights are rounded to integers that add up to it, and release and deadline are slots
+    since the block's phase began.
     """
     own = ("block", "slot", "release", "deadline", "place")
     id_ = F.col(f"`{id_col}`")
@@ -131,27 +189,20 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
     if len(sizes) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources: group them first")
     weights = default_weights(sizes) if weights is None else weights
-    plan = phases({s: -(-n // block_rows) for s, n in sizes.items()}, weights, period)
+    blocks = {s: -(-n // block_rows) for s, n in sizes.items()}
+    plan = fluid(blocks, weights) if period is None else periodic(blocks, weights, period)
     before = counts.select(F.col("__s").alias("__s2"), F.col("__b").alias("__b2"), (F.sum("count").over(Window.partitionBy("__s").orderBy("__b")) - F.col("count")).alias("__first"))
     # Beyond the bound the join is a shuffle by the keys of the window that follows, which then needs none of its own.
     before = F.broadcast(before) if len(sizes) << bits <= BROADCAST_ROWS else before
     rows = rows.join(before, (F.col("__s") == F.col("__s2")) & (F.col("__b") == F.col("__b2"))).drop("__s2", "__b2")
     spark = docs.sparkSession
-    table = [("null" if s is None else f"s{s}", p.blocks[s], i, p.slot, p.period, len(slots), slots) for i, p in enumerate(plan) for s, slots in p.slots.items()]
-    table = spark.createDataFrame(table, "s string, from long, phase int, at long, period int, a int, slots array<int>")
-    # One row a source: its phases in order. Bounded by MAX_SOURCES phases and PERIOD slots.
-    table = table.groupBy("s").agg(F.array_sort(F.collect_list(F.struct("from", "phase", "at", "period", "a", "slots"))).alias("phases"))
+    table = [("null" if s is None else f"s{s}", i, *t) for s, own_ in plan.items() for i, t in enumerate(own_)]
+    table = spark.createDataFrame(table, "s string, i long, slot long, release long, deadline long")
+    table = F.broadcast(table) if sum(blocks.values()) <= BROADCAST_ROWS else table
     number = F.row_number().over(Window.partitionBy("__s", "__b").orderBy("__h", "__id", "__tie")) - 1 + F.col("__first")
     rows = rows.withColumn("__n", number).withColumn("block", F.floor(F.col("__n") / block_rows)).withColumn("place", (F.col("__n") % block_rows).cast("int"))
-    # Joined last: the tables don't travel with the rows.
-    rows = rows.join(F.broadcast(table), F.col("__s") == F.col("s"), "left").drop("s")
-    rows = rows.withColumn("__p", F.element_at(F.filter("phases", lambda p: p["from"] <= F.col("block")), -1)).withColumn("__j", F.col("block") - F.col("__p.from"))
-    a, period_ = F.col("__p.a"), F.col("__p.period")
-    rows = rows.withColumns({
-        "slot": F.col("__p.at") + F.floor(F.col("__j") / a) * period_ + F.get(F.col("__p.slots"), (F.col("__j") % a).cast("int")),
-        "release": F.expr("__j * __p.period div __p.a"),
-        "deadline": F.expr("((__j + 1) * __p.period + __p.a - 1) div __p.a"),
-    })
+    # Joined last: the table doesn't travel with the rows.
+    rows = rows.join(table, (F.col("__s") == F.col("s")) & (F.col("block") == F.col("i")))
     return rows.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in own), *own)
 
 

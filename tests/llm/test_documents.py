@@ -313,6 +313,22 @@ def test_mix_places_every_row_once(spark, awkward, empty):
         mixing.schedule(df, {"a": 1.0})
 
 
+def test_mix_follows_the_target_weights_themselves(spark):
+    df = spark.createDataFrame([(i, f"s{i % 28:02}" if i % 28 < 19 else "a") for i in range(8000)], "doc_id long, source string")
+    sizes = {r["source"]: r["count"] for r in df.groupBy("source").count().collect()}
+    out = sorted((r.slot, r.source, r.release, r.deadline) for r in mixing.schedule(df, block_rows=1).collect())
+    assert [x[0] for x in out] == list(range(8000)) and all(release <= slot < deadline for slot, _, release, deadline in out)
+    weights, gone = mixing.default_weights(sizes), dict.fromkeys(sizes, 0)
+    for slot, source, _, _ in out:  # as long as every source has rows
+        gone[source] += 1
+        assert all(abs(n - (slot + 1) * weights[s] / sum(weights.values())) < 1 for s, n in gone.items())
+        if any(n == sizes[s] for s, n in gone.items()):
+            break
+    assert slot > 3000
+    plan = mixing.fluid({"big": 9000, "rare": 2, "none": 3}, {"big": 1.0, "rare": 0.0002, "none": 0})
+    assert [t for t, _, _ in plan["rare"]][0] < 5001 <= [t for t, _, _ in plan["rare"]][1] and [t for t, _, _ in plan["none"]] == [9002, 9003, 9004]
+
+
 def test_mixed_rows_come_in_order(spark):
     df = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(640)], "doc_id long, source string")
     slots = {r.doc_id: r.slot for r in mixing.schedule(df).collect()}
