@@ -5,7 +5,7 @@ proportion to its weight, and when one has run out the others share its part; on
 go out from the slot in which it begins to flow and must be out by the end of that in which it has flowed (by Pfair
 with weights w that stay: from slot floor((i - 1) / w) and by ceil(i / w) for the i-th block). Earliest deadline first
 among the released blocks meets all deadlines, since the fluid mix does; so every source is within one block of the
-fluid mix at every slot. Weights are exact rationals and nothing is rounded.
+fluid mix at every slot. Weights are exact rationals, nothing is rounded, and sources may be any number.
 
 With ``period``, weights are rounded to integers over it and the schedule of one period serves them all: block i of a
 source falls into period (i - 1) div a at a slot known from the table of one period. When a source has no blocks left,
@@ -30,7 +30,6 @@ from pyspark.sql.window import Window
 from .common import cut, whole
 
 BLOCK_ROWS = 64
-MAX_SOURCES = 400
 #: Rows that one window numbers, about; and rows of the tables of first numbers and of blocks that are broadcast at most.
 BUCKET_ROWS, BROADCAST_ROWS = 100_000, 100_000
 
@@ -185,9 +184,7 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
     bits = max(6, (docs.count() // bucket_rows).bit_length())
     rows = rows.withColumn("__b", F.shiftrightunsigned("__h", 64 - bits))
     counts = cut(rows.groupBy("__s", "__b").count(), "mix-counts")
-    sizes = {r["__s"][1:] if r["__s"] != "null" else None: r["n"] for r in counts.groupBy("__s").agg(F.sum("count").alias("n")).limit(MAX_SOURCES + 1).collect()}
-    if len(sizes) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: group them first")
+    sizes = {r["__s"][1:] if r["__s"] != "null" else None: r["n"] for r in counts.groupBy("__s").agg(F.sum("count").alias("n")).collect()}
     weights = default_weights(sizes) if weights is None else weights
     blocks = {s: -(-n // block_rows) for s, n in sizes.items()}
     plan = fluid(blocks, weights) if period is None else periodic(blocks, weights, period)

@@ -329,6 +329,14 @@ def test_mix_follows_the_target_weights_themselves(spark):
     assert [t for t, _, _ in plan["rare"]][0] < 5001 <= [t for t, _, _ in plan["rare"]][1] and [t for t, _, _ in plan["none"]] == [9002, 9003, 9004]
 
 
+def test_mix_of_any_number_of_sources(spark):
+    df = spark.createDataFrame([(i, f"s{i % 1500}") for i in range(4000)], "doc_id long, source string")
+    out = mixing.schedule(df, block_rows=2).collect()
+    assert sorted(r.doc_id for r in out) == list(range(4000))
+    slots = {(r.source, r.block): r.slot for r in out}
+    assert sorted(slots.values()) == list(range(2500)) and all(r.slot == slots[r.source, r.block] for r in out)
+
+
 def test_mixed_rows_come_in_order(spark):
     df = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(640)], "doc_id long, source string")
     slots = {r.doc_id: r.slot for r in mixing.schedule(df).collect()}
