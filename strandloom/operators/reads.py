@@ -42,16 +42,20 @@ def reservoir_cap(reads: DataFrame, cap: int = 50_000, seed: int = 4232, mito: s
     return kept.filter((F.col("chrom") != mito) | F.col("chrom").isNull()).unionByName(on.drop("__h"))
 
 
+def _place() -> Column:
+    """Ends of a mono-exon, null with a chain: what tells isoforms without junctions apart."""
+    return F.when(F.coalesce(F.size("chain"), F.lit(0)) <= 0, F.struct("lo", "hi")).alias("__place")
+
+
 def collapse_reads(tx: DataFrame) -> DataFrame:
-    """Transcripts (reads with sample) with one chain, locus and sample as one isoform: depth, outermost ends. Mono-exons by locus and end bins are left single."""
-    spliced = tx.filter(F.size("chain") > 0)
-    return spliced.groupBy("sample", "chrom", "strand", "chain").agg(F.count("*").alias("depth"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    """Transcripts (reads with sample) with one chain, locus and sample as one isoform: depth, outermost ends. Mono-exons are one by locus, ends and sample."""
+    return tx.groupBy("sample", "chrom", "strand", "chain", _place()).agg(F.count("*").alias("depth"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("__place")
 
 
 def merge_samples(collapsed: DataFrame, samples: list) -> DataFrame:
-    """Isoforms over all samples: chrom, strand, chain, ends, and a depth column a sample (0 where absent)."""
+    """Isoforms over all samples: chrom, strand, chain, ends, and a depth column a sample (0 where absent). Mono-exons meet by their ends."""
     depth = [F.sum(F.when(F.col("sample") == s, F.col("depth")).otherwise(0)).alias(f"depth_{s}") for s in samples]
-    return collapsed.groupBy("chrom", "strand", "chain").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), *depth)
+    return collapsed.groupBy("chrom", "strand", "chain", _place()).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), *depth).drop("__place")
 
 
 def modal_ends(points: DataFrame, keys: tuple[str, ...]) -> DataFrame:

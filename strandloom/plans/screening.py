@@ -380,17 +380,37 @@ _COLL = ctes("exon", "junc", "txs", "chain") + ", col AS (SELECT tx % 4 AS sampl
 
 
 def _bars(c: str) -> F.Column:
-    return F.concat(F.lit("|"), F.array_join(F.transform(c, lambda j: F.concat_ws("-", j["donor"].cast("string"), j["acceptor"].cast("string"))), "|"), F.lit("|"))
+    bars = F.concat(F.lit("|"), F.array_join(F.transform(c, lambda j: F.concat_ws("-", j["donor"].cast("string"), j["acceptor"].cast("string"))), "|"), F.lit("|"))
+    return F.when(F.size(c) > 0, bars).otherwise("")
+
+
+def _collapsed(s: SparkSession, d: str) -> DataFrame:
+    return reads.collapse_reads(tx_of(s, d).withColumn("sample", F.col("tx") % 4))
 
 
 @query("collapse_reads", _COLL + " SELECT sample, chrom, strand, c AS chain, depth, lo, hi FROM col")
 def collapse_reads(s: SparkSession, d: str) -> DataFrame:
-    return reads.collapse_reads(tx_of(s, d).withColumn("sample", F.col("tx") % 4)).withColumn("chain", _bars("chain"))
+    """Those with a chain, which is what the SQL compares; ``collapse_reads_all`` has the mono-exons too."""
+    return _collapsed(s, d).filter(F.size("chain") > 0).withColumn("chain", _bars("chain"))
 
 
 @query("merge_samples", _COLL + " SELECT chrom, strand, c AS chain, min(lo) AS lo, max(hi) AS hi, " + ", ".join(f"CAST(coalesce(sum(depth) FILTER (WHERE sample = {k}), 0) AS BIGINT) AS depth_{k}" for k in range(4)) + " FROM col GROUP BY ALL")
 def merge_samples(s: SparkSession, d: str) -> DataFrame:
-    return reads.merge_samples(reads.collapse_reads(tx_of(s, d).withColumn("sample", F.col("tx") % 4)), [0, 1, 2, 3]).withColumn("chain", _bars("chain"))
+    """Those with a chain, which is what the SQL compares; ``merge_samples_all`` has the mono-exons too."""
+    return reads.merge_samples(_collapsed(s, d).filter(F.size("chain") > 0), [0, 1, 2, 3]).withColumn("chain", _bars("chain"))
+
+
+_COLL_ALL = ctes("exon", "junc", "txs", "chain") + ", col AS (SELECT tx % 4 AS sample, chrom, strand, c, CASE WHEN n = 0 THEN lo END AS plo, CASE WHEN n = 0 THEN hi END AS phi, count(*) AS depth, min(lo) AS lo, max(hi) AS hi FROM chain GROUP BY 1, 2, 3, 4, 5, 6)"
+
+
+@query("collapse_reads_all", _COLL_ALL + " SELECT sample, chrom, strand, c AS chain, depth, lo, hi FROM col")
+def collapse_reads_all(s: SparkSession, d: str) -> DataFrame:
+    return _collapsed(s, d).withColumn("chain", _bars("chain"))
+
+
+@query("merge_samples_all", _COLL_ALL + " SELECT chrom, strand, c AS chain, min(lo) AS lo, max(hi) AS hi, " + ", ".join(f"CAST(coalesce(sum(depth) FILTER (WHERE sample = {k}), 0) AS BIGINT) AS depth_{k}" for k in range(4)) + " FROM col GROUP BY chrom, strand, c, plo, phi")
+def merge_samples_all(s: SparkSession, d: str) -> DataFrame:
+    return reads.merge_samples(_collapsed(s, d), [0, 1, 2, 3]).withColumn("chain", _bars("chain"))
 
 
 @query("modal_ends", ctes("exon", "junc", "txs", "chain") + ", p AS (SELECT gene, CASE WHEN strand = '-' THEN hi ELSE lo END AS pos, count(*) AS n FROM txs GROUP BY ALL) SELECT gene, arg_min(pos, (-n) * 100000000000 + pos) AS pos, max(n) AS n, count(*) AS n_pos FROM p GROUP BY gene")

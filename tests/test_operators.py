@@ -293,3 +293,14 @@ def test_stages_partition_the_input(spark, sf_dir):
     assert failed <= every and not failed & set(decided)
     assert {r.tx for r in out["expr"].select("tx").distinct().collect()} == {t for t, k in decided.items() if k}
     assert every - failed - contained <= set(decided)
+
+
+def test_collapse_and_merge_keep_mono_exons(spark):
+    from strandloom.operators import reads
+
+    j = [(10, 20)]
+    rows = [("c", "+", j, 0, 30, 0), ("c", "+", j, 2, 40, 0), ("c", "+", [], 5, 9, 0), ("c", "+", [], 5, 9, 0), ("c", "+", [], 50, 60, 0), ("c", "+", [], 5, 9, 1)]
+    tx = spark.createDataFrame(rows, "chrom string, strand string, chain array<struct<donor:long,acceptor:long>>, lo long, hi long, sample long")
+    got = reads.collapse_reads(tx)
+    assert sorted((r.sample, len(r.chain), r.lo, r.hi, r.depth) for r in got.collect()) == [(0, 0, 5, 9, 2), (0, 0, 50, 60, 1), (0, 1, 0, 40, 2), (1, 0, 5, 9, 1)]
+    assert sorted((len(r.chain), r.lo, r.hi, r.depth_0, r.depth_1) for r in reads.merge_samples(got, [0, 1]).collect()) == [(0, 5, 9, 2, 1), (0, 50, 60, 1, 0), (1, 0, 40, 2, 0)]
