@@ -2,9 +2,9 @@
 
 Each document's shingle set gets 256 registers: its hashes fall into buckets by their first bits, and a register
 holds the number of leading zeros of the bucket's smallest hash with ten mantissa bits after its leading one. An empty
-bucket borrows the register of an occupied one, chosen by a fixed order of preference. Bands of seven registers name
-buckets of candidates; estimated Jaccard similarities, corrected for registers that agree by chance, sort the
-candidates out; the full sets confirm what is left.
+bucket borrows the register of an occupied one, chosen by a fixed order of preference. Bands of registers, as many and
+as long as the threshold asks for (36 of 7 at 0.85, 35 of 5 at 0.80), name buckets of candidates; estimated Jaccard
+similarities, corrected for registers that agree by chance, sort the candidates out; the full sets confirm what is left.
 
 Nothing is paired that need not be. Equal sets are one class from the start. In each bucket all compare with one hub;
 what the estimate links forms provisional groups. Where several groups meet in a bucket, their members' registers meet
@@ -15,6 +15,7 @@ the method's only loss.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 from .common import batches, components, cut, give_back
 from .shingles import digest, mix, sets_of
 
-REGISTERS, BANDS, ROWS = 256, 36, 7
+REGISTERS = 256
+#: A pair at the threshold shares no band with a probability below this.
+MISS = 1e-6
 _VALUE_BITS = 56
 MANTISSA = 10
 #: An estimate's standard deviation at 0.85 is about 0.022; candidates this far below the threshold go.
@@ -39,8 +42,8 @@ BROADCAST_ROWS = 100_000
 
 _RNG = np.random.default_rng(85)
 _PREFERENCE = np.argsort(np.argsort(_RNG.random((REGISTERS, REGISTERS)), axis=1), axis=1).astype(np.uint16)
-_BAND = _RNG.integers(1, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BAND_NO = _RNG.integers(1, 1 << 63, BANDS, dtype=np.uint64)
+_BAND = _RNG.integers(1, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BAND_NO = _RNG.integers(1, 1 << 63, REGISTERS, dtype=np.uint64)
 
 
 def signature(h: np.ndarray) -> np.ndarray:
@@ -60,10 +63,20 @@ def signature(h: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(registers: np.ndarray) -> np.ndarray:
-    """(documents, BANDS) keys from (documents, REGISTERS)."""
-    r = registers[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64) + np.uint64(1)
-    return mix((r * _BAND).sum(axis=2, dtype=np.uint64) + _BAND_NO).view(np.int64)
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows for a threshold: the most rows with which few enough pairs are missed, as far as the registers go."""
+    for rows in range(REGISTERS, 0, -1):
+        share = (percent / 100) ** rows
+        n = math.ceil(math.log(MISS) / math.log1p(-share)) if 1e-12 < share < 1 else 1 if share == 1 else REGISTERS + 1
+        if n * rows <= REGISTERS:
+            return n, rows
+    return REGISTERS, 1
+
+
+def band_keys(registers: np.ndarray, n: int, rows: int) -> np.ndarray:
+    """(documents, n) keys of bands of ``rows`` registers from (documents, REGISTERS)."""
+    r = registers[:, : n * rows].reshape(-1, n, rows).astype(np.uint64) + np.uint64(1)
+    return mix((r * _BAND[: n * rows].reshape(n, rows)).sum(axis=2, dtype=np.uint64) + _BAND_NO[:n]).view(np.int64)
 
 
 def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -91,16 +104,17 @@ def signatures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return batches(src, run, "doc_id long, n long, digest binary, registers binary")
 
 
-def bands(classes: DataFrame) -> DataFrame:
-    """(key, rep, n): the band keys of each class."""
+def bands(classes: DataFrame, percent: int) -> DataFrame:
+    """(key, rep, n): the band keys of each class for a threshold."""
+    count, rows = banding(percent)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             for at in range(0, b.num_rows, 2048):
                 c = b.slice(at, 2048)
                 regs = np.frombuffer(b"".join(c.column(2).to_pylist()), np.uint16).reshape(-1, REGISTERS)
-                repeat = lambda x: pa.array(np.repeat(x.to_numpy(zero_copy_only=False), BANDS))
-                yield pa.RecordBatch.from_arrays([pa.array(band_keys(regs).ravel()), repeat(c.column(0)), repeat(c.column(1))], ["key", "rep", "n"])
+                repeat = lambda x: pa.array(np.repeat(x.to_numpy(zero_copy_only=False), count))
+                yield pa.RecordBatch.from_arrays([pa.array(band_keys(regs, count, rows).ravel()), repeat(c.column(0)), repeat(c.column(1))], ["key", "rep", "n"])
 
     return batches(classes.select("rep", "n", "registers"), run, "key long, rep long, n long")
 
@@ -209,7 +223,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text_col: str = "text")
     rows = cut(signatures(docs, text_col), "signatures")
     full = rows.filter("n > 0 and doc_id is not null")
     classes = cut(full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("registers").alias("registers")), "classes")
-    keyed = bands(classes)
+    keyed = bands(classes, percent)
     several = keyed.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("rep", "n")).alias("hub")).filter("m > 1").select("key", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n"))
     members = cut(keyed.join(several, "key"), "buckets")
     fits = lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m)

@@ -112,6 +112,18 @@ def test_long_texts_are_hashed_in_pieces(monkeypatch):
     assert (shingles.sets_of([text])[0] == whole).all()
 
 
+def test_a_pair_at_any_threshold_shares_a_band():
+    for percent in (50, 70, 80, 85, 90, 99):
+        n, rows = neardup.banding(percent)
+        assert n * rows <= neardup.REGISTERS and (1 - (percent / 100) ** rows) ** n < 1e-6
+    assert neardup.banding(85) == (36, 7) and neardup.banding(100)[0] == 1
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 1 << 16, (20_000, neardup.REGISTERS)).astype(np.uint16)
+    b = np.where(rng.random(a.shape) < 0.8, a, a ^ np.uint16(1))
+    n, rows = neardup.banding(80)
+    assert (neardup.band_keys(a, n, rows) == neardup.band_keys(b, n, rows)).any(axis=1).all()
+
+
 def test_estimates_are_close():
     rng = np.random.default_rng(0)
     for size in (30, 300, 3000):
