@@ -1,7 +1,8 @@
 """Lineage cuts: tables written to the folder that the cluster shares, and read again.
 
 The folder is ``spark.checkpoint.dir``, which every executor reaches; a lost executor then costs a re-read and not a
-recomputation of everything before. Where it is unset (tests on one machine) a temporary folder is set.
+recomputation of everything before. Where it is unset, a session on one machine (tests) gets a temporary folder, and a
+cluster an error: a folder of one machine would leave the reread incomplete there.
 """
 
 from __future__ import annotations
@@ -9,19 +10,34 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is unset: set it to a folder that all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='strandloom-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """The same rows as ``df``, reread from a table in the shared folder."""
+def cut(df: DataFrame, name: str, observed: tuple | None = None) -> DataFrame:
+    """The same rows as ``df``, reread from a table in the shared folder; ``observed``: (Observation, *aggregates) of the write."""
     path = f"{shared_dir(df.sparkSession)}/strandloom/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df if observed is None else df.observe(*observed)).write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._strandloom_path = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables made by ``cut``; only for those that nothing later reads, a lost executor's tasks included."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._strandloom_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+__all__ = ["Observation", "cut", "forget", "shared_dir"]

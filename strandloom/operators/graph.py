@@ -6,31 +6,56 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.functions.coords import safe_fraction
-from strandloom.lineage import cut
+from strandloom.lineage import Observation, cut, forget
 
 GROUP = ("gene", "chrom", "strand")
 MODES = ("any_shared", "subset", "jaccard", "bridge_safe", "exact")
 
 
+#: Up to so many edges, the minima of their ends are broadcast; beyond, they are written and joined by shuffle.
+BROADCAST_EDGES = 100_000
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b): (node, component), component = smallest id.
 
-    Alternates the large-star and small-star steps until every edge hangs on a root. Each step is a grouped minimum
-    (combined on the map side) and an equi-join, so a hub with very many neighbours never has to fit into one task.
-    Empty edges give no rows; self-loops, nulls and repeated edges are ignored.
+    Alternates the large-star and small-star steps until a round changes nothing, which the write of its edges tells (by
+    their number and checksums). Each step is a grouped minimum, combined on the map side, and an equi-join with it. The
+    edges' number is known from their write: few minima are broadcast, many are written first, so that the join has a
+    shuffle of its own whose hot keys Spark splits. So a hub with very many neighbours never has to fit into one task. A
+    round's tables go when the next one is written. Nodes are of any type with an order. Empty edges give no rows;
+    self-loops, nulls and repeated edges are ignored.
     """
-    e = cut(edges.filter("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    sums = (F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.bit_xor(F.xxhash64("v", "u")).alias("y"))
+    seen = Observation()
+    e = cut(edges.filter("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges", (seen, *sums))
+    before = seen.get
     for _ in range(max_rounds):
-        # A star forest: each left end has one root, and no root is a left end.
-        several = e.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1").select("u")
-        if several.union(e.join(e.select(F.col("u").alias("w")).distinct(), F.col("v") == F.col("w"), "left_semi").select("u")).isEmpty():
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        hung = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("p"))
-        e = cut(hung.select("p.u", "p.v").filter("u <> v").distinct(), "edges")
+        if not before.get("n"):
+            return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        few, used = before["n"] <= BROADCAST_EDGES, [e]
+
+        def lowest(rows: DataFrame, few: bool = few, used: list = used) -> DataFrame:
+            low = rows.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
+            if few:
+                return F.broadcast(low)
+            used.append(cut(low, "lows"))
+            return used[-1]
+
+        # Large star: every neighbour above a node hangs on the smallest around it (the node itself included).
+        low = lowest(e.unionByName(e.select(F.col("v").alias("u"), "v")))
+        large = e.join(low, F.col("v") == F.col("w")).select("u", F.col("m").alias("v")).distinct()
+        # Small star: a node and all that are below it hang on the smallest of them.
+        if not few:
+            large = cut(large, "edges")
+            used.append(large)
+        hung = large.join(lowest(large), F.col("u") == F.col("w")).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("p"))
+        seen = Observation()
+        e = cut(hung.select("p.u", "p.v").filter("u <> v").distinct(), "edges", (seen, *sums))
+        forget(*used)
+        if seen.get == before:
+            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        before = seen.get
     raise RuntimeError(f"components: not settled after {max_rounds} rounds")
 
 
