@@ -154,6 +154,17 @@ n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT d.vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.component, d.vec_id) AS component_id, coalesce(c.component, d.vec_id) = d.vec_id AS kept
 FROM embeddings d LEFT JOIN n ON n.a = d.vec_id LEFT JOIN comp c ON c.node = d.vec_id
 """
+# Squares are added up in the order of the components, as the operator does.
+OP6_SQL = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+d AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_sum(list_transform(list_zip(q.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank FROM d)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -161,4 +172,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash_dedup": OP1_SQL, "op4_embedding_dedup": OP4_SQL, "op5_url_filter": OP5_SQL, "op8_chat_format": OP8_SQL}
+    return {"op1_minhash_dedup": OP1_SQL, "op4_embedding_dedup": OP4_SQL, "op5_url_filter": OP5_SQL, "op6_ann": OP6_SQL, "op8_chat_format": OP8_SQL}

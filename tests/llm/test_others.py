@@ -44,7 +44,8 @@ def test_quantisation_bounds_hold():
     rng = np.random.default_rng(3)
     x, y = rng.standard_normal((200, 40)), rng.standard_normal((200, 40)) * rng.random((200, 1)) ** 6
     (qa, sa, na, ea), (qb, sb, nb, eb) = embeddings.quantise(x), embeddings.quantise(y)
-    near = (qa * qb).sum(1) * sa * sb
+    assert qa.dtype == qb.dtype == np.int8
+    near = (qa.astype(int) * qb).sum(1) * sa * sb
     assert (np.abs(near - embeddings.cosines(x, y)) <= ea * nb + na * eb + ea * eb).all()
 
 
@@ -84,11 +85,65 @@ def test_nearest_equal_brute_force(spark, monkeypatch):
     assert hits / (10 * 24) >= 0.98
 
 
-def test_one_bit_bounds_spare_most_vectors():
+def test_one_bit_bounds_hold_and_spare_most_vectors():
     rng = np.random.default_rng(8)
     x = rng.standard_normal((4000, 64))
-    *_, tried = ann.search(x[:20] + 0.05, np.arange(-20, 0), x, np.arange(4000), x.mean(0), 10)
-    assert tried < 0.6 * 20 * 4000
+    q, centre = x[:20] + 0.05, x.mean(0)
+    codes, norm, f = ann.encode(x, centre, ann.rotation(64))
+    assert codes.shape == (4000, ann.CODE_BITS // 8)
+    tried = wrong = 0
+    for row, (near, least) in zip(q, ann.bounds(codes, norm, f, q, centre), strict=True):
+        d2 = ((x - row) ** 2).sum(1)
+        wrong += (least > d2).sum()
+        tried += (least <= np.sort(d2)[9]).sum()
+        assert np.abs(near - d2).max() < 0.5 * d2.max()
+    assert wrong <= 0.005 * 20 * 4000 and tried < 0.4 * 20 * 4000
+
+
+def test_hot_vectors_and_repeated_ids_in_a_search(spark):
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((60, 8)).astype(np.float32)
+    rows = [(i, x[0 if i % 3 == 0 else i].tolist(), None) for i in range(60)] + [(61, x[0].tolist(), None), (61, x[5].tolist(), None)]
+    df = spark.createDataFrame(rows, VEC)
+    got: dict = {}
+    for r in ann.nearest(df.union(df), F.col("vec_id") % 6 == 0, k=4).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for i in range(0, 60, 6):  # twenty equal vectors: the smallest ids, without the query's own
+        assert sorted(got[i]) == [(n + 1, v, 0.0) for n, v in enumerate([v for v in range(0, 60, 3) if v != i][:4])]
+    both = ann.nearest(df, F.col("vec_id") == 5, k=60).collect()
+    assert [r.score for r in both if r.vec_id == 61] == [0.0] and len(both) == 60
+
+
+def test_extreme_magnitudes(spark):
+    v = [[1.0, 2.0, 3.0], [1.0, 2.0, 3.0001], [3.0, -2.0, 1.0]]
+    rows = [(3 * e + k, [c * scale for c in v[k]], None) for e, scale in enumerate((1e200, 1e-200, 1.0, 1e-310)) for k in range(3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, n_links string")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df).collect()}
+    assert got == {i: (7, 0) if i % 3 < 2 else (3, 2) for i in range(12)}
+    found = ann.nearest(df, F.col("vec_id") == 0, k=3).collect()
+    assert [(r.rank, r.vec_id) for r in sorted(found, key=lambda r: r.rank)] == [(1, 1), (2, 3), (3, 4)]
+
+
+def test_open_pairs_are_computed_in_double(spark):
+    """Vectors around the threshold, whose codes decide nothing."""
+    rng = np.random.default_rng(12)
+    base = rng.standard_normal(16)
+    base /= np.linalg.norm(base)
+    x = []
+    for k in range(120):
+        side = rng.standard_normal(16)
+        side -= side @ base * base
+        side /= np.linalg.norm(side)
+        c = 0.9 + (k - 59.5) * 1e-5
+        x.append(c * base + np.sqrt(1 - c * c) * side)
+    x = np.array([base, *x])
+    n = np.linalg.norm(x, axis=1)
+    link = (x @ x.T) / (n[:, None] * n[None]) >= 0.9
+    np.fill_diagonal(link, False)
+    df = spark.createDataFrame([(i, v.tolist(), None) for i, v in enumerate(x)], "vec_id long, embedding array<double>, n_links string")
+    for tile in (7, 4096):
+        got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(df, tile_rows=tile).collect()}
+        assert [got[i] for i in range(len(x))] == link.sum(1).tolist()
 
 
 def brute_url(url, patterns, rules):
