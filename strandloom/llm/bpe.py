@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from .common import batches
 
 NO_RANK = 1 << 60
+#: Ranks that one scan runs over: longer words are held in blocks of so many.
+BLOCK = 256
 # Lower-case mappings of code points newer than Python's own Unicode tables.
 NEWER_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B} | {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
 # Letters and numbers of Unicode 16, newer than Python's own tables.
@@ -56,6 +58,27 @@ def category_class(first: str) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs)
 
 
+def check(spec: dict) -> None:
+    """Raises ValueError for a file whose parts aren't those that this encoder and decoder follow: no silent wrong ids."""
+    steps = lambda part, key: [part] if part and key not in part else list((part or {}).get(key, []))
+    normal = [(n["type"], json.dumps(n.get("pattern")), n.get("content")) for n in steps(spec.get("normalizer"), "normalizers")]
+    before = [(p["type"], p.get("behavior"), p.get("invert")) for p in steps(spec.get("pre_tokenizer"), "pretokenizers")]
+    model = spec["model"]
+    wrong = [
+        name
+        for name, bad in (
+            ("normalizer", normal != [("NFC", "null", None), ("Replace", '{"Regex": "\\\\s+"}', " "), ("Lowercase", "null", None)]),
+            ("pre_tokenizer", [x[0] for x in before] != ["Split", "ByteLevel"] or before[0][1:] != ("Removed", True)),
+            ("decoder", spec.get("decoder") is not None),
+            ("model", model.get("type") != "BPE" or model.get("dropout") or model.get("continuing_subword_prefix") or model.get("fuse_unk") or model.get("byte_fallback") or model.get("ignore_merges")),
+            ("added_tokens", any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") for t in spec["added_tokens"])),
+        )
+        if bad
+    ]
+    if wrong:
+        raise ValueError(f"this vocabulary file's {', '.join(wrong)} are not of the supported kind")
+
+
 class WordBpe:
     """Encoder and decoder of one vocabulary file of the kind ``BPE with word ends``."""
 
@@ -70,6 +93,7 @@ class WordBpe:
         self.rank = {(a, b): i for i, (a, b) in enumerate(pairs)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.text_of = {i: t for t, i in (self.ids | self.special).items()}
+        check(spec)
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         pattern = split["pattern"]["Regex"]
         self.word = regex.compile(pattern)
@@ -93,6 +117,8 @@ class WordBpe:
 
     def merge(self, symbols: list[str]) -> list[str]:
         """The parts that are left of ``symbols`` once every ranked pair is merged, lowest rank first, leftmost first."""
+        if len(symbols) > BLOCK:
+            return self.merge_blocks(symbols)
         rank = self.rank
         parts = list(symbols)  # between two boundaries each
         ranks = [rank.get(pair, NO_RANK) for pair in zip(parts, parts[1:], strict=False)]
@@ -109,27 +135,37 @@ class WordBpe:
                 ranks[k - 1] = rank.get((parts[k - 1], parts[k]), NO_RANK)
         return parts
 
-    def long_merge(self, symbols: list[str]) -> list[str]:
-        """As ``merge``, for very long pieces: a heap over linked parts, so that the time isn't quadratic."""
-        import heapq
-
-        n, rank = len(symbols), self.rank
-        part, left, right = list(symbols), list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [(r, k, part[k], part[k + 1]) for k in range(n - 1) if (r := rank.get((part[k], part[k + 1]))) is not None]
-        heapq.heapify(heap)
-        alive = bytearray(b"\1") * n
-        while heap:
-            _, k, a, b = heapq.heappop(heap)
-            j = right[k]
-            if not alive[k] or j < 0 or part[k] != a or part[j] != b:
-                continue
-            part[k], alive[j], right[k] = a + b, 0, right[j]
-            if right[j] >= 0:
-                left[right[j]] = k
-            for i in (left[k], k):
-                if i >= 0 and right[i] >= 0 and (r := rank.get((part[i], part[right[i]]))) is not None:
-                    heapq.heappush(heap, (r, i, part[i], part[right[i]]))
-        return [p for p, live in zip(part, alive, strict=True) if live]
+    def merge_blocks(self, symbols: list[str]) -> list[str]:
+        """As ``merge``, the same scan over the same arrays held in blocks, each with its minimum, for pieces of any length.
+
+        A merge looks for the lowest block minimum and scans that block alone; ``ranks[b][i]`` is the rank of part i of
+        block b with the part after it, which may be the next block's first. Blocks that run empty are taken out.
+        """
+        rank = self.rank
+        parts = [symbols[k : k + BLOCK] for k in range(0, len(symbols), BLOCK)]
+        after = [*symbols[1:], None]
+        ranks = [[rank.get(pair, NO_RANK) for pair in zip(symbols[k : k + BLOCK], after[k : k + BLOCK], strict=True)] for k in range(0, len(symbols), BLOCK)]
+        lows = [min(r) for r in ranks]
+        while (low := min(lows)) != NO_RANK:
+            b = lows.index(low)
+            k = ranks[b].index(low)
+            # The part to the right, in this block or the next.
+            c, j = (b, k + 1) if k + 1 < len(parts[b]) else (b + 1, 0)
+            parts[b][k] += parts[c][j]
+            del parts[c][j], ranks[c][j]
+            if not parts[c]:
+                del parts[c], ranks[c], lows[c]
+            elif c != b:
+                lows[c] = min(ranks[c])
+            right = parts[b][k + 1] if k + 1 < len(parts[b]) else parts[b + 1][0] if b + 1 < len(parts) else None
+            ranks[b][k] = rank.get((parts[b][k], right), NO_RANK)
+            if k:
+                ranks[b][k - 1] = rank.get((parts[b][k - 1], parts[b][k]), NO_RANK)
+            elif b:
+                ranks[b - 1][-1] = rank.get((parts[b - 1][-1], parts[b][k]), NO_RANK)
+                lows[b - 1] = min(ranks[b - 1])
+            lows[b] = min(ranks[b])
+        return [p for block in parts for p in block]
 
     def word_ids(self, word: str) -> bytes:
         """Little-endian unsigned 32-bit ids of one word; symbols without an id are left out."""
@@ -137,7 +173,7 @@ class WordBpe:
         if self.end:
             symbols[-1] += self.end
         ids = self.ids
-        return array("I", [ids[p] for p in (self.merge if len(symbols) <= 256 else self.long_merge)(symbols) if p in ids]).tobytes()
+        return array("I", [ids[p] for p in self.merge(symbols) if p in ids]).tobytes()
 
     def plain_ids(self, text: str, out: list[bytes]) -> None:
         """Appends the ids of a text without special tokens."""
