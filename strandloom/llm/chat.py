@@ -28,11 +28,13 @@ _ESCAPE = re.compile(r"\\|###|</turn>|<\|")
 _UNESCAPE = re.compile(r"\\(\\|###|</turn>|<\||n)")
 #: One turn of formatted text: role, then content up to the first end mark that isn't escaped.
 _TURN = re.compile(r"### ((?:\\(?:\\|###|</turn>|<\||n)|[^\\\n])*)\n((?:\\(?:\\|###|</turn>|<\|)|(?!</turn>)[^\\])*+)</turn>\n", re.S)
-_PLACE = re.compile(r"\\(?:\\|###|</turn>|<\|)|<\|(image|audio|document):(\d+)\|>", re.S)
+_PLACE = re.compile(r"\\(?:\\|###|</turn>|<\|)|<\|(image|audio|document|other):(\d+)\|>", re.S)
 
 #: Tokens that one unit of a part stands for once it is expanded: an image tile, a second of audio, a page.
 TOKENS_PER_UNIT = {"image": 256, "audio": 25, "document": 512}
 
+#: Kinds of parts that have a visit of their own.
+KINDS = ("text", *TOKENS_PER_UNIT)
 PART_TYPE = "array<struct<kind:string,text:string,ref:string,units:bigint>>"
 
 
@@ -54,7 +56,8 @@ class Flattener:
     refs: list[dict] = field(default_factory=list)
 
     def visit(self, part: dict) -> None:
-        getattr(self, f"visit_{part.get('kind') or 'text'}", self.visit_other)(part)
+        kind = part.get("kind") or "text"
+        getattr(self, f"visit_{kind}" if kind in KINDS else "visit_other")(part)
 
     def visit_text(self, part: dict) -> None:
         self.out.append(escape(part.get("text") or ""))
@@ -67,7 +70,9 @@ class Flattener:
     visit_image = visit_audio = visit_document = attach
 
     def visit_other(self, part: dict) -> None:
-        raise ValueError(f"content part of unknown kind {part['kind']!r}")
+        """A kind that the template doesn't know: a placeholder that stands for no tokens; its kind and reference are recorded."""
+        self.out.append(f"<|other:{len(self.refs)}|>")
+        self.refs.append({"kind": part["kind"], "ordinal": len(self.refs), "ref": part.get("ref"), "tokens": 0})
 
 
 def format_turn(role: str | None, parts: list[dict] | None) -> tuple[str, int, int, list[dict]]:
@@ -108,7 +113,8 @@ def format_conversations(messages: DataFrame, loss_roles: tuple[str, ...] = ("as
     Returns PIECES: the pieces of a conversation, numbered from 0, join to its formatted text; ``loss`` has the
     code-point spans, within the piece, of the contents whose role is in ``loss_roles``; attachments have the turn's
     position, kind, ordinal, reference and expanded tokens. Turns go by ``turn`` (nulls first), ties by role and text.
-    Null text or parts: an empty content; null role: an empty role; null conv_id: a conversation of its own. Other
+    Null text or parts: an empty content; null role: an empty role; null conv_id: a conversation of its own; parts of an
+    unknown kind: placeholders ``other`` of no tokens; units below 1: one unit. Texts are taken whole, however long. Other
     columns are ignored; repeated rows are repeated turns; an empty table gives no rows. One task holds a piece, never
     a conversation.
     """
