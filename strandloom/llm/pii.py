@@ -1,7 +1,8 @@
 """Personal data by weak supervision, in DataFrame functions only.
 
 Base spans come from four patterns with checks (e-mail, IP, card, phone) and always stay. Further candidates (long
-mixed tokens, digit groups) get votes from labelers: patterns, a gazetteer of key words, and context. Expectation
+mixed tokens, digit groups) get votes from labelers: patterns, a gazetteer (a table of phrases), names, streets,
+identifiers' checks, shape and context. They may disagree. Expectation
 maximisation over the counts of vote patterns estimates each labeler's reliability and each pattern's probability;
 with those as soft labels a span classifier (logistic, over shape and context features) is trained, and the spans it
 accepts are added. What reaches the driver is one row for each vote pattern or feature tuple, whose numbers are fixed
@@ -11,6 +12,7 @@ by the labelers and buckets below and don't grow with the corpus.
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -24,19 +26,36 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-OTHER = r"(?<![A-Za-z0-9_])(?=[A-Za-z_]{0,64}[0-9])[A-Za-z0-9_]{16,}+|(?<![0-9A-Za-z])[0-9][0-9() .-]{5,}+(?<=[0-9])(?![0-9A-Za-z])"
+OTHER = r"(?<![A-Za-z0-9_])(?=[A-Za-z_]*+[0-9])[A-Za-z0-9_]{16,}+|(?<![0-9A-Za-z])[0-9](?:[() .-]*+[0-9]){5,}+(?![0-9A-Za-z])"
 KINDS = ("email", "ip", "card", "phone")
 EXTRA_KINDS = ("secret", "number")
 
-#: Key words of the gazetteer labeler, looked for in the CONTEXT characters before a candidate.
-SECRET_WORDS = ("password", "passwd", "passwort", "contraseña", "secret", "token", "api_key", "apikey", "api key", "access key", "private key")
-NUMBER_WORDS = ("ssn", "social security", "passport", "iban", "account", "phone", "tel", "mobile", "fax", "call", "card")
-NEGATIVE_WORDS = ("version", "page", "chapter", "isbn", "section", "figure", "table", "year")
+#: The gazetteer that stands in where none is given, (phrase, kind or any, vote).
+GAZETTEER = (
+    *((w, "secret", 1) for w in ("password", "passwd", "passwort", "contraseña", "secret", "token", "api_key", "apikey", "api key", "access key", "private key")),
+    *((w, "number", 1) for w in ("ssn", "social security", "passport", "iban", "account", "phone", "tel", "mobile", "fax", "call", "card")),
+    *((w, "any", -1) for w in ("version", "page", "chapter", "isbn", "section", "figure", "table", "year")),
+)
+#: Given names, titles and street words in four languages.
+NAMES = ("anna", "anne", "antonio", "carlos", "carmen", "claire", "david", "elena", "emma", "hans", "hugo", "ivan", "james", "jean", "john", "jose", "juan", "julia", "karl", "laura", "luis", "maria", "marie", "mark", "martin", "michael", "paul", "peter", "pierre", "robert", "sarah", "sofia", "sophie", "thomas", "mr", "mrs", "ms", "dr", "herr", "frau", "monsieur", "madame", "señor", "señora")
+STREETS = ("street", "st", "road", "rd", "avenue", "ave", "lane", "drive", "strasse", "straße", "weg", "platz", "rue", "boulevard", "calle", "avenida", "plaza")
+#: Characters before a candidate that the gazetteer and the name labeler see, and phrases that a gazetteer may have.
 CONTEXT = 24
-VOTES = ("pattern", "gazetteer", "context", "shape")
+GAZETTEER_ROWS = 5_000
+VOTES = ("pattern", "gazetteer", "context", "shape", "name", "address", "identifier")
 
+Entries = tuple[tuple[str, str, int], ...]
 _SPAN = "struct<kind:string,start:int,end:int>"
-_CAND = "struct<kind:string,start:int,end:int,v0:int,v1:int,v2:int,v3:int,f0:int,f1:int,f2:int,f3:int>"
+_FIELDS = (*(f"v{i}" for i in range(len(VOTES))), *(f"f{i}" for i in range(4)))
+_CAND = "struct<kind:string,start:int,end:int," + ",".join(f"{x}:int" for x in _FIELDS) + ">"
+
+
+def gazetteer_of(table: DataFrame) -> Entries:
+    """The entries of a table (phrase, kind: secret, number or any, vote: 1 or -1); null phrases are passed over."""
+    rows = table.filter("phrase is not null and vote is not null").select(F.lower("phrase"), F.coalesce("kind", F.lit("any")), F.signum("vote").cast("int")).distinct().limit(GAZETTEER_ROWS + 1).collect()  # a bounded policy table
+    if len(rows) > GAZETTEER_ROWS:
+        raise ValueError(f"a gazetteer has at most {GAZETTEER_ROWS} phrases")
+    return tuple(sorted(map(tuple, rows)))
 
 
 def digits(m: Column) -> Column:
@@ -59,10 +78,16 @@ def is_kind(kind: str):
     return lambda s: s["kind"] == kind
 
 
+#: Matches of a text that one inner fold gathers.
+_CHUNK = 128
+
+
 def spans_of(text: Column, guard: Column, pattern: str, make, kind_type: str) -> Column:
     """array<kind_type> of the matches of ``pattern`` for which ``make(match, start, before, after)`` gives a struct and not null.
 
-    The pieces between the matches give the offsets, in code points: a fold over both adds up their lengths.
+    The pieces between the matches give the offsets, in code points: a fold over both adds up their lengths. It goes by
+    chunks of matches, whose results are joined at the end, so that a text with very many doesn't copy what it has found
+    for each of them.
     """
     found, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     empty = F.array().cast(f"array<{kind_type}>")
@@ -73,7 +98,16 @@ def spans_of(text: Column, guard: Column, pattern: str, make, kind_type: str) ->
         got = make(x["m"], start, x["p"], x["n"])
         return F.struct((start + F.length(x["m"])).cast("int").alias("at"), F.when(got.isNotNull(), F.concat(acc["out"], F.array(got.cast(kind_type)))).otherwise(acc["out"]).alias("out"))
 
-    folded = F.aggregate(both, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+    def fold(all_: Column) -> Column:
+        def chunk(acc: Column, at: Column) -> Column:
+            inner = F.aggregate(F.slice(all_, at, F.lit(_CHUNK)), F.struct(acc["at"].alias("at"), empty.alias("out")), step)
+            return F.struct(inner["at"].alias("at"), F.concat(acc["out"], F.array(inner["out"])).alias("out"))
+
+        parts = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{kind_type}>>").alias("out"))
+        return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(all_), F.lit(1)), F.lit(_CHUNK)), parts, chunk, lambda acc: F.flatten(acc["out"]))
+
+    # Bound to a name by an array of one, so that the matches are found once and not for each chunk.
+    folded = F.get(F.transform(F.array(both), fold), F.lit(0))
     return F.when(guard, folded).otherwise(empty)
 
 
@@ -102,29 +136,50 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
-def candidates(text: Column) -> Column:
-    """array<_CAND>: spans that may be personal beyond the base kinds, with four votes (1 for, -1 against, 0 none) and four features."""
+def _any_of(phrases: tuple[str, ...]) -> Column:
+    """A pattern of any of the phrases as whole words; a space in a phrase stands for one blank, underscore, hyphen or nothing."""
+    return F.lit("(?<![\\p{L}])(?:" + "|".join("[ _-]?".join(map(re.escape, w.lower().split(" "))) for w in phrases) + ")(?![\\p{L}])")
+
+
+def candidates(text: Column, gazetteer: Entries = GAZETTEER) -> Column:
+    """array<_CAND>: spans that may be personal beyond the base kinds, with a vote of each labeler (1 for, -1 against, 0 none) and four features.
+
+    Labelers: the span's own pattern; phrases of the gazetteer before it; signs beside it; its shape; a name or title
+    before it; a street word on either side; digits that pass or fail an identifier's checks.
+    """
 
     def make(m: Column, start: Column, before: Column, after: Column) -> Column:
-        left = F.lower(F.right(before, F.lit(CONTEXT)))
+        left, right = F.lower(F.right(before, F.lit(CONTEXT))), F.lower(F.left(after, F.lit(CONTEXT)))
         d, width = digits(m), F.length(m)
         secret = F.regexp(m, F.lit("[A-Za-z]"))
-        has = lambda words: F.regexp(left, F.lit("(?<![a-z])(?:" + "|".join(w.replace(" ", "[ _-]?") for w in words) + ")(?![a-z])"))
-        pattern = F.when(secret & F.regexp(m, F.lit("^(?:[0-9a-f]{16,}|(?:sk|pk|AKIA|ghp)_?[A-Za-z0-9_]{12,})$")), 1).when(~secret & F.regexp(m, F.lit(r"^(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})$")), 1).when(secret, -1).otherwise(0)
-        gazetteer = F.when(secret & has(SECRET_WORDS), 1).when(~secret & has(NUMBER_WORDS), 1).when(has(NEGATIVE_WORDS), -1).otherwise(0)
-        context = F.when(F.regexp(before, F.lit("[=:][ ]?[\"']?$")), 1).when(F.regexp(before, F.lit(r"[$€£#%][ ]?$")) | F.regexp(after, F.lit(r"^[ ]?(?:%|€|\$|km|kg)")), -1).otherwise(0)
+
+        def has(kind: str, vote: int) -> Column:
+            words = tuple(w for w, k, v in gazetteer if k == kind and v == vote)
+            return F.regexp(left, _any_of(words)) if words else F.lit(False)
+
+        said = lambda vote: (secret & has("secret", vote)) | (~secret & has("number", vote)) | has("any", vote)
         ratio = F.length(d) / width
-        shape = F.when(secret & ratio.between(0.2, 0.85) & (width >= 16), 1).when(secret, -1).when(~secret & F.length(d).between(9, 11), 1).when(~secret & ((F.length(d) < 8) | (F.length(d) > 19)), -1).otherwise(0)
+        ssn = F.regexp(m, F.lit("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"))
+        votes = {
+            "pattern": F.when(secret & F.regexp(m, F.lit("^(?:[0-9a-f]{16,}|(?:sk|pk|AKIA|ghp)_?[A-Za-z0-9_]{12,})$")), 1).when(~secret & F.regexp(m, F.lit(r"^(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})$")), 1).when(secret, -1).otherwise(0),
+            "gazetteer": F.when(said(1), 1).when(said(-1), -1).otherwise(0),
+            "context": F.when(F.regexp(before, F.lit("[=:][ ]?[\"']?$")), 1).when(F.regexp(before, F.lit(r"[$€£#%][ ]?$")) | F.regexp(after, F.lit(r"^[ ]?(?:%|€|\$|km|kg)")), -1).otherwise(0),
+            "shape": F.when(secret & ratio.between(0.2, 0.85) & (width >= 16), 1).when(secret, -1).when(~secret & F.length(d).between(9, 11), 1).when(~secret & ((F.length(d) < 8) | (F.length(d) > 19)), -1).otherwise(0),
+            "name": F.when(~secret & F.regexp(left, _any_of(NAMES)), 1).otherwise(0),
+            "address": F.when(~secret & (F.regexp(left, _any_of(STREETS)) | F.regexp(right, _any_of(STREETS))), 1).otherwise(0),
+            # Areas that are never given out, and runs of one digit, are no identifiers.
+            "identifier": F.when(~secret & (F.regexp(d, F.lit("^([0-9])\\1+$")) | (ssn & F.regexp(d, F.lit("^(?:000|666|9)|^[0-9]{3}00|0000$")))), -1).when(ssn, 1).when(secret & F.regexp(m, F.lit("^(.{1,4})\\1+$")), -1).otherwise(0),
+        }
         features = (F.when(secret, 1).otherwise(0), F.least(width / 8, F.lit(5)).cast("int"), (ratio * 4).cast("int"), F.when(F.regexp(before, F.lit("[=:\"']\\s?$")), 1).otherwise(0) + F.when(F.regexp(left, F.lit(r"[a-z]\w*\W{0,4}$")), 2).otherwise(0))
-        return F.struct(F.when(secret, "secret").otherwise("number").alias("kind"), start.cast("int").alias("start"), (start + width).cast("int").alias("end"), *(v.cast("int").alias(f"v{i}") for i, v in enumerate((pattern, gazetteer, context, shape))), *(f.cast("int").alias(f"f{i}") for i, f in enumerate(features)))
+        return F.struct(F.when(secret, "secret").otherwise("number").alias("kind"), start.cast("int").alias("start"), (start + width).cast("int").alias("end"), *(votes[v].cast("int").alias(f"v{i}") for i, v in enumerate(VOTES)), *(f.cast("int").alias(f"f{i}") for i, f in enumerate(features)))
 
     return spans_of(text, F.regexp(text, F.lit(OTHER)), OTHER, make, _CAND)
 
 
-def with_spans(df: DataFrame, text_col: str = "text") -> DataFrame:
+def with_spans(df: DataFrame, text_col: str = "text", gazetteer: Entries = GAZETTEER) -> DataFrame:
     """Adds ``__base`` (array of base spans, by kind and start) and ``__cand`` (further candidates that overlap none of them)."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    df = df.withColumns({f"__{k}": v for k, v in base_spans(text).items()} | {"__cand": candidates(text)})
+    df = df.withColumns({f"__{k}": v for k, v in base_spans(text).items()} | {"__cand": candidates(text, gazetteer)})
     df = df.withColumn("__base", F.concat(*(F.col(f"__{k}") for k in KINDS)))
     clear = F.filter(F.col("__cand"), lambda c: ~F.exists(F.col("__base"), lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"])))
     return df.withColumn("__cand", F.when(F.size("__cand") > 0, clear).otherwise(F.col("__cand"))).drop(*(f"__{k}" for k in KINDS))
@@ -214,8 +269,8 @@ def logistic(rows: list[tuple[list[float], float, float]], l2: float = 1.0, roun
 
 def train(spans: DataFrame) -> SpanModel:
     """Trains the span classifier on the candidates of ``with_spans``; without candidates it accepts nothing."""
-    votes, features = [f"v{i}" for i in range(4)], [f"f{i}" for i in range(4)]
-    seen = spans.select(F.explode("__cand").alias("c")).select(*(F.col(f"c.{x}") for x in votes + features)).groupBy(*votes, *features).count().collect()  # at most 81 votes x 2 x 6 x 5 x 4 features
+    votes, features = list(_FIELDS[: len(VOTES)]), list(_FIELDS[len(VOTES) :])
+    seen = spans.select(F.explode("__cand").alias("c")).select(*(F.col(f"c.{x}") for x in votes + features)).groupBy(*votes, *features).count().collect()  # at most 3 ** 4 * 2 * 2 * 3 votes and 2 * 6 * 5 * 4 features
     if not seen:
         return SpanModel((-30.0, *[0.0] * 7), ())
     seen.sort(key=lambda r: tuple(r[x] for x in votes + features))  # the same sums in the same order each time
@@ -234,22 +289,32 @@ def all_spans(model: SpanModel) -> Column:
     return F.concat(F.col("__base"), *(F.transform(F.filter(kept, is_kind(k)), lambda c: F.struct(*(c[x].alias(x) for x in ("kind", "start", "end")))) for k in EXTRA_KINDS))
 
 
-def find_spans(df: DataFrame, keys: list[str], text_col: str = "text", model: SpanModel | None = None) -> DataFrame:
+def find_spans(df: DataFrame, keys: list[str], text_col: str = "text", model: SpanModel | None = None, gazetteer: Entries = GAZETTEER) -> DataFrame:
     """keys, base and spans (arrays of kind, start, end; code points, end exclusive) of every row; the texts are read once.
 
-    Null or empty text: no spans. Repeated rows are repeated. An empty table gives no rows. Columns outside ``keys``
-    are left out. ``model``: one trained before; else it is trained on these rows' candidates.
+    Null or empty text: no spans. Texts of any length are searched whole, in time that grows with their length. Equal
+    rows are repeated and judged alike. An empty table gives no rows. Columns outside ``keys`` are left out, whatever
+    their names. ``model``: one trained before; else it is trained on these rows' candidates.
     """
     src = df.select(F.struct(*(F.col(f"`{k}`").alias(k) for k in keys)).alias("row"), F.col(f"`{text_col}`").alias("text"))
-    found = cut(with_spans(src).drop("text"), "pii-spans")
+    found = cut(with_spans(src, gazetteer=gazetteer).drop("text"), "pii-spans")
     model = model or train(found)
     return found.select(*(F.col("row")[k].alias(k) for k in keys), F.col("__base").alias("base"), all_spans(model).alias("spans"))
 
 
-def redact(df: DataFrame, model: SpanModel, text_col: str = "text") -> DataFrame:
-    """``df`` with every span of its text replaced by its kind in brackets, ``[EMAIL]``; overlapping spans fall to the first."""
+def redact(df: DataFrame, model: SpanModel | None = None, text_col: str = "text", gazetteer: Entries = GAZETTEER) -> DataFrame:
+    """``df`` with every span of its text replaced by its kind in brackets, ``[EMAIL]``; overlapping spans fall to the first.
+
+    Without ``model`` one is trained on the candidates of these rows, whose spans are written beside them and found once.
+    All rows and columns stay, whatever their names; null texts stay null, empty ones empty, equal rows are treated
+    alike, long texts whole; an empty table gives no rows.
+    """
+    marked = with_spans(df.select(whole(df), F.col(f"`{text_col}`").alias("text")), gazetteer=gazetteer).drop("text")
+    if model is None:
+        marked = cut(marked, "pii-marked")
+        model = train(marked)
+    marked = marked.withColumn("text", F.col("row")[text_col])
     text = F.col("text")
-    marked = with_spans(df.select(whole(df), F.col(f"`{text_col}`").alias("text")))
     ordered = F.array_sort(F.transform(all_spans(model), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
 
     def step(acc: Column, s: Column) -> Column:
