@@ -11,7 +11,8 @@ With ``period``, weights are rounded to integers over it and the schedule of one
 source falls into period (i - 1) div a at a slot known from the table of one period. When a source has no blocks left,
 the others go on with their weights in a new phase, with schedule and deviation counted from there.
 
-The driver holds one number of rows a source and one row a block, a 64th of the table's rows.
+A block is of 64 rows, or of as many more as keep the blocks below ``MAX_BLOCKS`` and one a source: the schedule is made
+on the driver, which holds one number of rows a source and one slot a block, however large the table.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from pyspark.sql.window import Window
 from .common import cut, whole
 
 BLOCK_ROWS = 64
+#: Blocks of the schedule, beside one a source, at most.
+MAX_BLOCKS = 250_000
 #: Rows that one window numbers, about; and rows of the tables of first numbers and of blocks that are broadcast at most.
 BUCKET_ROWS, BROADCAST_ROWS = 100_000, 100_000
 
@@ -166,11 +169,12 @@ def default_weights(rows: Mapping[str | None, int], temperature: float = 0.5) ->
     return {s: float(n) ** temperature for s, n in rows.items()}
 
 
-def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None, source_col: str = "source", id_col: str = "doc_id", block_rows: int = BLOCK_ROWS, period: int | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None, source_col: str = "source", id_col: str = "doc_id", block_rows: int | None = None, period: int | None = None, bucket_rows: int = BUCKET_ROWS, order: Column | None = None) -> DataFrame:
     """Adds block (of its source, from 0), slot (of the whole mix, from 0), release, deadline and place (within the block).
 
-    Sorting by (slot, place) gives the mix. Rows of a source go in the order of a hash of their id, ties by id; rows
-    of one id go by a hash of their columns, so a task that is run again numbers them as before. Null sources are one
+    Sorting by (slot, place) gives the mix. Rows of a source go in the order of a hash of the whole row, ties by id, so a
+    task that is run again numbers them as before, and rows of one id, or without one, are spread like others; only rows
+    that are equal in every column lie together (``order``: a number of its own instead). Null sources are one
     source, named null; null ids are ids. A source without a weight is an error, one without rows is passed over; an
     empty table gives no rows. All columns of ``docs`` stay (own names given above are replaced). Numbering a source
     needs no task of its own: rows are numbered within ranges of their hash of about ``bucket_rows`` rows, and each
@@ -180,8 +184,10 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
     """
     own = ("block", "slot", "release", "deadline", "place")
     id_ = F.col(f"`{id_col}`")
-    rows = docs.select(whole(docs), F.coalesce(F.concat(F.lit("s"), F.col(f"`{source_col}`").cast("string")), F.lit("null")).alias("__s"), F.xxhash64(id_.cast("string"), F.lit(10)).alias("__h"), id_.alias("__id"), fingerprint(docs).alias("__tie"))
-    bits = max(6, (docs.count() // bucket_rows).bit_length())
+    rows = docs.select(whole(docs), F.coalesce(F.concat(F.lit("s"), F.col(f"`{source_col}`").cast("string")), F.lit("null")).alias("__s"), F.xxhash64(fingerprint(docs) if order is None else order, F.lit(10)).alias("__h"), id_.alias("__id"))
+    total = docs.count()
+    block_rows = block_rows or max(BLOCK_ROWS, -(-total // MAX_BLOCKS))
+    bits = max(6, (total // bucket_rows).bit_length())
     rows = rows.withColumn("__b", F.shiftrightunsigned("__h", 64 - bits))
     counts = cut(rows.groupBy("__s", "__b").count(), "mix-counts")
     sizes = {r["__s"][1:] if r["__s"] != "null" else None: r["n"] for r in counts.groupBy("__s").agg(F.sum("count").alias("n")).collect()}
@@ -196,7 +202,7 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
     table = [("null" if s is None else f"s{s}", i, *t) for s, own_ in plan.items() for i, t in enumerate(own_)]
     table = spark.createDataFrame(table, "s string, i long, slot long, release long, deadline long")
     table = F.broadcast(table) if sum(blocks.values()) <= BROADCAST_ROWS else table
-    number = F.row_number().over(Window.partitionBy("__s", "__b").orderBy("__h", "__id", "__tie")) - 1 + F.col("__first")
+    number = F.row_number().over(Window.partitionBy("__s", "__b").orderBy("__h", "__id")) - 1 + F.col("__first")
     rows = rows.withColumn("__n", number).withColumn("block", F.floor(F.col("__n") / block_rows)).withColumn("place", (F.col("__n") % block_rows).cast("int"))
     # Joined last: the table doesn't travel with the rows.
     rows = rows.join(table, (F.col("__s") == F.col("s")) & (F.col("block") == F.col("i")))
@@ -205,6 +211,6 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
 
 def mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None, **options) -> DataFrame:
     """The rows of ``docs`` with their own columns, in the order of the mix: range-partitioned by slot and sorted within."""
-    boxed = docs.select(whole(docs), F.col("source"), F.col("doc_id"), fingerprint(docs).alias("tie"))
-    out = schedule(boxed, weights, **options)
+    boxed = docs.select(whole(docs), F.col("source"), F.col("doc_id"), fingerprint(docs).alias("order"))
+    out = schedule(boxed, weights, order=F.col("order"), **options)
     return out.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select(*(F.col("row")[c].alias(c) for c in docs.columns))
