@@ -265,9 +265,46 @@ def test_labelers_and_classifier(spark):
     assert set(rates) == set(pii.VOTES) and all(yes > no for yes, no in rates.values())
 
 
+def test_a_reliable_labeler_overrules_a_majority():
+    """Three labelers that guess and one that knows: EM believes the one, where a vote would not."""
+    rng = random.Random(3)
+    counts: dict = {}
+    for _ in range(30000):
+        y = rng.random() < 0.5
+        sure = [(1 if y else -1) * (1 if rng.random() < 0.97 else -1) for _ in range(3)]
+        guess = [rng.choice((-1, 1)) for _ in range(4)]
+        v = (*sure, *guess)
+        counts[v] = counts.get(v, 0) + 1
+    post, table = pii.estimate(list(counts.items()), 500)
+    assert post[(1, 1, 1, -1, -1, -1, -1)] > 0.9 and post[(-1, -1, -1, 1, 1, 1, 1)] < 0.1
+    assert all(abs(table[k][1][1] - 0.5) < 0.05 for k in range(3, 7))
+
+
+def test_labelers_disagree_and_the_gazetteer_is_a_table(spark):
+    texts = ["my ssn 123-45-6789 ok", "page 123-45-6789 ok", "mr smith 555-123-4567 here", "12 main street 555 123 4567 here", "id 000-12-3456 x", "kennwort q7w8e9r0t1y2u3i4o5 x", "abc " + "a" * 65 + "1" * 20 + " end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    votes = lambda found: {r.doc_id: [tuple(c[f"v{i}"] for i in range(len(pii.VOTES))) for c in r["__cand"]] for r in found.collect()}
+    got = votes(pii.with_spans(df))
+    at = {v: i for i, v in enumerate(pii.VOTES)}
+    assert got[0][0][at["gazetteer"]] == 1 and got[1][0][at["gazetteer"]] == -1 and got[1][0][at["pattern"]] == 1
+    assert got[2][0][at["name"]] == 1 and got[3][-1][at["address"]] == 1 and got[4][0][at["identifier"]] == -1 and got[0][0][at["identifier"]] == 1
+    assert got[5][0][at["gazetteer"]] == 0 and len(got[6]) == 1  # a digit after 65 letters is seen
+    table = spark.createDataFrame([("Kennwort", "secret", 1), (None, "any", 1), ("page", None, -5)], "phrase string, kind string, vote int")
+    entries = pii.gazetteer_of(table)
+    assert entries == (("kennwort", "secret", 1), ("page", "any", -1))
+    got = votes(pii.with_spans(df, gazetteer=entries))
+    assert got[5][0][at["gazetteer"]] == 1 and got[1][0][at["gazetteer"]] == -1 and got[0][0][at["gazetteer"]] == 0
+
+
+def test_texts_with_very_many_matches(spark):
+    text = "a@b.c 1.2.3.4 " * 3000
+    r = pii.find_spans(spark.createDataFrame([(1, text)], "doc_id long, text string"), ["doc_id"]).first()
+    assert [(s.kind, s.start, s.end) for s in r.base] == brute_spans(text)
+
+
 def test_expectation_maximisation_finds_reliabilities():
     rng = random.Random(1)
-    right = (0.95, 0.9, 0.6, 0.7)
+    right = (0.95, 0.9, 0.6, 0.7, 0.8, 0.65, 0.75)
     counts: dict = {}
     for _ in range(20000):
         y = rng.random() < 0.4
@@ -284,6 +321,7 @@ def test_redaction(spark, awkward, empty):
     assert out[(10, 1)] == "😀 mail [EMAIL] and [PHONE], é" and out[(3, None)] is None and out[(4, 0)] == ""
     assert next(t for (i, _), t in out.items() if i == 6).endswith("card [CARD] end")
     assert pii.redact(awkward, model).columns == awkward.columns
+    assert sorted(map(str, pii.redact(awkward).collect())) == sorted(map(str, pii.redact(awkward, model).collect()))
     assert pii.redact(empty, model).count() == 0 and pii.find_spans(empty, ["doc_id"]).count() == 0
 
 
@@ -349,6 +387,16 @@ def test_mix_of_any_number_of_sources(spark):
     assert sorted(slots.values()) == list(range(2500)) and all(r.slot == slots[r.source, r.block] for r in out)
 
 
+def test_rows_without_ids_are_spread_and_blocks_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_BLOCKS", 20)
+    df = spark.createDataFrame([(None if i % 3 else 7, "ab"[i % 2], i) for i in range(4000)], "doc_id long, source string, n long")
+    out = mixing.schedule(df, bucket_rows=100).collect()
+    assert sorted(r.n for r in out) == list(range(4000)) and {r.place for r in out} == set(range(200))
+    assert sorted({r.slot for r in out}) == list(range(20))
+    again = {r.n: (r.slot, r.place) for r in mixing.schedule(df.repartition(7), bucket_rows=100).collect()}
+    assert again == {r.n: (r.slot, r.place) for r in out}
+
+
 def test_mixed_rows_come_in_order(spark):
     df = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(640)], "doc_id long, source string")
     slots = {r.doc_id: r.slot for r in mixing.schedule(df).collect()}
@@ -379,12 +427,40 @@ def test_tokens_equal_the_library(library):
         assert own.decode(got) == library.decode(ids, skip_special_tokens=False)
 
 
-def test_both_merges_agree():
+def test_long_words_are_merged_in_blocks(library, monkeypatch):
     own = bpe.tokenizer(q.VOCABULARY)
     rng = random.Random(2)
-    for _ in range(300):
-        symbols = rng.choices("thean ringe", k=rng.randrange(1, 40))
-        assert own.merge(symbols) == own.long_merge(symbols)
+    for size in (1, 2, 5, 16):
+        monkeypatch.setattr(bpe, "BLOCK", size)
+        for _ in range(150):
+            symbols = rng.choices("thean ringe", k=rng.randrange(1, 60))
+            assert own.merge_blocks(symbols) == naive_merge(own.rank, symbols)
+    monkeypatch.undo()
+    for text in ("".join(rng.choices("theanringeo", k=30_000)), "a" * 20_000, "the" * 3000 + "é" * 3000):
+        ids = library.encode(text, add_special_tokens=False).ids
+        got = own.encode(text)
+        assert list(struct.unpack(f"<{len(got) // 4}I", got)) == ids
+
+
+def naive_merge(rank, parts):
+    parts = list(parts)
+    while True:
+        found = [(rank[p], k) for k, p in enumerate(zip(parts, parts[1:], strict=False)) if p in rank]
+        if not found:
+            return parts
+        k = min(found)[1]
+        parts[k : k + 2] = [parts[k] + parts[k + 1]]
+
+
+def test_files_of_another_kind_are_refused():
+    import json
+
+    with open(q.VOCABULARY, encoding="utf-8") as f:
+        spec = json.load(f)
+    bpe.check(spec)
+    for part, value in (("decoder", {"type": "BPEDecoder", "suffix": "</w>"}), ("normalizer", {"type": "NFKC"}), ("normalizer", None), ("pre_tokenizer", {"type": "Whitespace"}), ("model", spec["model"] | {"byte_fallback": True})):
+        with pytest.raises(ValueError):
+            bpe.check(spec | {part: value})
 
 
 def test_tokens_of_awkward_rows(awkward, empty):

@@ -146,28 +146,55 @@ def test_open_pairs_are_computed_in_double(spark):
         assert [got[i] for i in range(len(x))] == link.sum(1).tolist()
 
 
+def fits(rule, text):
+    """Whether a pattern rule fits somewhere in a text, by trying every place; ``^`` is a separator or an end."""
+
+    def here(i, j):
+        while i < len(rule):
+            if rule[i] == "*":
+                return any(here(i + 1, k) for k in range(j, len(text) + 1))
+            if rule[i] == "^":
+                edge = (j == 0 or j == len(text) or (j == len(text) - 1 and text[j] == "\n")) and here(i + 1, j)
+                if edge or j == len(text) or text[j] in "abcdefghijklmnopqrstuvwxyz0123456789":
+                    return edge
+            elif j == len(text) or text[j] != rule[i].lower():
+                return False
+            i, j = i + 1, j + 1
+        return True
+
+    return any(here(0, j) for j in range(len(text) + 1))
+
+
 def brute_url(url, patterns, rules):
     m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "") if "://" in (url or "") else None
     host, path = (re.sub("[A-Z]", lambda c: c[0].lower(), m[1]), m[2]) if m else ("", "")
     fit = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
-    hit = next((p for p in patterns if re.search(urls.rule_regex(p), (url or "").lower())), None)
+    hit = next((p for p in patterns if fits(p, (url or "").lower())), None)
     best = max(fit, key=lambda r: len(r.text), default=None)
     return host, path, best.text if best else None, best.verdict if best else "block" if hit else "allow", hit
 
 
-def test_url_rules_equal_brute_force(spark):
+@pytest.mark.parametrize("literal_rules", [20_000, 0])
+def test_url_rules_equal_brute_force(spark, literal_rules):
     rng = random.Random(6)
     parts = ["casino", "ads", "track", "ads-track", "cheap-pills", "example", "net", "org", "com", "EN", "fr", "x"]
     made = [f"{rng.choice(['http', 'HTTPS'])}{rng.choice(['://', ':/', '://', '://'])}{'.'.join(rng.choices(parts, k=3))}{rng.choice(['', '/', '/en/', '/fr/', '/de/'])}{'/'.join(rng.choices(parts, k=2))}{rng.choice(['', '?q=://a/b', '#casino'])}" for _ in range(600)]
-    made += [None, "", "://", "a://b", "http://net", "http://NET/", "http://fr.org/fr/x", "x://y://z/a", "http://a.b\nc/d"]
-    patterns = (*urls.BLOCK_PATTERNS, "^track*pills", "ads*", "*")[:-1]
-    df = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(made)], "page_id long, url string, host string")
-    got = {r.page_id: (r.host, r.path, r.rule, r.verdict, r.pattern) for r in urls.filter_urls(df, patterns, q.URL_RULES).collect()}
-    assert got == {i: brute_url(u, patterns, q.URL_RULES) for i, u in enumerate(made)}
-    assert urls.filter_urls(df.limit(0), patterns, q.URL_RULES).count() == 0
+    made += [None, "", "://", "a://b", "http://net", "http://NET/", "http://fr.org/fr/x", "x://y://z/a", "http://a.b\nc/d", "http://track/x\ny/pills", "http://a..net/", "casino\n", "http://long/" + "x/" * 40_000]
+    patterns = (*urls.BLOCK_PATTERNS, "^track*pills", "^track*^pills^", "ads*", "*")[:-1]
+    df = spark.createDataFrame([(i, u, "clash") for i, u in enumerate([*made, made[0], made[0]])], "page_id long, url string, host string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict, r.pattern) for r in urls.filter_urls(df, patterns, q.URL_RULES, literal_rules=literal_rules).collect()}
+    assert got == {i: brute_url(u, patterns, q.URL_RULES) for i, u in enumerate([*made, made[0], made[0]])}
+    assert got[609][4] == "^track*pills"
+    assert urls.filter_urls(df.limit(0), patterns, q.URL_RULES, literal_rules=literal_rules).count() == 0
     assert urls.filter_urls(df, ()).filter("verdict = 'block'").count() == 0
-    with pytest.raises(ValueError):
-        urls.filter_urls(df, tuple(f"^r{k}^" for k in range(urls.MAX_RULES + 1)))
+
+
+def test_any_number_of_url_rules(spark):
+    patterns = [f"^r{k}^" for k in range(urls.LITERAL_RULES + 5)]
+    hosts = [urls.HostRule("block" if k % 2 else "allow", f"h{k}.net", "/a") for k in range(3000)]
+    df = spark.createDataFrame([(0, "http://x/r20003?q"), (1, "http://b.h7.net/abc"), (2, "http://h8.net/a/r5"), (3, None), (4, "http://h9.net/r5/")], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict, r.pattern) for r in urls.filter_urls(df, patterns, hosts).collect()}
+    assert got == {0: (None, "block", "^r20003^"), 1: ("h7.net/a", "block", None), 2: ("h8.net/a", "allow", "^r5^"), 3: (None, "allow", None), 4: (None, "block", "^r5^")}
 
 
 def test_rarest_token_indexes_a_rule():
@@ -217,8 +244,17 @@ def test_typed_parts_become_placeholders(spark):
     assert chat.attachments(content) == [("image", 0), ("audio", 1), ("document", 2)]
     assert [(a.kind, a.ref, a.tokens) for a in r.attachments] == [("image", "s3://x", 1024), ("audio", "f.wav", 250), ("document", None, 512)]
     assert r.tokens_expanded == 1786 and chat.unescape(content.split("<|image:0|>")[0]) .startswith("see ")
-    with pytest.raises(ValueError):
-        chat.format_turn("user", [{"kind": "video"}])
+
+
+def test_parts_of_unknown_kinds_and_null_parts(spark):
+    parts = [("video", "said", "v.mp4", 3), None, (None, "plain <|other:0|>", None, None), ("text", None, None, None), ("visit_other", None, None, None)]
+    df = spark.createDataFrame([(1, 0, "user", parts), (1, 1, "assistant", None), (1, 2, "assistant", [])], f"conv_id long, turn long, role string, parts {chat.PART_TYPE}")
+    pieces = chat.format_conversations(df)
+    r = pieces.first()
+    turns = list(chat.parse(r.formatted))
+    assert chat.attachments(turns[0][1]) == [("other", 0), ("other", 1)] and [t[1] for t in turns[1:]] == ["", ""]
+    assert [(a.turn, a.kind, a.ref, a.tokens) for a in r.attachments] == [(0, "video", "v.mp4", 0), (0, "visit_other", None, 0)]
+    assert chat.read_back(pieces).first().n_turns == 3
 
 
 def test_sql_oracles(spark, sf_dir):
