@@ -65,8 +65,9 @@ def bounds(codes: np.ndarray, norm: np.ndarray, f: np.ndarray, q: np.ndarray, ce
     dim = q.shape[1]
     turn = rotation(dim)
     bits = turn.shape[1]
-    words = codes.view(np.uint64)
-    ones = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
+    words = np.ascontiguousarray(codes.view(np.uint64).T)  # one row a word: sums run along the vectors
+    count = lambda w: np.bitwise_count(w).sum(axis=0, dtype=np.uint16).astype(np.int64)
+    ones = count(words)
     o, q_norm = directions(q, centre, turn)
     f = np.where(f > 1e-9, f, 1.0)  # a vector at the centre has no direction and needs none
     off = np.sqrt(np.maximum(1 / f**2 - 1, 0)) * epsilon / np.sqrt(bits - 1) + 1e-6
@@ -77,9 +78,9 @@ def bounds(codes: np.ndarray, norm: np.ndarray, f: np.ndarray, q: np.ndarray, ce
         u = np.rint((o[r] - low) / step).astype(np.int64)
         held = low + step * u
         planes = np.stack([np.packbits((u >> k & 1).astype(np.uint8)) for k in range(PLANES)]).view(np.uint64)
-        shared = np.zeros(len(words), np.int64)
+        shared = np.zeros(len(norm), np.int64)
         for k in range(PLANES):
-            shared += np.bitwise_count(words & planes[k]).sum(axis=1, dtype=np.int64) << k
+            shared += count(words & planes[k][:, None]) << k
         ip = (2 * (low * ones + step * shared) - held.sum()) / np.sqrt(bits) / f
         size = norm**2 + q_norm[r] ** 2
         near = size - 2 * norm * q_norm[r] * np.clip(ip, -1, 1)
@@ -181,11 +182,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     codes = classes.select("dim", "digest", "code", "norm", "f").withColumn("i", dealt("digest", blocks)).withColumn("j", every(q_blocks))
 
     def scan(limits: DataFrame, choose) -> DataFrame:
-        """(asked, digest) of what ``choose(estimates, least, limit)`` picks for each query in each block of codes."""
+        """(asked, digest, near) of what ``choose(estimates, least, limit)`` picks for each query in each block of codes."""
         sent = limits.withColumn("j", dealt("asked", q_blocks)).withColumn("i", every(blocks))
 
         def task(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-            out_q, out_c = [], []
+            out_q, out_c, out_n = [], [], []
             if left.num_rows and right.num_rows:
                 packed = np.frombuffer(b"".join(left.column("code").to_pylist()), np.uint8).reshape(left.num_rows, -1)
                 norm, f = (left.column(c).to_numpy() for c in ("norm", "f"))
@@ -196,9 +197,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
                     got = choose(near, least, most)
                     out_q += [name] * len(got)
                     out_c += [names[c] for c in got]
-            return pa.table({"asked": pa.array(out_q, pa.binary()), "digest": pa.array(out_c, pa.binary())})
+                    out_n += near[got].tolist()
+            return pa.table({"asked": pa.array(out_q, pa.binary()), "digest": pa.array(out_c, pa.binary()), "near": pa.array(out_n, pa.float64())})
 
-        return codes.groupBy("dim", "i", "j").cogroup(sent.groupBy("d", "i", "j")).applyInArrow(task, "asked binary, digest binary")
+        return codes.groupBy("dim", "i", "j").cogroup(sent.groupBy("d", "i", "j")).applyInArrow(task, "asked binary, digest binary, near double")
 
     def scored(pairs: DataFrame) -> DataFrame:
         """(asked, digest, score) of pairs, from original vectors."""
@@ -214,7 +216,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
         return batches(fetched.select("asked", "digest", "d", "v", "qv"), run, "asked binary, digest binary, score double")
 
     few = FIRST * (k + 1)
-    tried = cut(scored(scan(asked.withColumn("most", F.lit(0.0)), lambda near, least, most: np.argpartition(near, few)[:few] if len(near) > few else np.arange(len(near)))), "ann-first")
+    first = scan(asked.withColumn("most", F.lit(0.0)), lambda near, least, most: np.argpartition(near, few)[:few] if len(near) > few else np.arange(len(near)))
+    first = first.withColumn("r", F.row_number().over(Window.partitionBy("asked").orderBy("near", "digest"))).filter(F.col("r") <= few)
+    tried = cut(scored(first), "ann-first")
     # Each different vector is a candidate of its own here; k + 1, since the query itself is one.
     kth = tried.withColumn("r", F.row_number().over(Window.partitionBy("asked").orderBy("score", "digest"))).filter(F.col("r") == k + 1).select(F.col("asked").alias("a"), F.col("score").alias("kth"))
     limits = asked.join(kth, F.col("asked") == F.col("a"), "left").select("asked", "d", "qv", F.coalesce(F.col("kth") * F.col("kth") * (1 + 1e-9), F.lit(float("inf"))).alias("most"))
