@@ -2,13 +2,13 @@
 
 A text is cut at line breaks and after sentence ends. A unit is the shortest run of whole pieces, from one piece's
 start on, that has at least ``min_words`` words; so every piece begins one unit, and a passage that begins in the
-middle of someone's sentence still has its own whole sentences in units. Each line of at least ``LINE_WORDS`` words is
-a unit of its own too, however short, so that a repeated line is found whatever follows it; the lines of a repeated
-paragraph cover it. Passages that begin and end inside sentences are met by runs of exactly ``min_words`` words wherever
+middle of someone's sentence still has its own whole sentences in units. Each line with a word in it is a unit of its own
+too, however short, so that a repeated line is found whatever follows it; the lines of a repeated paragraph cover it. Passages that begin and end inside sentences are met by runs of exactly ``min_words`` words wherever
 they lie: a run is chosen if its hash is the smallest of some ``SPREAD`` neighbours, which depends on the words alone, so
 texts that share ``min_words + SPREAD - 1`` words share a chosen run. Units are normalised (words only, lower-cased, one space between), hashed to 128 bits and grouped
-over all documents; the occurrence with the smallest (doc_id, start) stays and all others go, with their offsets in
-the original text.
+over all documents; the occurrence with the smallest (doc_id, start) is kept and the others go, with their offsets in
+the original text. Units overlap, so a kept occurrence may itself be cut by the removal of another unit; then the others
+of its kind stay where they are. So of every unit that is removed anywhere, the kept occurrence stays whole.
 """
 
 from __future__ import annotations
@@ -24,11 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandloom.operators.intervals import interval_join, union_intervals
+
 from .common import batches, cut, whole
 
 MIN_WORDS = 14
 #: A line of so many words is a unit.
-LINE_WORDS = 3
+LINE_WORDS = 1
+#: Characters of a bin in which kept occurrences meet removed ones.
+BIN_CHARS = 1024
 #: Of so many neighbouring runs of words at least one is a unit.
 SPREAD = 12
 _PIECE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|\Z)")
@@ -182,21 +186,32 @@ def unit_rows(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORD
 def repeated_units(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """The units to remove: doc_id, start, end, words, kept_doc_id, kept_start, kept_end.
 
-    A unit goes if an equal one occurs at a smaller (doc_id, start) and the two don't overlap in one text. Spans of one
-    document may overlap; removing all of them keeps each unit's first occurrence in the corpus. Null texts and lines
-    of fewer than ``LINE_WORDS`` words in texts of fewer than ``min_words`` have no units; null ids are passed over; repeated rows of one id and text are
-    one document (its later copies have the same offsets, and stay with the row). Other columns are left out.
+    A unit goes if an equal one occurs at a smaller (doc_id, start), the two don't overlap in one text, and no unit that
+    could go overlaps that first occurrence. Spans of one document may overlap; when all of them are cut out, the kept
+    occurrence of each is still there whole. Texts are searched whole, however long, and read once: their units are
+    written. Null and empty texts and texts without words have no units; null ids are passed over; repeated rows of one
+    id and text are one document (its later copies have the same offsets, and stay with the row). Other columns are left
+    out, whatever their names; an empty table gives no rows.
     """
-    rows = unit_rows(docs, text_col, min_words)
+    rows = cut(unit_rows(docs, text_col, min_words), "units")
     first = rows.groupBy("d0", "d1").agg(F.min(F.struct("doc_id", "start", "end")).alias("kept"), F.max(F.struct("doc_id", "start")).alias("last"))
     # Written and reread: the join then has a shuffle of its own on both sides, and Spark splits the hot digests' rows.
     first = cut(first.filter((F.col("kept.doc_id") != F.col("last.doc_id")) | (F.col("kept.start") != F.col("last.start"))).select("d0", "d1", "kept"), "repeated-units")
     found = rows.join(first, ["d0", "d1"]).filter((F.col("doc_id") != F.col("kept.doc_id")) | (F.col("start") >= F.col("kept.end")))
-    return found.select("doc_id", "start", "end", "words", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.start").alias("kept_start"), F.col("kept.end").alias("kept_end"))
+    found = cut(found.select("d0", "d1", "doc_id", "start", "end", "words", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.start").alias("kept_start"), F.col("kept.end").alias("kept_end")), "repeats")
+    # Kept occurrences that a removed span touches; spans of one text are merged first.
+    gone = union_intervals(found.select("doc_id", F.col("start").alias("start0"), F.col("end").alias("end0")), ("doc_id",), width=BIN_CHARS)
+    kept = first.select("d0", "d1", F.col("kept.doc_id").alias("doc_id"), F.col("kept.start").alias("start0"), F.col("kept.end").alias("end0"))
+    touched = cut(interval_join(kept, gone, keys=("doc_id",), width=BIN_CHARS).select(F.col("a_d0").alias("d0"), F.col("a_d1").alias("d1")).distinct(), "touched-units")
+    return found.join(touched, ["d0", "d1"], "left_anti").drop("d0", "d1")
 
 
 def without(docs: DataFrame, spans: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the (doc_id, start, end) of ``spans`` cut out of their texts; rows without spans stay as they are."""
+    """``docs`` with the (doc_id, start, end) of ``spans`` cut out of their texts; rows without spans stay as they are.
+
+    All rows and columns stay, whatever their names; null texts and null ids have no spans; rows of one id lose the same
+    offsets; texts of any length are cut whole; an empty table gives no rows.
+    """
     cuts = spans.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("__cuts")).withColumnRenamed("doc_id", "__id")
     docs_, text = docs.select(whole(docs), F.col("doc_id").alias("__doc"), F.col(f"`{text_col}`").alias("__text")), F.col("__text")
     step = lambda acc, s: F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.array(text.substr(acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))))).alias("out"))
