@@ -1,91 +1,221 @@
 """Quality classifier: document evidence shrunk through host and path posteriors (hierarchical empirical Bayes).
 
-A logistic model over cheap text features, fitted on a bounded sample of labelled rows, gives each document its
-evidence. Sums of that evidence by host and by (host, path) become posterior means: a host's is pulled to the global
-mean, a path's to its host's, each by a strength estimated from the spread between sites (method of moments), so
-sparse sites stay near their parents. A document's own odds are then multiplied by how its site's odds differ from
-the global odds.
+Document evidence comes from hashed n-grams: each word, pair of words and run of three bytes of a text falls into one of
+a fixed number of buckets. A bounded sample of labelled rows gives each bucket the logarithm of how much more often good
+texts than bad ones hold it; from the means of these over a text, the shares of n-grams that no labelled text had, and
+some plain counts, a logistic model makes P(good). Sums of that evidence by host and by (host, path) become posterior
+means: a host's is pulled to the global mean, a path's to its host's, each by a strength estimated from the spread
+between sites (method of moments), so sparse sites stay near their parents. A document's own odds are then multiplied by
+how its site's odds differ from the global odds.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from .common import cut, whole
+from .common import batches, cut
+from .shingles import mix, word_hashes
 
-#: Labelled rows that the document model is fitted on at most (the smallest hashes of their ids).
+#: Labelled rows that the document model is fitted on at most (the smallest hashes of their ids): half for the n-grams, half for the logistic model.
 SAMPLE_ROWS = 20_000
 #: Site tables up to this many rows are broadcast; larger ones are joined by shuffle, whose hot keys Spark splits.
 BROADCAST_SITES = 20_000
-FEATURES = ("upper", "symbols", "pipes", "echo", "digits", "word_length", "log_words")
+#: Buckets of words, pairs of words and runs of three bytes.
+BUCKETS = (1 << 14, 1 << 14, 1 << 12)
+#: Weight of a text that every bucket is taken to have had in either class.
+PRIOR = 0.05
+COUNTS = ("upper", "symbols", "pipes", "echo", "digits", "word_length", "log_words")
+FEATURES = ("words", "pairs", "bytes", "new_words", "new_pairs", "new_bytes", *COUNTS)
+#: Texts are read in pieces of about so many bytes, which end at white space; pairs and runs don't cross them.
+PIECE = 1 << 19
 
+_KINDS = np.zeros((256, 4), np.float32)
+for _k, _chars in enumerate((b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"!$%&#*@^~", b"|<>{}[]\\", b"0123456789")):
+    _KINDS[list(_chars), _k] = 1
+_BYTE_FACTORS = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35], np.uint32)
+_PAIR = np.uint64(0x9E3779B97F4A7C15)
 
-def with_features(df: DataFrame, text_col: str) -> DataFrame:
-    """Adds x0, x1, ...: FEATURES of a text, each between about 0 and 1; null texts count as empty, which have zeros or nearly.
 
-    In steps, so that lengths are counted once and not in each expression that needs them.
-    """
-    text = F.col("t")
-    without = lambda c: F.length(text) - F.length(F.replace(text, F.lit(c), F.lit("")))
-    gone = lambda chars: F.col("n") - F.length(F.regexp_replace(text, f"{chars}++", ""))
-    # Words that stand before themselves; possessive, so that no word is tried in parts.
-    echo = F.regexp_count(text, F.lit(r"(?<!\S)(\S++)(?=[ \n]\1(?!\S))"))
-    df = df.withColumn("t", F.coalesce(F.col(text_col), F.lit("")))
-    df = df.withColumns({"n": F.length(text), "w": (without(" ") + without("\n") + 1).cast("double")})
-    n, words = F.greatest(F.col("n"), F.lit(1)).cast("double"), F.col("w")
-    x = [
-        gone("[A-Z]") / n,
-        gone("[!$%&#*@^~]") / words,
-        gone(r"[|<>{}\[\]\\]") / words,
-        echo / words,
-        gone("[0-9]") / n,
-        F.least(n / words / 20, F.lit(1.0)),
-        F.log1p(words) / 12,
+def pieces(texts: list[str | None]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+    """Texts joined by line feeds, some at a time: the bytes, each part's start among them, and whose text it is."""
+    held, owner, size = [], [], 0
+    for k, t in enumerate(texts):
+        raw, at = (t or "").encode(), 0
+        while at < len(raw):
+            end = min(len(raw), at + PIECE)
+            while end < len(raw) and raw[end] not in b" \t\n\r\v\f":
+                end += 1
+            held.append(raw[at:end])
+            owner.append(k)
+            size, at = size + end - at, end
+            if size >= PIECE:
+                yield b"\n".join(held), np.cumsum([0, *(len(x) + 1 for x in held[:-1])]), np.array(owner)
+                held, owner, size = [], [], 0
+    if held:
+        yield b"\n".join(held), np.cumsum([0, *(len(x) + 1 for x in held[:-1])]), np.array(owner)
+
+
+def _total(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of the stretches of ``values`` that begin at the sorted places ``at``; 0 for empty ones."""
+    upto = np.concatenate([np.zeros((1, *values.shape[1:])), np.cumsum(values, axis=0, dtype=np.float64)])
+    return upto[np.append(at[1:], len(values))] - upto[at]
+
+
+def grams(raw: bytes, start: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]], np.ndarray]:
+    """Of joined parts: each part's plain sums; for each family the buckets, where parts begin among them, which count; word hashes' sums."""
+    data = np.frombuffer(raw, np.uint8)
+    at, h = word_hashes(data)
+    first = np.searchsorted(at, start)
+    inside = np.ones(max(len(h) - 1, 0), bool)  # a pair within one part
+    inside[first[(first > 0) & (first < len(h))] - 1] = False
+    pair = mix(h[:-1] * _PAIR + h[1:]) if len(h) > 1 else np.zeros(0, np.uint64)
+    b = data.astype(np.uint32)
+    run = (b[:-2] * _BYTE_FACTORS[0]) ^ (b[1:-1] * _BYTE_FACTORS[1]) ^ (b[2:] * _BYTE_FACTORS[2]) if len(b) > 2 else np.zeros(0, np.uint32)
+    run = (run ^ (run >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+    whole = np.ones(len(run), bool)  # a run within one part
+    for back in (1, 2, 3):
+        edge = start[1:] - back
+        whole[edge[(edge >= 0) & (edge < len(whole))]] = False
+    families = [
+        ((h >> np.uint64(64 - 14)).astype(np.int64), first, np.ones(len(h), bool)),
+        ((pair >> np.uint64(64 - 14)).astype(np.int64), np.minimum(first, len(pair)), inside),
+        ((run >> np.uint32(32 - 12)).astype(np.int64), np.minimum(start, len(run)), whole),
     ]
-    return df.withColumns({f"x{i}": c for i, c in enumerate(x)}).drop("t", "n", "w")
+    echo = np.zeros(len(h))
+    echo[: len(inside)] = inside & (h[:-1] == h[1:]) if len(h) > 1 else 0
+    plain = np.column_stack([_total(_KINDS[data], start), _total(echo, first), np.diff(np.append(first, len(h))), np.diff(np.append(start, len(data) + 1)) - 1])
+    return plain, families, h
+
+
+def bucket_weights(texts: list[str | None], good: np.ndarray) -> np.ndarray:
+    """(class, bucket) sums of each text's shares of its n-grams in the buckets; families lie one after another."""
+    out = np.zeros((2, sum(BUCKETS)))
+    for raw, start, owner in pieces(texts):
+        _, families, _ = grams(raw, start)
+        base = 0
+        for (bucket, first, ok), width in zip(families, BUCKETS, strict=True):
+            n = np.diff(np.append(first, len(bucket)))
+            part = np.repeat(np.arange(len(start)), n)
+            share = ok / np.maximum(_total(ok.astype(float), first), 1)[part]
+            for y in (0, 1):
+                mine = good[owner[part]] == y
+                out[y, base : base + width] += np.bincount(bucket[mine], share[mine], width)
+            base += width
+    return out
+
+
+def features(texts: list[str | None], tables: np.ndarray) -> np.ndarray:
+    """(texts, FEATURES); ``tables``: log ratios of all buckets, nan where no labelled text had one. Null texts count as empty, which have zeros."""
+    sums, counted, plain = np.zeros((len(texts), 6)), np.zeros((len(texts), 3)), np.zeros((len(texts), 7))
+    for raw, start, owner in pieces(texts):
+        own, families, _ = grams(raw, start)
+        np.add.at(plain, owner, own)
+        base = 0
+        for k, ((bucket, first, ok), width) in enumerate(zip(families, BUCKETS, strict=True)):
+            value = tables[base : base + width][bucket]
+            new = np.isnan(value) & ok
+            np.add.at(sums[:, k], owner, _total(np.where(ok & ~new, value, 0), first))
+            np.add.at(sums[:, 3 + k], owner, _total(new.astype(float), first))
+            np.add.at(counted[:, k], owner, _total(ok.astype(float), first))
+            base += width
+    upper, symbols, pipes, digits, echo, words, size = plain.T
+    n, w = np.maximum(size, 1), np.maximum(words, 1)
+    means = sums / np.maximum(np.tile(counted, 2), 1)
+    return np.column_stack([means, upper / n, symbols / w, pipes / w, echo / w, digits / n, np.minimum(n / w / 20, 1), np.log1p(words) / 12])
 
 
 @dataclass(frozen=True)
 class DocumentModel:
-    """Logistic weights over FEATURES, intercept first; without labels all zeros, which says 0.5 of every text."""
+    """Logistic weights over FEATURES, intercept first, and the buckets' log ratios (float32); without labels it says 0.5 of every text."""
 
     weights: tuple[float, ...] = (0.0,) * (1 + len(FEATURES))
+    tables: bytes = b""
+
+    def probabilities(self, texts: list[str | None]) -> np.ndarray:
+        """P(good) of each text, between 0.0001 and 0.9999; 0.0001 for null texts and texts of white space alone."""
+        w = np.array(self.weights)
+        tables = np.frombuffer(self.tables, np.float32) if self.tables else np.full(sum(BUCKETS), np.nan, np.float32)
+        score = w[0] + features(texts, tables) @ w[1:]
+        p = 1 / (1 + np.exp(-np.clip(score, -9.2, 9.2)))
+        blank = np.array([not t or t.isspace() for t in texts], bool)
+        return np.where(blank, 0.0001, p)
 
     def score(self, df: DataFrame, text_col: str) -> DataFrame:
-        """Adds p, P(good) of each text, between 0.0001 and 0.9999; 0.0001 for null texts and texts of white space alone."""
-        score = F.lit(self.weights[0])
-        for i, w in enumerate(self.weights[1:]):
-            score = score + F.lit(w) * F.col(f"x{i}")
-        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.least(F.greatest(score, F.lit(-9.2)), F.lit(9.2))))
-        blank = ~F.coalesce(F.regexp(F.col(text_col), F.lit(r"\S")), F.lit(False))
-        return with_features(df, text_col).withColumn("p", F.when(blank, F.lit(0.0001)).otherwise(p)).drop(*(f"x{i}" for i in range(len(FEATURES))))
+        """Adds p to the rows: texts alone go to Python workers, a batch at a time."""
 
+        @F.arrow_udf(returnType=DoubleType())
+        def p(text: pa.Array) -> pa.Array:
+            return pa.array(self.probabilities(text.to_pylist()), pa.float64())
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DocumentModel:
-    """Fits the document model on the ``sample_rows`` labelled documents whose hashed ids are smallest."""
-    chosen = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    seen = with_features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "text").drop("text")
-    rows = sorted(map(tuple, seen.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in seen.columns[1:])).collect()))  # one row an id
-    if not rows:
-        return DocumentModel()
-    data = np.array([r[1:] for r in rows], dtype=np.float64)
-    y, x = data[:, 0], data[:, 1:]
+        return df.withColumn("p", p(F.col(f"`{text_col}`").cast("string")))
+
+
+def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights (intercept first) of a ridge logistic model by damped Newton steps, on standardised columns."""
     mean, std = x.mean(0), np.maximum(x.std(0), 1e-6)
     z = np.column_stack([np.ones(len(x)), (x - mean) / std])
-    w = np.zeros(z.shape[1])
-    ridge = np.full(len(w), 0.1)
-    for _ in range(50):
+    w, ridge = np.zeros(z.shape[1]), np.full(z.shape[1], 0.5)
+    ridge[0] = 1e-3
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         step = np.linalg.solve((z * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ z + np.diag(ridge), z.T @ (p - y) + ridge * w)
         w -= step * min(1.0, 3.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-8:
             break
     slopes = w[1:] / std
-    return DocumentModel((float(w[0] - slopes @ mean), *map(float, slopes)))
+    return np.array([w[0] - slopes @ mean, *slopes])
+
+
+def log_ratios(weights: np.ndarray) -> np.ndarray:
+    """Log ratio of each bucket's share among good and bad texts; nan where neither had it."""
+    out, base = np.full(weights.shape[1], np.nan, np.float32), 0
+    for width in BUCKETS:
+        own = weights[:, base : base + width]
+        share = (own + PRIOR) / (own.sum(axis=1, keepdims=True) + PRIOR * width)
+        neutral = np.log(PRIOR / (own[1].sum() + PRIOR * width)) - np.log(PRIOR / (own[0].sum() + PRIOR * width))
+        seen = own.sum(axis=0) > 0
+        out[base : base + width][seen] = (np.log(share[1]) - np.log(share[0]) - neutral)[seen]
+        base += width
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DocumentModel:
+    """Fits the document model on the ``sample_rows`` labelled documents whose hashed ids are smallest.
+
+    An id with several labels has the largest, an id with several texts all of them. The sample's texts are written once;
+    one half of its ids gives the buckets their ratios, the other the logistic weights. Without labels of both kinds in
+    both halves the model says 0.5. To the driver come bucket sums of a few tasks and FEATURES of the sample's rows.
+    """
+    chosen = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    half = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(2)).cast("int").alias("half")
+    seen = cut(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select((F.col("y") > 0).cast("int").alias("y"), half, F.col("text").cast("string").alias("text")).coalesce(8), "quality-sample")
+
+    def sums(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, sum(BUCKETS)))
+        for b in it:
+            total += bucket_weights(b.column(1).to_pylist(), b.column(0).to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["w"])
+
+    def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(features(b.column(1).to_pylist(), tables)), pa.list_(pa.float64()))], ["y", "x"])
+
+    weights = np.zeros((2, sum(BUCKETS)))
+    for r in batches(seen.filter("half = 0").select("y", "text"), sums, "w binary").collect():  # one row a task of the bounded sample
+        weights += np.frombuffer(r["w"]).reshape(weights.shape)
+    tables = log_ratios(weights)
+    got = sorted((r["y"], *r["x"]) for r in batches(seen.filter("half = 1").select("y", "text"), rows, "y int, x array<double>").collect())  # at most sample_rows rows
+    data = np.array(got, dtype=np.float64).reshape(len(got), 1 + len(FEATURES))
+    if not weights.sum(axis=1).all() or len(set(data[:, 0].tolist())) < 2:
+        return DocumentModel()
+    return DocumentModel(tuple(map(float, logistic(data[:, 1:], data[:, 0]))), tables.tobytes())
 
 
 @dataclass(frozen=True)
@@ -134,8 +264,9 @@ def classify(docs: DataFrame, model: DocumentModel, host: Column | None = None,
     """doc_id, host, path, p_document, host_posterior, path_posterior, p_quality and kept of every row of ``docs``.
 
     host and path: columns of ``docs``, by default its source and language; null is a site of its own. Null and blank
-    texts have the least evidence (0.0001) and are rejected. Repeated rows are judged alike and repeated; an empty
-    table gives no rows; other columns are ignored. Texts are read once: the evidence is written, without texts.
+    texts have the least evidence (0.0001) and are rejected. Texts are read whole and once, however long: the evidence is
+    written, without texts. Repeated rows are judged alike and repeated; an empty table gives no rows; other columns are
+    ignored, whatever their names.
     """
     host, path = F.col("source") if host is None else host, F.col("lang") if path is None else path
     scored = cut(model.score(docs.select("doc_id", host.alias("host"), path.alias("path"), "text"), "text").drop("text"), "quality-evidence")
@@ -143,7 +274,12 @@ def classify(docs: DataFrame, model: DocumentModel, host: Column | None = None,
 
 
 def keep_good(docs: DataFrame, model: DocumentModel, threshold: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that ``classify`` keeps, whole and with the same columns. Texts are read twice and never shuffled."""
-    marked = model.score(docs.select(whole(docs), F.col("source").alias("host"), F.col("lang").alias("path"), "text"), "text")
-    sites = posteriors(marked.select("host", "path", "p"))
-    return judge(marked, sites, threshold).filter("kept").select(*(F.col("row")[c].alias(c) for c in docs.columns))
+    """The rows of ``docs`` that ``classify`` keeps, whole and with the same columns, whatever their names.
+
+    The rows are written with their evidence, so that texts are scored once; they are never shuffled. Nulls, long texts,
+    equal rows and empty tables as in ``classify``.
+    """
+    row = F.struct(*(F.col(f"`{c}`").alias(c) for c in docs.columns)).alias("row")
+    scored = cut(model.score(docs.select(row, F.col("source").alias("host"), F.col("lang").alias("path"), F.col("text").alias("t")), "t").drop("t"), "quality-evidence")
+    sites = posteriors(scored.select("host", "path", "p"))
+    return judge(scored, sites, threshold).filter("kept").select(*(F.col("row")[c].alias(c) for c in docs.columns))

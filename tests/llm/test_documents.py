@@ -136,23 +136,82 @@ def test_estimates_are_close():
             assert abs(est - true) < 0.16
 
 
-def brute_repeats(rows, least):
-    first, out = {}, set()
-    for i, t in sorted((r for r in rows if r[0] is not None)):
-        for s, e, _, d in substrings.units(t, least):
-            if d not in first:
-                first[d] = (i, s, e)
-            elif first[d][0] != i or s >= first[d][2]:
-                out.add((i, s, e, first[d][0], first[d][1]))
+def own_units(text, least):
+    """(start, end, words) of a text's lines and runs of sentences, found another way: a character at a time."""
+    pieces, at = [], 0  # start, end, words, whether a line ends here
+    for k, c in enumerate(text):
+        ends = c == "\n" or (c in ".!?" and (k + 1 == len(text) or text[k + 1] not in ".!?")) or k + 1 == len(text)
+        if ends:
+            pieces.append((at, k + 1, c == "\n" or k + 1 == len(text)))
+            at = k + 1
+    said, lines, line = [], [], []
+    for s, e, last in pieces:
+        words = tuple("".join(x if x.isalnum() or x == "_" else " " for x in text[s:e].lower()).split())
+        if words:
+            body = text[s:e]
+            said.append((s + len(body) - len(body.lstrip()), s + len(body.rstrip()), words))
+            line.append(said[-1])
+        if last:
+            lines += [line] if line else []
+            line = []
+    out = {(u[0][0], u[-1][1], sum((p[2] for p in u), ())) for u in lines}
+    for k in range(len(said)):
+        held = ()
+        for s, e, words in said[k:]:
+            held += words
+            if len(held) >= least:
+                out.add((said[k][0], e, held))
+                break
     return out
 
 
-def test_substrings_equal_brute_force(spark):
-    rng = random.Random(2)
+def brute_repeats(rows, least):
+    """Removed units by loops. Chosen runs are taken from the operator, but compared by their own words."""
+    units = []
+    for i, t in rows:
+        if i is not None:
+            starts, ends, _ = substrings.runs(t or "", least)
+            chosen = {(int(s), int(e), tuple(re.findall(r"\w+", t[s:e].lower()))) for s, e in zip(starts, ends, strict=True)}
+            # A unit has one place a kind: runs that are chosen by their hashes only match their like.
+            units += [(i, s, e, ("own", w)) for s, e, w in own_units(t or "", least)] + [(i, s, e, ("run", w)) for s, e, w in chosen]
+    units.sort(key=lambda u: u[:2])
+    first: dict = {}
+    for u in units:
+        first.setdefault(u[3], u)
+    could = {u for u in units if u[:2] != first[u[3]][:2] and (first[u[3]][0] != u[0] or u[1] >= first[u[3]][2])}
+    touched = {k for k, f in first.items() if any(u[0] == f[0] and u[1] < f[2] and f[1] < u[2] for u in could)}
+    return {(i, s, e, *first[k][:2]) for i, s, e, k in could if k not in touched}
+
+
+@pytest.mark.parametrize("seed", [2, 3])
+def test_substrings_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
     pool = [" ".join(rng.choices("abcdefgh", k=rng.randrange(1, 9))).capitalize() + rng.choice([".", "!", "?\n", "\n"]) for _ in range(40)]
-    rows = [(i, " ".join(rng.choices(pool, k=rng.randrange(0, 12)))) for i in range(80)]
-    got = substrings.repeated_units(spark.createDataFrame(rows, "doc_id long, text string"), min_words=4).collect()
+    rows = [(i, " ".join(rng.choices(pool, k=rng.randrange(0, 12)))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substrings.repeated_units(docs, min_words=4).collect()
     assert {(r.doc_id, r.start, r.end, r.kept_doc_id, r.kept_start) for r in got} == brute_repeats(rows, 4)
+    left = {r.doc_id: r.text for r in substrings.without(docs, substrings.repeated_units(docs, min_words=4)).collect()}
+    text = dict(rows)
+    for r in got:  # the kept occurrence is still there whole
+        assert text[r.kept_doc_id][r.kept_start : r.kept_end] in left[r.kept_doc_id]
+
+
+def test_what_is_removed_is_kept_elsewhere(spark):
+    """A = b c, B = a b c, C = a b: with b c gone from B, the a b of C is the last one and stays."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(15)).capitalize() + "." for x in "abc")
+    rows = [(1, f"{b} {c}"), (2, f"{a} {b} {c}"), (3, f"{a} {b}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in substrings.without(docs, substrings.repeated_units(docs)).collect()}
+    said = " ".join(left[k] for k in (1, 2, 3))
+    assert a in said and b in said and c in said and left[1] == rows[0][1]
+
+
+def test_short_documents_and_lines_are_units(spark):
+    thirteen = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    rows = [(1, thirteen), (2, thirteen.upper()), (3, "Menu\nnow something else"), (4, "another text\nmenu\n"), (5, "Yes"), (6, "yes!")]
+    got = substrings.repeated_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.kept_doc_id) for r in got} == {(2, 1), (4, 3), (6, 5)}
 
 
 def test_a_passage_in_the_middle_of_a_sentence_is_found(spark):
@@ -206,6 +265,88 @@ def test_quality_separates_held_out_documents(spark):
     assert sum(good) / len(good) > 0.995 and sum(bad) / len(bad) > 0.95
 
 
+def test_document_evidence_equals_brute_force():
+    rng = random.Random(6)
+    pool = ["The", "cat", "sat", "ON", "mat1", "cat", "$$$", "a|b", "é"]
+    texts = [" ".join(rng.choices(pool, k=rng.randrange(0, 9))) + rng.choice(["", "\n", " x"]) for _ in range(30)] + [None, "", "zz yy zz"]
+    good = np.array([rng.randrange(2) for _ in texts])
+
+    def grams(t):
+        w, raw = WORD.findall((t or "").translate(LOWER)), (t or "").encode()
+        return [w, list(zip(w, w[1:], strict=False)), [raw[k : k + 3] for k in range(len(raw) - 2)]]
+
+    n_fit, ratios = 20, []
+    for k, width in enumerate(quality.BUCKETS):
+        held: dict = {}
+        total = [0.0, 0.0]
+        for t, y in list(zip(texts, good, strict=True))[:n_fit]:
+            own = grams(t)[k]
+            total[y] += bool(own)
+            for g in own:
+                held.setdefault(g, [0.0, 0.0])[y] += 1 / len(own)
+        share = lambda x, y: np.log((x + quality.PRIOR) / (total[y] + quality.PRIOR * width))  # noqa: E731, B023
+        ratios.append({g: share(v[1], 1) - share(v[0], 0) - share(0, 1) + share(0, 0) for g, v in held.items()})
+    tables = quality.log_ratios(quality.bucket_weights(texts[:n_fit], good[:n_fit]))
+    got = quality.features(texts, tables)
+    for t, x in zip(texts, got, strict=True):
+        own = grams(t)
+        want = [sum(r.get(g, 0) for g in o) / max(len(o), 1) for o, r in zip(own, ratios, strict=True)]
+        want += [sum(g not in r for g in o) / max(len(o), 1) for o, r in zip(own, ratios, strict=True)]
+        raw, w = (t or "").encode(), max(len(own[0]), 1)
+        n = max(len(raw), 1)
+        have = lambda chars: sum(c in chars for c in raw)  # noqa: E731, B023
+        echo = sum(a == b for a, b in own[1])
+        want += [have(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ") / n, have(b"!$%&#*@^~") / w, have(b"|<>{}[]\\") / w, echo / w, have(b"0123456789") / n, min(n / w / 20, 1), np.log1p(len(own[0])) / 12]
+        assert np.allclose(x, want, atol=1e-5), t
+
+
+def test_posteriors_equal_brute_force(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["h1", "h2", "h3", None]), rng.choice(["p", "q", None]), rng.random()) for i in range(300)]
+    scored = spark.createDataFrame(rows, "doc_id long, host string, path string, p double")
+    got = {r.doc_id: r for r in quality.judge(scored, quality.posteriors(scored)).collect()}
+
+    def strength(cells, means):
+        m = {k: s / n for k, (n, s) in cells.items()}
+        tau = max(np.mean([(m[k] - means[k]) ** 2 - m[k] * (1 - m[k]) / n for k, (n, _) in cells.items()]), 1e-6)
+        return min(max(np.mean([means[k] * (1 - means[k]) for k in cells]) / tau - 1, 1), 1e6)
+
+    hosts, cells = {}, {}
+    for _, h, p, x in rows:
+        for d, k in ((hosts, h), (cells, (h, p))):
+            n, s = d.get(k, (0, 0.0))
+            d[k] = (n + 1, s + x)
+    mean = sum(r[3] for r in rows) / len(rows)
+    kappa = strength(hosts, dict.fromkeys(hosts, mean))
+    by_host = {h: (s + kappa * mean) / (n + kappa) for h, (n, s) in hosts.items()}
+    inner = strength(cells, {k: by_host[k[0]] for k in cells})
+    by_path = {k: (s + inner * by_host[k[0]]) / (n + inner) for k, (n, s) in cells.items()}
+    logit = lambda x: np.log(min(max(x, 1e-4), 1 - 1e-4) / (1 - min(max(x, 1e-4), 1 - 1e-4)))
+    for i, h, p, x in rows:
+        want = 1 / (1 + np.exp(-(logit(x) + logit(by_path[h, p]) - logit(mean))))
+        assert abs(got[i].p_quality - want) < 1e-9 and got[i].kept == (want >= 0.5)
+        assert abs(got[i].host_posterior - by_host[h]) < 1e-9 and abs(got[i].path_posterior - by_path[h, p]) < 1e-9
+
+
+def test_quality_learns_kinds_of_text(spark):
+    """Keyboard mash and pill spam go, code and lines of capitals stay, as labelled; held-out texts of each kind."""
+    rng = random.Random(8)
+    prose = "the river ran past old stone walls and people of a small town who came to watch boats in spring".split()
+    kinds = {
+        "prose": (1, lambda: " ".join(rng.choices(prose, k=40)).capitalize() + "."),
+        "capitals": (1, lambda: " ".join(rng.choices(prose, k=25)).upper() + "."),
+        "code": (1, lambda: "\n".join(f"    {rng.choice('xyz')} = {rng.choice(['len', 'sum', 'max'])}({rng.choice(['rows', 'names'])}[{rng.randrange(9)}])  # {rng.choice(prose)}" for _ in range(8))),
+        "mash": (0, lambda: " ".join("".join(rng.choices("asdfghjkl;qwer", k=rng.randrange(4, 12))) for _ in range(30))),
+        "pills": (0, lambda: " ".join(rng.choices(["buy", "cheap", "pills", "now", "viagra", "$$$", "offer", "click", "here", "online"], k=40))),
+    }
+    rows = [(i, kinds[k][1](), k) for i, k in enumerate(rng.choices(sorted(kinds), k=900))]
+    docs = spark.createDataFrame([(i, t, k, "x") for i, t, k in rows], "doc_id long, text string, kind string, lang string").withColumn("source", F.lit("s"))
+    labels = spark.createDataFrame([(i, kinds[k][0]) for i, _, k in rows if i % 2], "doc_id long, quality int")
+    out = quality.classify(docs, quality.fit(docs, labels)).join(docs.select("doc_id", "kind"), "doc_id").filter("doc_id % 2 = 0").collect()
+    for k, (y, _) in kinds.items():
+        assert np.mean([r.kept == bool(y) for r in out if r.kind == k]) > 0.97, k
+
+
 def test_sparse_sites_stay_near_their_parents(spark):
     rows = [("big", "x", 0.9)] * 400 + [("bad", "x", 0.1)] * 400 + [("new", "x", 0.1)]
     sites = quality.posteriors(spark.createDataFrame(rows, "host string, path string, p double"))
