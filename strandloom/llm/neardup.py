@@ -6,11 +6,19 @@ bucket borrows the register of an occupied one, chosen by a fixed order of prefe
 as long as the threshold asks for (36 of 7 at 0.85, 35 of 5 at 0.80), name buckets of candidates; estimated Jaccard
 similarities, corrected for registers that agree by chance, sort the candidates out; the full sets confirm what is left.
 
-Nothing is paired that need not be. Equal sets are one class from the start. In each bucket all compare with one hub;
-what the estimate links forms provisional groups. Where several groups meet in a bucket, their members' registers meet
-in tiles, and a task emits only what joins groups. Inside a provisional group the sets themselves meet in tiles, and
-only a spanning forest of the confirmed links leaves a task. A pair at the threshold shares no band with a probability below 1e-6; that is
-the method's only loss.
+Nothing is paired that need not be. Equal sets are one class from the start. Then three steps find what links join, each
+with the full sets of those classes alone that it needs:
+
+* anchors: in each bucket all registers meet the smallest member's; each class is verified against one such anchor, a
+  class's text being sent once and an anchor's once a tile of its classes. That settles groups of copies of one text.
+* crossings: buckets in which several verified groups meet compare registers in tiles; of each two groups in a tile the
+  likeliest pair is verified. That settles chains.
+* the rest: of the classes that still have a likely partner in another group, the full sets meet in tiles, and only a
+  spanning forest of the confirmed links leaves a task.
+
+So a text is sent a few times, however large its group; only where many different texts lie just below the threshold do
+their pairs of tiles grow with the square of their number. A pair at the threshold shares no band with a probability
+below 1e-6; that is the method's only loss.
 """
 
 from __future__ import annotations
@@ -120,48 +128,59 @@ def bands(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def likely(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """Those of the distinct pairs (a, b) whose estimate is at least ``least``."""
+    """Those of the distinct pairs (a, b) whose estimate is at least ``least``, with it."""
     side = lambda x: classes.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("registers").alias(f"r{x}"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in it:
             regs = [np.frombuffer(b"".join(t.column(k).to_pylist()), np.uint16).reshape(-1, REGISTERS) for k in ("ra", "rb")]
             n, m = (t.column(k).to_numpy() for k in ("na", "nb"))
-            yield t.select(["a", "b"]).filter(pa.array(estimate(*regs, n, m) >= least))
+            est = estimate(*regs, n, m)
+            yield t.select(["a", "b"]).append_column("est", pa.array(est)).filter(pa.array(est >= least))
 
-    return batches(pairs.join(side("a"), "a").join(side("b"), "b"), run, "a long, b long")
+    return batches(pairs.join(side("a"), "a").join(side("b"), "b"), run, "a long, b long, est double")
 
 
-def bridges(members: DataFrame, classes: DataFrame, least: float, percent: int) -> DataFrame:
-    """Likely pairs (a, b) between different labels of the same key: enough of them to join what any likely pair joins.
+def crossings(members: DataFrame, classes: DataFrame, least: float, percent: int, every: bool) -> DataFrame:
+    """Likely pairs between different labels of the same key: (a, b, la, lb), the likeliest of each two labels in a tile.
 
-    members: key, rep, n, label, tiles (of their key). Registers meet in pairs of tiles of one bucket; a task compares
-    two tiles' members and emits fewer pairs than these have labels.
+    members: key, rep, n, label, tiles (of their key). Registers meet in pairs of tiles of one bucket. With ``every``,
+    also a row (a, a, label, label) for each class that has a likely partner of another label.
     """
     rows = members.withColumn("t", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")).join(classes.select("rep", "registers"), "rep")
     met = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("key", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "t", "rep", "n", "label", "registers")
 
     def tile_pair(key: tuple, table: pa.Table) -> pa.Table:
         i, j = key[1].as_py(), key[2].as_py()
-        t, rep, n = (table.column(c).to_numpy() for c in ("t", "rep", "n"))
-        labels, lab = np.unique(table.column("label").to_numpy(), return_inverse=True)
+        t, rep, n, label = (table.column(c).to_numpy() for c in ("t", "rep", "n", "label"))
+        names, lab = np.unique(label, return_inverse=True)
         regs = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
         left, right = np.flatnonzero(t == i), np.flatnonzero(t == j)
-        parent = np.arange(len(labels))
-        edges = []
+        best: dict[tuple[int, int], tuple[float, int, int]] = {}
+        involved = np.zeros(len(rep), bool)
         for r in left if len(right) else ():
             with_ = right[(lab[right] != lab[r]) & (100 * np.minimum(n[right], n[r]) >= percent * np.maximum(n[right], n[r]))]
             if not len(with_):
                 continue
-            hits = with_[estimate(regs[with_], regs[r], n[with_], n[r]) >= least]
-            for other, first in zip(*np.unique(lab[hits], return_index=True), strict=True):
-                a, b = (find(parent, x) for x in (lab[r], other))
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    edges.append((rep[r], rep[hits[first]]))
-        return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
-
-    return met.groupBy("key", "i", "j").applyInArrow(tile_pair, "a long, b long")
+            est = estimate(regs[with_], regs[r], n[with_], n[r])
+            hits, est = with_[est >= least], est[est >= least]
+            involved[hits] = True
+            involved[r] |= len(hits) > 0
+            order = np.lexsort((rep[hits], -est))
+            for other, at in zip(*np.unique(lab[hits][order], return_index=True), strict=True):
+                k = order[at]
+                pair = (min(lab[r], other), max(lab[r], other))
+                best[pair] = min(best.get(pair, (0.0, 0, 0)), (-est[k], rep[r], rep[hits[k]]))
+        flagged = np.flatnonzero(involved) if every else np.zeros(0, int)
+        a = np.array([x[1] for x in best.values()], np.int64)
+        b = np.array([x[2] for x in best.values()], np.int64)
+        label_of = dict(zip(rep.tolist(), label.tolist(), strict=True))
+        own = lambda x: np.concatenate([x, rep[flagged]])
+        side = lambda x: np.array([label_of[k] for k in x.tolist()], np.int64)
+        a, b = own(a), own(b)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b), "la": side(np.minimum(a, b)), "lb": side(np.maximum(a, b))})
+
+    return met.groupBy("key", "i", "j").applyInArrow(tile_pair, "a long, b long, la long, lb long").distinct()
 
 
 def find(parent: np.ndarray | list[int], k: int) -> int:
@@ -172,6 +191,18 @@ def find(parent: np.ndarray | list[int], k: int) -> int:
     return k
 
 
+def reaches(common: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of sizes n and m with ``common`` members in common are linked."""
+    return (common > 0) & (100 * common.astype(np.int64) >= percent * (n + m - common))
+
+
+def in_common(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    return int((large[at] == small).sum()) if len(small) else 0
+
+
 def confirmed(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
     """A spanning forest, as index pairs, of the pairs of left x right with 100 * intersection >= percent * union."""
     n = len(sets)
@@ -209,6 +240,65 @@ def confirmed(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, perce
             yield a, b
 
 
+def verified_anchors(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (anchor a, class b) whose full sets are linked: (a, b). A class is sent once, an anchor once a tile of its classes."""
+    size = classes.groupBy("rep").agg(F.max("n").alias("n"))
+    rows = pairs.join(size.select(F.col("rep").alias("b"), "n"), "b")
+    tiles = rows.groupBy("a").agg(F.greatest(F.ceil(F.sum("n") / TILE_SHINGLES), F.ceil(F.count("*") / TILE_SETS)).cast("int").alias("tiles"))
+    tiles = cut(tiles, "anchor-tiles")
+    own = rows.join(tiles, "a").select("a", F.col("b").alias("doc_id"), F.pmod(F.xxhash64("b"), F.col("tiles")).cast("int").alias("t"), F.lit(False).alias("anchor"))
+    heads = tiles.select("a", F.col("a").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("t"), F.lit(True).alias("anchor"))
+    met = texts.join(cut(own.unionByName(heads), "anchored"), "doc_id")
+
+    def star(key: tuple, table: pa.Table) -> pa.Table:
+        ids, anchor = table.column("doc_id").to_numpy(), np.array(table.column("anchor").to_pylist(), bool)
+        sets = sets_of(table.column("text").to_pylist())
+        heads, hit = [s for s, x in zip(sets, anchor, strict=True) if x and len(s)], set()
+        for k in np.flatnonzero(~anchor):
+            s = sets[k]
+            if any(reaches(np.int64(in_common(s, h)), len(s), len(h), percent) for h in heads):
+                hit.add(int(ids[k]))
+        return pa.table({"a": pa.array([key[0].as_py()] * len(hit), pa.int64()), "b": pa.array(sorted(hit), pa.int64())})
+
+    return met.groupBy("a", "t").applyInArrow(star, "a long, b long")
+
+
+def verified_pairs(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Those of the distinct pairs (a, b) whose full sets are linked: (a, b)."""
+    side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}"))
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for at in range(0, b.num_rows, 64):  # a few texts at a time
+                c = b.slice(at, 64)
+                left, right = (sets_of(c.column(k).to_pylist()) for k in (2, 3))
+                yield c.select(["a", "b"]).filter(pa.array([bool(reaches(np.int64(in_common(x, y)), len(x), len(y), percent)) for x, y in zip(left, right, strict=True)], pa.bool_()))
+
+    return batches(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb"), run, "a long, b long").distinct()
+
+
+def tiled(groups: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """A spanning forest (a, b) of the links within each group of classes (doc_id, component): full sets meet in tiles."""
+    size = classes.groupBy(F.col("rep").alias("doc_id")).agg(F.max("n").alias("n"))
+    rows = groups.join(size, "doc_id")
+    tiles = cut(rows.groupBy("component").agg(F.greatest(F.ceil(F.sum("n") / TILE_SHINGLES), F.ceil(F.count("*") / TILE_SETS)).cast("int").alias("tiles")), "tiles")
+    placed = cut(groups.join(tiles, "component").select("doc_id", "component", "tiles", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int").alias("t")), "placed")
+    met = texts.join(placed, "doc_id").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("component", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "t", "doc_id", "text")
+
+    def tile_pair(key: tuple, table: pa.Table) -> pa.Table:
+        i, j = key[1].as_py(), key[2].as_py()
+        t, ids = table.column("t").to_numpy(), table.column("doc_id").to_numpy()
+        sets = sets_of(table.column("text").to_pylist())
+        some = np.array([len(s) > 0 for s in sets])
+        left, right = np.flatnonzero((t == i) & some), np.flatnonzero((t == j) & some)
+        edges = [(ids[a], ids[b]) for a, b in confirmed(sets, left, right, percent) if ids[a] != ids[b]] if len(left) and len(right) else []
+        if sum(map(len, sets)) > TILE_SHINGLES // 4:  # large temporaries
+            give_back()
+        return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
+
+    return met.groupBy("component", "i", "j").applyInArrow(tile_pair, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row: documents with 100 * intersection >= percent * union of
     their distinct 5-word shingles are linked.
@@ -216,47 +306,50 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text_col: str = "text")
     Words are runs without ASCII white space, A-Z lower-cased; a text of fewer than five words is one shingle; null
     texts and texts without words have none and link with nothing. component_id is the smallest doc_id that links
     reach, kept whether it is the row's own. Repeated rows count as equal texts; rows of one id and different texts
-    stand for one document with several texts. Null ids link with nothing. Other columns are left out. An empty table
-    gives no rows.
+    are one document, which links with what any of them links with. Null ids link with nothing. Texts are taken whole,
+    however long. Other columns are left out, whatever their names. An empty table gives no rows.
     """
     least = percent / 100 - MARGIN
     rows = cut(signatures(docs, text_col), "signatures")
     full = rows.filter("n > 0 and doc_id is not null")
     classes = cut(full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("registers").alias("registers")), "classes")
     keyed = bands(classes, percent)
-    several = keyed.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("rep", "n")).alias("hub")).filter("m > 1").select("key", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n"))
+    # Written: the join then has a shuffle of its own on both sides, and Spark splits the hot buckets' rows.
+    several = cut(keyed.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("rep", "n")).alias("hub")).filter("m > 1").select("key", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")), "hubs")
     members = cut(keyed.join(several, "key"), "buckets")
+    wanted = cut(members.select(F.col("rep").alias("doc_id")).distinct(), "candidates")
+    chosen = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).filter("text is not null")
+    texts = cut(texts.join(chosen, "doc_id").dropDuplicates(["doc_id", "text"]), "candidate-texts")
+
+    # Anchors: of the hubs that a class is likely linked with, the smallest that reaches the threshold, or else the smallest.
     fits = lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m)
     pairs = members.filter((F.col("rep") != F.col("hub")) & fits(F.col("n"), F.col("hub_n"))).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    first = cut(likely(pairs, classes, least), "likely")
-    groups = components(first)
-
-    # Buckets in which several groups meet. The hub has met all others already.
-    labelled = members.filter("rep <> hub").join(groups, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("label"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("m")).filter("l0 <> l1").select("key", F.ceil(F.col("m") / BUCKET_TILE).cast("int").alias("tiles"))
-    second = cut(bridges(labelled.join(mixed, "key"), classes, least, percent), "likely")
-    groups = cut(components(first.union(second)), "groups")
-
-    # Full sets of each group's members, in tiles.
-    sizes = classes.select("rep", "n").join(groups, F.col("rep") == F.col("node"))
-    tiles = sizes.groupBy("component").agg(F.sum("n").alias("s"), F.count("*").alias("c")).select("component", F.greatest(F.ceil(F.col("s") / TILE_SHINGLES), F.ceil(F.col("c") / TILE_SETS)).cast("int").alias("tiles"))
-    placed = cut(groups.join(tiles, "component").select(F.col("node").alias("doc_id"), "component", "tiles", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int").alias("t")), "tiles")
-    chosen = F.broadcast(placed) if placed.count() <= BROADCAST_ROWS else placed
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).join(chosen, "doc_id").dropDuplicates(["doc_id", "text"])
-    met = texts.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("component", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "t", "doc_id", "text")
-
-    def tile_pair(key: tuple, table: pa.Table) -> pa.Table:
-        i, j = key[1].as_py(), key[2].as_py()
-        t, ids = table.column("t").to_numpy(), table.column("doc_id").to_numpy()
-        sets = sets_of(table.column("text").to_pylist())
-        some = np.array([len(s) > 0 for s in sets])
-        left, right = np.flatnonzero((t == i) & some), np.flatnonzero((t == j) & some)
-        edges = [(ids[a], ids[b]) for a, b in confirmed(sets, left, right, percent) if ids[a] != ids[b]] if len(left) and len(right) else []
-        if sum(map(len, sets)) > TILE_SHINGLES // 4:  # large temporaries
-            give_back()
-        return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
-
-    final = components(met.groupBy("component", "i", "j").applyInArrow(tile_pair, "a long, b long"))
+    anchor = likely(pairs, classes, least).groupBy("b").agg(F.min(F.struct(F.col("est") < percent / 100, "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
+    edges = cut(verified_anchors(cut(anchor, "anchors"), classes, texts, percent), "links")
+
+    def meeting(edges: DataFrame) -> DataFrame:
+        """Members, with the labels of linked classes, of the buckets in which several labels meet."""
+        labels = cut(components(edges), "labels")
+        named = members.join(labels, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("label"))
+        mixed = named.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("m")).filter("l0 <> l1")
+        mixed = cut(mixed.select("key", F.ceil(F.col("m") / BUCKET_TILE).cast("int").alias("tiles")), "mixed-buckets")
+        return named.join(mixed, "key")
+
+    # Crossings: the likeliest pair of each two labels.
+    likeliest = cut(crossings(meeting(edges), classes, least, percent, every=False).select("a", "b").distinct(), "crossings")
+    edges = edges.unionByName(cut(verified_pairs(likeliest, texts, percent), "links"))
+
+    # The rest: classes that still have likely partners under another label, in groups of labels that may be joined.
+    still = cut(crossings(meeting(edges), classes, least, percent, every=True), "still-open")
+    groups = components(still.filter("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    involved = still.filter("a = b").select(F.col("a").alias("doc_id"), "la").distinct().join(groups, F.col("la") == F.col("node")).select("doc_id", "component")
+    edges = edges.unionByName(cut(tiled(cut(involved, "involved"), classes, texts, percent), "links"))
+
+    # Ids with several texts join their classes.
+    twice = full.groupBy("doc_id").agg(F.min("digest").alias("d0"), F.max("digest").alias("d1")).filter("d0 <> d1").select("doc_id")
+    shared = full.join(twice, "doc_id", "left_semi").select("doc_id", "digest").distinct().join(classes.select("digest", "rep"), "digest")
+    final = components(edges.unionByName(shared.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
     by_class = classes.select("digest", "rep").join(final, F.col("rep") == F.col("node"), "left").select(F.col("digest").alias("d"), F.coalesce("component", "rep").alias("c"))
     joined = rows.join(by_class, (F.col("digest") == F.col("d")) & F.col("doc_id").isNotNull(), "left")
     component = F.coalesce("c", "doc_id")

@@ -85,6 +85,35 @@ def test_near_duplicates_of_large_groups(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == brute_components(rows, 85)
 
 
+def test_chains_are_settled_by_pairs(spark, monkeypatch):
+    """A long chain of small changes, and copies of one text: few full sets are left for the tiles."""
+    sent = []
+    tiled = neardup.tiled
+    monkeypatch.setattr(neardup, "tiled", lambda groups, *rest: sent.append(groups.count()) or tiled(groups, *rest))
+    rng = random.Random(7)
+    w = [f"c{k}" for k in range(120)]
+    rows = []
+    for i in range(250):
+        w = list(w)
+        w[rng.randrange(120)] = f"n{i}"
+        rows.append((i, " ".join(w)))
+    base = [f"d{k}" for k in range(120)]
+    for i in range(250):
+        copy = list(base)
+        copy[rng.randrange(120)] = f"m{i}"
+        rows.append((1000 + i, " ".join(copy)))
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_components(rows, 85)
+    assert sent[0] <= 50
+
+
+def test_ids_with_several_texts_are_one_document(spark):
+    a, b, c = ("the first text of seven words here", "another text with other words in it", "and a third one that nobody has")
+    rows = [(1, a), (3, b), (5, a), (5, b), (7, c), (8, c + " at"), (7, "unlike")]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (3, 1), (5, 1), (5, 1), (7, 7), (7, 7), (8, 8)]
+
+
 def test_near_duplicates_of_awkward_rows(awkward, empty):
     got = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in neardup.near_duplicates(awkward).collect()}
     assert got[(1, 3)] == (1, True) and got[(2, 3)] == (1, False)
