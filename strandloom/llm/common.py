@@ -8,11 +8,12 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strandloom.lineage import cut
 from strandloom.operators.graph import components
 
-__all__ = ["batches", "components", "cut", "finite_vector", "table", "whole"]
+__all__ = ["batches", "components", "cut", "finite_vector", "numbered", "table", "whole"]
 
 #: Rows of an Arrow batch of texts: some megabytes, on both sides of the pipe.
 BATCH_ROWS = 1000
@@ -48,6 +49,20 @@ def batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     return df.mapInArrow(task, schema)
 
 
+def numbered(df: DataFrame, key: Column, order: list[Column], name: str, rows: int = 100_000) -> DataFrame:
+    """Adds ``name``, a number of its own from 0 on, to every row, in the order of a hash of ``key`` and then of ``order``.
+
+    Rows are numbered within ranges of the hash, of about ``rows`` rows each; counts of the ranges before give the first.
+    """
+    hashed = df.withColumn("__h", F.xxhash64(key))
+    bits = max(4, (df.count() // rows).bit_length())
+    hashed = hashed.withColumn("__b", F.shiftrightunsigned("__h", 64 - bits))
+    counts = cut(hashed.groupBy("__b").count(), "range-counts")  # one row a range
+    before = counts.select(F.col("__b").alias("__b2"), (F.sum("count").over(Window.orderBy("__b")) - F.col("count")).alias("__first"))
+    number = F.row_number().over(Window.partitionBy("__b").orderBy("__h", *order)) - 1 + F.col("__first")
+    return hashed.join(before, F.col("__b") == F.col("__b2")).withColumn(name, number.cast("bigint")).drop("__h", "__b", "__b2", "__first")
+
+
 def whole(df: DataFrame) -> Column:
     """All columns of a row as one struct, so that an operator's own columns can't clash with them."""
     return F.struct(*(F.col(f"`{c}`").alias(c) for c in df.columns)).alias("row")

@@ -23,12 +23,16 @@ from pyspark.sql.types import DoubleType
 from .common import batches, cut
 from .shingles import mix, word_hashes
 
-#: Labelled rows that the document model is fitted on at most (the smallest hashes of their ids): half for the n-grams, half for the logistic model.
+#: Labelled rows that the document model is fitted on at most (the smallest hashes of their ids).
 SAMPLE_ROWS = 20_000
 #: Site tables up to this many rows are broadcast; larger ones are joined by shuffle, whose hot keys Spark splits.
 BROADCAST_SITES = 20_000
 #: Buckets of words, pairs of words and runs of three bytes.
 BUCKETS = (1 << 14, 1 << 14, 1 << 12)
+#: n-grams of no opinion that every text is taken to have beside its own.
+FEW = 8
+#: Ridge penalty of the logistic model.
+RIDGE = 0.02
 #: Weight of a text that every bucket is taken to have had in either class.
 PRIOR = 0.05
 COUNTS = ("upper", "symbols", "pipes", "echo", "digits", "word_length", "log_words")
@@ -112,28 +116,27 @@ def bucket_weights(texts: list[str | None], good: np.ndarray) -> np.ndarray:
 
 
 def features(texts: list[str | None], tables: np.ndarray) -> np.ndarray:
-    """(texts, FEATURES); ``tables``: log ratios of all buckets, nan where no labelled text had one. Null texts count as empty, which have zeros."""
+    """(texts, FEATURES); ``tables``: each bucket's log ratio, and whether it is new (no labelled text had it). Null texts count as empty, which have zeros."""
     sums, counted, plain = np.zeros((len(texts), 6)), np.zeros((len(texts), 3)), np.zeros((len(texts), 7))
     for raw, start, owner in pieces(texts):
         own, families, _ = grams(raw, start)
         np.add.at(plain, owner, own)
         base = 0
         for k, ((bucket, first, ok), width) in enumerate(zip(families, BUCKETS, strict=True)):
-            value = tables[base : base + width][bucket]
-            new = np.isnan(value) & ok
-            np.add.at(sums[:, k], owner, _total(np.where(ok & ~new, value, 0), first))
-            np.add.at(sums[:, 3 + k], owner, _total(new.astype(float), first))
+            ratio, new = tables[:, base : base + width]
+            np.add.at(sums[:, k], owner, _total(np.where(ok, ratio[bucket], 0), first))
+            np.add.at(sums[:, 3 + k], owner, _total(np.where(ok, new[bucket], 0), first))
             np.add.at(counted[:, k], owner, _total(ok.astype(float), first))
             base += width
     upper, symbols, pipes, digits, echo, words, size = plain.T
     n, w = np.maximum(size, 1), np.maximum(words, 1)
-    means = sums / np.maximum(np.tile(counted, 2), 1)
+    means = sums / (np.tile(counted, 2) + FEW)  # a few n-grams say little
     return np.column_stack([means, upper / n, symbols / w, pipes / w, echo / w, digits / n, np.minimum(n / w / 20, 1), np.log1p(words) / 12])
 
 
 @dataclass(frozen=True)
 class DocumentModel:
-    """Logistic weights over FEATURES, intercept first, and the buckets' log ratios (float32); without labels it says 0.5 of every text."""
+    """Logistic weights over FEATURES, intercept first, and the tables of ``features`` (float32); without labels it says 0.5 of every text."""
 
     weights: tuple[float, ...] = (0.0,) * (1 + len(FEATURES))
     tables: bytes = b""
@@ -141,7 +144,7 @@ class DocumentModel:
     def probabilities(self, texts: list[str | None]) -> np.ndarray:
         """P(good) of each text, between 0.0001 and 0.9999; 0.0001 for null texts and texts of white space alone."""
         w = np.array(self.weights)
-        tables = np.frombuffer(self.tables, np.float32) if self.tables else np.full(sum(BUCKETS), np.nan, np.float32)
+        tables = np.frombuffer(self.tables, np.float32).reshape(2, -1) if self.tables else np.zeros((2, sum(BUCKETS)), np.float32)
         score = w[0] + features(texts, tables) @ w[1:]
         p = 1 / (1 + np.exp(-np.clip(score, -9.2, 9.2)))
         blank = np.array([not t or t.isspace() for t in texts], bool)
@@ -161,7 +164,7 @@ def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Weights (intercept first) of a ridge logistic model by damped Newton steps, on standardised columns."""
     mean, std = x.mean(0), np.maximum(x.std(0), 1e-6)
     z = np.column_stack([np.ones(len(x)), (x - mean) / std])
-    w, ridge = np.zeros(z.shape[1]), np.full(z.shape[1], 0.5)
+    w, ridge = np.zeros(z.shape[1]), np.full(z.shape[1], RIDGE)
     ridge[0] = 1e-3
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
@@ -174,14 +177,15 @@ def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def log_ratios(weights: np.ndarray) -> np.ndarray:
-    """Log ratio of each bucket's share among good and bad texts; nan where neither had it."""
-    out, base = np.full(weights.shape[1], np.nan, np.float32), 0
+    """(log ratio of each bucket's share among good and bad texts, whether it is new: neither had it); 0 for new ones."""
+    out, base = np.zeros((2, weights.shape[1]), np.float32), 0
     for width in BUCKETS:
         own = weights[:, base : base + width]
         share = (own + PRIOR) / (own.sum(axis=1, keepdims=True) + PRIOR * width)
         neutral = np.log(PRIOR / (own[1].sum() + PRIOR * width)) - np.log(PRIOR / (own[0].sum() + PRIOR * width))
-        seen = own.sum(axis=0) > 0
-        out[base : base + width][seen] = (np.log(share[1]) - np.log(share[0]) - neutral)[seen]
+        new = own.sum(axis=0) == 0
+        out[0, base : base + width] = np.where(new, 0, np.log(share[1]) - np.log(share[0]) - neutral)
+        out[1, base : base + width] = new
         base += width
     return out
 
@@ -190,32 +194,40 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> D
     """Fits the document model on the ``sample_rows`` labelled documents whose hashed ids are smallest.
 
     An id with several labels has the largest, an id with several texts all of them. The sample's texts are written once;
-    one half of its ids gives the buckets their ratios, the other the logistic weights. Without labels of both kinds in
-    both halves the model says 0.5. To the driver come bucket sums of a few tasks and FEATURES of the sample's rows.
+    the logistic weights are fitted on each half's features by the bucket ratios of the other half, and used with the means
+    of both tables. Without labels of both kinds in both halves the model says 0.5. To the driver come bucket sums of a few tasks
+    and FEATURES of the sample's rows.
     """
     chosen = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     half = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(2)).cast("int").alias("half")
     seen = cut(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select((F.col("y") > 0).cast("int").alias("y"), half, F.col("text").cast("string").alias("text")).coalesce(8), "quality-sample")
 
     def sums(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, sum(BUCKETS)))
+        total = np.zeros((2, 2, sum(BUCKETS)))  # half, class, bucket
         for b in it:
-            total += bucket_weights(b.column(1).to_pylist(), b.column(0).to_numpy())
+            half = b.column(0).to_numpy()
+            for k in (0, 1):
+                own = b.filter(pa.array(half == k))
+                total[k] += bucket_weights(own.column(2).to_pylist(), own.column(1).to_numpy())
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["w"])
 
     def rows(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(features(b.column(1).to_pylist(), tables)), pa.list_(pa.float64()))], ["y", "x"])
-
-    weights = np.zeros((2, sum(BUCKETS)))
-    for r in batches(seen.filter("half = 0").select("y", "text"), sums, "w binary").collect():  # one row a task of the bounded sample
+            half = b.column(0).to_numpy()
+            for k in (0, 1):  # by the ratios of the other half
+                own = b.filter(pa.array(half == k))
+                yield pa.RecordBatch.from_arrays([own.column(1), pa.array(list(features(own.column(2).to_pylist(), tables[1 - k])), pa.list_(pa.float64()))], ["y", "x"])
+
+    columns = seen.select("half", "y", "text")
+    weights = np.zeros((2, 2, sum(BUCKETS)))
+    for r in batches(columns, sums, "w binary").collect():  # one row a task of the bounded sample
         weights += np.frombuffer(r["w"]).reshape(weights.shape)
-    tables = log_ratios(weights)
-    got = sorted((r["y"], *r["x"]) for r in batches(seen.filter("half = 1").select("y", "text"), rows, "y int, x array<double>").collect())  # at most sample_rows rows
+    tables = [log_ratios(w) for w in weights]
+    got = sorted((r["y"], *r["x"]) for r in batches(columns, rows, "y int, x array<double>").collect())  # at most sample_rows rows
     data = np.array(got, dtype=np.float64).reshape(len(got), 1 + len(FEATURES))
-    if not weights.sum(axis=1).all() or len(set(data[:, 0].tolist())) < 2:
+    if not weights.sum(axis=2).all():
         return DocumentModel()
-    return DocumentModel(tuple(map(float, logistic(data[:, 1:], data[:, 0]))), tables.tobytes())
+    return DocumentModel(tuple(map(float, logistic(data[:, 1:], data[:, 0]))), ((tables[0] + tables[1]) / 2).tobytes())
 
 
 @dataclass(frozen=True)

@@ -319,8 +319,8 @@ def test_document_evidence_equals_brute_force():
     got = quality.features(texts, tables)
     for t, x in zip(texts, got, strict=True):
         own = grams(t)
-        want = [sum(r.get(g, 0) for g in o) / max(len(o), 1) for o, r in zip(own, ratios, strict=True)]
-        want += [sum(g not in r for g in o) / max(len(o), 1) for o, r in zip(own, ratios, strict=True)]
+        want = [sum(r.get(g, 0) for g in o) / (len(o) + quality.FEW) for o, r in zip(own, ratios, strict=True)]
+        want += [sum(g not in r for g in o) / (len(o) + quality.FEW) for o, r in zip(own, ratios, strict=True)]
         raw, w = (t or "").encode(), max(len(own[0]), 1)
         n = max(len(raw), 1)
         have = lambda chars: sum(c in chars for c in raw)  # noqa: E731, B023
