@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.llm import bpe, mixing, neardup, pii, quality
-from strandloom.llm.common import cut, table
+from strandloom.llm.common import cut, numbered, table
 from strandloom.llm.queries import VOCABULARY
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -19,33 +19,70 @@ NEAR_PERCENT = 80
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier keeps."""
+    """The rows that the quality classifier keeps, fitted on the labels of ``sf_dir``.
+
+    Null, empty and blank texts are rejected; without labels all others stay. Null sources and languages are sites of
+    their own. Texts are judged whole, however long; equal rows alike, none is lost. Columns beside those of documents
+    are left out, whatever their names; an empty table gives no rows.
+    """
     return quality.keep_good(docs.select(COLUMNS), quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near-duplicates."""
+    """One row of each group of near-duplicates: that with the smallest id.
+
+    Every row with a text of its own counts: where an id has several rows, or is null, equal texts of one id are one row
+    (that with the smallest other columns, nulls first), and different texts are compared like any documents: when a
+    group's smallest is sought, the first of them by a hash has the id's place, and the others come after all ids. Null
+    and empty texts link with nothing. Texts are compared whole, however long. Columns beside those of documents are left out,
+    whatever their names; an empty table gives no rows.
+    """
     docs = docs.select(COLUMNS)
-    gone = neardup.near_duplicates(docs, NEAR_PERCENT).filter("not kept").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
-    # Repeated rows of one id are copies too: one stays. Rows without an id can't be told apart and stay.
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    shared = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 or doc_id is null").select("doc_id")
+    shared = cut(shared, "shared-ids")
+    rows = docs.withColumn("node", F.col("doc_id"))
+    if not shared.isEmpty():
+        same = F.col("doc_id").eqNullSafe(F.col("s"))
+        by = shared.select(F.col("doc_id").alias("s"))
+        rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+        several = docs.join(by, same, "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("rest"))
+        several = numbered(cut(several, "shared-id-rows"), F.struct("doc_id", "text"), [F.col("doc_id"), F.col("text")], "number")
+        last = docs.agg(F.max("doc_id").alias("m")).first()["m"]
+        several = cut(several.select("doc_id", "text", "rest.*", "number"), "numbered-rows")
+        head = several.groupBy(F.col("doc_id").alias("h")).agg(F.min("number").alias("least")).filter("h is not null")
+        several = several.join(head, (F.col("doc_id") == F.col("h")) & (F.col("number") == F.col("least")), "left")
+        node = F.when(F.col("h").isNotNull(), F.col("doc_id")).otherwise(F.col("number") + (0 if last is None else last + 1))
+        rows = rows.join(by, same, "left_anti").unionByName(several.select(*COLUMNS, node.alias("node")))
+    found = neardup.near_duplicates(rows.select(F.col("node").alias("doc_id"), "text"), NEAR_PERCENT)
+    gone = found.filter("not kept").select(F.col("doc_id").alias("node")).distinct()
+    return rows.join(gone, "node", "left_anti").select(COLUMNS)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their personal data replaced by its kind; n_chars follows the text."""
-    docs = docs.select(COLUMNS)
-    found = pii.with_spans(docs.select("text")).select("__cand").filter(F.size("__cand") > 0)  # read once, by the counts
-    return pii.redact(docs, pii.train(found)).withColumn("n_chars", F.length("text").cast("bigint"))
+    """All rows, the personal data of their texts replaced by its kind; n_chars follows the text.
+
+    Null texts stay null (and have a null n_chars), empty ones empty. Texts are searched whole, however long; equal rows
+    are treated alike and stay repeated. Columns beside those of documents are left out, whatever their names; an empty
+    table gives no rows.
+    """
+    return pii.redact(docs.select(COLUMNS)).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mix of their sources."""
+    """All rows, in the order of the mix of their sources.
+
+    Null sources are one source; null and repeated ids are rows like others; equal rows stay repeated and lie together.
+    Texts play no part. Columns beside those of documents are left out, whatever their names; an empty table gives no rows.
+    """
     return mixing.mixed(docs.select(COLUMNS))
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's ids, as packed integers, with their number and the digest of the text decoded from them."""
+    """Every row's ids, as packed integers, with their number and the digest of the text decoded from them.
+
+    Null texts count as empty: no ids. Texts are encoded whole, however long; equal rows stay repeated. Columns beside
+    doc_id, source and text are left out, whatever their names; an empty table gives no rows.
+    """
     out = bpe.encode_decode(docs.select("doc_id", "source", "text"), VOCABULARY)
     return out.select("doc_id", "source", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
