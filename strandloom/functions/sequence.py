@@ -16,7 +16,12 @@ def window(seq: Column, start: Column, width: int | Column) -> Column:
     return F.when(start < 0, F.lit("")).otherwise(F.substring(seq, (start + 1).cast("int"), width))
 
 
-def splice_motif(seq: Column, donor: Column, acceptor: Column, strand: Column) -> Column:
+def motif_of(after_donor: Column, before_acceptor: Column, strand: Column) -> Column:
     """The two bases after the donor and the two before the acceptor, on the transcript's strand; NNNN without sequence."""
-    four = F.upper(F.concat(window(seq, donor, 2), window(seq, acceptor - 2, 2)))
+    four = F.upper(F.concat(after_donor, before_acceptor))
     return F.coalesce(F.when(strand == "-", reverse_complement(four)).otherwise(four), F.lit("NNNN"))
+
+
+def splice_motif(seq: Column, donor: Column, acceptor: Column, strand: Column) -> Column:
+    """``motif_of`` for positions on one whole sequence."""
+    return motif_of(window(seq, donor, 2), window(seq, acceptor - 2, 2), strand)

@@ -21,7 +21,9 @@ def containment(tx: DataFrame, terminal_only: bool = True, minimal_superset: boo
     strand, chain): children whose chain equals one of them are passed over. near_tss / near_tes: transcripts (tx)
     with a known end nearby; where child or parent has one, their ends must lie within ``window``.
 
-    Children with junctions meet parents through their first junction (an equi-join), so unrelated chains never pair.
+    Children with junctions meet parents through their first junction (an equi-join), so unrelated chains never pair. A
+    child without junctions meets its group's shortest chains; only where all supersets are asked for, or known ends
+    decide, does it meet every chain of the group.
     """
     base = tx.select(*GROUP, "tx", "chain", "lo", "hi")
     if near_tss is not None:
@@ -39,7 +41,13 @@ def containment(tx: DataFrame, terminal_only: bool = True, minimal_superset: boo
     inside = contiguous(F.col("c_chain"), F.col("p_chain")) if terminal_only else F.size(F.array_except("c_chain", "p_chain")) == 0
     opened = parent.withColumn("p_j", F.explode("p_chain"))
     chained = child.filter(F.size("c_chain") > 0).withColumn("c_j", F.get("c_chain", F.lit(0))).join(opened, same & (F.col("c_j") == F.col("p_j")) & longer & inside).drop("c_j", "p_j")
-    bare = child.filter(F.size("c_chain") == 0).join(parent.filter(F.size("p_chain") > 0), same)
+    holders = parent.filter(F.size("p_chain") > 0)
+    if minimal_superset and near_tss is None and near_tes is None:
+        # A chain-less child's minimal supersets are its group's shortest chains: no others meet it.
+        least = holders.groupBy(*(F.col(f"p_{c}").alias(f"l_{c}") for c in GROUP)).agg(F.min(F.size("p_chain")).alias("l_size"))
+        here = F.col("p_gene").eqNullSafe(F.col("l_gene")) & (F.col("p_chrom") == F.col("l_chrom")) & (F.col("p_strand") == F.col("l_strand"))
+        holders = holders.join(least, here & (F.size("p_chain") == F.col("l_size")), "left_semi")
+    bare = child.filter(F.size("c_chain") == 0).join(holders, same)
     edges = chained.unionByName(bare)
     plus = F.col("c_strand") == "+"
     if near_tss is not None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandloom.functions.coords import safe_fraction
+from strandloom.lineage import cut
 
 GROUP = ("gene", "chrom", "strand")
 
@@ -25,7 +26,7 @@ def dense(expr: DataFrame, keys: DataFrame, samples: list) -> DataFrame:
 def cpm(expr: DataFrame) -> DataFrame:
     """Adds cpm: a million times the value over its sample's total, 0 for an empty sample. Totals are one row a sample."""
     totals = expr.groupBy("sample").agg(F.sum("value").alias("total"))
-    return expr.join(F.broadcast(totals), "sample").select("tx", "sample", "value", F.when(F.col("total") > 0, F.lit(1e6) * F.col("value") / F.col("total")).otherwise(F.lit(0.0)).alias("cpm"))
+    return expr.join(totals, "sample").select("tx", "sample", "value", F.when(F.col("total") > 0, F.lit(1e6) * F.col("value") / F.col("total")).otherwise(F.lit(0.0)).alias("cpm"))
 
 
 def low_expression(expr: DataFrame, min_cpm: float = 0.5, min_samples: float = 3) -> DataFrame:
@@ -33,16 +34,30 @@ def low_expression(expr: DataFrame, min_cpm: float = 0.5, min_samples: float = 3
     return cpm(expr).groupBy("tx").agg(F.sum((F.col("cpm") >= min_cpm).cast("int")).alias("n")).filter(F.col("n") < min_samples).select("tx")
 
 
+def _with_total(rows: DataFrame) -> DataFrame:
+    """Adds the sum of value by group and sample; rows without a gene are one group.
+
+    Sums are combined on the map side and written, so that Spark splits a hot group's rows in the join back; the rows
+    without a gene, however many, get theirs from one number a sample.
+    """
+    keys = [*GROUP, "sample"]
+    sums = cut(rows.groupBy(*keys).agg(F.sum("value").alias("total")), "group-totals")
+    known = rows.filter("gene is not null").join(sums, keys)
+    bare = sums.filter("gene is null").select(*(F.col(k).alias(f"__{k}") for k in keys), "total")
+    same = F.col("sample").eqNullSafe(F.col("__sample")) & F.col("chrom").eqNullSafe(F.col("__chrom")) & F.col("strand").eqNullSafe(F.col("__strand"))
+    unknown = rows.filter("gene is null").join(bare, same).drop(*(f"__{k}" for k in keys))
+    return known.unionByName(unknown)
+
+
 def fractions(expr: DataFrame, tx: DataFrame) -> DataFrame:
     """Adds the group's total and the row's fraction of it, by sample."""
-    rows = expr.join(tx.select("tx", *GROUP), "tx", "left")
-    total = F.sum("value").over(Window.partitionBy(*GROUP, "sample"))
-    return rows.withColumn("total", total).withColumn("fraction", safe_fraction(F.col("value").cast("double"), F.col("total")))
+    rows = _with_total(expr.join(tx.select("tx", *GROUP), "tx", "left"))
+    return rows.withColumn("fraction", safe_fraction(F.col("value").cast("double"), F.col("total")))
 
 
 def protected(expr: DataFrame, tx: DataFrame, min_fraction: float = 0.1, min_samples: int = 2) -> DataFrame:
     """tx with at least ``min_fraction`` of their group in at least ``min_samples`` samples; unknown transcripts never."""
-    rows = fractions(expr, tx).filter(F.col("gene").isNotNull() & (F.col("fraction") >= min_fraction))
+    rows = fractions(expr.join(tx.filter("gene is not null").select("tx"), "tx", "left_semi"), tx).filter(F.col("fraction") >= min_fraction)
     return rows.groupBy("tx").agg(F.count("*").alias("n")).filter(F.col("n") >= min_samples).select("tx")
 
 
@@ -50,9 +65,8 @@ def dominance(expr: DataFrame, tx: DataFrame, samples: list | None = None) -> Da
     """By group and sample: the largest fraction, and how many transcripts have at least 10, 5 and 1 % of it."""
     samples = samples_of(expr) if samples is None else samples
     known = expr.select("tx").distinct().join(tx.select("tx", *GROUP), "tx", "left")
-    rows = dense(expr, known, samples)
-    total = F.sum("value").over(Window.partitionBy(*GROUP, "sample"))
-    rows = rows.withColumn("fraction", safe_fraction(F.col("value"), total))
+    rows = _with_total(dense(expr, known, samples))
+    rows = rows.withColumn("fraction", safe_fraction(F.col("value"), F.col("total")))
     return rows.groupBy(*GROUP, "sample").agg(F.max("fraction").alias("top_fraction"), *(F.sum((F.col("fraction") >= t / 100).cast("int")).alias(f"n_ge_{t}") for t in (10, 5, 1)))
 
 
@@ -126,12 +140,12 @@ def round_preserve_sum(values: DataFrame, method: str = "nearest") -> DataFrame:
     x = F.when(F.isnan("value") | (F.col("value") < 0), F.lit(0.0)).otherwise(F.coalesce("value", F.lit(0.0)))
     rows = values.select("tx", "sample", "value", x.alias("x")).withColumn("base", (F.ceil("x") if method == "ceil" else F.floor("x")).cast("bigint"))
     diff = F.bround(F.sum(F.when(~F.isnan("value"), F.col("value")).otherwise(0.0)) - F.sum("base"), 0).cast("bigint")
-    rows = rows.join(F.broadcast(rows.groupBy("sample").agg(diff.alias("diff"))), "sample")  # one row a sample
+    rows = rows.join(rows.groupBy("sample").agg(diff.alias("diff")), "sample")  # one row a sample
     rest = F.col("x") - F.col("base")
     rows = rows.withColumn("r", F.when(F.col("diff") >= 0, -rest).otherwise(rest)).withColumn("u", F.floor(F.col("r") * SLICES).cast("int"))
     upto = F.sum("n").over(Window.partitionBy("sample").orderBy("u"))
     slices = rows.groupBy("sample", "u").agg(F.count("*").alias("n")).withColumn("upto", upto)  # at most 2 * SLICES + 1 rows a sample
-    rows = rows.join(F.broadcast(slices), ["sample", "u"])
+    rows = rows.join(slices, ["sample", "u"])
     need, before = F.abs("diff"), F.col("upto") - F.col("n")
     edge = (before < need) & (F.col("upto") > need)
     rank = F.row_number().over(Window.partitionBy("sample", "u").orderBy("r", "tx"))

@@ -70,6 +70,15 @@ def junction_pairs(tx: DataFrame) -> DataFrame:
     return a.join(b, [*GROUP, "j"]).filter("a < b").groupBy(*GROUP, "a", "b", "size_a", "size_b").agg(F.count("*").alias("shared"))
 
 
+def junction_stars(tx: DataFrame) -> DataFrame:
+    """Edges (a, b): each transcript and the smallest of its group with the same junction. Their components are those of
+    all pairs that share a junction, without the pairs."""
+    rows = tx.select(*GROUP, "tx", F.explode(F.array_distinct("chain")).alias("j"))
+    # Written: the join then has a shuffle of its own, in which Spark splits a common junction's rows.
+    first = cut(rows.groupBy(*GROUP, "j").agg(F.min("tx").alias("b"), F.max("tx").alias("z")).filter("b <> z").drop("z"), "junctions")
+    return rows.join(first, [*GROUP, "j"]).filter("tx <> b").select(F.col("tx").alias("a"), "b")
+
+
 def linked(pairs: DataFrame, mode: str = "any_shared", min_shared: int = 1, min_jaccard: float = 0.5, strong: int = 2, weak: float = 0.15) -> DataFrame:
     """Those of ``junction_pairs`` that ``mode`` links."""
     j = safe_fraction(F.col("shared").cast("double"), F.col("size_a") + F.col("size_b") - F.col("shared"))
@@ -90,7 +99,8 @@ def clusters(tx: DataFrame, mode: str = "any_shared", **options) -> DataFrame:
     if mode == "exact":
         groups = base.groupBy(*GROUP, "set").agg(F.min("tx").alias("cluster_id"), F.count("*").alias("cluster_size"))
         return base.join(groups, [*GROUP, "set"]).select("tx", *GROUP, "cluster_id", "cluster_size")
-    found = components(linked(junction_pairs(tx), mode, **options).select("a", "b"))
+    edges = junction_stars(tx) if mode == "any_shared" and options.get("min_shared", 1) == 1 else linked(junction_pairs(tx), mode, **options).select("a", "b")
+    found = components(edges)
     rows = base.join(found, F.col("tx") == F.col("node"), "left").select("tx", *GROUP, F.coalesce("component", "tx").alias("cluster_id"))
     sizes = rows.groupBy("cluster_id").agg(F.count("*").alias("cluster_size"))
     return rows.join(sizes, "cluster_id").select("tx", *GROUP, "cluster_id", "cluster_size")

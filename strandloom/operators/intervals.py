@@ -2,7 +2,8 @@
 
 Spark has no range join: an overlap predicate alone is a nested loop. Here both sides are cut at the borders of fixed
 bins and joined on (chromosome, bin); a pair is kept only in the bin where its overlap begins, so there is nothing to
-make distinct. Long intervals take several bins, so the bin width should be near the longer side's usual length.
+make distinct. Long intervals take several bins, so the bin width should be near the longer side's usual length:
+``bin_width`` measures it.
 """
 
 from __future__ import annotations
@@ -20,6 +21,12 @@ def binned(df: DataFrame, start: Column, end: Column, width: int = BIN) -> DataF
     return df.filter(end > start).withColumn("__bin", F.explode(F.sequence(first, last)))
 
 
+def bin_width(df: DataFrame, least: int = BIN, most: int = 1 << 24) -> int:
+    """A power of two near the length that nine in ten intervals of ``df`` stay below; one number comes to the driver."""
+    long = df.agg(F.percentile_approx(F.col("end0") - F.col("start0"), 0.9, 1000).alias("w")).first()["w"]
+    return max(least, min(most, 1 << int(long or 0).bit_length()))
+
+
 def interval_join(a: DataFrame, b: DataFrame, extra: Column | None = None, keys: tuple[str, ...] = ("chrom",), how: str = "inner", width: int = BIN) -> DataFrame:
     """Pairs of rows of ``a`` (columns prefixed a_) and ``b`` (b_) that share at least one base, equal on ``keys``.
 

@@ -29,7 +29,11 @@ def keep_percentile(rows: DataFrame, pct: float = 98.0, min_keep: int = 1) -> Da
 
 
 def cumulative_keep(values: DataFrame, fraction: float) -> Column:
-    """Whether a row of (cluster_id, sample, tx, value) is in the smallest prefix, by value, that reaches ``fraction`` of its total."""
+    """Whether a row of (cluster_id, sample, tx, value) is in the smallest prefix, by value, that reaches ``fraction`` of its total.
+
+    Where rounding leaves the last running sum below the mark, all rows are in; some tools keep one row then, which is
+    an accident of theirs and not followed.
+    """
     by = Window.partitionBy("cluster_id", "sample")
     v = F.greatest("value", F.lit(0.0))
     before = F.sum(v).over(by.orderBy(F.desc(v), "tx").rowsBetween(Window.unboundedPreceding, -1))

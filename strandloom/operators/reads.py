@@ -17,16 +17,16 @@ def primary(flag: Column) -> Column:
 
 
 def portable_hash(read_id: Column, seed: int) -> Column:
-    """A number in [0, 2**32) from an integer id: the same in every engine with 64-bit integers."""
-    return (read_id % 1_000_003 * 2_654_435 + seed * 7919 + read_id % 7_919 * 40_503) % 4_294_967_296
+    """A hexadecimal hash of an id of any type with the seed, the same in every engine that has MD5."""
+    return F.md5(F.concat(read_id.cast("string"), F.lit(f":{seed}")).cast("binary"))
 
 
 def reservoir_cap(reads: DataFrame, cap: int = 50_000, seed: int = 4232, mito: str | None = None, keys: tuple[str, ...] = ()) -> DataFrame:
     """Primary reads, of the mitochondrion at most ``cap`` by ``keys`` (all together without): those with the smallest hashes.
 
     mito: the contig; else the first of MITO that occurs. Without one the reads stay as they are, secondary ones too.
-    The choice depends on ids and seed alone, not on partitions. Without keys the cap is a global top-n, merged from
-    each partition's own.
+    The choice depends on ids (names or numbers) and seed alone, not on partitions. Counts by 65,536 ranges of the hash
+    tell in which range the cap is reached; whole ranges before it stay, and only that one's reads are ranked.
     """
     if mito is None:
         present = {r["chrom"] for r in reads.filter(F.col("chrom").isin(*MITO)).select("chrom").distinct().collect()}
@@ -34,12 +34,47 @@ def reservoir_cap(reads: DataFrame, cap: int = 50_000, seed: int = 4232, mito: s
         if mito is None:
             return reads
     kept = reads.filter(primary(F.col("flag")))
-    on = kept.filter(F.col("chrom") == mito).withColumn("__h", portable_hash(F.col("read_id"), seed))
+    on = kept.filter(F.col("chrom") == mito).withColumn("__h", F.coalesce(portable_hash(F.col("read_id"), seed), F.lit("g")))
+    on = on.withColumn("__u", F.substring("__h", 1, 4))
+    counts = on.groupBy(*keys, "__u").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("__u"))
+    edge = counts.withColumn("upto", upto).filter((F.col("upto") >= cap) & (F.col("upto") - F.col("n") < cap))
+    room = F.lit(cap) - F.col("upto") + F.col("n")
     if keys:
-        on = on.withColumn("__r", F.row_number().over(Window.partitionBy(*keys).orderBy("__h", "read_id"))).filter(F.col("__r") <= cap).drop("__r")
+        edge = edge.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("__u").alias("__edge"), room.alias("__room"))
+        same = F.lit(True)
+        for k in keys:
+            same &= F.col(k).eqNullSafe(F.col(f"__{k}"))
+        on = on.join(edge, same, "left")
     else:
-        on = on.orderBy("__h", "read_id").limit(cap)
-    return kept.filter((F.col("chrom") != mito) | F.col("chrom").isNull()).unionByName(on.drop("__h"))
+        found = edge.select("__u", room.alias("room")).first()  # one row
+        on = on.withColumns({"__edge": F.lit(found["__u"] if found else None).cast("string"), "__room": F.lit(found["room"] if found else 0)})
+    full = on.filter(F.col("__edge").isNull() | (F.col("__u") < F.col("__edge")))
+    rank = F.row_number().over(Window.partitionBy(*keys, "__u").orderBy("__h", "read_id"))
+    last = on.filter(F.col("__u") == F.col("__edge")).withColumn("__r", rank).filter(F.col("__r") <= F.col("__room"))
+    chosen = full.select(*reads.columns).unionByName(last.select(*reads.columns))
+    return kept.filter((F.col("chrom") != mito) | F.col("chrom").isNull()).unionByName(chosen)
+
+
+def drop_singletons(features: DataFrame, depth: str = "depth", key: str = "tx") -> DataFrame:
+    """All features but those of transcripts with a row whose depth is exactly 1; a missing depth drops nothing."""
+    once = features.filter(F.col(depth) == 1).select(F.col(key).alias("__once")).distinct()
+    return features.join(once, F.col(key) == F.col("__once"), "left_anti")
+
+
+def on_chromosomes(rows: DataFrame, pattern: str = r"^chr([0-9]+|[XY])$") -> DataFrame:
+    """Rows whose chromosome fits ``pattern``, capitals or not."""
+    return rows.filter(F.col("chrom").rlike(f"(?i){pattern}"))
+
+
+def covered(pileup: DataFrame, min_depth: int = 1) -> DataFrame:
+    """Positions of a pileup (chrom, pos, depth, ...) with a depth of at least ``min_depth``."""
+    return pileup.filter(F.col("depth") >= min_depth)
+
+
+def called_variants(pileup: DataFrame, min_coverage: int = 20, min_reads2: int = 4) -> DataFrame:
+    """Positions (depth, reads2: reads of the variant) with enough coverage and enough reads of the variant."""
+    return pileup.filter((F.col("depth") >= min_coverage) & (F.col("reads2") >= min_reads2))
 
 
 def _place() -> Column:
@@ -64,6 +99,22 @@ def modal_ends(points: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return counts.groupBy(*keys).agg(F.max(F.struct("n", (-F.col("pos")).alias("p"))).alias("top"), F.count("*").alias("n_pos")).select(*keys, (-F.col("top.p")).alias("pos"), F.col("top.n").alias("n"), "n_pos")
 
 
+def with_modal_ends(tx: DataFrame, starts: DataFrame, ends: DataFrame, key: str = "tx") -> DataFrame:
+    """Transcripts (key, strand, lo, hi) with the modal transcription start and end (key, pos as ``coords.tss`` and ``tes`` give it) in place of their own.
+
+    Where a mode is missing, or lies beyond the transcript's other end, that end stays. Adds nothing and drops nothing.
+    """
+    one = lambda df, name: df.select(F.col(key).alias(f"__{name}"), F.col("pos").alias(f"__{name}_pos"))
+    rows = tx.join(one(starts, "tss"), F.col(key) == F.col("__tss"), "left").join(one(ends, "tes"), F.col(key) == F.col("__tes"), "left")
+    minus = F.col("strand") == "-"
+    lo = F.when(minus, F.col("__tes_pos")).otherwise(F.col("__tss_pos"))
+    hi = F.when(minus, F.col("__tss_pos")).otherwise(F.col("__tes_pos"))
+    rows = rows.withColumns({"__lo": F.coalesce(lo, "lo"), "__hi": F.coalesce(hi, "hi")})
+    right = F.col("__lo") < F.col("__hi")
+    moved = {"lo": F.when(right, F.col("__lo")).otherwise(F.col("lo")), "hi": F.when(right, F.col("__hi")).otherwise(F.col("hi"))}
+    return rows.select(*((moved[c].alias(c) if c in moved else F.col(f"`{c}`")) for c in tx.columns))
+
+
 def flagstat(reads: DataFrame) -> DataFrame:
     """Counts by sample: total, primary, secondary, supplementary, mapped, primary mapped."""
     has = lambda bit: F.col("flag").bitwiseAND(bit) != 0

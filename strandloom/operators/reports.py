@@ -46,6 +46,16 @@ def sequence_stats(lengths: DataFrame) -> DataFrame:
     return base.join(n50, "sample")
 
 
+def quality_shares(reads: DataFrame) -> DataFrame:
+    """By sample over (sample, qual): percent of bases with a quality of at least 20 and 30 (offset 33), and the mean quality's error as -10 log10; null without bases."""
+    n = F.length("qual")
+    at_least = lambda q: F.length(F.regexp_replace("qual", f"[^{chr(33 + q)}-~]", ""))
+    error = F.aggregate(F.split("qual", ""), F.lit(0.0), lambda a, c: a + F.when(c != "", F.pow(F.lit(10.0), -(F.ascii(c) - 33) / 10)).otherwise(0.0))
+    sums = reads.filter("qual is not null").groupBy("sample").agg(F.sum(n).alias("n"), F.sum(at_least(20)).alias("q20"), F.sum(at_least(30)).alias("q30"), F.sum(error).alias("e"))
+    pct = lambda c: F.round(F.when(F.col("n") > 0, F.col(c) / F.col("n") * 100), 2)
+    return sums.select("sample", pct("q20").alias("q20_pct"), pct("q30").alias("q30_pct"), F.round(F.when(F.col("n") > 0, -10 * F.log10(F.col("e") / F.col("n"))), 2).alias("avg_qual"))
+
+
 def frequencies(lengths: DataFrame) -> DataFrame:
     return lengths.groupBy("sample", "len").agg(F.count("*").alias("freq"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strandloom.functions import coords, sequence
 
 from . import splice
-from .intervals import interval_join, union_intervals
+from .intervals import bin_width, interval_join, union_intervals
 
 SCREENS: dict[str, Callable[..., DataFrame]] = {}
 
@@ -49,7 +49,7 @@ def monoexon_no_tss(tx: DataFrame, tss: DataFrame, reference_tss: DataFrame, siz
     rows = tss.join(tx.filter(F.size("exons") == 1).select("tx"), "tx", "left_semi")
     length = None
     if sizes is not None:
-        rows = rows.join(F.broadcast(sizes.select("chrom", "length")), "chrom")
+        rows = rows.join(sizes.select("chrom", "length"), "chrom")
         length = F.col("length")
     lo, hi = coords.slop(F.col("start0"), F.col("end0"), distance, length)
     wide = rows.select("tx", "chrom", lo.alias("start0"), hi.alias("end0"))
@@ -62,22 +62,14 @@ def premrna_monoexon(tx: DataFrame, reference: DataFrame, min_overlap: int = 10)
     span = lambda t: t.select("tx", "chrom", "strand", F.col("lo").alias("start0"), F.col("hi").alias("end0"))
     mono, ref = span(tx.filter(F.size("exons") == 1)), span(reference)
     keys = ("chrom", "strand")
-    on_span = interval_join(mono, ref, keys=keys, how="left_semi").select("tx")
+    width = bin_width(ref)  # reference spans may be megabases long
+    on_span = interval_join(mono, ref, keys=keys, how="left_semi", width=width).select("tx")
     enough = coords.overlap(F.col("a_start0"), F.col("a_end0"), F.col("b_start0"), F.col("b_end0")) >= min_overlap
-    in_intron = interval_join(mono, splice.introns(reference), enough, keys, "left_semi").select("tx")
-    on_mono = interval_join(mono, span(reference.filter(F.size("exons") == 1)), keys=keys, how="left_semi").select("tx")
+    in_intron = interval_join(mono, splice.introns(reference), enough, keys, "left_semi", width).select("tx")
+    on_mono = interval_join(mono, span(reference.filter(F.size("exons") == 1)), keys=keys, how="left_semi", width=width).select("tx")
     return on_span.intersect(in_intron).subtract(on_mono)
 
 
-def motifs(junctions: DataFrame, genome: DataFrame) -> DataFrame:
-    """junctions (with contig, and donor and acceptor on it) with their motif; NNNN where the contig is unknown.
-
-    A genome larger than the broadcast limit is joined by shuffle; give it in chunks then (``chunked``).
-    """
-    rows = junctions.join(genome.select(F.col("contig").alias("__c"), "seq"), F.col("contig") == F.col("__c"), "left")
-    return rows.withColumn("motif", sequence.splice_motif(F.col("seq"), F.col("donor"), F.col("acceptor"), F.col("strand"))).drop("__c", "seq")
-
-
 def chunked(genome: DataFrame, width: int = 1 << 20, overlap: int = 64) -> DataFrame:
     """(contig, chunk, start0, seq): pieces of ``width`` bases, each with the next ``overlap`` bases too, so short windows never straddle."""
     n = F.greatest(F.ceil(F.length("seq") / width), F.lit(1)).cast("int")
@@ -85,6 +77,31 @@ def chunked(genome: DataFrame, width: int = 1 << 20, overlap: int = 64) -> DataF
     return rows.select("contig", "chunk", (F.col("chunk").cast("bigint") * width).alias("start0"), F.substring("seq", F.col("chunk") * width + 1, F.lit(width + overlap)).alias("seq"))
 
 
+def with_windows(rows: DataFrame, genome: DataFrame, windows: dict[str, tuple[Column, int]], width: int = 1 << 20) -> DataFrame:
+    """Adds a column for each of ``windows``: the (start, length) bases of the row's contig; null for an unknown contig.
+
+    A start before the sequence gives no bases, one near its end fewer. Rows meet the chunk of the genome in which a
+    window starts, by (contig, chunk), never a whole contig. genome: (contig, seq), or its chunks as ``chunked`` gives
+    them with the same ``width``; windows are at most as long as the chunks overlap.
+    """
+    pieces = genome if "chunk" in genome.columns else chunked(genome, width)
+    ends = pieces.groupBy(F.col("contig").alias("__c")).agg(F.max("chunk").alias("__last"))
+    out = rows.join(ends, F.col("contig") == F.col("__c"), "left").drop("__c")
+    piece = pieces.select(F.col("contig").alias("__c"), F.col("chunk").alias("__k"), F.col("start0").alias("__at"), F.col("seq").alias("__seq"))
+    for name, (start, length) in windows.items():
+        at = F.least(F.greatest(F.floor(start / width), F.lit(0)), F.col("__last")).cast("int")
+        met = out.withColumns({"__s": start, "__w": at}).join(piece, (F.col("contig") == F.col("__c")) & (F.col("__w") == F.col("__k")), "left")
+        local = sequence.window(F.col("__seq"), F.col("__s") - F.col("__at"), length)
+        out = met.withColumn(name, F.when(F.col("__last").isNotNull(), F.when(F.col("__s") < 0, F.lit("")).otherwise(local))).drop("__c", "__k", "__at", "__seq", "__s", "__w")
+    return out.drop("__last")
+
+
+def motifs(junctions: DataFrame, genome: DataFrame) -> DataFrame:
+    """junctions (with contig, and donor and acceptor on it) with their motif; NNNN where the contig is unknown."""
+    rows = with_windows(junctions, genome, {"__d": (F.col("donor"), 2), "__a": (F.col("acceptor") - 2, 2)})
+    return rows.withColumn("motif", sequence.motif_of(F.col("__d"), F.col("__a"), F.col("strand"))).drop("__d", "__a")
+
+
 @screen("noncanonical")
 def noncanonical_splice(junctions: DataFrame, genome: DataFrame, allowed: tuple[str, ...] = ("GTAG", "GCAG", "ATAC")) -> DataFrame:
     """Transcripts with a junction outside the allowed motifs: tx, motifs (distinct ones of all its bad junctions, sorted, comma-joined)."""
@@ -98,12 +115,12 @@ CORE = 10
 def rt_windows(junctions: DataFrame, genome: DataFrame, wiggle: int = 1) -> DataFrame:
     """junctions with the exon and intron windows in which template switching shows; contigs without sequence are left out."""
     n = CORE + 2 * wiggle
-    rows = junctions.join(genome.select(F.col("contig").alias("__c"), "seq"), F.col("contig") == F.col("__c"))
-    plus, seq = F.col("strand") == "+", F.col("seq")
-    win = lambda start: F.upper(sequence.window(seq, start, n))
-    exon = F.when(plus, win(F.col("donor") - n + wiggle - 1)).otherwise(sequence.reverse_complement(win(F.col("acceptor") - wiggle)))
-    intron = F.when(plus, win(F.col("acceptor") - n + wiggle)).otherwise(sequence.reverse_complement(win(F.col("donor") - wiggle - 1)))
-    return rows.withColumns({"seq_exon": exon, "seq_intron": intron}).drop("__c", "seq")
+    plus = F.col("strand") == "+"
+    near = {"__d": (F.when(plus, F.col("donor") - n + wiggle - 1).otherwise(F.col("donor") - wiggle - 1), n), "__a": (F.when(plus, F.col("acceptor") - n + wiggle).otherwise(F.col("acceptor") - wiggle), n)}
+    rows = with_windows(junctions, genome, near).filter("__d is not null")
+    d, a = F.upper("__d"), F.upper("__a")
+    back = sequence.reverse_complement
+    return rows.withColumns({"seq_exon": F.when(plus, d).otherwise(back(a)), "seq_intron": F.when(plus, a).otherwise(back(d))}).drop("__d", "__a")
 
 
 def _first(hits: Column) -> Column:

@@ -10,6 +10,7 @@ from strandloom.lineage import cut
 from strandloom.operators import containment as con
 from strandloom.operators import expression as ex
 from strandloom.operators import graph, prune, splice
+from strandloom.operators.numbering import number_by_range
 
 from .fixtures import ctes, exons, expression, read, regions
 
@@ -46,8 +47,8 @@ def text(chain) -> F.Column:
 @query("part_index", "SELECT l_suppkey % 4 AS sample, l_orderkey * 8 + l_linenumber AS path_id, row_number() OVER (PARTITION BY l_suppkey % 4 ORDER BY l_orderkey, l_linenumber) - 1 AS part FROM (SELECT DISTINCT l_suppkey % 4 + 0 AS l_suppkey, l_orderkey, l_linenumber FROM lineitem)")
 def part_index(s: SparkSession, d: str) -> DataFrame:
     rows = read(s, d, "lineitem").select((F.col("l_suppkey") % 4).alias("sample"), "l_orderkey", "l_linenumber").distinct()
-    n = F.row_number().over(Window.partitionBy("sample").orderBy("l_orderkey", "l_linenumber")) - 1
-    return rows.select("sample", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("path_id"), n.alias("part"))
+    rows = number_by_range(rows, ["sample"], F.floor(F.col("l_orderkey") / 65536), ["l_orderkey", "l_linenumber"], "part")
+    return rows.select("sample", (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("path_id"), "part")
 
 
 @query("splice_chain", ctes("exon", "junc") + " SELECT tx, gene, chrom, strand, string_agg(donor || '-' || acceptor, ',' ORDER BY donor, acceptor) AS chain, count(*) AS n FROM junc GROUP BY ALL")

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import core, screening
+from . import core, formats, screening
 
-MODULES: list = [core, screening]
+MODULES: list = [core, screening, formats]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

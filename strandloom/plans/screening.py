@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strandloom.operators import annotation, reads, reports, screens, splice
 from strandloom.operators.intervals import interval_join, subtract_intervals, union_intervals
+from strandloom.operators.numbering import number_by_range
 
 from .core import tx_of
 from .fixtures import ctes, exons, expression, genome, read, reference, regions
@@ -58,9 +58,9 @@ def interval_subtract(s: SparkSession, d: str) -> DataFrame:
 
 @query("coord_sort", ctes("exon") + " SELECT tx, chrom, start0, row_number() OVER (PARTITION BY chrom ORDER BY start0, tx) AS rank FROM exon")
 def coord_sort(s: SparkSession, d: str) -> DataFrame:
-    """Coordinate order: range-partitioned and sorted within, ranked by contig for the comparison."""
-    rows = exons(s, d).repartitionByRange("chrom", "start0").sortWithinPartitions("chrom", "start0", "tx")
-    return rows.select("tx", "chrom", "start0", F.row_number().over(Window.partitionBy("chrom").orderBy("start0", "tx")).alias("rank"))
+    """Coordinate order, as ranks by contig; ranked within stretches of a contig."""
+    rows = number_by_range(exons(s, d).select("tx", "chrom", "start0"), ["chrom"], F.floor(F.col("start0") / 65536), ["start0", "tx"], "rank")
+    return rows.select("tx", "chrom", "start0", (F.col("rank") + 1).alias("rank"))
 
 
 @query("chrom_sizes", ctes("genome") + " SELECT contig, length(seq) AS length FROM genome")
@@ -74,10 +74,10 @@ _TSS = "tssrow AS (SELECT tx, chrom, CASE WHEN strand = '-' THEN hi ELSE lo END
 
 
 def _reference_tss(s: SparkSession, d: str) -> DataFrame:
-    return regions(s, d, "p_partkey % 7 = 0")
+    return regions(s, d).withColumn("end0", F.col("start0") + 1)
 
 
-@query("monoexon_no_tss", ctes("exon", "txs", "reg") + f", {_TSS} SELECT DISTINCT t.tx FROM tssrow t WHERE tx IN (FROM mono) AND NOT EXISTS (SELECT 1 FROM reg r WHERE r.rid % 7 = 0 AND r.chrom = t.chrom AND greatest(t.start0 - 100, 0) < r.end0 AND r.start0 < t.start0 + 101)")
+@query("monoexon_no_tss", ctes("exon", "txs", "reg") + f", {_TSS} SELECT DISTINCT t.tx FROM tssrow t WHERE tx IN (FROM mono) AND NOT EXISTS (SELECT 1 FROM reg r WHERE r.chrom = t.chrom AND greatest(t.start0 - 100, 0) < r.start0 + 1 AND r.start0 < t.start0 + 101)")
 def monoexon_no_tss(s: SparkSession, d: str) -> DataFrame:
     tx = tx_of(s, d)
     tss = splice.ends(tx).select("tx", "chrom", F.col("tss").alias("start0"), (F.col("tss") + 1).alias("end0"))
@@ -98,13 +98,13 @@ def premrna_monoexon(s: SparkSession, d: str) -> DataFrame:
 
 
 def _local_junctions(s: SparkSession, d: str) -> DataFrame:
-    """Junctions in coordinates of their gene's contig."""
+    """Junctions in coordinates of their gene's contig: the genes are dealt over all documents."""
     j = splice.junctions(tx_of(s, d))
-    at = F.col("gene") * 40
-    return j.select("tx", "gene", "chrom", "strand", "junction", F.expr("gene % 6400 div 32").alias("contig"), (F.col("donor") - at).alias("donor"), (F.col("acceptor") - at).alias("acceptor"))
+    at, n = F.col("gene") * 40, read(s, d, "documents").count()
+    return j.select("tx", "gene", "chrom", "strand", "junction", F.expr(f"gene div 32 % {max(n, 1)}L").alias("contig"), (F.col("donor") - at).alias("donor"), (F.col("acceptor") - at).alias("acceptor"))
 
 
-_LOCAL = "loc AS (SELECT tx, gene, chrom, strand, row_number() OVER (PARTITION BY tx ORDER BY donor) AS junction, gene % 6400 // 32 AS contig, donor - gene * 40 AS donor, acceptor - gene * 40 AS acceptor FROM junc)"
+_LOCAL = "loc AS (SELECT tx, gene, chrom, strand, row_number() OVER (PARTITION BY tx ORDER BY donor) AS junction, (gene // 32) % (SELECT count(*) FROM documents) AS contig, donor - gene * 40 AS donor, acceptor - gene * 40 AS acceptor FROM junc)"
 _MOTIF = """mot0 AS (SELECT l.*, CASE WHEN g.seq IS NULL THEN NULL ELSE substr(seq, donor + 1, 2) || substr(seq, acceptor - 1, 2) END AS f FROM loc l LEFT JOIN genome g ON g.contig = l.contig),
 mot AS (SELECT tx, junction, coalesce(CASE WHEN strand = '-' THEN reverse(translate(f, 'ACGT', 'TGCA')) ELSE f END, 'NNNN') AS motif FROM mot0)"""
 
@@ -141,16 +141,28 @@ def rt_switching(s: SparkSession, d: str) -> DataFrame:
     return screens.rt_switching(screens.rt_windows(_local_junctions(s, d), genome(s, d)), 5)
 
 
-@query("rt_switching_mm")
+_MM = """sd AS (SELECT w.*, i, j, least(length(seq_exon) - i, length(seq_intron) - j) AS most FROM win w, (SELECT unnest(range(0, 9)) AS i), (SELECT unnest(range(0, 9)) AS j)
+  WHERE i <= length(seq_exon) - 4 AND j <= length(seq_intron) - 4 AND substr(seq_exon, i + 1, 4) = substr(seq_intron, j + 1, 4)),
+rn AS (SELECT *, coalesce(list_min(list_filter(range(0, most), lambda t: substr(seq_exon, i + t + 1, 1) <> substr(seq_intron, j + t + 1, 1))), most) AS k FROM sd),
+df AS (SELECT *, 8 - k AS m, len(list_filter(range(0, 8 - k), lambda t: substr(seq_exon, i + k + t + 1, 1) <> substr(seq_intron, j + k + t + 1, 1))) AS r,
+  len(list_filter(range(0, 8 - k), lambda t: substr(seq_exon, i - (8 - k) + t + 1, 1) <> substr(seq_intron, j - (8 - k) + t + 1, 1))) AS l FROM rn),
+ht AS (SELECT *, CASE WHEN i + 8 <= length(seq_exon) AND j + 8 <= length(seq_intron) AND r <= 1 THEN 0 WHEN i - m >= 0 AND j - m >= 0 AND l <= 1 THEN m END AS back, CASE WHEN i + 8 <= length(seq_exon) AND j + 8 <= length(seq_intron) AND r <= 1 THEN r ELSE l END AS mismatch FROM df),
+ft AS (SELECT *, row_number() OVER (PARTITION BY tx, junction ORDER BY i, j) AS o FROM ht WHERE back IS NOT NULL)"""
+
+
+@query("rt_switching_mm", ctes("exon", "junc", "genome") + f", {_LOCAL}, {_WIN}, {_MM} SELECT tx, junction, chrom, strand, donor, acceptor, 8 AS match_len, substr(seq_exon, i - back + 1, 8) AS match_pat, CAST(mismatch AS INTEGER) AS mismatch FROM ft WHERE o = 1 AND i - back + 8 <= length(seq_exon) - 1 AND j - back + 8 <= length(seq_exon) - 1")
 def rt_switching_mm(s: SparkSession, d: str) -> DataFrame:
-    """One mismatch allowed; no SQL, tested against a brute-force version."""
+    """One mismatch allowed."""
     return screens.rt_switching_mismatch(screens.rt_windows(_local_junctions(s, d), genome(s, d)), 8)
 
 
-@query("antisense_compat", ctes("exon", "junc") + " SELECT tx FROM junc WHERE false")
+@query("antisense_compat", ctes("exon", "junc") + " SELECT DISTINCT a.tx FROM junc a JOIN junc b ON a.chrom = b.chrom AND a.donor = b.donor AND a.acceptor = b.acceptor WHERE a.tx % 5 <> 0 AND b.tx % 15 = 0")
 def antisense_compat(s: SparkSession, d: str) -> DataFrame:
+    """Every third reference name occurs on both strands; only its later rows count."""
     ref = splice.transcripts(reference(exons(s, d))).withColumn("ord", F.col("tx"))
-    return screens.antisense(tx_of(s, d).filter("tx % 5 <> 0"), ref, "compat")
+    other = F.when(F.col("strand") == "+", "-").otherwise("+")
+    both = ref.unionByName(ref.filter("tx % 15 = 0").withColumns({"strand": other, "ord": F.col("ord") + 1_000_000_000}))
+    return screens.antisense(tx_of(s, d).filter("tx % 5 <> 0"), both, "compat")
 
 
 @query("antisense_intended", ctes("exon", "junc") + " SELECT DISTINCT a.tx FROM junc a JOIN junc b ON a.chrom = b.chrom AND a.donor = b.donor AND a.acceptor = b.acceptor WHERE a.tx % 5 <> 0 AND b.tx % 5 = 0 AND a.strand <> CASE WHEN b.tx % 10 <> 0 THEN b.strand WHEN b.strand = '+' THEN '-' ELSE '+' END")
@@ -174,9 +186,14 @@ def repeat_overlap(s: SparkSession, d: str) -> DataFrame:
     return screens.region_overlap(exons(s, d), regions(s, d), 0.6)
 
 
-@query("par_overlap", ctes("exon", "reg") + f", few AS (SELECT * FROM reg WHERE rid % 11 = 0), {_UNION.format('few')}, {_COVER} SELECT tx FROM ovl WHERE overlap_bp > 0")
+def _par(s: SparkSession, d: str) -> DataFrame:
+    """The first base of every region."""
+    return regions(s, d).withColumn("end0", F.col("start0") + 1)
+
+
+@query("par_overlap", ctes("exon", "reg") + f", few AS (SELECT rid, chrom, start0, start0 + 1 AS end0 FROM reg), {_UNION.format('few')}, {_COVER} SELECT tx FROM ovl WHERE overlap_bp > 0")
 def par_overlap(s: SparkSession, d: str) -> DataFrame:
-    return screens.region_overlap(exons(s, d), regions(s, d, "p_partkey % 11 = 0"), 0.0)
+    return screens.region_overlap(exons(s, d), _par(s, d), 0.0)
 
 
 def _segdup(s: SparkSession, d: str) -> DataFrame:
@@ -215,7 +232,7 @@ def _failures(s: SparkSession, d: str) -> DataFrame:
     return screens.failed({"par": par_overlap(s, d), "repeats": repeat_overlap(s, d), "segdup": segdup_terminal(s, d)})
 
 
-_FAIL = f"{_UNION.format('reg')}, {_COVER}, few AS (SELECT * FROM reg WHERE rid % 11 = 0), fails AS (SELECT 'repeats' AS screen, tx FROM ovl WHERE overlap_bp / total_exon_bp >= 0.6 UNION SELECT 'par', e.tx FROM exon e JOIN few u ON e.chrom = u.chrom AND e.start0 < u.end0 AND u.start0 < e.end0 UNION SELECT 'segdup', tx FROM rep WHERE tx NOT IN (FROM inside) AND ((first_segdup AND first_multi > 0 AND first_len > 100) OR (last_segdup AND last_multi > 0 AND last_len > 100)))"
+_FAIL = f"{_UNION.format('reg')}, {_COVER}, few AS (SELECT rid, chrom, start0, start0 + 1 AS end0 FROM reg), fails AS (SELECT 'repeats' AS screen, tx FROM ovl WHERE overlap_bp / total_exon_bp >= 0.6 UNION SELECT 'par', e.tx FROM exon e JOIN few u ON e.chrom = u.chrom AND e.start0 < u.end0 AND u.start0 < e.end0 UNION SELECT 'segdup', tx FROM rep WHERE tx NOT IN (FROM inside) AND ((first_segdup AND first_multi > 0 AND first_len > 100) OR (last_segdup AND last_multi > 0 AND last_len > 100)))"
 _FAIL_HEAD = ctes("exon", "junc", "txs", "reg") + f", {_SEGDUP}, {_FAIL}"
 
 
@@ -243,9 +260,9 @@ def filter_totals(s: SparkSession, d: str) -> DataFrame:
 @query("depth_gt1", "SELECT l_orderkey AS tx, count(*) AS depth FROM lineitem WHERE regexp_matches(concat('chr', CAST(l_orderkey % 30 AS VARCHAR)), '^chr([0-9]+|[XYxy])$') AND l_orderkey % 30 < 23 GROUP BY 1 HAVING count(*) > 1")
 def depth_gt1(s: SparkSession, d: str) -> DataFrame:
     """Transcripts seen more than once on whitelisted chromosomes."""
-    rows = read(s, d, "lineitem").withColumn("chrom", F.concat(F.lit("chr"), F.when(F.col("l_orderkey") % 30 < 23, (F.col("l_orderkey") % 30).cast("string")).otherwise("Un")))
-    rows = rows.filter(F.col("chrom").rlike("(?i)^chr(\\d+|[xy])$"))
-    return rows.groupBy(F.col("l_orderkey").alias("tx")).agg(F.count("*").alias("depth")).filter("depth > 1")
+    chrom = F.concat(F.lit("chr"), F.when(F.col("l_orderkey") % 30 < 23, (F.col("l_orderkey") % 30).cast("string")).otherwise("Un"))
+    rows = read(s, d, "lineitem").groupBy(F.col("l_orderkey").alias("tx"), chrom.alias("chrom")).agg(F.count("*").alias("depth"))
+    return reads.drop_singletons(reads.on_chromosomes(rows)).select("tx", "depth")
 
 
 # --- annotation collapse
@@ -272,7 +289,7 @@ def collapse_annotation(s: SparkSession, d: str) -> DataFrame:
 # --- reads
 
 
-@query("reservoir_cap", ctes("reads") + """, prim AS (SELECT * FROM reads WHERE (flag & 2308) = 0), ranked AS (SELECT *, row_number() OVER (ORDER BY (read_id % 1000003 * 2654435 + 4232 * 7919 + read_id % 7919 * 40503) % 4294967296, read_id) AS r FROM prim WHERE chrom = 'chrM')
+@query("reservoir_cap", ctes("reads") + """, prim AS (SELECT * FROM reads WHERE (flag & 2308) = 0), ranked AS (SELECT *, row_number() OVER (ORDER BY md5(read_id || ':4232'), read_id) AS r FROM prim WHERE chrom = 'chrM')
 SELECT read_id, sample, chrom, flag, pos FROM prim WHERE chrom <> 'chrM' UNION ALL SELECT read_id, sample, chrom, flag, pos FROM ranked WHERE r <= 500""")
 def reservoir_cap(s: SparkSession, d: str) -> DataFrame:
     return reads.reservoir_cap(alignments(s, d), cap=500)
@@ -376,7 +393,7 @@ def len_sliding(s: SparkSession, d: str) -> DataFrame:
 
 # --- collapse, merge, ends, rescue
 
-_COLL = ctes("exon", "junc", "txs", "chain") + ", col AS (SELECT tx % 4 AS sample, chrom, strand, c, count(*) AS depth, min(lo) AS lo, max(hi) AS hi FROM chain WHERE n > 0 GROUP BY ALL)"
+_COLL = ctes("exon", "junc", "txs", "chain") + ", col AS (SELECT tx % 4 AS sample, chrom, strand, c, CASE WHEN n = 0 THEN lo END AS plo, CASE WHEN n = 0 THEN hi END AS phi, count(*) AS depth, min(lo) AS lo, max(hi) AS hi FROM chain GROUP BY 1, 2, 3, 4, 5, 6)"
 
 
 def _bars(c: str) -> F.Column:
@@ -390,26 +407,12 @@ def _collapsed(s: SparkSession, d: str) -> DataFrame:
 
 @query("collapse_reads", _COLL + " SELECT sample, chrom, strand, c AS chain, depth, lo, hi FROM col")
 def collapse_reads(s: SparkSession, d: str) -> DataFrame:
-    """Those with a chain, which is what the SQL compares; ``collapse_reads_all`` has the mono-exons too."""
-    return _collapsed(s, d).filter(F.size("chain") > 0).withColumn("chain", _bars("chain"))
-
-
-@query("merge_samples", _COLL + " SELECT chrom, strand, c AS chain, min(lo) AS lo, max(hi) AS hi, " + ", ".join(f"CAST(coalesce(sum(depth) FILTER (WHERE sample = {k}), 0) AS BIGINT) AS depth_{k}" for k in range(4)) + " FROM col GROUP BY ALL")
-def merge_samples(s: SparkSession, d: str) -> DataFrame:
-    """Those with a chain, which is what the SQL compares; ``merge_samples_all`` has the mono-exons too."""
-    return reads.merge_samples(_collapsed(s, d).filter(F.size("chain") > 0), [0, 1, 2, 3]).withColumn("chain", _bars("chain"))
-
-
-_COLL_ALL = ctes("exon", "junc", "txs", "chain") + ", col AS (SELECT tx % 4 AS sample, chrom, strand, c, CASE WHEN n = 0 THEN lo END AS plo, CASE WHEN n = 0 THEN hi END AS phi, count(*) AS depth, min(lo) AS lo, max(hi) AS hi FROM chain GROUP BY 1, 2, 3, 4, 5, 6)"
-
-
-@query("collapse_reads_all", _COLL_ALL + " SELECT sample, chrom, strand, c AS chain, depth, lo, hi FROM col")
-def collapse_reads_all(s: SparkSession, d: str) -> DataFrame:
+    """Mono-exons are one by their ends."""
     return _collapsed(s, d).withColumn("chain", _bars("chain"))
 
 
-@query("merge_samples_all", _COLL_ALL + " SELECT chrom, strand, c AS chain, min(lo) AS lo, max(hi) AS hi, " + ", ".join(f"CAST(coalesce(sum(depth) FILTER (WHERE sample = {k}), 0) AS BIGINT) AS depth_{k}" for k in range(4)) + " FROM col GROUP BY chrom, strand, c, plo, phi")
-def merge_samples_all(s: SparkSession, d: str) -> DataFrame:
+@query("merge_samples", _COLL + " SELECT chrom, strand, c AS chain, min(lo) AS lo, max(hi) AS hi, " + ", ".join(f"CAST(coalesce(sum(depth) FILTER (WHERE sample = {k}), 0) AS BIGINT) AS depth_{k}" for k in range(4)) + " FROM col GROUP BY chrom, strand, c, plo, phi")
+def merge_samples(s: SparkSession, d: str) -> DataFrame:
     return reads.merge_samples(_collapsed(s, d), [0, 1, 2, 3]).withColumn("chain", _bars("chain"))
 
 
@@ -438,6 +441,12 @@ def stages_decisions(s: SparkSession, d: str) -> DataFrame:
     from .stages import Inputs, run_all
 
     ex_ = exons(s, d).withColumn("ord", F.col("tx"))
-    inp = Inputs(ex_, expression(s, d), reference(exons(s, d)), reference_tss=_reference_tss(s, d), repeats=regions(s, d, "p_partkey % 5 = 0"), par=regions(s, d, "p_partkey % 11 = 0"))
-    out = run_all(inp, EngineConfig(tpm_min=1.0, tss_max_distance=1000))
+    genes = regions(s, d).select("chrom", "start0", (F.col("start0") + 20).alias("end0"), (F.col("rid") % 3).alias("n_exons"))
+    inp = Inputs(
+        ex_, expression(s, d), reference(exons(s, d)), genome=genome(s, d), junctions=_local_junctions(s, d), reference_tss=_reference_tss(s, d),
+        repeats=regions(s, d), par=_par(s, d), segdups=regions(s, d), gene_regions=genes,
+    )
+    # The fixture's bases are letters of prose: most motifs are allowed, so that something is left for the later stages.
+    motifs = tuple(a + b + c + e for a in "ACG" for b in "ACGT" for c in "ACGT" for e in "ACGT")
+    out = run_all(inp, EngineConfig(tpm_min=1.0, tss_max_distance=1000, allowed_motifs=motifs, segdup_min_intron=100, repeat_min_overlap_fraction=0.95))
     return out["decisions"].select("tx", "cluster_id", "passes", "kept")

@@ -22,6 +22,7 @@ class Inputs:
     expr: DataFrame
     reference: DataFrame | None = None  # exon rows
     genome: DataFrame | None = None  # contig, seq
+    junctions: DataFrame | None = None  # on the genome's contigs, where these aren't the chromosomes of the exons
     reference_tss: DataFrame | None = None
     repeats: DataFrame | None = None
     par: DataFrame | None = None
@@ -44,7 +45,7 @@ def run_screens(inp: Inputs, cfg: EngineConfig) -> DataFrame:
     if cfg.filter_premrna and ref is not None:
         out["premrna"] = screens.premrna_monoexon(tx, ref, cfg.premrna_min_intron_overlap)
     if inp.genome is not None:
-        j = splice.junctions(tx).withColumn("contig", F.col("chrom"))
+        j = splice.junctions(tx).withColumn("contig", F.col("chrom")) if inp.junctions is None else inp.junctions
         if cfg.filter_noncanonical:
             out["noncanonical"] = screens.noncanonical_splice(j, inp.genome, cfg.allowed_motifs).select("tx")
         if cfg.filter_rt_switching:

@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
 
+def _rows(spark: SparkSession, path: str | list[str], ordered: bool = False) -> DataFrame:
+    """Nine tab columns of every line that has them and isn't a comment; gz files are opened by their suffix.
 
-def _rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Nine tab columns of every line that has them and isn't a comment; gz files are opened by their suffix."""
+    ordered: also ``line``, which grows in order of appearance: by place in the list of paths, file name, and place in
+    the file (a split's first byte, then the order in which its task reads it), however Spark packs the files.
+    """
     c = F.split("value", "\t")
-    return spark.read.text(path).filter(~F.startswith("value", F.lit("#"))).filter(F.size(c) >= 9).select(*(F.get(c, F.lit(i)).alias(n) for i, n in enumerate(("chrom", "source", "feature", "start", "end", "score", "strand", "frame", "attributes"))))
+    names = ("chrom", "source", "feature", "start", "end", "score", "strand", "frame", "attributes")
+    columns = [F.get(c, F.lit(i)).alias(n) for i, n in enumerate(names)]
+    if not ordered:
+        lines = spark.read.text(path)
+    else:
+        at = lambda i: F.struct(F.lit(i).alias("path"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("id")).alias("line")
+        each = [spark.read.text(p).select("value", at(i)) for i, p in enumerate([path] if isinstance(path, str) else path)]
+        lines, columns = reduce(DataFrame.unionAll, each), [*columns, F.col("line")]
+    return lines.filter(~F.startswith("value", F.lit("#"))).filter(F.size(c) >= 9).select(*columns)
 
 
 def _pairs(attributes: Column) -> Column:
@@ -27,20 +42,38 @@ def attribute_map(attributes: Column) -> Column:
     return F.map_from_arrays(keys, F.transform(keys, last))
 
 
-def read_gtf(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Every feature: chrom, source, feature, start0, end0, score, strand, frame, attrs (map), tags (array of all ``tag`` values)."""
-    rows = _rows(spark, path)
+def read_gtf(spark: SparkSession, path: str | list[str], ordered: bool = False) -> DataFrame:
+    """Every feature: chrom, source, feature, start0, end0, score, strand, frame, attrs (map), tags (array of all ``tag`` values), and line if ``ordered``."""
+    rows = _rows(spark, path, ordered)
     tags = F.transform(F.filter(_pairs(F.col("attributes")), lambda p: p["key"] == "tag"), lambda p: p["value"])
-    return rows.select("chrom", "source", "feature", (F.col("start").cast("bigint") - 1).alias("start0"), F.col("end").cast("bigint").alias("end0"), "score", "strand", "frame", attribute_map(F.col("attributes")).alias("attrs"), tags.alias("tags"))
+    return rows.select("chrom", "source", "feature", (F.col("start").cast("bigint") - 1).alias("start0"), F.col("end").cast("bigint").alias("end0"), "score", "strand", "frame", attribute_map(F.col("attributes")).alias("attrs"), tags.alias("tags"), *(["line"] if ordered else []))
+
+
+def read_hierarchy(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Exon rows of an annotation: gene, tx, gene_name, transcript_name, gene_type, transcript_type, exon_id, exon (number), chrom, strand, start0, end0, tags.
+
+    ``_biotype`` stands for ``_type``; names default to ids; an exon without a number gets its place among the exons of
+    its transcript, in order of appearance. Rows without a gene or transcript id are skipped.
+    """
+    at = lambda *names: F.coalesce(*(F.try_element_at(F.col("attrs"), F.lit(n)) for n in names))
+    rows = read_gtf(spark, path, ordered=True).filter("feature = 'exon'").withColumns({"gene": at("gene_id"), "tx": at("transcript_id")}).filter("gene is not null and tx is not null")
+    place = F.row_number().over(Window.partitionBy("gene", "tx").orderBy("line"))
+    number = F.coalesce(at("exon_number").try_cast("int"), place).alias("exon")
+    return rows.select("gene", "tx", F.coalesce(at("gene_name"), "gene").alias("gene_name"), F.coalesce(at("transcript_name"), "tx").alias("transcript_name"), at("gene_type", "gene_biotype").alias("gene_type"), at("transcript_type", "transcript_biotype").alias("transcript_type"), at("exon_id").alias("exon_id"), number, "chrom", "strand", "start0", "end0", "tags")
+
+
+def depth_of(attrs: Column, name: str = "depth") -> Column:
+    """The number in a feature's depth attribute; null without one."""
+    return F.try_element_at(attrs, F.lit(name)).try_cast("bigint")
 
 
 def read_exons(spark: SparkSession, path: str | list[str], on_mixed: str = "drop", keep_empty_ids: bool = True) -> DataFrame:
-    """Exon rows: tx, gene, chrom, strand, start0, end0, ord (rank of the transcript's first line), transcript_type, tags.
+    """Exon rows: tx, gene, chrom, strand, start0, end0, ord (order of the transcript's first line), transcript_type, tags.
 
     Rows without transcript or gene id are skipped (empty ones too, unless keep_empty_ids). A transcript on several
     chromosomes or strands is dropped (``drop``) or takes those of its first line (``first``).
     """
-    rows = read_gtf(spark, path).withColumn("line", F.monotonically_increasing_id()).filter("feature = 'exon'")
+    rows = read_gtf(spark, path, ordered=True).filter("feature = 'exon'")
     at = lambda k: F.try_element_at(F.col("attrs"), F.lit(k))
     kind = F.coalesce(at("transcript_type"), at("transcript_biotype"))
     rows = rows.select(at("transcript_id").alias("tx"), at("gene_id").alias("gene"), "chrom", "strand", "start0", "end0", "line", kind.alias("transcript_type"), "tags").filter("tx is not null and gene is not null")

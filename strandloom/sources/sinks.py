@@ -11,6 +11,17 @@ def write_ids(ids: DataFrame, path: str, col: str = "tx") -> None:
     ids.select(F.col(col).cast("string").alias("value")).distinct().orderBy("value").write.text(path)
 
 
+def write_ids_in_order(ids: DataFrame, path: str, order: list[str], col: str = "tx") -> None:
+    """Ids in the order of other columns (as a BED file has them), one a line; repeated ones at their first place."""
+    first = ids.groupBy(F.col(col).cast("string").alias("value")).agg(F.min(F.struct(*order)).alias("o"))
+    first.orderBy("o", "value").select("value").write.text(path)
+
+
+def write_parts(df: DataFrame, path: str, rows: int) -> None:
+    """Tables of at most ``rows`` rows a file."""
+    df.write.option("maxRecordsPerFile", rows).parquet(path)
+
+
 def write_lines(lines: DataFrame, path: str) -> None:
     lines.write.text(path)
 
@@ -29,6 +40,13 @@ def write_matrix(long: DataFrame, samples: list, path: str, id_name: str = "#Tra
     to_matrix(long, samples, id_name).write.csv(path, sep="\t", header=True)
 
 
+def path_token(path: str, place: int) -> str:
+    """A component of a path: from the front (1, 2, ...) or the back (-1, -2, ...); the path itself where it has no such."""
+    parts = [p for p in path.split("/") if p]
+    at = place - 1 if place > 0 else place
+    return parts[at] if -len(parts) <= at < len(parts) else path
+
+
 def short_header(columns: list[str]) -> list[str]:
     """First column #TranscriptID; others, if paths, their second component."""
     return ["#TranscriptID", *(c.split("/")[1] if "/" in c else c for c in columns[1:])]
@@ -38,6 +56,7 @@ def track_groups(samples: DataFrame) -> DataFrame:
     return samples.select("sample", F.lit("ALL").alias("grp"))
 
 
-def failed_rows(source: DataFrame, ids: DataFrame, key: str = "name") -> DataFrame:
-    """Rows of ``source`` whose key is among the failing ids."""
-    return source.join(ids.select(F.col("tx").cast("string").alias("__id")).distinct(), F.col(key).cast("string") == F.col("__id"), "left_semi")
+def failed_rows(source: DataFrame, ids: DataFrame, key: str = "name", order: list[str] | None = None) -> DataFrame:
+    """Rows of ``source`` whose key is among the failing ids; in the order of ``order``, columns that hold the source's order."""
+    rows = source.join(ids.select(F.col("tx").cast("string").alias("__id")).distinct(), F.col(key).cast("string") == F.col("__id"), "left_semi")
+    return rows.orderBy(*order) if order else rows

@@ -304,3 +304,102 @@ def test_collapse_and_merge_keep_mono_exons(spark):
     got = reads.collapse_reads(tx)
     assert sorted((r.sample, len(r.chain), r.lo, r.hi, r.depth) for r in got.collect()) == [(0, 0, 5, 9, 2), (0, 0, 50, 60, 1), (0, 1, 0, 40, 2), (1, 0, 5, 9, 1)]
     assert sorted((len(r.chain), r.lo, r.hi, r.depth_0, r.depth_1) for r in reads.merge_samples(got, [0, 1]).collect()) == [(0, 5, 9, 2, 1), (0, 50, 60, 1, 0), (1, 0, 40, 2, 0)]
+
+
+def test_windows_across_chunks_equal_whole_contigs(spark):
+    random.seed(9)
+    genome = [(c, "".join(random.choices("ACGTacgt", k=n))) for c, n in (("a", 500), ("b", 3), ("e", 0))]
+    seqs = dict(genome)
+    rows = [(k, random.choice(["a", "a", "b", "e", "x"]), random.choice("+-"), random.randrange(-5, 520), random.randrange(-5, 520)) for k in range(300)]
+    df = spark.createDataFrame(rows, "tx int, contig string, strand string, donor long, acceptor long")
+    g = spark.createDataFrame(genome, "contig string, seq string")
+    take = lambda c, s, n: "" if s < 0 else seqs[c][s : s + n]
+    for width in (7, 64, 1 << 20):
+        got = {r.tx: (r.x, r.y) for r in screens.with_windows(df, g, {"x": (F.col("donor"), 2), "y": (F.col("acceptor") - 12, 16)}, width).collect()}
+        assert got == {k: (take(c, d, 2), take(c, a - 12, 16)) if c in seqs else (None, None) for k, c, _, d, a in rows}
+    assert screens.motifs(df, screens.chunked(g)).count() == 300
+
+
+def test_reads_with_names_are_capped_uniformly(spark):
+    rows = [(f"read/{k}", "s" if k % 3 else "t", "chrM", 0) for k in range(4000)] + [(None, "s", "chrM", 0), ("u", "s", None, 0)]
+    df = spark.createDataFrame(rows, "read_id string, sample string, chrom string, flag int")
+    one = reads.reservoir_cap(df, 1000)
+    ids = {r.read_id for r in one.filter("chrom = 'chrM'").collect()}
+    assert len(ids) == 1000 and one.filter("chrom is null").count() == 1
+    low = sum(int(i.split("/")[1]) < 2000 for i in ids)
+    assert 420 < low < 580
+    assert ids != {r.read_id for r in reads.reservoir_cap(df, 1000, seed=5).filter("chrom = 'chrM'").collect()}
+    each = reads.reservoir_cap(df, 50, keys=("sample",)).filter("chrom = 'chrM'").groupBy("sample").count().collect()
+    assert {r["sample"]: r["count"] for r in each} == {"s": 50, "t": 50}
+    assert reads.reservoir_cap(df, 9999).count() == df.count()
+
+
+def test_modal_ends_replace_a_transcripts_own(spark):
+    tx = spark.createDataFrame([("a", "+", 5, 90, "x"), ("b", "-", 5, 90, "y"), ("c", "+", 50, 60, "z")], "tx string, strand string, lo long, hi long, other string")
+    starts = spark.createDataFrame([("a", 3), ("b", 95), ("c", 70)], "tx string, pos long")
+    stops = spark.createDataFrame([("a", 99), ("b", 2)], "tx string, pos long")
+    got = {r.tx: (r.lo, r.hi, r.other) for r in reads.with_modal_ends(tx, starts, stops).collect()}
+    assert got == {"a": (3, 99, "x"), "b": (2, 95, "y"), "c": (50, 60, "z")}
+
+
+def test_depth_chromosome_and_coverage_filters(spark):
+    df = spark.createDataFrame([("a", "chr1", 1), ("a", "chr1", 1), ("b", "CHRx", 2), ("c", "chr1_alt", 3), ("d", "chrY", None)], "tx string, chrom string, depth long")
+    assert sorted(r.tx for r in reads.drop_singletons(df).collect()) == ["b", "c", "d"]
+    assert sorted(r.tx for r in reads.on_chromosomes(df).collect()) == ["a", "a", "b", "d"]
+    pile = spark.createDataFrame([(0, 0), (1, 0), (20, 4), (20, 3), (19, 9)], "depth long, reads2 long")
+    assert reads.covered(pile).count() == 4 and reads.called_variants(pile).count() == 1
+
+
+def test_quality_shares(spark):
+    df = spark.createDataFrame([("s", "!5?I"), ("s", "????"), ("t", "")], "sample string, qual string")
+    got = {r["sample"]: (r.q20_pct, r.q30_pct) for r in reports.quality_shares(df).collect()}
+    assert got == {"s": (87.5, 75.0), "t": (None, None)}
+
+
+def test_components_with_written_minima(spark, monkeypatch):
+    monkeypatch.setattr(graph, "BROADCAST_EDGES", 0)
+    random.seed(4)
+    edges = [(0, k) for k in range(1, 200)] + [(k, k + 1) for k in range(300, 340)] + [(199, 340)]
+    got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert set(got.values()) == {0} and len(got) == 241
+
+
+def test_a_cluster_by_stars_is_a_cluster_by_pairs(spark, sf_dir):
+    from strandloom.plans.core import tx_of
+
+    tx = tx_of(spark, sf_dir)
+    key = lambda df: sorted((r.tx, r.cluster_id, r.cluster_size) for r in df.collect())
+    pairs_ = graph.components(graph.linked(graph.junction_pairs(tx), "any_shared").select("a", "b"))
+    rows = tx.join(pairs_, F.col("tx") == F.col("node"), "left").select("tx", F.coalesce("component", "tx").alias("cluster_id"))
+    rows = rows.join(rows.groupBy("cluster_id").agg(F.count("*").alias("cluster_size")), "cluster_id")
+    assert key(graph.clusters(tx)) == key(rows)
+
+
+def test_ranks_by_stretches(spark):
+    from strandloom.operators.numbering import number_by_range
+
+    random.seed(2)
+    rows = [(random.choice("ab"), random.randrange(1000), k) for k in range(500)]
+    df = spark.createDataFrame(rows, "k string, at long, n long")
+    got = {r.n: r["rank"] for r in number_by_range(df, ["k"], F.floor(F.col("at") / 50), ["at", "n"], "rank").collect()}
+    want = {n: i for key in "ab" for i, (_, n) in enumerate(sorted((at, n) for k, at, n in rows if k == key))}
+    assert got == want
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    from strandloom import lineage
+
+    class Conf:
+        def __init__(self, **held):
+            self.held = held
+
+        def get(self, key, default=None):
+            return self.held.get(key, default)
+
+    class Session:
+        conf = Conf(**{"spark.master": "yarn"})
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        lineage.shared_dir(Session())
+    Session.conf = Conf(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://x/"})
+    assert lineage.shared_dir(Session()) == "hdfs://x"

@@ -132,3 +132,74 @@ def test_stream(spark, tmp_path):
     assert got == {("a", "c1"): 1, ("b", "chrM"): 1}
     timed = rows.withColumn("ts", F.lit("2024-01-01 00:30:00").cast("timestamp"))
     assert ingest.windowed_counts(timed).count() == 2
+
+
+def test_fastq_gz_and_many_splits(spark, tmp_path):
+    records = [(f"r{k}", "ACGT" * (k % 7 + 1), "@III" * (k % 7 + 1)) for k in range(3000)]  # qualities begin like a header
+    text = "".join(f"@{n} more\n{s}\n+\n{q}\n" for n, s, q in records)
+    with gzip.open(tmp_path / "a.fastq.gz", "wt") as f:
+        f.write(text)
+    plain = put(tmp_path / "b.fastq", text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        for path in (str(tmp_path / "a.fastq.gz"), plain):
+            assert sorted(tuple(r) for r in sequences.read_fastq(spark, path).collect()) == sorted(records)
+        lines = sequences.numbered_lines(spark, [plain, str(tmp_path / "a.fastq.gz")]).collect()
+        want = text.splitlines()
+        assert len(lines) == 2 * len(want) and all(want[r.line] == r.value for r in lines)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sequences.read_fastq(spark, put(tmp_path / "empty.fastq", "")).count() == 0
+
+
+def test_fasta_marks_only_at_line_starts(spark, tmp_path):
+    fa = put(tmp_path / "g.fa", ">c1 from A->G edit\r\nAC>GT\r\nac\r\n>c2\n>c3 >x\nTT\n")
+    assert {r.contig: r.seq for r in sequences.read_fasta(spark, fa).collect()} == {"c1": "AC>GTac", "c2": "", "c3": "TT"}
+
+
+def test_gtf_order_is_that_of_the_paths_and_lines(spark, tmp_path):
+    row = lambda t, e=9: f'c1\tx\texon\t1\t{e}\t.\t+\t.\tgene_id "G"; transcript_id "{t}"\n'
+    small, big = put(tmp_path / "z.gtf", row("A")), put(tmp_path / "a.gtf", "".join(row(f"T{k}") for k in range(400)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")  # Spark packs large pieces first
+    try:
+        rows = gtf.read_exons(spark, [small, big])
+        assert [r.tx for r in rows.orderBy("ord").collect()] == ["A", *(f"T{k}" for k in range(400))]
+        assert gtf.read_exons(spark, [big, small]).orderBy("ord").collect()[-1].tx == "A"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_hierarchy_defaults(spark, tmp_path):
+    text = 'c\tx\texon\t21\t30\t.\t-\t.\tgene_id "G"; transcript_id "T"; gene_biotype "p"; tag "a"; tag "b"\nc\tx\texon\t1\t9\t.\t-\t.\tgene_id "G"; transcript_id "T"; exon_number "7"; gene_name "N"\nc\tx\texon\t1\t9\t.\t-\t.\tgene_id "G"\n'
+    rows = gtf.read_hierarchy(spark, put(tmp_path / "h.gtf", text)).orderBy("start0").collect()
+    assert [(r.exon, r.gene_name, r.transcript_name, r.gene_type, r.tags) for r in rows] == [(7, "N", "T", None, []), (1, "G", "T", "p", ["a", "b"])]
+
+
+def test_more_formats(spark, tmp_path):
+    flat = put(tmp_path / "ref.flat", "G\tT\tc1\t+\t5\t60\t5\t60\t2\t5,40,\t10,60,\n#x\n")
+    assert [tuple(r) for r in sequences.read_ref_flat(spark, flat).orderBy("exon").collect()] == [("G", "T", "c1", "+", 0, 5, 10), ("G", "T", "c1", "+", 1, 40, 60)]
+    pile = put(tmp_path / "pile", "c1\t5\tA\t0\nc1\t6\tA\t3\t...\tIII\nc1\tx\n")
+    assert [tuple(r) for r in sequences.read_pileup(spark, pile).orderBy("pos").collect()] == [("c1", 4, "A", 0), ("c1", 5, "A", 3)]
+    assert [sinks.path_token(p, k) for p, k in (("a/b/c.txt", 2), ("a/b/c.txt", -2), ("/x", 3))] == ["b", "b", "/x"]
+    order = spark.createDataFrame([("b", 1), ("a", 2), ("b", 3), ("c", 0)], "tx string, at int")
+    sinks.write_ids_in_order(order, str(tmp_path / "ordered"), ["at"])
+    assert [r.value for r in spark.read.text(str(tmp_path / "ordered")).collect()] == ["c", "b", "a"]
+
+
+def test_sample_sheet_files_are_there(spark, tmp_path):
+    bam = put(tmp_path / "x.bam", "")
+    assert samplesheet.read_sample_sheet(spark, put(tmp_path / "s.csv", f"sample,path_to_bam\na,{bam}\n"), check_files=True).count() == 1
+    with pytest.raises(ValueError, match="gone.bam"):
+        samplesheet.read_sample_sheet(spark, put(tmp_path / "t.csv", f"sample,path_to_bam\na,{bam}\nb,{tmp_path}/gone.bam\n"), check_files=True)
+
+
+def test_configuration_files(tmp_path):
+    pytest.importorskip("yaml")
+    from strandloom.config import EngineConfig
+
+    base = put(tmp_path / "a.yaml", "samples: s.csv\nremove_isoforms_overlapping_PAR_regions: 'no'\nfilt_tpm_min_count: 2\nmatch_mode: exact\n")
+    over = put(tmp_path / "b.yaml", "filt_tpm_min_count: 3\n")
+    cfg = EngineConfig.from_files(base, over)
+    assert (cfg.filter_par, cfg.tpm_min, cfg.match_mode, cfg.tss_max_distance) == (False, 3, "exact", 10)
