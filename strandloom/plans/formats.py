@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.lineage import cut, shared_dir
+from strandloom.operators import annotation, reports, splice
 from strandloom.operators import reads as rd
-from strandloom.operators import reports, splice
 from strandloom.sources import bed, gtf, matrix, samplesheet, sequences, sinks
 
+from . import screening
 from .core import SAMPLES, tx_of
 from .fixtures import ctes, exons, expression, genome, read, regions
 from .fixtures import reads as alignments
@@ -79,6 +80,13 @@ def singletons_dropped(s: SparkSession, d: str) -> DataFrame:
     return rd.on_chromosomes(rd.drop_singletons(rows))
 
 
+@query("collapsed_gtf_read", ctes("exon") + f", {screening._GENES}, {screening._COLLAPSE}, {screening._MODEL} SELECT CAST(gene AS VARCHAR) AS gene, gene || '_' || exon AS exon_id, CAST(exon AS INTEGER) AS exon, chrom, strand, start0, end0 FROM num")
+def collapsed_gtf_read(s: SparkSession, d: str) -> DataFrame:
+    """The collapsed model as GTF lines, read back."""
+    path = put(s, annotation.to_gtf(screening.collapse_annotation(s, d)), "collapsed-gtf")
+    return gtf.read_hierarchy(s, path).select("gene", "exon_id", "exon", "chrom", "strand", "start0", "end0")
+
+
 @query("bed_regions_read", ctes("reg") + " SELECT CAST(rid AS VARCHAR) AS name, chrom, start0, end0, '.' AS strand FROM reg")
 def bed_regions_read(s: SparkSession, d: str) -> DataFrame:
     return bed.read_bed(s, put(s, regions(s, d).select(tabbed("chrom", "start0", "end0", "rid")), "regions-bed")).select("name", "chrom", "start0", "end0", "strand")

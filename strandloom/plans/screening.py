@@ -84,6 +84,19 @@ def monoexon_no_tss(s: SparkSession, d: str) -> DataFrame:
     return screens.monoexon_no_tss(tx, tss, _reference_tss(s, d), distance=100)
 
 
+_SIZES = "sz AS (SELECT chrom, max(end0) - 150 AS length FROM reg GROUP BY chrom)"
+
+
+@query("monoexon_no_tss_clipped", ctes("exon", "txs", "reg") + f""", {_TSS}, {_SIZES} SELECT DISTINCT t.tx FROM tssrow t JOIN sz ON sz.chrom = t.chrom WHERE tx IN (FROM mono)
+ AND NOT EXISTS (SELECT 1 FROM reg r WHERE r.chrom = t.chrom AND greatest(t.start0 - 300, 0) < r.start0 + 1 AND r.start0 < least(t.start0 + 301, sz.length) AND greatest(t.start0 - 300, 0) < least(t.start0 + 301, sz.length))""")
+def monoexon_no_tss_clipped(s: SparkSession, d: str) -> DataFrame:
+    """Windows clipped to the chromosomes' lengths, which here end inside the last region."""
+    tx = tx_of(s, d)
+    tss = splice.ends(tx).select("tx", "chrom", F.col("tss").alias("start0"), (F.col("tss") + 1).alias("end0"))
+    sizes = regions(s, d).groupBy("chrom").agg((F.max("end0") - 150).alias("length"))
+    return screens.monoexon_no_tss(tx, tss, _reference_tss(s, d), sizes, distance=300)
+
+
 _REF = """rtx AS (SELECT tx, chrom, strand, count(*) AS n, min(start0) AS lo, max(end0) AS hi FROM ref GROUP BY ALL),
 rin AS (SELECT * FROM (SELECT tx, chrom, strand, end0 AS s, lead(start0) OVER (PARTITION BY tx ORDER BY start0) AS e FROM ref) WHERE e > s)"""
 
@@ -181,6 +194,21 @@ def exon_overlap_stats(s: SparkSession, d: str) -> DataFrame:
     return screens.exon_overlap(exons(s, d), regions(s, d))
 
 
+_STRANDED = """rs AS (SELECT chrom, CASE WHEN rid % 2 = 0 THEN '+' ELSE '-' END AS strand, start0, end0 FROM reg),
+isl AS (SELECT *, CASE WHEN start0 <= max(end0) OVER (PARTITION BY chrom, strand ORDER BY start0, end0 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM rs),
+isg AS (SELECT *, sum(new) OVER (PARTITION BY chrom, strand ORDER BY start0, end0 ROWS UNBOUNDED PRECEDING) AS g FROM isl),
+uni AS (SELECT chrom, strand, min(start0) AS start0, max(end0) AS end0 FROM isg GROUP BY chrom, strand, g),
+tot AS (SELECT tx, CAST(sum(end0 - start0) AS BIGINT) AS total_exon_bp FROM exon GROUP BY tx),
+cov AS (SELECT e.tx, CAST(sum(least(e.end0, u.end0) - greatest(e.start0, u.start0)) AS BIGINT) AS bp FROM exon e JOIN uni u ON e.chrom = u.chrom AND e.strand = u.strand AND e.start0 < u.end0 AND u.start0 < e.end0 GROUP BY e.tx)"""
+
+
+@query("stranded_overlap", ctes("exon", "reg") + f", {_STRANDED} SELECT t.tx, total_exon_bp, coalesce(bp, 0) AS overlap_bp, round(coalesce(bp, 0) / total_exon_bp, 4) AS overlap_fraction FROM tot t LEFT JOIN cov c ON c.tx = t.tx")
+def stranded_overlap(s: SparkSession, d: str) -> DataFrame:
+    """Regions with a strand of their own."""
+    stranded = regions(s, d).withColumn("strand", F.when(F.col("rid") % 2 == 0, "+").otherwise("-"))
+    return screens.exon_overlap(exons(s, d), stranded, stranded=True)
+
+
 @query("repeat_overlap", ctes("exon", "reg") + f", {_UNION.format('reg')}, {_COVER} SELECT tx FROM ovl WHERE overlap_bp / total_exon_bp >= 0.6")
 def repeat_overlap(s: SparkSession, d: str) -> DataFrame:
     return screens.region_overlap(exons(s, d), regions(s, d), 0.6)
@@ -278,7 +306,10 @@ good AS (SELECT * FROM mod WHERE gene IN (SELECT gene FROM mod GROUP BY gene HAV
 _GENES = "gx AS (SELECT tx, tx - tx % 8 AS gene, chrom, strand, start0 + (tx % 8) * 7 AS start0, end0 + (tx % 8) * 7 + (tx % 3) * 30 AS end0 FROM exon)"
 
 
-@query("collapse_annotation", ctes("exon") + f", {_GENES}, {_COLLAPSE} SELECT gene, chrom, strand, row_number() OVER (PARTITION BY gene ORDER BY CASE WHEN strand = '-' THEN -start0 ELSE start0 END) AS exon, start0, end0 FROM good")
+_MODEL = "num AS (SELECT gene, chrom, strand, row_number() OVER (PARTITION BY gene ORDER BY CASE WHEN strand = '-' THEN -start0 ELSE start0 END) AS exon, start0, end0 FROM good)"
+
+
+@query("collapse_annotation", ctes("exon") + f", {_GENES}, {_COLLAPSE}, {_MODEL} SELECT * FROM num")
 def collapse_annotation(s: SparkSession, d: str) -> DataFrame:
     """Genes of eight transcripts that overlap their neighbours; a thirteenth of the transcripts is excluded."""
     ex_ = exons(s, d).withColumns({"gene": F.col("tx") - F.col("tx") % 8, "start0": F.col("start0") + F.col("tx") % 8 * 7, "end0": F.col("end0") + F.col("tx") % 8 * 7 + F.col("tx") % 3 * 30})
@@ -286,6 +317,14 @@ def collapse_annotation(s: SparkSession, d: str) -> DataFrame:
     return annotation.collapse(ex_)
 
 
+@query("collapsed_bed12", ctes("exon") + f""", {_GENES}, {_COLLAPSE} SELECT chrom, min(start0) AS start, max(end0) AS "end", gene AS name, strand, count(*) AS block_count, string_agg(end0 - start0, ',' ORDER BY start0) AS block_sizes, string_agg(start0 - m, ',' ORDER BY start0) AS block_starts
+FROM (SELECT *, min(start0) OVER (PARTITION BY gene, chrom, strand) AS m FROM good) GROUP BY gene, chrom, strand""")
+def collapsed_bed12(s: SparkSession, d: str) -> DataFrame:
+    """One BED12 row a gene's collapsed model."""
+    model = splice.transcripts(collapse_annotation(s, d).withColumn("tx", F.col("gene")))
+    return splice.to_bed12(model).select("chrom", "start", "end", "name", "strand", "block_count", "block_sizes", "block_starts")
+
+
 # --- reads
 
 
@@ -332,7 +371,7 @@ def qc_long(s: SparkSession, d: str) -> DataFrame:
     return reads.union_all([one, one.withColumn("sample", F.col("sample") + 10)])
 
 
-_METRICS = ["click", "error", "login", "purchase", "view"]
+_METRICS = ["click", "error", "purchase", "signup", "view"]
 
 
 @query("qc_wide", "WITH e AS (SELECT user_id % 10 AS sample, event_type AS metric, value::VARCHAR AS v, event_id AS pos FROM events) SELECT sample, " + ", ".join(f"coalesce(arg_min(CAST(CAST(pos AS BIGINT) AS VARCHAR), pos) FILTER (WHERE metric = '{m}'), 'NA') AS \"{m}\"" for m in _METRICS) + " FROM e GROUP BY sample")
@@ -342,6 +381,13 @@ def qc_wide(s: SparkSession, d: str) -> DataFrame:
     return reports.to_wide(long, metrics=_METRICS)
 
 
+@query("qc_wide_found", ORACLES["qc_wide"])
+def qc_wide_found(s: SparkSession, d: str) -> DataFrame:
+    """The metrics are found, in order of appearance."""
+    long = read(s, d, "events").select((F.col("user_id") % 10).alias("sample"), F.col("event_type").alias("metric"), F.col("event_id").cast("string").alias("value"), F.col("event_id").alias("pos"))
+    return reports.to_wide(long)
+
+
 @query("qc_wide_mean", "WITH e AS (SELECT user_id % 10 AS sample, event_type AS metric, event_id % 100 AS v FROM events) SELECT sample, " + ", ".join(f"round(avg(v) FILTER (WHERE metric = '{m}'), 6) AS \"{m}\"" for m in _METRICS) + " FROM e GROUP BY sample")
 def qc_wide_mean(s: SparkSession, d: str) -> DataFrame:
     long = read(s, d, "events").select((F.col("user_id") % 10).alias("sample"), F.col("event_type").alias("metric"), (F.col("event_id") % 100).cast("string").alias("value"), F.col("event_id").alias("pos"))
