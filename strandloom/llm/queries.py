@@ -100,6 +100,21 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(talks.union(extra)))
 
 
+def chat_typed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation with an image, an audio, a document or an unknown part before each text: placeholders in order, and expanded tokens."""
+    kind = F.element_at(F.array(*map(F.lit, ("image", "audio", "document", "video"))), (F.pmod("conv_id", F.lit(4)) + 1).cast("int"))
+    part = lambda kind, text, ref, units: F.struct(kind.alias("kind"), text.alias("text"), ref.alias("ref"), units.cast("bigint").alias("units"))
+    none = F.lit(None).cast("string")
+    parts = F.array(part(kind, none, F.col("turn").cast("string"), F.col("turn")), part(F.lit("text"), F.col("text"), none, F.lit(None)))
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", parts.cast(chat.PART_TYPE).alias("parts"))
+    pieces = chat.format_conversations(talks, piece_chars=2000)
+    found = F.regexp_extract_all("formatted", F.lit(r"(?<!\\)<\|(\w+:\d+)\|>"), F.lit(1))
+    refs = F.transform("attachments", lambda a: F.concat_ws(":", a["kind"], a["ref"], a["tokens"].cast("string")))
+    lines = pieces.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("piece", found.alias("p"), refs.alias("r")))).alias("x"), F.sum("tokens_expanded").alias("tokens_expanded"), F.sum("n_turns").alias("n_turns"))
+    joined = lambda k: F.array_join(F.flatten(F.transform("x", lambda x: x[k])), ",")
+    return lines.select("conv_id", "n_turns", joined("p").alias("placeholders"), joined("r").alias("attachments"), "tokens_expanded")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's personal data: counts and digest of the base spans, and all spans."""
     found = pii.find_spans(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -123,6 +138,16 @@ FROM t GROUP BY conv_id
 """
 
 
+CHAT_PARTS_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, role, text, ['image', 'audio', 'document', 'video'][conv_id % 4 + 1] AS kind, ['image', 'audio', 'document', 'other'][conv_id % 4 + 1] AS shown, [256, 25, 512, 0][conv_id % 4 + 1] * greatest(turn, 1) AS tokens
+  FROM conversations)
+SELECT conv_id, count(*) AS n_turns, string_agg(shown || ':0', ',' ORDER BY turn, role, text) AS placeholders,
+       string_agg(kind || ':' || turn || ':' || tokens, ',' ORDER BY turn, role, text) AS attachments, CAST(sum(tokens) AS BIGINT) AS tokens_expanded
+FROM t GROUP BY conv_id
+"""
+
+
 # Smallest id that links (a, b), in both directions, reach from each node.
 _WALK = """walk AS (SELECT a AS node, a AS r FROM links UNION SELECT l.b, w.r FROM walk w JOIN links l ON l.a = w.node),
 comp AS (SELECT node, min(r) AS component FROM walk GROUP BY node)"""
@@ -168,8 +193,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: q for name, q in globals().items() if name.startswith("op") and name[2].isdigit()}
+    return {name: q for name, q in globals().items() if name.startswith("op") and name[2].isdigit()} | {"chat_typed_parts": chat_typed_parts}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash_dedup": OP1_SQL, "op4_embedding_dedup": OP4_SQL, "op5_url_filter": OP5_SQL, "op6_ann": OP6_SQL, "op8_chat_format": OP8_SQL}
+    return {"op1_minhash_dedup": OP1_SQL, "op4_embedding_dedup": OP4_SQL, "op5_url_filter": OP5_SQL, "op6_ann": OP6_SQL, "op8_chat_format": OP8_SQL, "chat_typed_parts": CHAT_PARTS_SQL}
