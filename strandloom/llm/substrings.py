@@ -23,18 +23,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from strandloom.operators.intervals import interval_join, union_intervals
+from pyspark.sql.window import Window
 
 from .common import batches, cut, whole
 
 MIN_WORDS = 14
 #: A line of so many words is a unit.
 LINE_WORDS = 1
-#: Characters of a bin in which kept occurrences meet removed ones.
-BIN_CHARS = 1024
 #: Of so many neighbouring runs of words at least one is a unit.
-SPREAD = 12
+SPREAD = 16
+#: Documents whose units tell which are common, about; the share of them that a common unit is in; at most so many are salted, into so many parts.
+SAMPLE_DOCS, COMMON, COMMON_UNITS, SALTS = 2_000, 0.004, 20_000, 32
 _PIECE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|\Z)")
 _WORD = re.compile(r"\w+")
 #: Two hashes a run; a hash is a sum of mixed values by powers of an odd factor, so that differences of running sums give
@@ -144,66 +143,93 @@ def units(text: str | None, min_words: int = MIN_WORDS) -> Iterator[tuple[int, i
 
 
 def unit_rows(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, start, end, words, d0, d1): every unit of every row; the digest as two longs."""
+    """(doc_id, start, size, d0, d1): every unit of every row; size in characters, the digest as two longs."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "start", "end", "words", "d0", "d1"]
+        names = ["doc_id", "start", "size", "d0", "d1"]
 
         def batch() -> pa.RecordBatch:
             d = np.concatenate([np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2), *(x[2].view(np.int64) for _, x in chosen)])
             of = [len(x[0]) for _, x in chosen]
             columns = [
                 np.concatenate([np.array(ids, np.int64), np.repeat(np.array([doc for doc, _ in chosen], np.int64), of)]),
-                *(np.concatenate([np.array(own, np.int32), *(x[k].astype(np.int32) for _, x in chosen)]) for k, own in enumerate((starts, ends))),
-                np.concatenate([np.array(words, np.int32), np.full(sum(of), min_words, np.int32)]),
+                np.concatenate([np.array(starts, np.int32), *(x[0].astype(np.int32) for _, x in chosen)]),
+                np.concatenate([np.array(sizes, np.int32), *((x[1] - x[0]).astype(np.int32) for _, x in chosen)]),
                 np.ascontiguousarray(d[:, 0]),
                 np.ascontiguousarray(d[:, 1]),
             ]
             return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
         for b in it:
-            ids, starts, ends, words, digests, chosen, held = [], [], [], [], [], [], 0
+            ids, starts, sizes, digests, chosen, held = [], [], [], [], [], 0
             for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 text = text.as_py() or ""
-                for start, end, n, digest in pieced(text, min_words):
+                for start, end, _, digest in pieced(text, min_words):
                     ids.append(doc)
                     starts.append(start)
-                    ends.append(end)
-                    words.append(n)
+                    sizes.append(end - start)
                     digests.append(digest)
                 chosen.append((doc, runs(text, min_words)))
                 held += len(chosen[-1][1][0])
                 if len(ids) + held >= 20_000:
                     yield batch()
-                    ids, starts, ends, words, digests, chosen, held = [], [], [], [], [], [], 0
+                    ids, starts, sizes, digests, chosen, held = [], [], [], [], [], 0
             if len(ids) + held:
                 yield batch()
 
     src = docs.filter("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    return batches(src, run, "doc_id long, start int, end int, words int, d0 long, d1 long")
+    return batches(src, run, "doc_id long, start int, size int, d0 long, d1 long")
+
+
+def common_units(docs: DataFrame, text_col: str, min_words: int) -> DataFrame:
+    """(d0, d1) of the commonest units of a hashed sample of about SAMPLE_DOCS documents, at most COMMON_UNITS: only for even tasks."""
+    step = max(1, docs.count() // SAMPLE_DOCS)
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(step)) == 0)
+    counts = unit_rows(sample, text_col, min_words).groupBy("d0", "d1").agg(F.count("*").alias("n")).filter(F.col("n") >= max(3, int(COMMON * SAMPLE_DOCS)))
+    return cut(counts.orderBy(F.desc("n"), "d0", "d1").limit(COMMON_UNITS).select("d0", "d1"), "common-units")
 
 
 def repeated_units(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """The units to remove: doc_id, start, end, words, kept_doc_id, kept_start, kept_end.
+    """The units to remove: doc_id, start, end, kept_doc_id, kept_start, kept_end.
 
     A unit goes if an equal one occurs at a smaller (doc_id, start), the two don't overlap in one text, and no unit that
     could go overlaps that first occurrence. Spans of one document may overlap; when all of them are cut out, the kept
-    occurrence of each is still there whole. Texts are searched whole, however long, and read once: their units are
-    written. Null and empty texts and texts without words have no units; null ids are passed over; repeated rows of one
-    id and text are one document (its later copies have the same offsets, and stay with the row). Other columns are left
-    out, whatever their names; an empty table gives no rows.
+    occurrence of each is still there whole. Texts are searched whole, however long. Null and empty texts and texts
+    without words have no units; null ids are passed over; repeated rows of one id and text are one document (its later
+    copies have the same offsets, and stay with the row). Other columns are left out, whatever their names; an empty
+    table gives no rows.
+
+    Units meet in one shuffle by digest, sorted by place. Units that a sample shows to be common are dealt into SALTS
+    parts each; their parts' first places, a bounded table, give the first of all.
     """
-    rows = cut(unit_rows(docs, text_col, min_words), "units")
-    first = rows.groupBy("d0", "d1").agg(F.min(F.struct("doc_id", "start", "end")).alias("kept"), F.max(F.struct("doc_id", "start")).alias("last"))
-    # Written and reread: the join then has a shuffle of its own on both sides, and Spark splits the hot digests' rows.
-    first = cut(first.filter((F.col("kept.doc_id") != F.col("last.doc_id")) | (F.col("kept.start") != F.col("last.start"))).select("d0", "d1", "kept"), "repeated-units")
-    found = rows.join(first, ["d0", "d1"]).filter((F.col("doc_id") != F.col("kept.doc_id")) | (F.col("start") >= F.col("kept.end")))
-    found = cut(found.select("d0", "d1", "doc_id", "start", "end", "words", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.start").alias("kept_start"), F.col("kept.end").alias("kept_end")), "repeats")
-    # Kept occurrences that a removed span touches; spans of one text are merged first.
-    gone = union_intervals(found.select("doc_id", F.col("start").alias("start0"), F.col("end").alias("end0")), ("doc_id",), width=BIN_CHARS)
-    kept = first.select("d0", "d1", F.col("kept.doc_id").alias("doc_id"), F.col("kept.start").alias("start0"), F.col("kept.end").alias("end0"))
-    touched = cut(interval_join(kept, gone, keys=("doc_id",), width=BIN_CHARS).select(F.col("a_d0").alias("d0"), F.col("a_d1").alias("d1")).distinct(), "touched-units")
-    return found.join(touched, ["d0", "d1"], "left_anti").drop("d0", "d1")
+    common = F.broadcast(common_units(docs, text_col, min_words).withColumn("common", F.lit(True)))
+    # A place (start, size) as one number, in order of start: rows of plain numbers are small.
+    place = F.shiftleft(F.col("start").cast("bigint"), 32).bitwiseOR(F.col("size").cast("bigint")).alias("place")
+    rows = unit_rows(docs, text_col, min_words).select("d0", "d1", "doc_id", place).join(common, ["d0", "d1"], "left")
+    rows = rows.withColumn("part", F.when(F.col("common"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")).withColumn("common", F.col("common").isNotNull())
+    by = Window.partitionBy("d0", "d1", "part").orderBy("doc_id", "place")
+    firsts = {"kept_doc_id": F.first("doc_id").over(by), "kept": F.first("place").over(by), "next": F.lead("doc_id").over(by), "n": F.row_number().over(by)}
+    met = rows.withColumns(firsts).filter("n > 1 or next is not null or common")
+    met = cut(met.select("d0", "d1", "doc_id", "place", "kept_doc_id", "kept", (F.col("n") == 1).alias("head"), "common"), "repeats")
+
+    # Of common units, the first of their parts' firsts.
+    one = met.filter("common and head").groupBy(F.col("d0").alias("c0"), F.col("d1").alias("c1")).agg(F.min(F.struct("doc_id", "place")).alias("x"))
+    met = met.join(F.broadcast(one), F.col("common") & (F.col("d0") == F.col("c0")) & (F.col("d1") == F.col("c1")), "left")
+    kept = {"kept_doc_id": F.coalesce("x.doc_id", "kept_doc_id"), "kept": F.coalesce("x.place", "kept")}
+    met = met.withColumns(kept).drop("c0", "c1", "x", "common", "head")
+    start, end = lambda c: F.shiftright(c, 32).cast("int"), lambda c: (F.shiftright(c, 32) + F.col(c).bitwiseAND(0xFFFFFFFF)).cast("int")
+    is_kept = (F.col("doc_id") == F.col("kept_doc_id")) & (F.col("place") == F.col("kept"))
+    may_go = (F.col("doc_id") != F.col("kept_doc_id")) | (start("place") >= end("kept"))
+
+    # Kept occurrences that a span touches which may go: one before them that ends inside, or one that begins inside.
+    spans = met.filter(is_kept | may_go).select("doc_id", start("place").alias("s"), end("place").alias("e"), F.when(is_kept, F.col("d0")).alias("d0"), F.when(is_kept, F.col("d1")).alias("d1"))
+    text, gone = Window.partitionBy("doc_id"), F.col("d0").isNull()
+    upto = text.orderBy("s").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    on = text.orderBy(F.desc("s")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = spans.withColumns({"before": F.max(F.when(gone, F.col("e"))).over(upto), "after": F.min(F.when(gone, F.col("s"))).over(on)})
+    touched = cut(spans.filter(~gone & (F.coalesce(F.col("before") > F.col("s"), F.lit(False)) | F.coalesce(F.col("after") < F.col("e"), F.lit(False)))).select("d0", "d1").distinct(), "touched-units")
+    found = met.filter(may_go & ~is_kept).join(touched, ["d0", "d1"], "left_anti")
+    return found.select("doc_id", start("place").alias("start"), end("place").alias("end"), "kept_doc_id", start("kept").alias("kept_start"), end("kept").alias("kept_end"))
 
 
 def without(docs: DataFrame, spans: DataFrame, text_col: str = "text") -> DataFrame:
