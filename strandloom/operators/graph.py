@@ -95,11 +95,12 @@ def clusters(tx: DataFrame, mode: str = "any_shared", **options) -> DataFrame:
         raise ValueError(f"mode {mode!r}: one of {', '.join(MODES)}")
     if options.get("min_shared", 1) < 1:
         raise ValueError("min_shared: at least 1")
-    base = tx.select("tx", *GROUP, F.array_sort(F.array_distinct("chain")).alias("set"))
+    # Written: the chains are read several times below, and whatever they come from only once.
+    base = cut(tx.select("tx", *GROUP, F.array_sort(F.array_distinct("chain")).alias("chain")), "chains")
     if mode == "exact":
-        groups = base.groupBy(*GROUP, "set").agg(F.min("tx").alias("cluster_id"), F.count("*").alias("cluster_size"))
-        return base.join(groups, [*GROUP, "set"]).select("tx", *GROUP, "cluster_id", "cluster_size")
-    edges = junction_stars(tx) if mode == "any_shared" and options.get("min_shared", 1) == 1 else linked(junction_pairs(tx), mode, **options).select("a", "b")
+        groups = base.groupBy(*GROUP, "chain").agg(F.min("tx").alias("cluster_id"), F.count("*").alias("cluster_size"))
+        return base.join(groups, [*GROUP, "chain"]).select("tx", *GROUP, "cluster_id", "cluster_size")
+    edges = junction_stars(base) if mode == "any_shared" and options.get("min_shared", 1) == 1 else linked(junction_pairs(base), mode, **options).select("a", "b")
     found = components(edges)
     rows = base.join(found, F.col("tx") == F.col("node"), "left").select("tx", *GROUP, F.coalesce("component", "tx").alias("cluster_id"))
     sizes = rows.groupBy("cluster_id").agg(F.count("*").alias("cluster_size"))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandloom.lineage import cut
+
 from .expression import dense, samples_of
 
 
@@ -52,7 +54,7 @@ def sample_support(expr: DataFrame, clusters: DataFrame, min_rel: float = 0.0, p
     if min_rel <= 0 and pct is None:
         raise ValueError("sample support needs min_rel above 0, or pct")
     samples = samples_of(expr) if samples is None else samples
-    rows = scored(expr, clusters, score, samples)
+    rows = cut(scored(expr, clusters, score, samples), "scored")  # read twice
     values = dense(expr, rows.select("tx", "cluster_id"), samples)
     ok = F.lit(False)
     if min_rel > 0:
