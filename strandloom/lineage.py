@@ -27,17 +27,35 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame, name: str, observed: tuple | None = None) -> DataFrame:
     """The same rows as ``df``, reread from a table in the shared folder; ``observed``: (Observation, *aggregates) of the write."""
     path = f"{shared_dir(df.sparkSession)}/strandloom/{name}-{uuid.uuid4().hex}"
-    (df if observed is None else df.observe(*observed)).write.parquet(path)
+    (df if observed is None else df.observe(*observed)).write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._strandloom_path = path
+    _made.append(out)
     return out
 
 
+#: Tables made by ``cut`` and not yet forgotten, in order.
+_made: list[DataFrame] = []
+
+
+def mark() -> int:
+    """A point in time for ``forget_since``."""
+    return len(_made)
+
+
+def forget_since(point: int, keep: tuple[DataFrame, ...] = ()) -> None:
+    """Forgets the tables made since ``point`` but for those in ``keep``: once a step's result is written, what it was made from can go."""
+    kept = {id(df) for df in keep}
+    forget(*(df for df in _made[point:] if id(df) not in kept))
+
+
 def forget(*tables: DataFrame) -> None:
     """Deletes tables made by ``cut``; only for those that nothing later reads, a lost executor's tasks included."""
     for df in tables:
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._strandloom_path)
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    gone = {id(df) for df in tables}
+    _made[:] = [df for df in _made if id(df) not in gone]
 
 
-__all__ = ["Observation", "cut", "forget", "shared_dir"]
+__all__ = ["Observation", "cut", "forget", "forget_since", "mark", "shared_dir"]

@@ -403,3 +403,16 @@ def test_a_cluster_needs_a_shared_folder(spark):
         lineage.shared_dir(Session())
     Session.conf = Conf(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://x/"})
     assert lineage.shared_dir(Session()) == "hdfs://x"
+
+
+def test_written_tables_are_forgotten(spark):
+    import glob
+
+    from strandloom import lineage
+
+    point = lineage.mark()
+    a, b = (lineage.cut(spark.range(5), name) for name in ("first", "second"))
+    there = lambda df: bool(glob.glob(df._strandloom_path.removeprefix("file://") + "/*.parquet"))
+    assert there(a) and there(b)
+    lineage.forget_since(point, keep=(b,))
+    assert not there(a) and b.count() == 5 and lineage.mark() == point + 1
