@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandloom.lineage import forget_since, mark
+
 from .common import batches, components, cut, give_back
 from .shingles import digest, mix, sets_of
 
@@ -309,7 +311,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text_col: str = "text")
     are one document, which links with what any of them links with. Null ids link with nothing. Texts are taken whole,
     however long. Other columns are left out, whatever their names. An empty table gives no rows.
     """
-    least = percent / 100 - MARGIN
+    least, point = percent / 100 - MARGIN, mark()
     rows = cut(signatures(docs, text_col), "signatures")
     full = rows.filter("n > 0 and doc_id is not null")
     classes = cut(full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("registers").alias("registers")), "classes")
@@ -353,4 +355,6 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text_col: str = "text")
     by_class = classes.select("digest", "rep").join(final, F.col("rep") == F.col("node"), "left").select(F.col("digest").alias("d"), F.coalesce("component", "rep").alias("c"))
     joined = rows.join(by_class, (F.col("digest") == F.col("d")) & F.col("doc_id").isNotNull(), "left")
     component = F.coalesce("c", "doc_id")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    out = cut(joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")), "near-duplicates")
+    forget_since(point, keep=(out,))  # registers, buckets and candidates' texts
+    return out
