@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandloom import lineage
 from strandloom.llm import bpe, mixing, neardup, pii, quality
 from strandloom.llm.common import cut, numbered, table
 from strandloom.llm.queries import VOCABULARY
@@ -16,6 +17,8 @@ from strandloom.llm.queries import VOCABULARY
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Similarity of the near-duplicate stage, in percent.
 NEAR_PERCENT = 80
+#: Ids of copies up to this many (8 bytes each) are broadcast, so that texts aren't shuffled; more are joined by shuffle.
+BROADCAST_IDS = 1_000_000
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +57,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         node = F.when(F.col("h").isNotNull(), F.col("doc_id")).otherwise(F.col("number") + (0 if last is None else last + 1))
         rows = rows.join(by, same, "left_anti").unionByName(several.select(*COLUMNS, node.alias("node")))
     found = neardup.near_duplicates(rows.select(F.col("node").alias("doc_id"), "text"), NEAR_PERCENT)
-    gone = found.filter("not kept").select(F.col("doc_id").alias("node")).distinct()
-    return rows.join(gone, "node", "left_anti").select(COLUMNS)
+    gone = cut(found.filter("not kept").select(F.col("doc_id").alias("node")).distinct(), "copies")
+    few = gone.count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(gone) if few else gone, "node", "left_anti").select(COLUMNS)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -100,8 +104,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each one's result written to the shared folder and reread."""
+    """All stages over documents, each one's result written to the shared folder and reread; what a stage wrote on its way goes then."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
+        point = lineage.mark()
         docs = cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        lineage.forget_since(point, keep=(docs,))  # what the stage wrote on its way
     return STAGES[-1][1](spark, docs, sf_dir)
