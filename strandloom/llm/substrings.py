@@ -31,7 +31,7 @@ MIN_WORDS = 14
 #: A line of so many words is a unit.
 LINE_WORDS = 1
 #: Of so many neighbouring runs of words at least one is a unit.
-SPREAD = 16
+SPREAD = 12
 #: Documents whose units tell which are common, about; the share of them that a common unit is in; at most so many are salted, into so many parts.
 SAMPLE_DOCS, COMMON, COMMON_UNITS, SALTS = 2_000, 0.004, 20_000, 32
 _PIECE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|\Z)")
