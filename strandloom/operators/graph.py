@@ -13,7 +13,7 @@ MODES = ("any_shared", "subset", "jaccard", "bridge_safe", "exact")
 
 
 #: Up to so many edges, the minima of their ends are broadcast; beyond, they are written and joined by shuffle.
-BROADCAST_EDGES = 100_000
+BROADCAST_EDGES = 500_000
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
