@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, embeddings, mixing, neardup, pii, quality, substrings, urls
+from . import ann, bpe, chat, decontamination, embeddings, lexical, mixing, neardup, pii, quality, substrings, terms, trie, urls
 from .common import table
 
 #: Where the tokenizers' package keeps the file; operators take it as a parameter.
@@ -123,6 +123,24 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations."""
+    return trie.prefix_trie(trie.rebuilt(trie.turns(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words, those that occur in benchmark items, and the items."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.matches(docs, table(spark, sf_dir, "benchmark"), only=("doc_id",))
+    n = F.size("items").cast("bigint").alias("n_items")
+    return found.select("row.doc_id", "n_words", "n_hit", n, F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 # Escapes of the template: a backslash before \\, ###, </turn> and <|; a line break in a role is written \\n.
 _ESC = r"regexp_replace({0}, '(\\\\|###|</turn>|<\\|)', '\\\\\\1', 'g')".replace("\\\\", "\\")
 OP8_SQL = rf"""
@@ -164,7 +182,7 @@ common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sh a JOIN sh
 one AS (SELECT c.a, c.b FROM common c JOIN n x ON x.doc_id = c.a JOIN n y ON y.doc_id = c.b WHERE 100 * k >= 85 * (x.n + y.n - k)),
 links AS (SELECT a, b FROM one UNION ALL SELECT b, a FROM one),
 {_WALK}
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component, d.doc_id) AS component_id, coalesce(c.component, d.doc_id) = d.doc_id AS kept
+SELECT d.doc_id, coalesce(n.n, 0) AS n_coalesce(c.component, d.doc_id) AS component_id, coalesce(c.component, d.doc_id) = d.doc_id AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN comp c ON c.node = d.doc_id
 """
 OP4_SQL = f"""
@@ -192,9 +210,70 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+# CRC-32 of the decimal number, bit by bit.
+_CRC = """xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+         lambda acc, b: list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))), CAST(4294967295 AS BIGINT))"""
+OP11_SQL = rf"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+len AS (SELECT c, count(*) AS len FROM t GROUP BY c),
+plan AS (SELECT l.c, l.c - l.c % 5 AS base, l.h, least(l.h, coalesce(b.len, 0)) AS head, l.len
+         FROM (SELECT *, {_CRC} % 9 AS h FROM len) l LEFT JOIN len b ON b.c = l.c - l.c % 5),
+path AS (
+  SELECT p.c, pos - h + head + 1 AS d, role, text FROM plan p JOIN t ON t.c = p.c WHERE pos >= h
+  UNION ALL SELECT p.c, pos + 1, role, text FROM plan p JOIN t ON t.c = p.base WHERE pos < head),
+keyed AS (
+  SELECT c, d, strlen(text) AS bytes, string_agg(strlen(role) || ':' || role || strlen(text) || ':' || text, '') OVER (PARTITION BY c ORDER BY d) AS k FROM path
+  UNION ALL SELECT c, 0, 0, '' FROM plan),
+node AS (SELECT d, k, min(c) AS conv, count(*) AS n, any_value(bytes) AS bytes FROM keyed GROUP BY ALL),
+up AS (SELECT n.d, n.k, n.conv, p.conv AS parent FROM node n LEFT JOIN keyed x ON x.c = n.conv AND x.d = n.d - 1 LEFT JOIN node p ON p.d = x.d AND p.k = x.k),
+kids AS (SELECT up.d - 1 AS d, parent, x.k, count(*) AS n FROM up JOIN keyed x ON x.c = up.conv AND x.d = up.d - 1 WHERE up.d > 0 GROUP BY up.d, parent, x.k),
+below AS (
+  SELECT x.d, x.k, u.n, u.bytes, coalesce(kids.n, 0) = 0 AS leaf
+  FROM node u JOIN keyed x ON x.c = u.conv AND x.d <= u.d LEFT JOIN kids ON kids.d = u.d AND kids.k = u.k),
+sums AS (SELECT d, k, CAST(count(*) FILTER (leaf) AS BIGINT) AS n_leaves, CAST(sum((n - 1) * bytes) AS BIGINT) AS saved_tokens FROM below GROUP BY d, k),
+ends AS (SELECT d, k, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM keyed x WHERE d = (SELECT max(y.d) FROM keyed y WHERE y.c = x.c) GROUP BY d, k)
+SELECT n.conv AS conv_id, CAST(n.d AS BIGINT) AS depth, up.parent AS parent_conv_id, n.n AS n_convs, coalesce(kids.n, 0) AS n_children, s.n_leaves, s.saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM node n JOIN up ON up.d = n.d AND up.k = n.k JOIN sums s ON s.d = n.d AND s.k = n.k LEFT JOIN kids ON kids.d = n.d AND kids.k = n.k LEFT JOIN ends e ON e.d = n.d AND e.k = n.k
+"""
+_WORDS = f"regexp_extract_all(translate(text, '{terms.UPPER}', '{terms.LOWER}'), '{terms.WORD}')"
+OP12_SQL = rf"""
+WITH dt AS (SELECT doc_id, unnest({_WORDS}) AS t FROM documents),
+q AS (SELECT DISTINCT item_id, unnest({_WORDS}) AS t FROM benchmark),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM dt GROUP BY ALL),
+nd AS (SELECT doc_id, count(*) AS n FROM dt GROUP BY doc_id),
+s AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS total FROM nd),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf CROSS JOIN s GROUP BY t, n_docs),
+m AS (SELECT doc_id, 100 - 90 + (90 * n * n_docs) // total AS m FROM nd CROSS JOIN s),
+sc AS (
+  SELECT item_id, tf.doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN tf ON q.t = tf.t JOIN w ON w.t = q.t JOIN m ON m.doc_id = tf.doc_id GROUP BY ALL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM sc WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+_GRAM = "array_to_string(ws[i:i + {0} - 1], ' ')"
+OP13_SQL = rf"""
+WITH iw AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS k, unnest(list_transform(range(1, len(ws) - least(len(ws), 10) + 2), lambda i: {_GRAM.format("least(len(ws), 10)")})) AS g
+  FROM iw WHERE len(ws) > 0),
+ks AS (SELECT DISTINCT k FROM win),
+dw AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+gram AS (SELECT doc_id, k, i, {_GRAM.format("k")} AS g FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM dw CROSS JOIN ks)),
+hit AS (SELECT DISTINCT a.doc_id, a.k, a.i, w.item_id FROM gram a JOIN win w ON w.k = a.k AND w.g = a.g),
+n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT doc_id, k, i FROM hit)) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(t, ',' ORDER BY t) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS t FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(len(ws), 0) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q for name, q in globals().items() if name.startswith("op") and name[2].isdigit()} | {"chat_typed_parts": chat_typed_parts}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash_dedup": OP1_SQL, "op4_embedding_dedup": OP4_SQL, "op5_url_filter": OP5_SQL, "op6_ann": OP6_SQL, "op8_chat_format": OP8_SQL, "chat_typed_parts": CHAT_PARTS_SQL}
+    return {"op1_minhash_dedup": OP1_SQL, "op4_embedding_dedup": OP4_SQL, "op5_url_filter": OP5_SQL, "op6_ann": OP6_SQL, "op8_chat_format": OP8_SQL, "chat_typed_parts": CHAT_PARTS_SQL, "op11_prefix_trie": OP11_SQL, "op12_lexical_search": OP12_SQL, "op13_decontaminate": OP13_SQL}
