@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from strandloom.lineage import Observation
@@ -106,7 +107,7 @@ def fingerprinted(paths: DataFrame, piece: int = PIECE, bits: int = 64) -> DataF
 
     cut_at = F.floor(F.col("d") / piece)
     dealt = paths.repartition("c", cut_at).sortWithinPartitions("c", "d")
-    out = cut(batches(dealt, scan, paths.schema.add("fp", "long").add("before", "long")), "paths")
+    out = cut(batches(dealt, scan, StructType([*paths.schema.fields, StructField("fp", LongType()), StructField("before", LongType())])), "paths")
     ends = out.filter((F.col("d") % piece == piece - 1) & ~F.col("last")).select("c", cut_at.alias("part"), "fp")
 
     def carry(t: pa.Table) -> pa.Table:
@@ -139,7 +140,7 @@ def _chained(paths: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary()), pa.array(prior, pa.binary())], [*b.schema.names, "chain", "chain_before"])
 
     dealt = paths.repartition("c").sortWithinPartitions("c", "d")
-    return batches(dealt, scan, paths.schema.add("chain", "binary").add("chain_before", "binary"))
+    return batches(dealt, scan, StructType([*paths.schema.fields, StructField("chain", BinaryType()), StructField("chain_before", BinaryType())]))
 
 
 def verified(paths: DataFrame) -> DataFrame:
