@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import core, formats, screening
+from . import aligned, core, formats, screening
 
-MODULES: list = [core, screening, formats]
+MODULES: list = [core, screening, formats, aligned]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -54,11 +54,13 @@ def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_sam(spark: SparkSession, path: str | list[str], sample: str | None = None) -> DataFrame:
-    """read_id, sample, chrom (null for *), flag, pos (0-based), cigar, seq of SAM text; header lines are skipped."""
+    """read_id, sample, chrom (null for *), flag, pos (0-based), cigar, seq, mapq, qual and tags (values by key) of SAM text; header lines are skipped."""
     c = F.split("value", "\t")
     at = lambda i: F.get(c, F.lit(i))
+    tag = lambda x: F.struct(F.substring(x, 1, 2).alias("k"), F.substring(x, 6, F.length(x)).alias("v"))
+    tags = F.map_from_entries(F.transform(F.filter(F.slice(c, 12, F.greatest(F.size(c) - 11, F.lit(0))), lambda x: F.length(x) >= 5), tag))
     rows = spark.read.text(path).filter(~F.startswith("value", F.lit("@"))).filter(F.size(c) >= 11)
-    return rows.select(at(0).alias("read_id"), F.lit(sample).alias("sample"), F.nullif(at(2), F.lit("*")).alias("chrom"), at(1).cast("int").alias("flag"), (at(3).cast("bigint") - 1).alias("pos"), at(5).alias("cigar"), at(9).alias("seq"))
+    return rows.select(at(0).alias("read_id"), F.lit(sample).alias("sample"), F.nullif(at(2), F.lit("*")).alias("chrom"), at(1).cast("int").alias("flag"), (at(3).cast("bigint") - 1).alias("pos"), at(5).alias("cigar"), at(9).alias("seq"), at(4).cast("int").alias("mapq"), at(10).alias("qual"), tags.alias("tags"))
 
 
 def read_splice_table(spark: SparkSession, path: str) -> DataFrame:
