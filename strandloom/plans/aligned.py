@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandloom.lineage import cut
-from strandloom.operators import alignments, regions, splice
-from strandloom.sources import bam
+from strandloom.operators import alignments, breakpoints, correction, regions, splice
+from strandloom.sources import bam, indexed
 
 from .core import tx_of
-from .fixtures import ctes, expression, read
+from .fixtures import ctes, exons, expression, read
+from .fixtures import regions as fixture_regions
 from .formats import place
 
 QUERIES: dict = {}
@@ -147,3 +148,96 @@ def region_mode_ends(s: SparkSession, d: str) -> DataFrame:
     starts = regions.end_regions(_starts(s, d))[0]
     tx = tx_of(s, d).select("tx", "chrom", "strand", "lo", "hi")
     return regions.with_region_modes(tx, starts, starts.limit(0))
+
+
+@query("region_scan", ctes("exon", "reg") + " SELECT DISTINCT e.tx, e.chrom, e.start0, e.end0 FROM exon e JOIN reg r ON r.chrom = e.chrom AND r.start0 < e.end0 AND e.start0 < r.end0")
+def region_scan(s: SparkSession, d: str) -> DataFrame:
+    """Exons on any region, from a sorted store by its index."""
+    path = place(s, "store")
+    indexed.write_indexed(exons(s, d), path, files=16)
+    return indexed.scan_regions(s, path, fixture_regions(s, d)).select("tx", "chrom", "start0", "end0")
+
+
+#: Known junctions: those of the exons, each with a motif class; reads' exons are a few bases shorter or longer.
+_JITTER = """known AS (SELECT chrom, strand, donor, acceptor, max(tx % 3) AS motif, CAST(sum(tx % 9) AS BIGINT) AS support FROM junc GROUP BY ALL),
+own AS (SELECT tx, chrom, strand, row_number() OVER (PARTITION BY tx ORDER BY donor, acceptor) AS junction, donor - (tx + donor) % 5 AS donor, acceptor + (tx + acceptor) % 9 AS acceptor FROM junc),
+best AS (
+  SELECT o.*, k.donor AS new_donor, k.acceptor AS new_acceptor, abs(o.donor - k.donor) + abs(o.acceptor - k.acceptor) AS "offset",
+         row_number() OVER (PARTITION BY o.tx, o.junction ORDER BY abs(o.donor - k.donor) + abs(o.acceptor - k.acceptor), support DESC, k.donor, k.acceptor) AS r
+  FROM own o JOIN known k ON k.chrom = o.chrom AND k.strand = o.strand AND abs(o.donor - k.donor) <= 5 AND abs(o.acceptor - k.acceptor) <= 5 AND motif > 0
+  WHERE NOT EXISTS (SELECT 1 FROM known x WHERE x.chrom = o.chrom AND x.strand = o.strand AND x.donor = o.donor AND x.acceptor = o.acceptor))"""
+
+
+def _jittered(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    j = cut(splice.junctions(tx_of(s, d)), "junctions")
+    known = j.select("chrom", "strand", "donor", "acceptor", (F.col("tx") % 3).alias("motif"), (F.col("tx") % 9).alias("unique_reads"))
+    own = j.select("tx", "chrom", "strand", "junction", (F.col("donor") - (F.col("tx") + F.col("donor")) % 5).alias("donor"), (F.col("acceptor") + (F.col("tx") + F.col("acceptor")) % 9).alias("acceptor"))
+    return own, known
+
+
+@query("junctions_moved", ctes("exon", "junc") + f", {_JITTER} SELECT tx, chrom, strand, junction, donor, acceptor, new_donor, new_acceptor, \"offset\" FROM best WHERE r = 1")
+def junctions_moved(s: SparkSession, d: str) -> DataFrame:
+    """Reads' junctions, some bases off, moved to known ones."""
+    return correction.correction_log(*_jittered(s, d))
+
+
+@query("chains_corrected", ctes("exon", "txs", "junc") + f""", {_JITTER},
+final AS (SELECT o.tx, o.junction, o.donor, o.acceptor, coalesce(new_donor, o.donor) AS nd, coalesce(new_acceptor, o.acceptor) AS na, new_donor IS NOT NULL AS moved FROM own o LEFT JOIN best b ON b.tx = o.tx AND b.junction = o.junction AND b.r = 1),
+ok AS (SELECT t.tx, bool_and(coalesce(nd > prev, true)) AND bool_and(nd <= na) AND max(na) < any_value(hi) AS ok, count(*) FILTER (moved) AS n_moved
+       FROM (SELECT *, lag(na) OVER (PARTITION BY tx ORDER BY junction) AS prev FROM final) f JOIN txs t USING (tx) GROUP BY t.tx, lo HAVING min(nd) > lo OR true),
+low AS (SELECT f.tx, min(nd) > any_value(lo) AS above FROM final f JOIN txs USING (tx) GROUP BY f.tx)
+SELECT f.tx, f.junction, CASE WHEN ok AND above AND n_moved > 0 THEN nd ELSE f.donor END AS donor, CASE WHEN ok AND above AND n_moved > 0 THEN na ELSE f.acceptor END AS acceptor, CAST(n_moved AS INTEGER) AS n_moved, ok AND above AND n_moved > 0 AS corrected
+FROM final f JOIN ok USING (tx) JOIN low USING (tx)""")
+def chains_corrected(s: SparkSession, d: str) -> DataFrame:
+    """Whole transcripts of the same, junction by junction."""
+    own, known = _jittered(s, d)
+    chains = own.groupBy("tx", "chrom", "strand").agg(F.array_sort(F.collect_list(F.struct("donor", "acceptor"))).alias("chain"))
+    tx = chains.join(tx_of(s, d).select(F.col("tx").alias("t"), "gene", "exons", "lo", "hi"), F.col("tx") == F.col("t")).drop("t")
+    out = correction.correct_junctions(tx, known)
+    return out.select("tx", F.posexplode("chain").alias("k", "j"), "n_moved", "corrected").select("tx", (F.col("k") + 1).alias("junction"), "j.donor", "j.acceptor", "n_moved", "corrected")
+
+
+#: Orders as breakpoints: a customer's orders lie scattered about two places.
+_BREAKS = """brk AS (
+  SELECT 'r' || o_orderkey AS read_id, o_orderkey % 4 AS sample, 'chr' || (o_custkey % 3) AS chrom_a, CASE WHEN o_custkey % 2 = 0 THEN '+' ELSE '-' END AS strand_a,
+         'chr' || (o_custkey % 5) AS chrom_b, '+' AS strand_b, o_custkey * 1000 + o_orderkey % 190 AS pos_a, o_custkey * 700 + (o_orderkey * 13) % 210 AS pos_b
+  FROM orders),
+spot AS (SELECT DISTINCT chrom_a, strand_a, chrom_b, strand_b, pos_a, pos_b FROM brk),
+lk AS (SELECT a AS spot, b AS other FROM spot a JOIN spot b ON a.chrom_a = b.chrom_a AND a.strand_a = b.strand_a AND a.chrom_b = b.chrom_b AND a.strand_b = b.strand_b AND b.pos_a BETWEEN a.pos_a - 40 AND a.pos_a + 40 AND b.pos_b BETWEEN a.pos_b - 40 AND a.pos_b + 40),
+walk AS (SELECT spot AS node, spot AS root FROM lk UNION SELECT lk.other, w.root FROM walk w JOIN lk ON lk.spot = w.node),
+grp AS (SELECT node, min(root) AS root FROM walk GROUP BY node)"""
+
+
+def _breaks(s: SparkSession, d: str) -> DataFrame:
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    chrom = lambda n: F.concat(F.lit("chr"), (cust % n).cast("string"))
+    return read(s, d, "orders").select(F.concat(F.lit("r"), key.cast("string")).alias("read_id"), (key % 4).alias("sample"), chrom(3).alias("chrom_a"), F.when(cust % 2 == 0, "+").otherwise("-").alias("strand_a"), chrom(5).alias("chrom_b"), F.lit("+").alias("strand_b"), (cust * 1000 + key % 190).alias("pos_a"), (cust * 700 + (key * 13) % 210).alias("pos_b"), (key % 30).cast("int").alias("mapq"), (1 - (key % 10) / 100).alias("identity"))
+
+
+@query("breakpoint_groups", f"""WITH RECURSIVE {_BREAKS},
+mem AS (SELECT b.*, g.root FROM brk b JOIN grp g ON g.node.chrom_a = b.chrom_a AND g.node.strand_a = b.strand_a AND g.node.chrom_b = b.chrom_b AND g.node.strand_b = b.strand_b AND g.node.pos_a = b.pos_a AND g.node.pos_b = b.pos_b),
+cnt AS (SELECT root, pos_a, pos_b, row_number() OVER (PARTITION BY root ORDER BY count(*) DESC, pos_a, pos_b) AS r FROM mem GROUP BY root, pos_a, pos_b)
+SELECT m.chrom_a, m.strand_a, m.chrom_b, m.strand_b, count(DISTINCT read_id) AS n_reads, count(DISTINCT sample) AS n_samples, c.pos_a, c.pos_b, round(avg((abs(m.pos_a - c.pos_a) + abs(m.pos_b - c.pos_b)) / 2), 6) AS variability
+FROM mem m JOIN cnt c ON c.root = m.root AND c.r = 1 GROUP BY m.root, m.chrom_a, m.strand_a, m.chrom_b, m.strand_b, c.pos_a, c.pos_b""")
+def breakpoint_groups(s: SparkSession, d: str) -> DataFrame:
+    found, _ = breakpoints.groups(_breaks(s, d), max_distance=40)
+    return found.select("chrom_a", "strand_a", "chrom_b", "strand_b", "n_reads", "n_samples", "pos_a", "pos_b", F.round("variability", 6).alias("variability"))
+
+
+_SPLIT = """sp AS (
+  SELECT l_orderkey || '/' || l_linenumber || '/' || l_partkey || '/' || l_suppkey AS read_id, l_suppkey % 2 AS sample, l_partkey % 2 = 0 AS rev, l_orderkey * 10 AS p, 20 + l_linenumber AS n, l_partkey * 20 AS q, 15 + l_suppkey % 9 AS m
+  FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem))"""
+
+
+@query("read_breakpoints", f"""WITH {_SPLIT} SELECT read_id, sample, 'c1' AS chrom_a, CASE WHEN rev THEN '-' ELSE '+' END AS strand_a, 'c2' AS chrom_b, '+' AS strand_b,
+  CASE WHEN rev THEN p ELSE p + n + 100 + 9 END AS pos_a, q AS pos_b FROM sp""")
+def read_breakpoints(s: SparkSession, d: str) -> DataFrame:
+    """Breakpoints between a read's spliced first part and its second, which the SA tag tells of."""
+    key = [F.col(f"l_{c}") for c in ("orderkey", "linenumber", "partkey", "suppkey")]
+    items = read(s, d, "lineitem").select(*key).distinct()
+    rev, n, m = key[2] % 2 == 0, 20 + key[1], 15 + key[3] % 9
+    text = lambda *x: F.concat(*((F.lit(c) if isinstance(c, str) else c.cast("string")) for c in x))
+    cigar = F.when(rev, text(m, "S", n, "M100N10M")).otherwise(text(n, "M100N10M", m, "S"))
+    sa = text("c2,", key[2] * 20 + 1, ",+,", n + 10, "S", m, "M,60,0;")
+    rows = items.select(F.concat_ws("/", *(k.cast("string") for k in key)).alias("read_id"), (key[3] % 2).alias("sample"), F.lit("c1").alias("chrom"), F.when(rev, 16).otherwise(0).alias("flag"), (key[0] * 10).alias("pos"), cigar.alias("cigar"), F.lit(60).alias("mapq"), sa.alias("sa"), F.lit(0).alias("nm"))
+    return breakpoints.breakpoints(breakpoints.segments(rows)).select("read_id", "sample", "chrom_a", "strand_a", "chrom_b", "strand_b", "pos_a", "pos_b")
