@@ -39,7 +39,7 @@ GAZETTEER = (
 #: Given names, titles and street words in four languages.
 NAMES = ("anna", "anne", "antonio", "carlos", "carmen", "claire", "david", "elena", "emma", "hans", "hugo", "ivan", "james", "jean", "john", "jose", "juan", "julia", "karl", "laura", "luis", "maria", "marie", "mark", "martin", "michael", "paul", "peter", "pierre", "robert", "sarah", "sofia", "sophie", "thomas", "mr", "mrs", "ms", "dr", "herr", "frau", "monsieur", "madame", "señor", "señora")
 STREETS = ("street", "st", "road", "rd", "avenue", "ave", "lane", "drive", "strasse", "straße", "weg", "platz", "rue", "boulevard", "calle", "avenida", "plaza")
-#: Characters before a candidate that the gazetteer and the name labeler see, and phrases that a gazetteer may have.
+#: Characters before a candidate that the gazetteer (more, if its phrases are long) and the name labeler see, and phrases that a gazetteer may have.
 CONTEXT = 24
 GAZETTEER_ROWS = 5_000
 VOTES = ("pattern", "gazetteer", "context", "shape", "name", "address", "identifier")
@@ -148,14 +148,17 @@ def candidates(text: Column, gazetteer: Entries = GAZETTEER) -> Column:
     before it; a street word on either side; digits that pass or fail an identifier's checks.
     """
 
+    reach = max(CONTEXT, *(len(w) + CONTEXT // 2 for w, _, _ in gazetteer), CONTEXT)  # a phrase, and signs after it
+
     def make(m: Column, start: Column, before: Column, after: Column) -> Column:
         left, right = F.lower(F.right(before, F.lit(CONTEXT))), F.lower(F.left(after, F.lit(CONTEXT)))
+        told = left if reach == CONTEXT else F.lower(F.right(before, F.lit(reach)))
         d, width = digits(m), F.length(m)
         secret = F.regexp(m, F.lit("[A-Za-z]"))
 
         def has(kind: str, vote: int) -> Column:
             words = tuple(w for w, k, v in gazetteer if k == kind and v == vote)
-            return F.regexp(left, _any_of(words)) if words else F.lit(False)
+            return F.regexp(told, _any_of(words)) if words else F.lit(False)
 
         said = lambda vote: (secret & has("secret", vote)) | (~secret & has("number", vote)) | has("any", vote)
         ratio = F.length(d) / width

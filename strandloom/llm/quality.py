@@ -200,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> D
     """
     chosen = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     half = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(2)).cast("int").alias("half")
-    seen = cut(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select((F.col("y") > 0).cast("int").alias("y"), half, F.col("text").cast("string").alias("text")).coalesce(8), "quality-sample")
+    seen = cut(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select((F.col("y") > 0).cast("int").alias("y"), half, F.col("text").cast("string").alias("text")).repartition(8), "quality-sample")  # a shuffle of the few rows: the scan keeps its tasks
 
     def sums(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, 2, sum(BUCKETS)))  # half, class, bucket

@@ -465,6 +465,9 @@ def test_labelers_disagree_and_the_gazetteer_is_a_table(spark):
     assert entries == (("kennwort", "secret", 1), ("page", "any", -1))
     got = votes(pii.with_spans(df, gazetteer=entries))
     assert got[5][0][at["gazetteer"]] == 1 and got[1][0][at["gazetteer"]] == -1 and got[0][0][at["gazetteer"]] == 0
+    long = spark.createDataFrame([(0, "my international bank account number: 1234 5678 9012"), (1, "my account: 1234 5678 9012")], "doc_id long, text string")
+    got = votes(pii.with_spans(long, gazetteer=(("international bank account number", "number", 1),)))
+    assert got[0][0][at["gazetteer"]] == 1 and got[1][0][at["gazetteer"]] == 0
 
 
 def test_texts_with_very_many_matches(spark):

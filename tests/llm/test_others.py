@@ -319,6 +319,47 @@ def test_pipeline_stages_take_awkward_and_empty_tables(spark, awkward, empty, sf
     assert {i for i, r in out.items() if r.n_tokens == 0} == {3, 4, 5}
 
 
+def test_the_mix_lasts_through_files(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    mix = corpus_pipeline.mixing_stage(spark, docs, sf_dir)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files, however few rows
+    mix.write.parquet(str(tmp_path / "mix"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    order = [r.doc_id for r in mix.coalesce(1).collect()]
+    again = spark.read.parquet(str(tmp_path / "mix"))
+    out = corpus_pipeline.token_stage(spark, again, sf_dir)
+    placed = out.select("doc_id", "mix_part", "mix_row").collect()
+    assert [r.doc_id for r in sorted(placed, key=lambda r: (r.mix_part, r.mix_row))] == order
+    assert len({r.mix_part for r in placed}) > 1
+    bare = corpus_pipeline.token_stage(spark, spark.createDataFrame([(1, "a", "en", "s", 1)], docs.schema), sf_dir).first()
+    assert (bare.mix_part, bare.mix_row, bare.doc_id) == (None, None, 1)
+
+
+def test_ids_at_the_end_of_their_range(spark, sf_dir):
+    most, a, b = (1 << 63) - 1, *(" ".join(f"{x}{k}" for k in range(30)) for x in "ab")
+    rows = [(most, a, "en", "s", 1), (most, b, "en", "s", 1), (-7, b + " more", "en", "s", 1), (None, a + " end", "en", "s", 1), (3, "quite another text, on its own", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicate_stage(spark, docs, sf_dir).collect()
+    kept = {(r.doc_id, r.text) for r in got}
+    assert (-7, rows[2][1]) in kept and (3, rows[4][1]) in kept and len(kept) == 3 and not any(t == b for _, t in kept)
+
+
+def test_the_sample_is_read_by_as_many_tasks_as_there_are_files(spark, sf_dir, tmp_path):
+    from strandloom.llm import quality
+
+    spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(20).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.option("maxRecordsPerFile", 1).parquet(str(tmp_path / "docs"))
+    seen = []
+    group = f"sample-{tmp_path.name}"
+    spark.sparkContext.setJobGroup(group, group)
+    quality.fit(docs.repartition(20), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    tracker = spark.sparkContext.statusTracker()
+    for job in tracker.getJobIdsForGroup(group):
+        seen += [tracker.getStageInfo(s).numTasks for s in tracker.getJobInfo(job).stageIds if tracker.getStageInfo(s)]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(seen) >= 20
+
+
 def test_rows_of_one_id_with_different_texts_all_count(spark, sf_dir):
     a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
     rows = [(5, a, "en", "s", 1), (5, b, "en", "s", 1), (5, b, None, "s", 1), (2, b + " more", "en", "s", 1), (9, c, "en", "s", 1), (None, c, "en", "s", 1), (None, "only here in this row without id", "en", "s", 1)]
