@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextvars import ContextVar
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -30,23 +32,36 @@ def cut(df: DataFrame, name: str, observed: tuple | None = None) -> DataFrame:
     (df if observed is None else df.observe(*observed)).write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._strandloom_path = path
-    _made.append(out)
+    if (step := _now.get()) is not None:
+        step.made.append(out)
     return out
 
 
-#: Tables made by ``cut`` and not yet forgotten, in order.
-_made: list[DataFrame] = []
+@dataclass(eq=False)
+class Mark:
+    """The tables that a step has made since; each thread, and each step within a step, has its own."""
 
+    outer: Mark | None
+    made: list[DataFrame] = field(default_factory=list)
 
-def mark() -> int:
-    """A point in time for ``forget_since``."""
-    return len(_made)
 
+_now: ContextVar[Mark | None] = ContextVar("strandloom_mark", default=None)
 
-def forget_since(point: int, keep: tuple[DataFrame, ...] = ()) -> None:
-    """Forgets the tables made since ``point`` but for those in ``keep``: once a step's result is written, what it was made from can go."""
+
+def mark() -> Mark:
+    """From here on, what ``cut`` makes in this thread belongs to the step that begins, until ``forget_since`` ends it."""
+    point = Mark(_now.get())
+    _now.set(point)
+    return point
+
+
+def forget_since(point: Mark, keep: tuple[DataFrame, ...] = ()) -> None:
+    """Ends a step: forgets its tables but for those in ``keep``, which the step around it has from then on. Once a step's result is written, what it was made from can go."""
     kept = {id(df) for df in keep}
-    forget(*(df for df in _made[point:] if id(df) not in kept))
+    forget(*(df for df in point.made if id(df) not in kept))
+    if point.outer is not None:
+        point.outer.made += [df for df in point.made if id(df) in kept]
+    _now.set(point.outer)
 
 
 def forget(*tables: DataFrame) -> None:
@@ -55,7 +70,10 @@ def forget(*tables: DataFrame) -> None:
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._strandloom_path)
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
     gone = {id(df) for df in tables}
-    _made[:] = [df for df in _made if id(df) not in gone]
+    step = _now.get()
+    while step is not None:
+        step.made = [df for df in step.made if id(df) not in gone]
+        step = step.outer
 
 
-__all__ = ["Observation", "cut", "forget", "forget_since", "mark", "shared_dir"]
+__all__ = ["Mark", "Observation", "cut", "forget", "forget_since", "mark", "shared_dir"]
