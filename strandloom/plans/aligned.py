@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from strandloom.lineage import cut
 from strandloom.operators import alignments, breakpoints, correction, regions, splice
-from strandloom.sources import bam, indexed
+from strandloom.sources import bam, indexed, splittext
 
 from .core import tx_of
-from .fixtures import ctes, exons, expression, read
+from .fixtures import ctes, exons, expression, genome, read
 from .fixtures import regions as fixture_regions
-from .formats import place
+from .formats import ORACLES as ORACLES_OF_FORMATS
+from .formats import place, put
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -241,3 +242,30 @@ def read_breakpoints(s: SparkSession, d: str) -> DataFrame:
     sa = text("c2,", key[2] * 20 + 1, ",+,", n + 10, "S", m, "M,60,0;")
     rows = items.select(F.concat_ws("/", *(k.cast("string") for k in key)).alias("read_id"), (key[3] % 2).alias("sample"), F.lit("c1").alias("chrom"), F.when(rev, 16).otherwise(0).alias("flag"), (key[0] * 10).alias("pos"), cigar.alias("cigar"), F.lit(60).alias("mapq"), sa.alias("sa"), F.lit(0).alias("nm"))
     return breakpoints.breakpoints(breakpoints.segments(rows)).select("read_id", "sample", "chrom_a", "strand_a", "chrom_b", "strand_b", "pos_a", "pos_b")
+
+
+@query("fastq_by_split", ORACLES_OF_FORMATS["fastq_read"])
+def fastq_by_split(s: SparkSession, d: str) -> DataFrame:
+    """Reads from the genome's contigs, from plain files by splits of 64 kB."""
+    qual = F.translate(F.col("seq"), "ACGT", "5?I@")  # qualities may look like a name's line
+    rows = genome(s, d).filter("seq <> ''").select(F.concat(F.lit("@c"), F.col("contig").cast("string"), F.lit(" part\n"), F.col("seq"), F.lit("\n+\n"), qual).alias("value"))
+    md5 = lambda c: F.md5(c.cast("binary"))
+    found = splittext.read_fastq_splits(s, put(s, rows, "reads-fastq"), 1 << 16)
+    return found.select("read_id", md5(F.col("seq")).alias("seq"), md5(F.translate("qual", "@", "+")).alias("qual"))
+
+
+def _fasta(s: SparkSession, d: str) -> str:
+    folded = F.regexp_replace("seq", "(.{70})", "$1\n")
+    return put(s, genome(s, d).select(F.concat(F.lit(">"), F.col("contig").cast("string"), F.lit(" from A->G\n"), folded).alias("value")), "genome-fa")
+
+
+@query("fasta_by_split", ctes("genome") + """ SELECT CAST(contig AS VARCHAR) AS contig, chunk, chunk * 1000 AS start0, md5(substr(seq, CAST(chunk * 1000 + 1 AS BIGINT), 1064)) AS seq
+FROM (SELECT contig, seq, CAST(unnest(range(0, greatest((length(seq) + 999) // 1000, 1))) AS INTEGER) AS chunk FROM genome)""")
+def fasta_by_split(s: SparkSession, d: str) -> DataFrame:
+    """Contigs in chunks of 1,000 bases, from splits of 32 kB that cut contigs anywhere."""
+    return splittext.read_fasta_chunks(s, _fasta(s, d), 1000, 64, 1 << 15).select("contig", "chunk", "start0", F.md5(F.col("seq").cast("binary")).alias("seq"))
+
+
+@query("fasta_lengths", ctes("genome") + " SELECT CAST(contig AS VARCHAR) AS chrom, CAST(length(seq) AS BIGINT) AS length FROM genome")
+def fasta_lengths(s: SparkSession, d: str) -> DataFrame:
+    return splittext.fasta_lengths(s, _fasta(s, d), 1 << 15)
