@@ -1,12 +1,19 @@
-"""Splice chains contained in longer chains of the same gene and locus."""
+"""Splice chains contained in longer chains of the same gene and locus.
+
+A child whose junctions are adjacent in its parents meets them by the digest of its chain: parents are filed under the
+digests of their runs, of those lengths alone that some child has which begins with the run's first junction. So every
+row of the join is an edge, however many chains of a gene share a junction, and where only the smallest supersets count,
+the least parent of each run is found by a grouped minimum before children meet any. A child whose junctions may lie
+apart meets those chains that hold its rarest junction.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandloom.functions.coords import contiguous
+from strandloom.lineage import cut
 
 from .intervals import interval_join
 
@@ -21,9 +28,8 @@ def containment(tx: DataFrame, terminal_only: bool = True, minimal_superset: boo
     strand, chain): children whose chain equals one of them are passed over. near_tss / near_tes: transcripts (tx)
     with a known end nearby; where child or parent has one, their ends must lie within ``window``.
 
-    Children with junctions meet parents through their first junction (an equi-join), so unrelated chains never pair. A
-    child without junctions meets its group's shortest chains; only where all supersets are asked for, or known ends
-    decide, does it meet every chain of the group.
+    Children with junctions meet parents by runs, or by their rarest junction (see above). A child without junctions meets its group's
+    shortest chains; only where all supersets are asked for, or known ends decide, does it meet every chain of the group.
     """
     base = tx.select(*GROUP, "tx", "chain", "lo", "hi")
     if near_tss is not None:
@@ -37,12 +43,11 @@ def containment(tx: DataFrame, terminal_only: bool = True, minimal_superset: boo
     same = F.lit(True)
     for c in GROUP:
         same &= F.col(f"c_{c}") == F.col(f"p_{c}")
-    longer = F.size("p_chain") > F.size("c_chain")
-    inside = contiguous(F.col("c_chain"), F.col("p_chain")) if terminal_only else F.size(F.array_except("c_chain", "p_chain")) == 0
-    opened = parent.withColumn("p_j", F.explode("p_chain"))
-    chained = child.filter(F.size("c_chain") > 0).withColumn("c_j", F.get("c_chain", F.lit(0))).join(opened, same & (F.col("c_j") == F.col("p_j")) & longer & inside).drop("c_j", "p_j")
+    pruned = minimal_superset and near_tss is None and near_tes is None
+    own = child.filter(F.size("c_chain") > 0)
+    chained = by_runs(own, parent, same, pruned) if terminal_only else by_rarest(own, parent, same)
     holders = parent.filter(F.size("p_chain") > 0)
-    if minimal_superset and near_tss is None and near_tes is None:
+    if pruned:
         # A chain-less child's minimal supersets are its group's shortest chains: no others meet it.
         least = holders.groupBy(*(F.col(f"p_{c}").alias(f"l_{c}") for c in GROUP)).agg(F.min(F.size("p_chain")).alias("l_size"))
         here = F.col("p_gene").eqNullSafe(F.col("l_gene")) & (F.col("p_chrom") == F.col("l_chrom")) & (F.col("p_strand") == F.col("l_strand"))
@@ -62,6 +67,55 @@ def containment(tx: DataFrame, terminal_only: bool = True, minimal_superset: boo
     return edges
 
 
+def _digests(run: Column) -> list[Column]:
+    """Two independent hashes of a run: together a name that no other run has."""
+    return [F.xxhash64(run), F.xxhash64(F.lit(7), run)]
+
+
+def runs_of(child: DataFrame, parent: DataFrame) -> DataFrame:
+    """p_ columns of parents, n (length of the run), r1 and r2 (its digests): the runs that a child of n junctions may be, in longer chains."""
+    heads = child.select(*(F.col(f"c_{c}").alias(f"h_{c}") for c in GROUP), F.get("c_chain", F.lit(0)).alias("h_j"), F.size("c_chain").alias("n")).distinct()
+    opened = parent.select("*", F.posexplode("p_chain").alias("p_at", "p_j"))
+    same = F.col("p_j") == F.col("h_j")
+    for c in GROUP:
+        same &= F.col(f"p_{c}") == F.col(f"h_{c}")
+    fits = (F.size("p_chain") > F.col("n")) & (F.col("p_at") + F.col("n") <= F.size("p_chain"))
+    r1, r2 = _digests(F.slice("p_chain", F.col("p_at") + 1, F.col("n")))
+    return opened.join(heads, same & fits).select(*parent.columns, "n", r1.alias("r1"), r2.alias("r2"))
+
+
+def by_runs(child: DataFrame, parent: DataFrame, same: Column, least: bool) -> DataFrame:
+    """Children (c_) beside the longer chains (p_) in which their junctions are adjacent; ``least``: only the shortest of these."""
+    runs = runs_of(child, parent)
+    if least:
+        runs = cut(runs, "runs")  # read twice, and the join then has a shuffle of its own, whose hot keys Spark splits
+        shortest = runs.groupBy(*(F.col(f"p_{c}").alias(f"s_{c}") for c in GROUP), F.col("n").alias("s_n"), F.col("r1").alias("s_r1"), F.col("r2").alias("s_r2")).agg(F.min(F.size("p_chain")).alias("s_size"))
+        here = (F.col("n") == F.col("s_n")) & (F.col("r1") == F.col("s_r1")) & (F.col("r2") == F.col("s_r2")) & (F.size("p_chain") == F.col("s_size"))
+        for c in GROUP:
+            here &= F.col(f"p_{c}") == F.col(f"s_{c}")
+        runs = runs.join(shortest, here, "left_semi")
+    c1, c2 = _digests(F.col("c_chain"))
+    met = child.withColumns({"c_r1": c1, "c_r2": c2}).join(runs, same & (F.col("c_r1") == F.col("r1")) & (F.col("c_r2") == F.col("r2")) & (F.size("c_chain") == F.col("n")))
+    return met.drop("c_r1", "c_r2", "n", "r1", "r2")
+
+
+def by_rarest(child: DataFrame, parent: DataFrame, same: Column) -> DataFrame:
+    """Children (c_) beside the longer chains (p_) that have all their junctions: those that have the child's rarest one are looked at."""
+    opened = parent.withColumn("p_j", F.explode("p_chain"))
+    counts = cut(opened.groupBy(*(F.col(f"p_{c}").alias(f"k_{c}") for c in GROUP), F.col("p_j").alias("k_j")).agg(F.count("*").alias("k_n")), "junction-counts")
+    each = child.select(*(f"c_{c}" for c in GROUP), "c_chain").distinct()
+    asked = F.col("c_j") == F.col("k_j")
+    for c in GROUP:
+        asked &= F.col(f"c_{c}") == F.col(f"k_{c}")
+    rare = each.withColumn("c_j", F.explode("c_chain")).join(counts, asked).groupBy(*(F.col(f"c_{c}").alias(f"r_{c}") for c in GROUP), F.col("c_chain").alias("r_chain")).agg(F.min_by("k_j", F.struct("k_n", "k_j")).alias("r_j"))
+    mine = F.col("c_chain") == F.col("r_chain")
+    for c in GROUP:
+        mine &= F.col(f"c_{c}") == F.col(f"r_{c}")
+    keyed = child.join(rare, mine).drop("r_chain", *(f"r_{c}" for c in GROUP))
+    inside = (F.size("p_chain") > F.size("c_chain")) & (F.size(F.array_except("c_chain", "p_chain")) == 0)
+    return keyed.join(opened, same & (F.col("r_j") == F.col("p_j")) & inside).drop("r_j", "p_j")
+
+
 def containment_map(edges: DataFrame) -> DataFrame:
     """contained_transcript, superset_transcripts (sorted names, comma-joined)."""
     return edges.groupBy(F.col("child").cast("string").alias("contained_transcript")).agg(F.array_join(F.array_sort(F.collect_set(F.col("parent").cast("string"))), ",").alias("superset_transcripts"))

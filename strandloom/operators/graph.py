@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.functions.coords import safe_fraction
@@ -79,6 +79,52 @@ def junction_stars(tx: DataFrame) -> DataFrame:
     return rows.join(first, [*GROUP, "j"]).filter("tx <> b").select(F.col("tx").alias("a"), "b")
 
 
+def needed(mode: str, size: Column, min_shared: int = 1, min_jaccard: float = 0.5, strong: int = 2, weak: float = 0.15) -> Column:
+    """The fewest junctions that a set of ``size`` must share with another for ``mode`` to link them."""
+    share = lambda t: F.greatest(F.ceil(size * t - 1e-9), F.lit(1))  # noqa: E731  of a set in their union, which is no smaller
+    least = {"any_shared": F.lit(min_shared), "subset": F.lit(min_shared), "jaccard": F.greatest(share(min_jaccard), F.lit(min_shared)), "bridge_safe": F.least(F.lit(strong), share(weak))}[mode]
+    return F.greatest(least, F.lit(1)).cast("int")
+
+
+def candidate_pairs(sets: DataFrame, mode: str, **options) -> DataFrame:
+    """Distinct pairs a, b of ``sets`` (group, tx, chain: distinct junctions; no two of a group equal) that ``mode`` may link.
+
+    Junctions go in order of how few sets of the group have them. Two sets that share enough of them share one of their
+    first ``size - needed + 1``, so only these are joined, and only sets of sizes that can be similar enough. For subsets
+    the smaller set's rarest junction must be in the larger one: it is looked up among all junctions.
+    """
+    rows = sets.select(*GROUP, "tx", F.size("chain").alias("size"), F.explode("chain").alias("j"))
+    counts = cut(rows.groupBy(*GROUP, "j").agg(F.count("*").alias("n")), "junction-counts")
+    ranked = rows.join(counts, [*GROUP, "j"]).groupBy(*GROUP, "tx", "size").agg(F.array_sort(F.collect_list(F.struct("n", "j"))).alias("r"))
+    ranked = cut(ranked.select(*GROUP, "tx", "size", F.transform("r", lambda x: x["j"]).alias("r")), "ranked-junctions")
+    side = lambda x, tokens: ranked.select(*GROUP, F.col("tx").alias(x), F.col("size").alias(f"size_{x}"), F.explode(tokens).alias("j"))
+    if mode == "subset":
+        small = side("a", F.slice("r", 1, 1)).filter(F.col("size_a") >= needed(mode, F.col("size_a"), **options))
+        met = small.join(side("b", F.col("r")), [*GROUP, "j"]).filter("a <> b and size_a <= size_b")
+        return met.select(*GROUP, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    prefix = F.slice("r", F.lit(1), F.greatest(F.col("size") - needed(mode, F.col("size"), **options) + 1, F.lit(0)).cast("int"))
+    met = side("a", prefix).join(side("b", prefix), [*GROUP, "j"]).filter("a < b")
+    if mode == "jaccard":
+        met = met.filter(F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * options.get("min_jaccard", 0.5) - 1e-9)
+    return met.select(*GROUP, "a", "b").distinct()
+
+
+def similar(base: DataFrame, mode: str, **options) -> DataFrame:
+    """Edges (a, b) whose components are those of all pairs of ``base`` (tx, group, chain: sorted distinct junctions) that ``mode`` links.
+
+    Equal sets of a group are one from the start: each hangs on the smallest, if the mode links equal sets of their size.
+    """
+    some = base.filter(F.size("chain") > 0)
+    sets = cut(some.groupBy(*GROUP, "chain").agg(F.min("tx").alias("tx")), "junction-sets")
+    same = F.size("chain") >= needed(mode, F.size("chain"), **options)
+    equal = some.join(sets.select(*GROUP, "chain", F.col("tx").alias("b")), [*GROUP, "chain"]).filter((F.col("tx") != F.col("b")) & same).select(F.col("tx").alias("a"), "b")
+    pairs = candidate_pairs(sets, mode, **options)
+    chain = lambda x: sets.select(F.col("tx").alias(x), F.col("chain").alias(f"chain_{x}"))
+    met = pairs.join(chain("a"), "a").join(chain("b"), "b")
+    met = met.select("a", "b", F.size(F.array_intersect("chain_a", "chain_b")).alias("shared"), F.size("chain_a").alias("size_a"), F.size("chain_b").alias("size_b"))
+    return equal.unionByName(linked(met, mode, **options).select("a", "b"))
+
+
 def linked(pairs: DataFrame, mode: str = "any_shared", min_shared: int = 1, min_jaccard: float = 0.5, strong: int = 2, weak: float = 0.15) -> DataFrame:
     """Those of ``junction_pairs`` that ``mode`` links."""
     j = safe_fraction(F.col("shared").cast("double"), F.col("size_a") + F.col("size_b") - F.col("shared"))
@@ -100,7 +146,7 @@ def clusters(tx: DataFrame, mode: str = "any_shared", **options) -> DataFrame:
     if mode == "exact":
         groups = base.groupBy(*GROUP, "chain").agg(F.min("tx").alias("cluster_id"), F.count("*").alias("cluster_size"))
         return base.join(groups, [*GROUP, "chain"]).select("tx", *GROUP, "cluster_id", "cluster_size")
-    edges = junction_stars(base) if mode == "any_shared" and options.get("min_shared", 1) == 1 else linked(junction_pairs(base), mode, **options).select("a", "b")
+    edges = junction_stars(base) if mode == "any_shared" and options.get("min_shared", 1) == 1 else similar(base, mode, **options)
     found = components(edges)
     rows = base.join(found, F.col("tx") == F.col("node"), "left").select("tx", *GROUP, F.coalesce("component", "tx").alias("cluster_id"))
     sizes = rows.groupBy("cluster_id").agg(F.count("*").alias("cluster_size"))
