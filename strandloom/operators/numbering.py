@@ -1,4 +1,4 @@
-"""Row numbers in an order, without a window over a whole key."""
+"""Row numbers and running sums in an order, without a window over a whole key."""
 
 from __future__ import annotations
 
@@ -25,3 +25,58 @@ def number_by_range(rows: DataFrame, keys: list[str], piece: Column, order: list
         same &= F.col(k).eqNullSafe(F.col(f"__{k}"))
     out = cutting.withColumn("__rank", rank).join(first, same)
     return out.withColumn(name, F.col("__rank") + F.col("__first")).drop("__piece", "__p", "__rank", "__first", *(f"__{k}" for k in keys))
+
+
+#: Rows of a key that one task may order.
+MOST_ROWS = 100_000
+
+
+def _same(keys: list[str], prefix: str) -> Column:
+    on = F.lit(True)
+    for k in keys:
+        on &= F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
+    return on
+
+
+def _windowed(rows: DataFrame, keys: list[str], order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    by = Window.partitionBy(*keys)
+    ahead = by.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = {"rank": F.row_number().over(by.orderBy(*order)), "n": F.count("*").over(by)}
+    for name, value in sums.items():
+        out |= {f"before_{name}": F.coalesce(F.sum(value).over(ahead), value * 0), f"total_{name}": F.sum(value).over(by)}
+    return rows.withColumns(out)
+
+
+def _ranged(rows: DataFrame, keys: list[str], order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """The same by ranges of (keys, order): each range is summed alone, after what the ranges before it add up to."""
+    values = {f"__v_{name}": value for name, value in sums.items()}
+    pieces = cut(rows.withColumns(values).repartitionByRange(*keys, *order).withColumn("__piece", F.spark_partition_id()), "ranges")
+    totals = pieces.groupBy(*keys, "__piece").agg(F.count("*").alias("__n"), *(F.sum(v).alias(f"__s{v}") for v in values))  # a row a range and key
+    by = Window.partitionBy(*keys)
+    upto = by.orderBy("__piece")
+    found = [(F.sum("__n").over(upto) - F.col("__n")).alias("__first"), F.sum("__n").over(by).alias("__all")]
+    for v in values:
+        found += [(F.sum(f"__s{v}").over(upto) - F.col(f"__s{v}")).alias(f"__b{v}"), F.sum(f"__s{v}").over(by).alias(f"__t{v}")]
+    totals = totals.select(*(F.col(k).alias(f"__k_{k}") for k in keys), F.col("__piece").alias("__p"), *found)
+    inside = Window.partitionBy(*keys, "__piece").orderBy(*order)
+    joined = pieces.join(totals, _same(keys, "__k_") & (F.col("__piece") == F.col("__p")))
+    out = {"rank": (F.row_number().over(inside) + F.col("__first")).cast("int"), "n": F.col("__all")}
+    for name in sums:
+        v = f"__v_{name}"
+        out |= {f"before_{name}": F.coalesce(F.sum(v).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.col(v) * 0) + F.col(f"__b{v}"), f"total_{name}": F.col(f"__t{v}")}
+    return joined.select(*rows.columns, *(c.alias(name) for name, c in out.items()))
+
+
+def running(rows: DataFrame, keys: list[str], order: list[Column], sums: dict[str, Column] | None = None, most: int = MOST_ROWS) -> DataFrame:
+    """Adds rank (from 1, in ``order``, which has no ties) and n (rows of the key), and for each of ``sums`` before_ (over the rows before) and total_.
+
+    Keys of more than ``most`` rows are dealt out by ranges of the order, so none is one task's; the rest are windows.
+    ``rows`` are read several times: give them written.
+    """
+    sums = sums or {}
+    large = rows.groupBy(*keys).agg(F.count("*").alias("__c")).filter(F.col("__c") > most).select(*(F.col(k).alias(f"__l_{k}") for k in keys))
+    large = cut(large, "large-keys")
+    if large.isEmpty():
+        return _windowed(rows, keys, order, sums)
+    on = _same(keys, "__l_")
+    return _windowed(rows.join(large, on, "left_anti"), keys, order, sums).unionByName(_ranged(rows.join(large, on, "left_semi"), keys, order, sums))

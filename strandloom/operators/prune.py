@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandloom.lineage import cut
 
 from .expression import dense, samples_of
+from .numbering import MOST_ROWS, running
 
 
 def scored(expr: DataFrame, clusters: DataFrame, score: str = "sum", samples: list | None = None) -> DataFrame:
@@ -21,29 +22,31 @@ def scored(expr: DataFrame, clusters: DataFrame, score: str = "sum", samples: li
     return rows.withColumn("score", F.col(f"expr_{score}"))
 
 
-def keep_percentile(rows: DataFrame, pct: float = 98.0, min_keep: int = 1) -> DataFrame:
-    """Adds kept and cutoff: the best max(min_keep, ceil(pct %)) of each cluster by score, ties by tx."""
-    by = Window.partitionBy("cluster_id")
-    n = F.count("*").over(by)
-    quota = F.greatest(F.lit(min_keep), F.least(n, F.ceil(F.lit(pct / 100) * n)))
-    rows = rows.withColumn("rank", F.row_number().over(by.orderBy(F.desc("score"), "tx"))).withColumn("kept", F.col("rank") <= quota)
-    return rows.withColumn("cutoff", F.min(F.when(F.col("kept"), F.col("score"))).over(by)).drop("rank")
+def _per_cluster(rows: DataFrame, by: DataFrame) -> DataFrame:
+    """``rows`` with what ``by`` (cluster, ...) says of their cluster."""
+    return rows.join(by, F.col("cluster_id").eqNullSafe(F.col("cluster"))).drop("cluster")
 
 
-def cumulative_keep(values: DataFrame, fraction: float) -> Column:
-    """Whether a row of (cluster_id, sample, tx, value) is in the smallest prefix, by value, that reaches ``fraction`` of its total.
+def keep_percentile(rows: DataFrame, pct: float = 98.0, min_keep: int = 1, most: int = MOST_ROWS) -> DataFrame:
+    """Adds kept and cutoff: the best max(min_keep, ceil(pct %)) of each cluster by score, ties by tx. Clusters of more than ``most`` are ranked in ranges."""
+    ranked = running(cut(rows, "scored"), ["cluster_id"], [F.desc("score"), F.asc("tx")], most=most)
+    quota = F.greatest(F.lit(min_keep), F.least(F.col("n"), F.ceil(F.lit(pct / 100) * F.col("n"))))
+    ranked = cut(ranked.withColumn("kept", F.col("rank") <= quota).select(*rows.columns, "kept"), "ranked")
+    return _per_cluster(ranked, ranked.groupBy(F.col("cluster_id").alias("cluster")).agg(F.min(F.when(F.col("kept"), F.col("score"))).alias("cutoff")))
+
+
+def cumulative_keep(values: DataFrame, fraction: float, most: int = MOST_ROWS) -> DataFrame:
+    """Rows (cluster_id, sample, tx, value), and whether each is in the smallest prefix, by value, that reaches ``fraction`` of its total (kept).
 
     Where rounding leaves the last running sum below the mark, all rows are in; some tools keep one row then, which is
-    an accident of theirs and not followed.
+    an accident of theirs and not followed. Clusters of more than ``most`` rows in a sample are summed in ranges.
     """
-    by = Window.partitionBy("cluster_id", "sample")
     v = F.greatest("value", F.lit(0.0))
-    before = F.sum(v).over(by.orderBy(F.desc(v), "tx").rowsBetween(Window.unboundedPreceding, -1))
-    total = F.sum(v).over(by)
-    return (total > 0) & (F.coalesce(before, F.lit(0.0)) < fraction * total)
+    summed = running(values, ["cluster_id", "sample"], [F.desc(v), F.asc("tx")], {"v": v}, most)
+    return summed.withColumn("kept", (F.col("total_v") > 0) & (F.col("before_v") < fraction * F.col("total_v"))).select(*values.columns, "kept")
 
 
-def sample_support(expr: DataFrame, clusters: DataFrame, min_rel: float = 0.0, pct: float | None = 97.0, min_samples: int = 2, min_keep: int = 1, score: str = "sum", samples: list | None = None) -> DataFrame:
+def sample_support(expr: DataFrame, clusters: DataFrame, min_rel: float = 0.0, pct: float | None = 97.0, min_samples: int = 2, min_keep: int = 1, score: str = "sum", samples: list | None = None, most: int = MOST_ROWS) -> DataFrame:
     """scored rows with passes (samples that support) and kept.
 
     A sample supports a transcript that has at least ``min_rel`` of the cluster's largest value, or belongs to the
@@ -55,15 +58,20 @@ def sample_support(expr: DataFrame, clusters: DataFrame, min_rel: float = 0.0, p
         raise ValueError("sample support needs min_rel above 0, or pct")
     samples = samples_of(expr) if samples is None else samples
     rows = cut(scored(expr, clusters, score, samples), "scored")  # read twice
-    values = dense(expr, rows.select("tx", "cluster_id"), samples)
+    values = cut(dense(expr, rows.select("tx", "cluster_id"), samples), "dense")
     ok = F.lit(False)
-    if min_rel > 0:
-        ok |= F.col("value") >= F.max("value").over(Window.partitionBy("cluster_id", "sample")) * min_rel
     if pct is not None:
-        ok |= cumulative_keep(values, pct / 100)
+        values = cumulative_keep(values, pct / 100, most)
+        ok |= F.col("kept")
+    if min_rel > 0:
+        top = values.groupBy(F.col("cluster_id").alias("c"), F.col("sample").alias("s")).agg((F.max("value") * min_rel).alias("least"))
+        values = values.join(top, F.col("cluster_id").eqNullSafe(F.col("c")) & F.col("sample").eqNullSafe(F.col("s"))).drop("c", "s")
+        ok |= F.col("value") >= F.col("least")
     passes = values.withColumn("ok", ok.cast("int")).groupBy("tx").agg(F.sum("ok").alias("passes"))
-    rows = rows.join(passes, "tx").withColumn("ok", F.col("passes") >= min_samples)
-    by = Window.partitionBy("cluster_id")
-    few = F.sum(F.col("ok").cast("int")).over(by) < min_keep
-    best = F.row_number().over(by.orderBy(F.desc("score"), "tx")) <= min_keep
-    return rows.withColumn("few", few).withColumn("best", best).withColumn("kept", F.when(F.col("few"), F.col("best")).otherwise(F.col("ok"))).drop("few", "best", "ok")
+    rows = cut(rows.join(passes, "tx").withColumn("ok", F.col("passes") >= min_samples), "supported")
+    few = rows.groupBy(F.col("cluster_id").alias("cluster")).agg((F.sum(F.col("ok").cast("int")) < min_keep).alias("few"))
+    # The best of those clusters: Spark keeps min_keep of each task before the shuffle.
+    poor = _per_cluster(rows.select("cluster_id", "tx", "score"), few.filter("few"))
+    best = poor.withColumn("r", F.row_number().over(Window.partitionBy("cluster_id").orderBy(F.desc("score"), "tx"))).filter(F.col("r") <= min_keep).select(F.col("tx").alias("best"))
+    out = _per_cluster(rows, few).join(best, F.col("tx") == F.col("best"), "left")
+    return out.withColumn("kept", F.when(F.col("few"), F.col("best").isNotNull()).otherwise(F.col("ok"))).drop("few", "best", "ok")

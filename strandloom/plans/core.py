@@ -334,8 +334,8 @@ cum AS (SELECT *, coalesce(sum(value) OVER (PARTITION BY cluster_id, sample ORDE
 def cumexpr_keep(s: SparkSession, d: str) -> DataFrame:
     expr = expression(s, d)
     keys = _locus_clusters(s, d).join(expr.select("tx").distinct(), "tx", "left_semi").select("tx", "cluster_id")
-    values = ex.dense(expr, keys, SAMPLES)
-    return values.select("tx", "cluster_id", "sample", prune.cumulative_keep(values, 0.8).alias("kept"))
+    values = cut(ex.dense(expr, keys, SAMPLES), "dense")
+    return prune.cumulative_keep(values, 0.8).select("tx", "cluster_id", "sample", "kept")
 
 
 _SUPPORT = f"""{_CUM}, ps AS (SELECT tx, count(*) FILTER (WHERE (total > 0 AND before < 0.97 * total)) AS passes FROM cum GROUP BY tx),

@@ -97,3 +97,31 @@ def test_a_common_junction_makes_few_candidates(spark, mode, options):
     chains = [sorted({0, *rng.sample(range(10, 60_000, 10), 3)}) for _ in range(3000)]
     base = table(spark, chains).select("tx", *graph.GROUP, F.array_sort("chain").alias("chain"))
     assert graph.candidate_pairs(base, mode, **options).count() < 10_000
+
+
+def test_a_cluster_of_very_many_is_ranked_in_ranges(spark):
+    """One cluster with most rows, many ties among them: the same as by a window, from more than one task."""
+    from pyspark.sql.window import Window
+
+    from strandloom.operators import numbering, prune
+
+    n = 60_000
+    rows = spark.range(n).select(F.col("id").alias("tx"), F.when(F.col("id") % 10 == 0, F.col("id") % 97).otherwise(-1).alias("cluster_id"), (F.col("id") % 211 * (F.col("id") % 3)).cast("double").alias("score"))
+    rows = rows.withColumn("value", F.col("score")).withColumn("sample", F.lit(0))
+    by = Window.partitionBy("cluster_id").orderBy(F.desc("score"), "tx")
+    want = {r.tx: (r.rank, r.kept) for r in rows.withColumn("rank", F.row_number().over(by)).withColumn("n", F.count("*").over(Window.partitionBy("cluster_id"))).withColumn("kept", F.col("rank") <= F.ceil(F.lit(0.8) * F.col("n"))).collect()}
+    ranked = numbering.running(rows, ["cluster_id"], [F.desc("score"), F.asc("tx")], {"s": F.col("score")}, most=5000)
+    got = ranked.collect()
+    assert {r.tx: r["rank"] for r in got} == {t: k for t, (k, _) in want.items()}
+    before = {}
+    for r in sorted(got, key=lambda r: (r.cluster_id, r["rank"])):
+        assert r.before_s == before.get(r.cluster_id, 0.0)
+        before[r.cluster_id] = r.before_s + r.score
+    assert all(before[r.cluster_id] == r.total_s for r in got)
+    pieces = numbering._ranged(rows.filter("cluster_id = -1"), ["cluster_id"], [F.desc("score"), F.asc("tx")], {})
+    assert pieces.count() == n * 9 // 10
+    for most in (5000, 10**6):
+        assert {r.tx: r.kept for r in prune.keep_percentile(rows, 80.0, most=most).collect()} == {t: k for t, (_, k) in want.items()}
+    summed = prune.cumulative_keep(rows, 0.5, most=5000).filter("kept").groupBy("cluster_id").count().collect()
+    assert {r.cluster_id: r["count"] for r in summed} == {r.cluster_id: r["count"] for r in prune.cumulative_keep(rows, 0.5).filter("kept").groupBy("cluster_id").count().collect()}
+    assert numbering.running(rows.limit(0), ["cluster_id"], [F.asc("tx")], {"s": F.col("score")}).count() == 0
