@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandloom.lineage import cut
+
 BIN = 4096
 
 
@@ -34,10 +36,11 @@ def interval_join(a: DataFrame, b: DataFrame, extra: Column | None = None, keys:
     ``left_anti`` (rows of ``a``, its own columns unprefixed). Null keys never match. Skewed bins fall to Spark's
     handling of skewed joins.
     """
-    left = a.select(*(F.col(f"`{c}`").alias(f"a_{c}") for c in a.columns))
+    own = a
+    if how != "inner":  # written with a number for each row, which alone goes through the join and back
+        own = cut(a.withColumn("___row", F.monotonically_increasing_id()), "intervals")
+    left = own.select(*(F.col(f"`{c}`").alias(f"a_{c}") for c in own.columns))
     right = b.select(*(F.col(f"`{c}`").alias(f"b_{c}") for c in b.columns))
-    if how != "inner":
-        left = left.withColumn("a___row", F.struct(*(F.col(f"`a_{c}`") for c in a.columns)))
     lb = binned(left, F.col("a_start0"), F.col("a_end0"), width).withColumnRenamed("__bin", "__ba")
     rb = binned(right, F.col("b_start0"), F.col("b_end0"), width).withColumnRenamed("__bin", "__bb")
     on = F.col("__ba") == F.col("__bb")
@@ -49,9 +52,8 @@ def interval_join(a: DataFrame, b: DataFrame, extra: Column | None = None, keys:
         on &= extra
     if how == "inner":
         return lb.join(rb, on).drop("__ba", "__bb")
-    hits = lb.join(rb, on, "left_semi").select("a___row").distinct().select(F.col("a___row").alias("h"))
-    rows = left.join(hits, F.col("a___row") == F.col("h"), how)
-    return rows.select(*(F.col(f"`a_{c}`").alias(c) for c in a.columns))
+    hits = lb.join(rb, on, "left_semi").select(F.col("a____row").alias("h")).distinct()
+    return own.join(hits, F.col("___row") == F.col("h"), how).select(*(F.col(f"`{c}`") for c in a.columns))
 
 
 def _islands(df: DataFrame, keys: tuple[str, ...], touching: bool) -> DataFrame:

@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.functions import coords, sequence
+from strandloom.lineage import cut
 
 from . import splice
-from .intervals import bin_width, interval_join, union_intervals
+from .intervals import interval_join, union_intervals
+from .levels import filed, level_join
 
 SCREENS: dict[str, Callable[..., DataFrame]] = {}
 
@@ -53,21 +55,23 @@ def monoexon_no_tss(tx: DataFrame, tss: DataFrame, reference_tss: DataFrame, siz
         length = F.col("length")
     lo, hi = coords.slop(F.col("start0"), F.col("end0"), distance, length)
     wide = rows.select("tx", "chrom", lo.alias("start0"), hi.alias("end0"))
-    return interval_join(wide, reference_tss.select("chrom", "start0", "end0"), how="left_anti").select("tx").distinct()
+    return level_join(wide, reference_tss.select("chrom", "start0", "end0"), how="left_anti").select("tx").distinct()
 
 
 @screen("premrna")
 def premrna_monoexon(tx: DataFrame, reference: DataFrame, min_overlap: int = 10) -> DataFrame:
     """Mono-exon transcripts that lie on a reference transcript's span and in one intron by ``min_overlap`` bases, but on no mono-exon reference; all on their strand."""
-    span = lambda t: t.select("tx", "chrom", "strand", F.col("lo").alias("start0"), F.col("hi").alias("end0"))
-    mono, ref = span(tx.filter(F.size("exons") == 1)), span(reference)
+    place = lambda t: t.select("tx", "chrom", "strand", F.col("lo").alias("start0"), F.col("hi").alias("end0"), (F.size("exons") == 1).alias("mono"), coords.introns(F.col("exons")).alias("introns"))
+    mono = filed(place(tx).filter("mono").select("tx", "chrom", "strand", "start0", "end0"))
+    spans = filed(place(reference))  # read once; introns and mono-exons come from what is written
     keys = ("chrom", "strand")
-    width = bin_width(ref)  # reference spans may be megabases long
-    on_span = interval_join(mono, ref, keys=keys, how="left_semi", width=width).select("tx")
+    ref = spans.rows.select(*spans.columns)
+    # Whoever lies in an intron lies on its transcript's span.
+    introns = filed(ref.select("chrom", "strand", F.explode("introns").alias("i")).select("chrom", "strand", "i.start0", "i.end0"))
     enough = coords.overlap(F.col("a_start0"), F.col("a_end0"), F.col("b_start0"), F.col("b_end0")) >= min_overlap
-    in_intron = interval_join(mono, splice.introns(reference), enough, keys, "left_semi", width).select("tx")
-    on_mono = interval_join(mono, span(reference.filter(F.size("exons") == 1)), keys=keys, how="left_semi", width=width).select("tx")
-    return on_span.intersect(in_intron).subtract(on_mono)
+    in_intron = level_join(mono, introns, enough, keys, "left_semi").select("tx")
+    on_mono = level_join(mono, filed(ref.filter("mono").select("chrom", "strand", "start0", "end0")), keys=keys, how="left_semi").select("tx")
+    return in_intron.distinct().join(on_mono.select(F.col("tx").alias("gone")).distinct(), F.col("tx").eqNullSafe(F.col("gone")), "left_anti")
 
 
 def chunked(genome: DataFrame, width: int = 1 << 20, overlap: int = 64) -> DataFrame:
@@ -230,18 +234,19 @@ def segdup_report(tx: DataFrame, segdups: DataFrame, genes: DataFrame, levels: t
     measures it from one base further right, as the established report does. A gene counts where it lies wholly inside
     the intron.
     """
-    parts = splice.numbered(tx)
+    parts = cut(splice.numbered(tx), "parts")
+    held_by = filed(segdups)
     shift = 1 if strict_compat else 0
     spans = tx.select("tx", "chrom", (F.col("lo") + shift).alias("start0"), F.col("hi").alias("end0"))
-    inside = interval_join(spans, segdups, (F.col("b_start0") <= F.col("a_start0")) & (F.col("b_end0") >= F.col("a_end0")), how="left_semi").select("tx").distinct().withColumn("contained", F.lit(True))
+    inside = level_join(spans, held_by, (F.col("b_start0") <= F.col("a_start0")) & (F.col("b_end0") >= F.col("a_end0")), how="left_semi").select("tx").distinct().withColumn("contained", F.lit(True))
     enough = coords.overlap(F.col("a_start0"), F.col("a_end0"), F.col("b_start0"), F.col("b_end0")) >= exon_fraction * (F.col("a_end0") - F.col("a_start0"))
-    exons = interval_join(parts.filter("kind = 'ex'"), segdups, enough, how="left_semi")
+    exons = level_join(parts.filter("kind = 'ex'"), held_by, enough, how="left_semi")
     by_level = lambda df: df.withColumn("level", F.explode(F.array(*map(F.lit, levels))))
     last = F.col("ord") >= F.col("cnt") - (F.col("level") - 1)
     ex = by_level(exons).filter("cnt > level").groupBy("tx", "level").agg(
         (F.sum((F.col("ord") <= F.col("level")).cast("int")) == F.col("level")).alias("first_segdup"), (F.sum(last.cast("int")) == F.col("level")).alias("last_segdup")
     )
-    held = interval_join(parts.filter("kind = 'in'"), genes, (F.col("b_start0") >= F.col("a_start0")) & (F.col("b_end0") <= F.col("a_end0")))
+    held = level_join(parts.filter("kind = 'in'"), genes, (F.col("b_start0") >= F.col("a_start0")) & (F.col("b_end0") <= F.col("a_end0")))
     held = by_level(held.select(F.col("a_tx").alias("tx"), F.col("a_ord").alias("ord"), F.col("a_cnt").alias("cnt"), (F.col("a_end0") - F.col("a_start0")).alias("len"), F.col("b_n_exons").alias("n_exons"))).filter("cnt >= level")
     is_first, is_last, mono = F.col("ord") == F.col("level"), F.col("ord") == F.col("cnt") - (F.col("level") - 1), F.col("n_exons") == 1
     count = lambda c: F.sum(c.cast("int"))
