@@ -20,7 +20,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Similarity of the near-duplicate stage, in percent.
 NEAR_PERCENT = 80
 #: Ids of copies up to this many are broadcast; more are joined by shuffle.
-BROADCAST_IDS = 10_000
+BROADCAST_IDS = 1_000
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,6 +41,7 @@ def _with_total(rows: DataFrame) -> DataFrame:
     without a gene, however many, get theirs from one number a sample.
     """
     keys = [*GROUP, "sample"]
+    rows = cut(rows, "group-rows")  # read three times below
     sums = cut(rows.groupBy(*keys).agg(F.sum("value").alias("total")), "group-totals")
     known = rows.filter("gene is not null").join(sums, keys)
     bare = sums.filter("gene is null").select(*(F.col(k).alias(f"__{k}") for k in keys), "total")

@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandloom.lineage import cut
+
+from .intervals import union_intervals
+from .levels import level_join
+
 UNMAPPED, SECONDARY, SUPPLEMENTARY, REVERSE = 4, 256, 2048, 16
 MITO = ("chrM", "MT", "chrMT", "M")
 
@@ -77,20 +82,38 @@ def called_variants(pileup: DataFrame, min_coverage: int = 20, min_reads2: int =
     return pileup.filter((F.col("depth") >= min_coverage) & (F.col("reads2") >= min_reads2))
 
 
-def _place() -> Column:
-    """Ends of a mono-exon, null with a chain: what tells isoforms without junctions apart."""
-    return F.when(F.coalesce(F.size("chain"), F.lit(0)) <= 0, F.struct("lo", "hi")).alias("__place")
+def _place(columns: list[str]) -> Column:
+    """What tells isoforms without junctions apart: their locus, where there is one, or else their ends; null with a chain."""
+    return F.when(F.coalesce(F.size("chain"), F.lit(0)) <= 0, F.col("locus") if "locus" in columns else F.struct("lo", "hi")).alias("__place")
+
+
+def with_loci(tx: DataFrame) -> DataFrame:
+    """Adds ``locus`` (lo, hi): what mono-exons of a chromosome and strand that overlap cover together; null with a chain.
+
+    Mono-exons that share a base, by whatever others between them, have one locus; those that only touch don't. Loci are
+    unions of intervals within bins first, so a chromosome is no single task's.
+    """
+    rows = cut(tx, "transcripts")
+    mono = rows.filter(F.coalesce(F.size("chain"), F.lit(0)) <= 0).select("chrom", "strand", F.col("lo").alias("start0"), F.col("hi").alias("end0")).distinct()
+    loci = union_intervals(mono, ("chrom", "strand"), touching=False)
+    held = level_join(mono, loci, keys=("chrom", "strand")).select(F.col("a_chrom").alias("c"), F.col("a_strand").alias("s"), F.col("a_start0").alias("l"), F.col("a_end0").alias("h"), F.struct(F.col("b_start0").alias("lo"), F.col("b_end0").alias("hi")).alias("locus"))
+    same = (F.col("chrom") == F.col("c")) & (F.col("strand") == F.col("s")) & (F.col("lo") == F.col("l")) & (F.col("hi") == F.col("h")) & (F.coalesce(F.size("chain"), F.lit(0)) <= 0)
+    return rows.join(held, same, "left").drop("c", "s", "l", "h")
 
 
 def collapse_reads(tx: DataFrame) -> DataFrame:
-    """Transcripts (reads with sample) with one chain, locus and sample as one isoform: depth, outermost ends. Mono-exons are one by locus, ends and sample."""
-    return tx.groupBy("sample", "chrom", "strand", "chain", _place()).agg(F.count("*").alias("depth"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("__place")
+    """Transcripts (reads with sample) with one chain, locus and sample as one isoform: depth, outermost ends.
+
+    Mono-exons are one by sample and locus, if ``with_loci`` gave them one (which then stays beside them), else by their ends.
+    """
+    locus = [F.first("locus").alias("locus")] if "locus" in tx.columns else []
+    return tx.groupBy("sample", "chrom", "strand", "chain", _place(tx.columns)).agg(F.count("*").alias("depth"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), *locus).drop("__place")
 
 
 def merge_samples(collapsed: DataFrame, samples: list) -> DataFrame:
-    """Isoforms over all samples: chrom, strand, chain, ends, and a depth column a sample (0 where absent). Mono-exons meet by their ends."""
+    """Isoforms over all samples: chrom, strand, chain, ends, and a depth column a sample (0 where absent). Mono-exons meet by their loci, or else by their ends."""
     depth = [F.sum(F.when(F.col("sample") == s, F.col("depth")).otherwise(0)).alias(f"depth_{s}") for s in samples]
-    return collapsed.groupBy("chrom", "strand", "chain", _place()).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), *depth).drop("__place")
+    return collapsed.groupBy("chrom", "strand", "chain", _place(collapsed.columns)).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), *depth).drop("__place")
 
 
 def modal_ends(points: DataFrame, keys: tuple[str, ...]) -> DataFrame:

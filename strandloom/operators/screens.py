@@ -88,7 +88,7 @@ def with_windows(rows: DataFrame, genome: DataFrame, windows: dict[str, tuple[Co
     window starts, by (contig, chunk), never a whole contig. genome: (contig, seq), or its chunks as ``chunked`` gives
     them with the same ``width``; windows are at most as long as the chunks overlap.
     """
-    pieces = genome if "chunk" in genome.columns else chunked(genome, width)
+    pieces = genome if "chunk" in genome.columns else cut(chunked(genome, width), "chunks")  # the genome is read once
     ends = pieces.groupBy(F.col("contig").alias("__c")).agg(F.max("chunk").alias("__last"))
     out = rows.join(ends, F.col("contig") == F.col("__c"), "left").drop("__c")
     piece = pieces.select(F.col("contig").alias("__c"), F.col("chunk").alias("__k"), F.col("start0").alias("__at"), F.col("seq").alias("__seq"))

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strandloom.lineage import cut, shared_dir
 from strandloom.operators import annotation, reports, splice
@@ -202,12 +203,73 @@ def ids_in_bed_order(s: SparkSession, d: str) -> DataFrame:
     """Ids in the order of the BED file that they were found in: the lines of the written file, numbered."""
     path = place(s, "ordered-ids")
     sinks.write_ids_in_order(tx_of(s, d), path, ["chrom", "lo", "tx"])
-    lines = sequences.numbered_lines(s, path)
-    files = lines.groupBy("file").agg(F.count("*").alias("n")).select(F.col("file").alias("f"), "n")
-    before = lines.select("file").distinct().join(files, F.col("f") < F.col("file"), "left").groupBy(F.col("file").alias("g")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("first"))
+    return _in_order(s, path)
+
+
+def _in_order(s: SparkSession, path: str) -> DataFrame:
+    """tx and line of a folder's lines, its files in the order of their names."""
+    lines = cut(sequences.numbered_lines(s, path), "numbered-lines")
+    files = lines.groupBy("file").agg(F.count("*").alias("n"))  # one row a file
+    before = files.select(F.col("file").alias("g"), (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("first"))
     return lines.join(before, F.col("file") == F.col("g")).select(F.col("value").alias("tx"), (F.col("line") + F.col("first")).alias("line"))
 
 
+@query("ids_sorted", "SELECT tx, row_number() OVER (ORDER BY tx) - 1 AS line FROM (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS tx FROM lineitem)")
+def ids_sorted(s: SparkSession, d: str) -> DataFrame:
+    """Ids as written: distinct, and in order over all files."""
+    path = place(s, "sorted-ids")
+    sinks.write_ids(exons(s, d), path)
+    return _in_order(s, path)
+
+
+@query("matrix_sorted", ctes("expr") + " SELECT CAST(tx AS VARCHAR) AS tx, row_number() OVER (ORDER BY tx) - 1 AS line FROM (SELECT DISTINCT tx FROM expr)")
+def matrix_sorted(s: SparkSession, d: str) -> DataFrame:
+    """The ids of a matrix in the order of its file (rows sorted by id)."""
+    path = place(s, "sorted-matrix")
+    sinks.to_matrix(expression(s, d), SAMPLES).select(F.col("`#TranscriptID`").cast("string").alias("value")).write.text(path)
+    return _in_order(s, path)
+
+
+@query("header_rewritten", ctes("expr") + ", s4 AS (SELECT unnest([0, 1, 2, 3]) AS sample), t AS (SELECT DISTINCT tx FROM expr) SELECT CAST(t.tx AS VARCHAR) AS tx, 's' || s4.sample AS sample, CAST(coalesce(value, 0) AS BIGINT) AS value FROM t CROSS JOIN s4 LEFT JOIN expr e ON e.tx = t.tx AND e.sample = s4.sample")
+def header_rewritten(s: SparkSession, d: str) -> DataFrame:
+    """A matrix whose columns are paths, read with the samples' names."""
+    path = place(s, "path-matrix")
+    sinks.write_matrix(expression(s, d).withColumn("sample", F.concat(F.lit("03_x/s"), F.col("sample").cast("string"), F.lit("/s.txt"))), [f"03_x/s{k}/s.txt" for k in SAMPLES], path, "id")
+    rows = sinks.read_short_matrix(s, path).withColumnRenamed("#TranscriptID", "tx")
+    return rows.unpivot("tx", [f"s{k}" for k in SAMPLES], "sample", "value").withColumn("value", F.col("value").cast("bigint"))
+
+
+@query("path_tokens", "WITH p AS (SELECT page_id, url, list_filter(string_split(url, '/'), lambda x: x <> '') AS t FROM pages) SELECT page_id, coalesce(t[2], url) AS second, coalesce(t[-1], url) AS last, coalesce(t[7], url) AS seventh FROM p")
+def path_tokens(s: SparkSession, d: str) -> DataFrame:
+    """Components of the pages' addresses, from the front and the back."""
+    return read(s, d, "pages").select("page_id", *(sinks.path_tokens(F.col("url"), k).alias(n) for n, k in (("second", 2), ("last", -1), ("seventh", 7))))
+
+
+@query("attributes_completed", """WITH p AS (SELECT p_partkey AS k, 'g' || p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN p_name END AS name, p_type AS type, CASE WHEN p_partkey % 3 = 0 THEN 'T' || p_size END AS tname, p_brand FROM part)
+SELECT k, 'gene_id "' || id || '"; transcript_id "' || id || '"; gene_type "' || type || '"; gene_name "' || coalesce(name, id) || '"; transcript_type "' || type || '"; transcript_name "' || coalesce(tname, name, id) || '"; level "2"; brand "' || p_brand || '";' AS attributes FROM p""")
+def attributes_completed(s: SparkSession, d: str) -> DataFrame:
+    """Gene attributes, some missing, completed for the transcript."""
+    entry = lambda k, v: F.struct(F.lit(k).alias("key"), v.alias("value"))
+    key = F.col("p_partkey")
+    parts = F.array(entry("gene_id", F.concat(F.lit("g"), key.cast("string"))), entry("gene_type", F.col("p_type")), entry("level", F.lit("2")), entry("brand", F.col("p_brand")), entry("gene_name", F.when(key % 2 == 0, F.col("p_name"))), entry("transcript_name", F.when(key % 3 == 0, F.concat(F.lit("T"), F.col("p_size").cast("string")))))
+    attrs = F.map_from_entries(F.filter(parts, lambda e: e["value"].isNotNull()))
+    return read(s, d, "part").select(key.alias("k"), annotation.complete_attributes(attrs).alias("attributes"))
+
+
+@query("gtf_mixed_places", ctes("exon") + """, g AS (SELECT CAST(tx AS VARCHAR) AS tx, CAST(gene AS VARCHAR) AS gene, chrom, strand, start0, end0, tx % 3 = 0 AS mixed FROM exon),
+h AS (SELECT DISTINCT tx, chrom, strand FROM g)
+SELECT 'first' AS mode, tx, gene, chrom, strand, start0, end0 FROM g UNION ALL SELECT 'first', g.tx, g.gene, h.chrom, h.strand, start0 + 7, end0 + 9 FROM g JOIN h ON h.tx = g.tx WHERE mixed
+UNION ALL SELECT 'drop', tx, gene, chrom, strand, start0, end0 FROM g WHERE NOT mixed""")
+def gtf_mixed_places(s: SparkSession, d: str) -> DataFrame:
+    """Transcripts with lines on a second chromosome: dropped, or taken to the place of their first line."""
+    ex_ = exons(s, d)
+    odd = ex_.filter("tx % 3 = 0").select("tx", "gene", F.lit("zz").alias("chrom"), "strand", (F.col("start0") + 7).alias("start0"), (F.col("end0") + 9).alias("end0"))
+    lines = gtf.to_gtf_lines(ex_.unionByName(odd)).repartition(F.regexp_extract("value", 'transcript_id "([^"]+)"', 1)).sortWithinPartitions("value")
+    path = put(s, lines, "mixed-gtf")  # a transcript's lines in one file, those of the second chromosome after the others
+    cols = ["tx", "gene", "chrom", "strand", "start0", "end0"]
+    return gtf.read_exons(s, path, "first").select(F.lit("first").alias("mode"), *cols).unionByName(gtf.read_exons(s, path, "drop").select(F.lit("drop").alias("mode"), *cols))
+
+
 def _fastq(s: SparkSession, d: str) -> DataFrame:
     """Reads from the genome's contigs; qualities follow the bases."""
     qual = F.translate(F.col("seq"), "ACGT", "5?I+")
@@ -237,7 +299,7 @@ def sample_sheet_read(s: SparkSession, d: str) -> DataFrame:
 def parts_written(s: SparkSession, d: str) -> DataFrame:
     """Transcripts cut into tables of at most 1,000 rows."""
     path = place(s, "parts")
-    sinks.write_parts(read(s, d, "lineitem").select("l_orderkey").distinct().coalesce(1), path, 1000)
+    sinks.write_parts(read(s, d, "lineitem").select("l_orderkey").distinct(), path, 1000)
     files = s.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
     return files.agg(F.count_if(F.col("n") <= 1000).alias("parts"), F.sum("n").alias("n"))
 

@@ -457,6 +457,19 @@ def collapse_reads(s: SparkSession, d: str) -> DataFrame:
     return _collapsed(s, d).withColumn("chain", _bars("chain"))
 
 
+_LOCI = ctes("exon", "txs") + """, m AS (SELECT tx, chrom, strand, tx % 4 AS sample, lo + tx % 11 AS lo, hi + tx % 11 AS hi FROM txs WHERE n_exons = 1),
+f AS (SELECT *, CASE WHEN lo < max(hi) OVER (PARTITION BY chrom, strand ORDER BY lo, hi, tx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS f FROM m),
+g AS (SELECT *, sum(f) OVER (PARTITION BY chrom, strand ORDER BY lo, hi, tx) AS g FROM f)"""
+
+
+@query("mono_loci", _LOCI + " SELECT chrom, strand, min(lo) AS lo, max(hi) AS hi, " + ", ".join(f"count(*) FILTER (WHERE sample = {k}) AS depth_{k}" for k in range(4)) + " FROM g GROUP BY chrom, strand, g")
+def mono_loci(s: SparkSession, d: str) -> DataFrame:
+    """Mono-exon reads whose ends differ by some bases, by the loci that they cover together."""
+    shift = F.col("tx") % 11
+    mono = tx_of(s, d).filter("size(exons) = 1").select("tx", "chrom", "strand", (F.col("tx") % 4).alias("sample"), "chain", (F.col("lo") + shift).alias("lo"), (F.col("hi") + shift).alias("hi"))
+    return reads.merge_samples(reads.collapse_reads(reads.with_loci(mono)), [0, 1, 2, 3]).drop("chain")
+
+
 @query("merge_samples", _COLL + " SELECT chrom, strand, c AS chain, min(lo) AS lo, max(hi) AS hi, " + ", ".join(f"CAST(coalesce(sum(depth) FILTER (WHERE sample = {k}), 0) AS BIGINT) AS depth_{k}" for k in range(4)) + " FROM col GROUP BY chrom, strand, c, plo, phi")
 def merge_samples(s: SparkSession, d: str) -> DataFrame:
     return reads.merge_samples(_collapsed(s, d), [0, 1, 2, 3]).withColumn("chain", _bars("chain"))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from strandloom.lineage import cut
 
 
 def write_ids(ids: DataFrame, path: str, col: str = "tx") -> None:
@@ -18,8 +21,19 @@ def write_ids_in_order(ids: DataFrame, path: str, order: list[str], col: str = "
 
 
 def write_parts(df: DataFrame, path: str, rows: int) -> None:
-    """Tables of at most ``rows`` rows a file."""
-    df.write.option("maxRecordsPerFile", rows).parquet(path)
+    """Tables of ``rows`` rows, the last of what is left, one file each in ``part=`` folders, written by as many tasks as there are.
+
+    Rows go in the order in which they come. They are numbered by the counts of the partitions before theirs.
+    """
+    at = F.monotonically_increasing_id()
+    pieces = cut(df.withColumn("__at", at), "parts")
+    index = F.shiftright("__at", 33).alias("__of")
+    counts = pieces.groupBy(index).agg(F.count("*").alias("__n"))  # one row a partition
+    before = counts.select(F.col("__of").alias("__o"), (F.sum("__n").over(Window.orderBy("__of")) - F.col("__n")).alias("__first"))
+    number = F.col("__at").bitwiseAND((1 << 33) - 1) + F.col("__first")
+    dealt = pieces.withColumn("__of", F.shiftright("__at", 33)).join(before, F.col("__of") == F.col("__o")).withColumn("part", F.floor(number / rows))
+    n = max(1, -(-pieces.count() // rows))
+    dealt.repartition(min(n, 10_000), "part").sortWithinPartitions("part", "__at").drop("__at", "__of", "__o", "__first").write.partitionBy("part").parquet(path)
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
@@ -47,6 +61,18 @@ def path_token(path: str, place: int) -> str:
     return parts[at] if -len(parts) <= at < len(parts) else path
 
 
+def path_tokens(path: Column, place: int) -> Column:
+    """``path_token`` of a column."""
+    parts = F.filter(F.split(path, "/"), lambda x: x != "")
+    return F.coalesce(F.try_element_at(parts, F.lit(place)), path)
+
+
+def read_short_matrix(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
+    """A headed table with its header as ``short_header`` rewrites it."""
+    rows = spark.read.csv(path, header=True, sep=sep)
+    return rows.toDF(*short_header(rows.columns))
+
+
 def short_header(columns: list[str]) -> list[str]:
     """First column #TranscriptID; others, if paths, their second component."""
     return ["#TranscriptID", *(c.split("/")[1] if "/" in c else c for c in columns[1:])]

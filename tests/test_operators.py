@@ -441,3 +441,25 @@ def test_written_tables_are_forgotten(spark):
     ended.set()
     thread.join()
     assert other[0].count() == 4
+
+
+def test_mono_exon_loci(spark):
+    rows = [("a", 0, 10), ("b", 9, 20), ("c", 20, 30), ("d", 100, 110), ("e", 100, 110), ("f", 5, 5)]
+    tx = spark.createDataFrame([(n, s % 2, "c", "+", [], s, e) for n, s, e in rows] + [("m", 0, "c", "+", [(3, 4)], 0, 10), ("g", 0, "c", "-", None, 0, 10), ("h", 0, None, "+", [], 0, 10)], "tx string, sample int, chrom string, strand string, chain array<struct<donor:bigint,acceptor:bigint>>, lo long, hi long")
+    placed = reads.with_loci(tx)
+    got = {r.tx: tuple(r.locus) if r.locus else None for r in placed.collect()}
+    # 9 is shared by a and b; b and c only touch.
+    assert got == {"a": (0, 20), "b": (0, 20), "c": (20, 30), "d": (100, 110), "e": (100, 110), "f": None, "m": None, "g": (0, 10), "h": None}
+    merged = {(r.strand, r.lo, r.hi, len(r.chain or [])): (r.depth_0, r.depth_1) for r in reads.merge_samples(reads.collapse_reads(placed.filter("chrom = 'c' and tx <> 'f'")), [0, 1]).collect()}
+    assert merged == {("+", 0, 20, 0): (1, 1), ("+", 20, 30, 0): (1, 0), ("+", 100, 110, 0): (2, 0), ("+", 0, 10, 1): (1, 0), ("-", 0, 10, 0): (1, 0)}
+
+
+def test_parts_are_full_but_the_last(spark, tmp_path):
+    from strandloom.sources import sinks
+
+    df = spark.range(1050).repartition(7)
+    sinks.write_parts(df, str(tmp_path / "p"), 100)
+    sizes = [r["n"] for r in spark.read.parquet(str(tmp_path / "p")).groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("n")).collect()]
+    assert sorted(sizes) == [50] + [100] * 10
+    sinks.write_parts(df.limit(0), str(tmp_path / "none"), 100)
+    assert sinks.path_token("a/b/c", 2) == "b" and sinks.short_header(["id", "x/s1/f.txt", "plain"]) == ["#TranscriptID", "s1", "plain"]
