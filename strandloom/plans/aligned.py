@@ -269,3 +269,21 @@ def fasta_by_split(s: SparkSession, d: str) -> DataFrame:
 @query("fasta_lengths", ctes("genome") + " SELECT CAST(contig AS VARCHAR) AS chrom, CAST(length(seq) AS BIGINT) AS length FROM genome")
 def fasta_lengths(s: SparkSession, d: str) -> DataFrame:
     return splittext.fasta_lengths(s, _fasta(s, d), 1 << 15)
+
+
+@query("bam_to_fastq", f"""WITH {_SPLICED}, f AS (SELECT read_id, flag, {_SEQ} AS seq FROM spliced)
+SELECT read_id, CASE WHEN flag = 16 THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END AS seq, repeat('I', length(seq)) AS qual FROM f""")
+def bam_to_fastq(s: SparkSession, d: str) -> DataFrame:
+    """A binary file's reads as compressed text, read back."""
+    path = place(s, "from-bam-fastq")
+    bam.write_fastq(bam.to_fastq(from_bam(s, d, ["read_id", "flag", "seq", "qual"])), path)
+    return splittext.read_fastq_splits(s, path)
+
+
+@query("bam_region", f"WITH {_SPLICED} SELECT read_id, chrom, pos, {_CIGAR} AS cigar FROM spliced WHERE chrom = 'chr1' AND pos < 1200 AND pos + a + b + c + d + 6 > 900")
+def bam_region(s: SparkSession, d: str) -> DataFrame:
+    """Reads on a stretch of a chromosome, from sorted files by their index."""
+    path = place(s, "indexed-alignments")
+    bam.write_bam(spliced(s, d), path, coordinate_sorted=True)
+    bam.index_bam(s, path, window=256)
+    return bam.read_bam_region(s, path, "chr1", 900, 1200, ["read_id", "chrom", "pos", "cigar"])

@@ -15,13 +15,14 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .files import SPLIT, Bytes, Split, listed, opened, splits
@@ -235,8 +236,12 @@ def _tags(raw: bytes) -> dict[str, str]:
     return out
 
 
-def _decoded(data: bytes, offs: np.ndarray, header: Header, names: list[str]) -> list[list]:
-    """Values of the columns ``names`` of the records at ``offs``."""
+#: Columns beside SCHEMA: the file's name, where a record begins and where the next does (block << 16 | byte), and the end of its span on the reference.
+PLACES = "file string, begin long, next long, end0 long"
+
+
+def _decoded(data: bytes, offs: np.ndarray, header: Header, names: list[str], places: list[int], file: str) -> list[list]:
+    """Values of the columns ``names`` of the records at ``offs``; ``places``: where they begin, and where the last one ends."""
     fixed = np.frombuffer(data, np.uint8)[offs[:, None] + np.arange(36)].reshape(-1).view(FIXED)
     name_at = offs + 36
     cigar_at = name_at + fixed["l_name"]
@@ -259,6 +264,13 @@ def _decoded(data: bytes, offs: np.ndarray, header: Header, names: list[str]) ->
             out.append(fixed[name].astype(np.int64))
         elif name in ("chrom", "mate_chrom"):
             out.append([chroms[r] for r in fixed["ref" if name == "chrom" else "mate_ref"].tolist()])
+        elif name in ("begin", "next"):
+            out.append(places[:-1] if name == "begin" else places[1:])
+        elif name == "file":
+            out.append([file] * len(offs))
+        elif name == "end0":
+            ops = [np.frombuffer(x, "<u4") for x in spans(cigar_at, seq_at)]
+            out.append([p + int((x >> 4)[np.isin(x & 15, (0, 2, 3, 7, 8))].sum()) for p, x in zip(fixed["pos"].tolist(), ops, strict=True)])
         elif name == "cigar":
             values = [_cigar(x) for x in spans(cigar_at, seq_at)]
             for k in long:
@@ -278,54 +290,76 @@ def _decoded(data: bytes, offs: np.ndarray, header: Header, names: list[str]) ->
     return out
 
 
-def records(split: Split, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """The records that begin in the blocks of a split."""
+@dataclass
+class Range(InputPartition):
+    """The records of a file from one place (block << 16 | byte) to another."""
+
+    path: str
+    begin: int
+    stop: int
+
+
+def records(split: Split | Range, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The records that begin in the blocks of a split, or those of a range."""
     with Bytes(split.path) as file:
         blocks = Blocks(file)
         header = Header(blocks)
-        # The header is the first split's, however long it is.
-        begin = header.begin if split.start == 0 else first_record(blocks, split.start, header)
-        stop = (split.size, 0) if split.end >= split.size else first_record(blocks, split.end, header)
-        if begin >= stop:
-            return
-        s = Stream(blocks, begin[0])
-        s.need(begin[1] + 1)
-        s.drop(begin[1])
-        done = False
-        while not done:
-            while len(s.data) < BATCH and s.next <= stop[0] and s.more():
-                pass
-            offs, at = [], 0
-            while True:
-                here = s.place(at)
-                if here >= stop or not s.need(at + 4):
-                    done = True
-                    if here != stop and (here < stop or len(s.data) > at) and not (stop[0] == split.size and s.next >= split.size and at == len(s.data)):
-                        raise ValueError(f"{split.path}: records from byte {begin} don't end at {stop} but at {here}")
-                    break
-                size = struct.unpack_from("<i", s.data, at)[0]
-                if size < 32 or not s.need(at + 4 + size):
-                    raise ValueError(f"{split.path}: a broken record at {here}")
-                offs.append(at)
-                at += 4 + size
-                if at >= BATCH:
-                    break
-            if offs:
-                data = bytes(s.data[:at])
-                columns = _decoded(data, np.array(offs, np.int64), header, schema.names)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-            s.drop(at)
+        if isinstance(split, Range):
+            begin, stop = ((x >> 16, x & 0xFFFF) for x in (split.begin, split.stop))
+        else:
+            # The header is the first split's, however long it is.
+            begin = header.begin if split.start == 0 else first_record(blocks, split.start, header)
+            stop = (file.size, 0) if split.end >= file.size else first_record(blocks, split.end, header)
+        if begin < stop:
+            yield from _between(blocks, header, begin, stop, schema, split.path.rsplit("/", 1)[-1])
+
+
+def _between(blocks: Blocks, header: Header, begin: tuple[int, int], stop: tuple[int, int], schema: pa.Schema, file: str) -> Iterator[pa.RecordBatch]:
+    s, size_of_file = Stream(blocks, begin[0]), blocks.file.size
+    s.need(begin[1] + 1)
+    s.drop(begin[1])
+    wanted = {"begin", "next"} & set(schema.names)
+    done = False
+    while not done:
+        while len(s.data) < BATCH and s.next <= stop[0] and s.more():
+            pass
+        offs, at, places = [], 0, []
+        while True:
+            here = s.place(at)
+            if wanted:
+                places.append(here[0] << 16 | here[1])
+            if here >= stop or not s.need(at + 4):
+                done = True
+                if here != stop and (here < stop or len(s.data) > at) and not (stop[0] == size_of_file and s.next >= size_of_file and at == len(s.data)):
+                    raise ValueError(f"records from {begin} don't end at {stop} but at {here}")
+                break
+            size = struct.unpack_from("<i", s.data, at)[0]
+            if size < 32 or not s.need(at + 4 + size):
+                raise ValueError(f"a broken record at {here}")
+            offs.append(at)
+            at += 4 + size
+            if at >= BATCH:
+                if wanted:
+                    here = s.place(at)
+                    places.append(here[0] << 16 | here[1])
+                break
+        if offs:
+            columns = _decoded(bytes(s.data[:at]), np.array(offs, np.int64), header, schema.names, places, file)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        s.drop(at)
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, schema: pa.Schema, paths: list[str], size: int):
-        self.schema, self.paths, self.size = schema, paths, size
+    def __init__(self, schema: pa.Schema, paths: list[str], size: int, ranges: list[Range] | None):
+        self.schema, self.paths, self.size, self.ranges = schema, paths, size, ranges
 
-    def partitions(self) -> list[Split]:
+    def partitions(self) -> list[Split] | list[Range]:
+        if self.ranges is not None:
+            return self.ranges or [Split("", 0, 0, 0)]
         return splits(listed(self.paths, (".bam",)), self.size) or [Split("", 0, 0, 0)]
 
-    def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
-        if partition.size:
+    def read(self, partition: Split | Range) -> Iterator[pa.RecordBatch]:
+        if partition.path:
             yield from records(partition, self.schema)
 
 
@@ -449,7 +483,7 @@ class _Writer(DataSourceArrowWriter):
 
 
 class BamSource(DataSource):
-    """Options: path (several joined by line breaks), split_bytes; for writing references (name, tab, length by line), sort_order, block_bytes."""
+    """Options: path (several joined by line breaks), split_bytes, or ranges (path, begin, stop by line); for writing references (name, tab, length by line), sort_order, block_bytes."""
 
     @classmethod
     def name(cls) -> str:
@@ -459,7 +493,10 @@ class BamSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> _Reader:
-        return _Reader(to_arrow_schema(schema), self.options["path"].split("\n"), int(self.options.get("split_bytes", SPLIT)))
+        ranges = None
+        if "ranges" in self.options:
+            ranges = [Range(p, int(a), int(b)) for p, a, b in (line.split("\t") for line in self.options["ranges"].splitlines())]
+        return _Reader(to_arrow_schema(schema), self.options.get("path", "").split("\n"), int(self.options.get("split_bytes", SPLIT)), ranges)
 
     def writer(self, schema, overwrite: bool) -> _Writer:
         refs = [(n, int(k)) for n, k in (line.split("\t") for line in self.options.get("references", "").splitlines())]
@@ -515,3 +552,61 @@ def write_bam(reads: DataFrame, path: str, lengths: DataFrame | None = None, coo
         reads = reads.repartitionByRange(*order).sortWithinPartitions(*order)
     rows = reads.select(*wanted)
     rows.write.format(BamSource.name()).mode("append").option("references", "\n".join(f"{n}\t{k}" for n, k in refs)).option("sort_order", "coordinate" if coordinate_sorted else "unsorted").option("block_bytes", block_bytes).save(path)
+
+
+# Index, regions and reads as text
+
+#: Bases of a row of the index, and its folder beside the files.
+INDEX_WINDOW, INDEX = 1 << 14, "_index"
+
+
+def index_bam(spark: SparkSession, path: str, window: int = INDEX_WINDOW, split_bytes: int = SPLIT) -> None:
+    """Writes the index of a folder of files: for each file, chromosome and window of positions, where its records begin and end in the file, and how far they reach.
+
+    Made for files sorted by place, right for any: a window's records lie between the two places, among others.
+    """
+    spark.dataSource.register(BamSource)
+    rows = spark.read.format(BamSource.name()).schema(f"chrom string, pos long, {PLACES}").option("split_bytes", split_bytes).load(path)
+    rows = rows.filter("chrom is not null and pos >= 0")
+    index = rows.groupBy("file", "chrom", F.floor(F.col("pos") / window).alias("w")).agg(F.min("pos").alias("first"), F.max(F.greatest("end0", F.col("pos") + 1)).alias("reach"), F.min("begin").alias("begin"), F.max("next").alias("stop"), F.count("*").alias("n"))
+    index.repartition("file").sortWithinPartitions("file", "chrom", "w").write.parquet(f"{path}/{INDEX}")
+
+
+def read_bam_region(spark: SparkSession, path: str, chrom: str, start: int, end: int, columns: list[str] | None = None) -> DataFrame:
+    """Records of an indexed folder that share a base of the reference with [start, end): only the stretches of files that the index names are read."""
+    spark.dataSource.register(BamSource)
+    index = spark.read.parquet(f"{path}/{INDEX}").filter((F.col("chrom") == chrom) & (F.col("first") < end) & (F.col("reach") > start))
+    found = sorted((r["file"], r["begin"], r["stop"]) for r in index.select("file", "begin", "stop").collect())
+    ranges: list[list] = []
+    for file, begin, stop in found:  # stretches that meet are one
+        if ranges and ranges[-1][0] == file and begin <= ranges[-1][2]:
+            ranges[-1][2] = max(ranges[-1][2], stop)
+        else:
+            ranges.append([file, begin, stop])
+    every = [x.split(" ")[0] for x in SCHEMA.split(", ")]
+    order = columns or every
+    wanted = ", ".join(x for x in SCHEMA.split(", ") if x.split(" ")[0] in {*order, "chrom", "pos"})
+    lines = "\n".join(f"{path}/{f}\t{a}\t{b}" for f, a, b in ranges)
+    rows = spark.read.format(BamSource.name()).schema(f"{wanted}, end0 long").option("ranges", lines).load()
+    return rows.filter((F.col("chrom") == chrom) & (F.col("pos") < end) & (F.greatest("end0", F.col("pos") + 1) > start)).select(*order)
+
+
+def to_fastq(reads: DataFrame) -> DataFrame:
+    """read_id, seq and qual of each read once, as it was sequenced: without secondary and supplementary records, reversed ones turned back.
+
+    Names of paired reads end in /1 or /2. Unknown bases are none; unknown qualities are 1 each.
+    """
+    flag = F.col("flag")
+    rows = reads.filter(flag.bitwiseAND(0x900) == 0)
+    seq = F.when(F.col("seq") == "*", "").otherwise(F.coalesce("seq", F.lit("")))
+    qual = F.when((F.col("qual") == "*") | F.col("qual").isNull(), F.repeat(F.lit('"'), F.length(seq))).otherwise(F.col("qual"))
+    turned = flag.bitwiseAND(16) != 0
+    # The codes of bases and their complements.
+    back = F.reverse(F.translate(seq, "ACGTRYKMBVDHacgtrykmbvdh", "TGCAYRMKVBHDtgcayrmkvbhd"))
+    mate = F.when(flag.bitwiseAND(0xC1) == 0x41, "/1").when(flag.bitwiseAND(0xC1) == 0x81, "/2").otherwise("")
+    return rows.select(F.concat("read_id", mate).alias("read_id"), F.when(turned, back).otherwise(seq).alias("seq"), F.when(turned, F.reverse(qual)).otherwise(qual).alias("qual"))
+
+
+def write_fastq(reads: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Reads (read_id, seq, qual) as four-line records, a file a partition."""
+    reads.select(F.concat(F.lit("@"), "read_id", F.lit("\n"), "seq", F.lit("\n+\n"), "qual").alias("value")).write.option("compression", compression).text(path)

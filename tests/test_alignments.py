@@ -128,6 +128,28 @@ def test_sorted_files_are_in_order(spark, written, tmp_path):
     assert seen == sorted(seen) and len(seen) == len(rows)
 
 
+def test_a_region_reads_the_stretches_that_the_index_names(spark, tmp_path):
+    rng = random.Random(12)
+    rows = [(f"r{i}", 0, rng.choice(["chr1", "chr2", None]), rng.randrange(200_000), 60, rng.choice(["50M", "20M3000N20M", "10M5I10M"]), None, -1, 0, "*", "*", {}) for i in range(6000)]
+    path = str(tmp_path / "x")
+    bam.write_bam(spark.createDataFrame(rows, bam.SCHEMA).repartition(4), path, coordinate_sorted=True, block_bytes=2000)
+    bam.index_bam(spark, path, window=1 << 12, split_bytes=20_000)
+    index = spark.read.parquet(f"{path}/{bam.INDEX}").collect()
+    assert sum(r.n for r in index) == sum(r[2] is not None for r in rows)
+    for chrom, lo, hi in (("chr1", 50_000, 51_000), ("chr2", 0, 200_000), ("chr2", 199_999, 300_000), ("chr9", 0, 10)):
+        got = bam.read_bam_region(spark, path, chrom, lo, hi, ["read_id", "cigar"])
+        assert sorted(r.read_id for r in got.collect()) == sorted(r[0] for r in rows if r[2] == chrom and r[3] < hi and r[3] + sum(e - s for s, e in [(walk(0, r[5])[0][0][0], walk(0, r[5])[0][-1][1])]) > lo)
+    named = [r for r in index if r.chrom == "chr1" and r.first < 51_000 and r.reach > 50_000]
+    schema = bam.to_arrow_schema(spark.createDataFrame([], bam.SCHEMA).select("read_id").schema)
+    assert 0 < sum(b.num_rows for r in named for b in bam.records(bam.Range(f"{path}/{r.file}", r.begin, r.stop), schema)) < 400  # of 6,000
+
+
+def test_reads_as_they_were_sequenced(spark):
+    rows = [("a", 0, "ACGTN", "IIIH#"), ("b", 16, "AACRG", "ABCDE"), ("c", 256, "A", "I"), ("d", 2048, "A", "I"), ("e", 4, "*", "*"), ("f", 16 | 1 | 64, "AC", "*"), ("g", 1 | 128, "AC", None)]
+    got = {r.read_id: (r.seq, r.qual) for r in bam.to_fastq(spark.createDataFrame(rows, "read_id string, flag int, seq string, qual string")).collect()}
+    assert got == {"a": ("ACGTN", "IIIH#"), "b": ("CYGTT", "EDCBA"), "e": ("", ""), "f/1": ("GT", '""'), "g/2": ("AC", '""')}
+
+
 def test_reads_of_a_binary_file_feed_the_operators(spark, tmp_path):
     rows = [(f"r{i}", 0, "chrM" if i % 2 else "chr1", i, 60, "10M100N10M" if i % 3 else "5M5I10M", None, -1, 0, "*", "*", {}) for i in range(200)]
     bam.write_bam(spark.createDataFrame(rows, bam.SCHEMA), str(tmp_path / "x"))
