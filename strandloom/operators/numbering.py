@@ -41,28 +41,29 @@ def _same(keys: list[str], prefix: str) -> Column:
 def _windowed(rows: DataFrame, keys: list[str], order: list[Column], sums: dict[str, Column]) -> DataFrame:
     by = Window.partitionBy(*keys)
     ahead = by.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out = {"rank": F.row_number().over(by.orderBy(*order)), "n": F.count("*").over(by)}
+    out = {"rank": F.row_number().over(by.orderBy(*order)).cast("bigint"), "n": F.count("*").over(by)}
     for name, value in sums.items():
         out |= {f"before_{name}": F.coalesce(F.sum(value).over(ahead), value * 0), f"total_{name}": F.sum(value).over(by)}
     return rows.withColumns(out)
 
 
-def _ranged(rows: DataFrame, keys: list[str], order: list[Column], sums: dict[str, Column]) -> DataFrame:
-    """The same by ranges of (keys, order): each range is summed alone, after what the ranges before it add up to."""
-    values = {f"__v_{name}": value for name, value in sums.items()}
-    pieces = cut(rows.withColumns(values).repartitionByRange(*keys, *order).withColumn("__piece", F.spark_partition_id()), "ranges")
-    totals = pieces.groupBy(*keys, "__piece").agg(F.count("*").alias("__n"), *(F.sum(v).alias(f"__s{v}") for v in values))  # a row a range and key
+def ranged(rows: DataFrame, keys: list[str], order: list[Column], sums: dict[str, Column] | None = None) -> DataFrame:
+    """What ``running`` adds, by ranges of (keys, order): each range is summed alone, after what the ranges before it add up to."""
+    sums = sums or {}
+    values = {f"__rgv_{name}": value for name, value in sums.items()}
+    pieces = cut(rows.withColumns(values).repartitionByRange(*keys, *order).withColumn("__rg_piece", F.spark_partition_id()), "ranges")
+    totals = pieces.groupBy(*keys, "__rg_piece").agg(F.count("*").alias("__rg_n"), *(F.sum(v).alias(f"__s{v}") for v in values))  # a row a range and key
     by = Window.partitionBy(*keys)
-    upto = by.orderBy("__piece")
-    found = [(F.sum("__n").over(upto) - F.col("__n")).alias("__first"), F.sum("__n").over(by).alias("__all")]
+    upto = by.orderBy("__rg_piece")
+    found = [(F.sum("__rg_n").over(upto) - F.col("__rg_n")).alias("__rg_before"), F.sum("__rg_n").over(by).alias("__rg_rows")]
     for v in values:
         found += [(F.sum(f"__s{v}").over(upto) - F.col(f"__s{v}")).alias(f"__b{v}"), F.sum(f"__s{v}").over(by).alias(f"__t{v}")]
-    totals = totals.select(*(F.col(k).alias(f"__k_{k}") for k in keys), F.col("__piece").alias("__p"), *found)
-    inside = Window.partitionBy(*keys, "__piece").orderBy(*order)
-    joined = pieces.join(totals, _same(keys, "__k_") & (F.col("__piece") == F.col("__p")))
-    out = {"rank": (F.row_number().over(inside) + F.col("__first")).cast("int"), "n": F.col("__all")}
+    totals = totals.select(*(F.col(k).alias(f"__rgk_{k}") for k in keys), F.col("__rg_piece").alias("__rg_p"), *found)
+    inside = Window.partitionBy(*keys, "__rg_piece").orderBy(*order)
+    joined = pieces.join(totals, _same(keys, "__rgk_") & (F.col("__rg_piece") == F.col("__rg_p")))
+    out = {"rank": F.row_number().over(inside) + F.col("__rg_before"), "n": F.col("__rg_rows")}
     for name in sums:
-        v = f"__v_{name}"
+        v = f"__rgv_{name}"
         out |= {f"before_{name}": F.coalesce(F.sum(v).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.col(v) * 0) + F.col(f"__b{v}"), f"total_{name}": F.col(f"__t{v}")}
     return joined.select(*rows.columns, *(c.alias(name) for name, c in out.items()))
 
@@ -79,4 +80,4 @@ def running(rows: DataFrame, keys: list[str], order: list[Column], sums: dict[st
     if large.isEmpty():
         return _windowed(rows, keys, order, sums)
     on = _same(keys, "__l_")
-    return _windowed(rows.join(large, on, "left_anti"), keys, order, sums).unionByName(_ranged(rows.join(large, on, "left_semi"), keys, order, sums))
+    return _windowed(rows.join(large, on, "left_anti"), keys, order, sums).unionByName(ranged(rows.join(large, on, "left_semi"), keys, order, sums))

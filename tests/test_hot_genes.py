@@ -118,7 +118,7 @@ def test_a_cluster_of_very_many_is_ranked_in_ranges(spark):
         assert r.before_s == before.get(r.cluster_id, 0.0)
         before[r.cluster_id] = r.before_s + r.score
     assert all(before[r.cluster_id] == r.total_s for r in got)
-    pieces = numbering._ranged(rows.filter("cluster_id = -1"), ["cluster_id"], [F.desc("score"), F.asc("tx")], {})
+    pieces = numbering.ranged(rows.filter("cluster_id = -1"), ["cluster_id"], [F.desc("score"), F.asc("tx")], {})
     assert pieces.count() == n * 9 // 10
     for most in (5000, 10**6):
         assert {r.tx: r.kept for r in prune.keep_percentile(rows, 80.0, most=most).collect()} == {t: k for t, (_, k) in want.items()}
