@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandloom.operators.numbering import ranged
+
 from .common import cut, whole
 
 BLOCK_ROWS = 64
@@ -35,6 +37,8 @@ BLOCK_ROWS = 64
 MAX_BLOCKS = 250_000
 #: Rows that one window numbers, about; and rows of the tables of first numbers and of blocks that are broadcast at most.
 BUCKET_ROWS, BROADCAST_ROWS = 100_000, 100_000
+#: A range of the hash with this many times the usual rows is dealt out further.
+HOT = 8
 
 
 #: Of one source, each block's slot, first slot and deadline.
@@ -202,8 +206,17 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
     table = [("null" if s is None else f"s{s}", i, *t) for s, own_ in plan.items() for i, t in enumerate(own_)]
     table = spark.createDataFrame(table, "s string, i long, slot long, release long, deadline long")
     table = F.broadcast(table) if sum(blocks.values()) <= BROADCAST_ROWS else table
-    number = F.row_number().over(Window.partitionBy("__s", "__b").orderBy("__h", "__id")) - 1 + F.col("__first")
-    rows = rows.withColumn("__n", number).withColumn("block", F.floor(F.col("__n") / block_rows)).withColumn("place", (F.col("__n") % block_rows).cast("int"))
+    rank = F.row_number().over(Window.partitionBy("__s", "__b").orderBy("__h", "__id"))
+    # Rows that are equal in all that the hash knows fill one range of it, however many: such ranges are dealt out further.
+    hot = cut(counts.filter(F.col("count") > HOT * bucket_rows).select(F.col("__s").alias("__s3"), F.col("__b").alias("__b3")), "hot-ranges")
+    if hot.isEmpty():
+        rows = rows.withColumn("__r", rank)
+    else:
+        same = (F.col("__s") == F.col("__s3")) & (F.col("__b") == F.col("__b3"))
+        crowd = rows.join(F.broadcast(hot), same, "left_semi").withColumn("__at", F.monotonically_increasing_id())  # at most a row for each HOT ranges
+        crowd = ranged(crowd, ["__s", "__b"], [F.asc("__h"), F.asc("__id"), F.asc("__at")]).withColumnRenamed("rank", "__r").drop("n", "__at")
+        rows = rows.join(F.broadcast(hot), same, "left_anti").withColumn("__r", rank).unionByName(crowd)
+    rows = rows.withColumn("__n", F.col("__r") - 1 + F.col("__first")).withColumn("block", F.floor(F.col("__n") / block_rows)).withColumn("place", (F.col("__n") % block_rows).cast("int"))
     # Joined last: the table doesn't travel with the rows.
     rows = rows.join(table, (F.col("__s") == F.col("s")) & (F.col("block") == F.col("i")))
     return rows.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in own), *own)

@@ -330,23 +330,28 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text_col: str = "text")
     anchor = likely(pairs, classes, least).groupBy("b").agg(F.min(F.struct(F.col("est") < percent / 100, "a")).alias("x")).select(F.col("x.a").alias("a"), "b")
     edges = cut(verified_anchors(cut(anchor, "anchors"), classes, texts, percent), "links")
 
-    def meeting(edges: DataFrame) -> DataFrame:
-        """Members, with the labels of linked classes, of the buckets in which several labels meet."""
+    def meeting(edges: DataFrame) -> DataFrame | None:
+        """Members, with the labels of linked classes, of the buckets in which several labels meet; None if there is no such bucket."""
         labels = cut(components(edges), "labels")
         named = members.join(labels, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("label"))
         mixed = named.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("m")).filter("l0 <> l1")
         mixed = cut(mixed.select("key", F.ceil(F.col("m") / BUCKET_TILE).cast("int").alias("tiles")), "mixed-buckets")
-        return named.join(mixed, "key")
-
-    # Crossings: the likeliest pair of each two labels.
-    likeliest = cut(crossings(meeting(edges), classes, least, percent, every=False).select("a", "b").distinct(), "crossings")
-    edges = edges.unionByName(cut(verified_pairs(likeliest, texts, percent), "links"))
-
-    # The rest: classes that still have likely partners under another label, in groups of labels that may be joined.
-    still = cut(crossings(meeting(edges), classes, least, percent, every=True), "still-open")
-    groups = components(still.filter("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")))
-    involved = still.filter("a = b").select(F.col("a").alias("doc_id"), "la").distinct().join(groups, F.col("la") == F.col("node")).select("doc_id", "component")
-    edges = edges.unionByName(cut(tiled(cut(involved, "involved"), classes, texts, percent), "links"))
+        return None if mixed.isEmpty() else named.join(mixed, "key")
+
+    # Crossings: the likeliest pair of each two labels. Where none is likely, there is nothing to verify, here and below.
+    met = meeting(edges)
+    likeliest = None if met is None else cut(crossings(met, classes, least, percent, every=False).select("a", "b").distinct(), "crossings")
+    if likeliest is not None and not likeliest.isEmpty():
+        more = cut(verified_pairs(likeliest, texts, percent), "links")
+        if not more.isEmpty():
+            edges = edges.unionByName(more)
+            met = meeting(edges)
+        # The rest: classes that still have likely partners under another label, in groups of labels that may be joined.
+        still = None if met is None else cut(crossings(met, classes, least, percent, every=True), "still-open")
+        if still is not None and not still.isEmpty():
+            groups = components(still.filter("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")))
+            involved = still.filter("a = b").select(F.col("a").alias("doc_id"), "la").distinct().join(groups, F.col("la") == F.col("node")).select("doc_id", "component")
+            edges = edges.unionByName(cut(tiled(cut(involved, "involved"), classes, texts, percent), "links"))
 
     # Ids with several texts join their classes.
     twice = full.groupBy("doc_id").agg(F.min("digest").alias("d0"), F.max("digest").alias("d1")).filter("d0 <> d1").select("doc_id")

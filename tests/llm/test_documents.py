@@ -644,3 +644,18 @@ def test_tokens_of_awkward_rows(awkward, empty):
     assert {r.doc_id for r in rows if len(r.ids) == 0} == {3, 4, 5}
     assert all(isinstance(r.ids, (bytes, bytearray)) for r in rows)
     assert bpe.encode_decode(empty, q.VOCABULARY).count() == 0
+
+
+def test_rows_that_are_all_equal_are_numbered_by_many_tasks(spark):
+    """One source's rows without an id: one hash. Each gets a place of its own, in ranges of a bounded size."""
+    from strandloom.llm import mixing
+
+    n = 9000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 == 0, "b").otherwise("a").alias("source"))
+    out = mixing.schedule(df, bucket_rows=100)
+    rows = out.select("source", "block", "slot", "place").collect()
+    for source, size in (("a", 6000), ("b", 3000)):
+        assert sorted((r.block, r.place) for r in rows if r.source == source) == [(k // 64, k % 64) for k in range(size)]
+    assert len({(r.slot, r.place) for r in rows}) == n
+    again = {tuple(r) for r in mixing.schedule(df.repartition(5), bucket_rows=100).collect()}
+    assert again == {tuple(r) for r in out.collect()}
