@@ -75,6 +75,20 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def long_patterns() -> tuple[str, ...]:
+    """Some hundred pattern rules of every kind: with tokens of very different frequency, with ``*``, and without any token."""
+    languages = ("en", "de", "fr", "es")
+    pages = [f"/{lang}/{n}^" for lang in languages for n in range(100, 1000, 7)]
+    wild = [f"^blog.*.example.{end}^{lang}^{d}*0" for end in ("org", "net") for lang in languages for d in range(1, 10)]
+    return (*pages, *wild, "utm_source=*f*d", "^www.th*e.", "ththt*on", "*shly*", "erin.e")
+
+
+def url_rules_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's first fitting rule of a long list, joined as tables."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.filter_urls(pages, long_patterns(), URL_RULES, literal_rules=0).select("page_id", "pattern", "rule", "verdict")
+
+
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest of every vector whose id is divisible by 100."""
     return ann.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
@@ -238,6 +252,12 @@ ends AS (SELECT d, k, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM
 SELECT n.conv AS conv_id, CAST(n.d AS BIGINT) AS depth, up.parent AS parent_conv_id, n.n AS n_convs, coalesce(kids.n, 0) AS n_children, s.n_leaves, s.saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
 FROM node n JOIN up ON up.d = n.d AND up.k = n.k JOIN sums s ON s.d = n.d AND s.k = n.k LEFT JOIN kids ON kids.d = n.d AND kids.k = n.k LEFT JOIN ends e ON e.d = n.d AND e.k = n.k
 """
+_LONG = ", ".join(f"({i}, '{p}', '{urls.rule_regex(p)}')" for i, p in enumerate(long_patterns()))
+URL_RULES_LONG_SQL = OP5_SQL.replace("CASE " + _OP5_PATTERN + " END AS pattern\n  FROM pages)", "pattern FROM pages LEFT JOIN best USING (page_id))").replace("WITH p AS", f"""WITH rules(i, p, re) AS (VALUES {_LONG}),
+hit AS (SELECT page_id, min(i) AS i FROM pages JOIN rules ON regexp_matches(lower(coalesce(url, '')), re) GROUP BY page_id),
+best AS (SELECT page_id, p AS pattern FROM hit JOIN rules ON rules.i = hit.i),
+p AS""", 1)
+URL_RULES_LONG_SQL = f"SELECT page_id, pattern, rule, verdict FROM ({URL_RULES_LONG_SQL})"
 _WORDS = f"regexp_extract_all(translate(text, '{terms.UPPER}', '{terms.LOWER}'), '{terms.WORD}')"
 OP12_SQL = rf"""
 WITH dt AS (SELECT doc_id, unnest({_WORDS}) AS t FROM documents),
@@ -272,8 +292,8 @@ FROM dw d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN its ON its.doc_id = d.doc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: q for name, q in globals().items() if name.startswith("op") and name[2].isdigit()} | {"chat_typed_parts": chat_typed_parts}
+    return {name: q for name, q in globals().items() if name.startswith("op") and name[2].isdigit()} | {"chat_typed_parts": chat_typed_parts, "url_rules_long": url_rules_long}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash_dedup": OP1_SQL, "op4_embedding_dedup": OP4_SQL, "op5_url_filter": OP5_SQL, "op6_ann": OP6_SQL, "op8_chat_format": OP8_SQL, "chat_typed_parts": CHAT_PARTS_SQL, "op11_prefix_trie": OP11_SQL, "op12_lexical_search": OP12_SQL, "op13_decontaminate": OP13_SQL}
+    return {"op1_minhash_dedup": OP1_SQL, "op4_embedding_dedup": OP4_SQL, "op5_url_filter": OP5_SQL, "op6_ann": OP6_SQL, "op8_chat_format": OP8_SQL, "chat_typed_parts": CHAT_PARTS_SQL, "url_rules_long": URL_RULES_LONG_SQL, "op11_prefix_trie": OP11_SQL, "op12_lexical_search": OP12_SQL, "op13_decontaminate": OP13_SQL}
