@@ -32,8 +32,9 @@ MIN_WORDS = 14
 LINE_WORDS = 1
 #: Of so many neighbouring runs of words at least one is a unit.
 SPREAD = 12
-#: Documents whose units tell which are common, about; the share of them that a common unit is in; at most so many are salted, into so many parts.
-SAMPLE_DOCS, COMMON, COMMON_UNITS, SALTS = 2_000, 0.004, 20_000, 32
+#: Documents whose units tell which are common, at least, about (and one in STEP); so many of them hold a common unit; at
+#: most so many units are salted, into so many parts at least, of about so many rows.
+SAMPLE_DOCS, STEP, COMMON, COMMON_UNITS, SALTS, PART_ROWS = 2_000, 20_000, 8, 200_000, 32, 100_000
 _PIECE = re.compile(r"[^.!?\n]*(?:[.!?]+|\n|\Z)")
 _WORD = re.compile(r"\w+")
 #: Two hashes a run; a hash is a sum of mixed values by powers of an odd factor, so that differences of running sums give
@@ -182,11 +183,16 @@ def unit_rows(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORD
 
 
 def common_units(docs: DataFrame, text_col: str, min_words: int) -> DataFrame:
-    """(d0, d1) of the commonest units of a hashed sample of about SAMPLE_DOCS documents, at most COMMON_UNITS: only for even tasks."""
-    step = max(1, docs.count() // SAMPLE_DOCS)
+    """(d0, d1, parts) of the commonest units of a hashed sample, at most COMMON_UNITS: only for even tasks.
+
+    The sample grows with the table, so that a unit of more than some COMMON * STEP rows is found at any size; parts grow
+    with the unit's rows.
+    """
+    step = max(1, min(docs.count() // SAMPLE_DOCS, STEP))
     sample = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(step)) == 0)
-    counts = unit_rows(sample, text_col, min_words).groupBy("d0", "d1").agg(F.count("*").alias("n")).filter(F.col("n") >= max(3, int(COMMON * SAMPLE_DOCS)))
-    return cut(counts.orderBy(F.desc("n"), "d0", "d1").limit(COMMON_UNITS).select("d0", "d1"), "common-units")
+    counts = unit_rows(sample, text_col, min_words).groupBy("d0", "d1").agg(F.count("*").alias("n")).filter(F.col("n") >= max(3, COMMON * SAMPLE_DOCS // 2_000))
+    parts = F.greatest(F.ceil(F.col("n") * step / PART_ROWS), F.lit(SALTS)).cast("int").alias("parts")
+    return cut(counts.orderBy(F.desc("n"), "d0", "d1").limit(COMMON_UNITS).select("d0", "d1", parts), "common-units")
 
 
 def repeated_units(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -199,14 +205,14 @@ def repeated_units(docs: DataFrame, text_col: str = "text", min_words: int = MIN
     copies have the same offsets, and stay with the row). Other columns are left out, whatever their names; an empty
     table gives no rows.
 
-    Units meet in one shuffle by digest, sorted by place. Units that a sample shows to be common are dealt into SALTS
-    parts each; their parts' first places, a bounded table, give the first of all.
+    Units meet in one shuffle by digest, sorted by place. Units that a sample shows to be common are dealt into parts
+    by their number; their parts' first places, a bounded table, give the first of all.
     """
-    common = F.broadcast(common_units(docs, text_col, min_words).withColumn("common", F.lit(True)))
+    common = F.broadcast(common_units(docs, text_col, min_words))
     # A place (start, size) as one number, in order of start: rows of plain numbers are small.
     place = F.shiftleft(F.col("start").cast("bigint"), 32).bitwiseOR(F.col("size").cast("bigint")).alias("place")
     rows = unit_rows(docs, text_col, min_words).select("d0", "d1", "doc_id", place).join(common, ["d0", "d1"], "left")
-    rows = rows.withColumn("part", F.when(F.col("common"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")).withColumn("common", F.col("common").isNotNull())
+    rows = rows.withColumn("part", F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.col("parts"))).otherwise(F.lit(0)).cast("int")).withColumn("common", F.col("parts").isNotNull()).drop("parts")
     by = Window.partitionBy("d0", "d1", "part").orderBy("doc_id", "place")
     firsts = {"kept_doc_id": F.first("doc_id").over(by), "kept": F.first("place").over(by), "next": F.lead("doc_id").over(by), "n": F.row_number().over(by)}
     met = rows.withColumns(firsts).filter("n > 1 or next is not null or common")
