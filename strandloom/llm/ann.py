@@ -8,7 +8,8 @@ sqrt(1 / f^2 - 1) * EPSILON / sqrt(D - 1) but for a vanishing share of rotations
 share. What the integers lose is part of the bound.
 
 The index is a written table of codes and scalars, one row a different vector. A first scan of it gives each query its
-best estimates, whose originals are fetched; their k-th exact distance is a limit. A second scan gives all vectors whose
+best estimates, whose originals are fetched; their k-th exact distance is a limit. Where there are many blocks of codes,
+a few of them give a first limit before, so that a block sends only what may lie within it. A second scan gives all vectors whose
 least possible distance is within the limit, and only their originals are fetched too. The distances returned are
 computed from original vectors in double precision, component by component in order. Queries go in blocks against blocks
 of codes; equal vectors are one class on both sides. The centre is the mean of all vectors.
@@ -32,8 +33,8 @@ EPSILON = 3.0
 #: Bits of a code at least, and of a component of a query.
 CODE_BITS, PLANES = 512, 8
 BLOCK_ROWS, QUERY_ROWS = 8_192, 4_096
-#: The first scan fetches so many times k vectors a query and block.
-FIRST = 4
+#: The first scan fetches so many times k vectors a query and block, within a limit from so many blocks if there are many more.
+FIRST, PILOT = 4, 4
 SEED = 20
 
 
@@ -181,8 +182,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     # A block of codes goes to every block of queries, a query to every block of codes.
     codes = classes.select("dim", "digest", "code", "norm", "f").withColumn("i", dealt("digest", blocks)).withColumn("j", every(q_blocks))
 
-    def scan(limits: DataFrame, choose) -> DataFrame:
-        """(asked, digest, near) of what ``choose(estimates, least, limit)`` picks for each query in each block of codes."""
+    def scan(limits: DataFrame, choose, blocks: int = blocks) -> DataFrame:
+        """(asked, digest, near) of what ``choose(estimates, least, limit)`` picks for each query in each of the first ``blocks`` blocks of codes."""
         sent = limits.withColumn("j", dealt("asked", q_blocks)).withColumn("i", every(blocks))
 
         def task(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -200,7 +201,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
                     out_n += near[got].tolist()
             return pa.table({"asked": pa.array(out_q, pa.binary()), "digest": pa.array(out_c, pa.binary()), "near": pa.array(out_n, pa.float64())})
 
-        return codes.groupBy("dim", "i", "j").cogroup(sent.groupBy("d", "i", "j")).applyInArrow(task, "asked binary, digest binary, near double")
+        return codes.filter(F.col("i") < blocks).groupBy("dim", "i", "j").cogroup(sent.groupBy("d", "i", "j")).applyInArrow(task, "asked binary, digest binary, near double")
 
     def scored(pairs: DataFrame) -> DataFrame:
         """(asked, digest, score) of pairs, from original vectors."""
@@ -216,12 +217,29 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
         return batches(fetched.select("asked", "digest", "d", "v", "qv"), run, "asked binary, digest binary, score double")
 
     few = FIRST * (k + 1)
-    first = scan(asked.withColumn("most", F.lit(0.0)), lambda near, least, most: np.argpartition(near, few)[:few] if len(near) > few else np.arange(len(near)))
-    first = first.withColumn("r", F.row_number().over(Window.partitionBy("asked").orderBy("near", "digest"))).filter(F.col("r") <= few)
-    tried = cut(scored(first), "ann-first")
-    # Each different vector is a candidate of its own here; k + 1, since the query itself is one.
-    kth = tried.withColumn("r", F.row_number().over(Window.partitionBy("asked").orderBy("score", "digest"))).filter(F.col("r") == k + 1).select(F.col("asked").alias("a"), F.col("score").alias("kth"))
-    limits = asked.join(kth, F.col("asked") == F.col("a"), "left").select("asked", "d", "qv", F.coalesce(F.col("kth") * F.col("kth") * (1 + 1e-9), F.lit(float("inf"))).alias("most"))
+
+    def limited(tried: DataFrame) -> DataFrame:
+        """The queries with the square of the k-th distance that ``tried`` has for them, or none."""
+        # Each different vector is a candidate of its own here; k + 1, since the query itself is one.
+        kth = tried.withColumn("r", F.row_number().over(Window.partitionBy("asked").orderBy("score", "digest"))).filter(F.col("r") == k + 1).select(F.col("asked").alias("a"), F.col("score").alias("kth"))
+        return asked.join(kth, F.col("asked") == F.col("a"), "left").select("asked", "d", "qv", F.coalesce(F.col("kth") * F.col("kth") * (1 + 1e-9), F.lit(float("inf"))).alias("most"))
+
+    def first_best(limits: DataFrame, blocks: int, name: str) -> DataFrame:
+        """Exact scores of the best estimates of each query over the blocks, of those that may lie within its limit."""
+
+        def choose(near: np.ndarray, least: np.ndarray, most: float) -> np.ndarray:
+            within = np.flatnonzero(least <= most)
+            return within[np.argpartition(near[within], few)[:few]] if len(within) > few else within
+
+        found = scan(limits, choose, blocks)
+        found = found.withColumn("r", F.row_number().over(Window.partitionBy("asked").orderBy("near", "digest"))).filter(F.col("r") <= few)
+        return cut(scored(found), name)
+
+    limits = asked.withColumn("most", F.lit(float("inf")))
+    if blocks > 2 * PILOT:
+        limits = cut(limited(first_best(limits, PILOT, "ann-pilot")), "ann-limits")
+    tried = first_best(limits, blocks, "ann-first")
+    limits = limited(tried)
     rest = scan(limits, lambda near, least, most: np.flatnonzero(least <= most)).join(tried.select("asked", "digest"), ["asked", "digest"], "left_anti")
     found = tried.unionByName(scored(rest))
     # Of a class of equal vectors the k + 1 smallest ids are enough.

@@ -67,7 +67,9 @@ def test_vectors_that_take_no_part(spark):
     assert ann.nearest(df.filter("vec_id < 4"), F.col("vec_id") == 0).count() == 3  # fewer candidates than k
 
 
-def test_nearest_equal_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("pilot", [1, 4])
+def test_nearest_equal_brute_force(spark, monkeypatch, pilot):
+    monkeypatch.setattr(ann, "PILOT", pilot)  # of five blocks, one gives a first limit, or none
     monkeypatch.setattr(ann, "BLOCK_ROWS", 50)
     monkeypatch.setattr(ann, "QUERY_ROWS", 7)
     x, df = vectors(spark, 480)
