@@ -51,10 +51,13 @@ _CAND = "struct<kind:string,start:int,end:int," + ",".join(f"{x}:int" for x in _
 
 
 def gazetteer_of(table: DataFrame) -> Entries:
-    """The entries of a table (phrase, kind: secret, number or any, vote: 1 or -1); null phrases are passed over."""
+    """The entries of a table (phrase, kind: secret, number or any, vote: 1 or -1), to be held in the plan; null phrases are passed over.
+
+    Only for up to GAZETTEER_ROWS phrases; a table of any size can be given as it is, and is then joined.
+    """
     rows = table.filter("phrase is not null and vote is not null").select(F.lower("phrase"), F.coalesce("kind", F.lit("any")), F.signum("vote").cast("int")).distinct().limit(GAZETTEER_ROWS + 1).collect()  # a bounded policy table
     if len(rows) > GAZETTEER_ROWS:
-        raise ValueError(f"a gazetteer has at most {GAZETTEER_ROWS} phrases")
+        raise ValueError(f"more than {GAZETTEER_ROWS} phrases: give the table itself")
     return tuple(sorted(map(tuple, rows)))
 
 
@@ -141,11 +144,12 @@ def _any_of(phrases: tuple[str, ...]) -> Column:
     return F.lit("(?<![\\p{L}])(?:" + "|".join("[ _-]?".join(map(re.escape, w.lower().split(" "))) for w in phrases) + ")(?![\\p{L}])")
 
 
-def candidates(text: Column, gazetteer: Entries = GAZETTEER) -> Column:
+def candidates(text: Column, gazetteer: Entries = GAZETTEER, told_chars: int | None = None) -> Column:
     """array<_CAND>: spans that may be personal beyond the base kinds, with a vote of each labeler (1 for, -1 against, 0 none) and four features.
 
     Labelers: the span's own pattern; phrases of the gazetteer before it; signs beside it; its shape; a name or title
-    before it; a street word on either side; digits that pass or fail an identifier's checks.
+    before it; a street word on either side; digits that pass or fail an identifier's checks. told_chars: with the last
+    so many characters before it, lower-cased, as a last field.
     """
 
     reach = max(CONTEXT, *(len(w) + CONTEXT // 2 for w, _, _ in gazetteer), CONTEXT)  # a phrase, and signs after it
@@ -174,18 +178,53 @@ def candidates(text: Column, gazetteer: Entries = GAZETTEER) -> Column:
             "identifier": F.when(~secret & (F.regexp(d, F.lit("^([0-9])\\1+$")) | (ssn & F.regexp(d, F.lit("^(?:000|666|9)|^[0-9]{3}00|0000$")))), -1).when(ssn, 1).when(secret & F.regexp(m, F.lit("^(.{1,4})\\1+$")), -1).otherwise(0),
         }
         features = (F.when(secret, 1).otherwise(0), F.least(width / 8, F.lit(5)).cast("int"), (ratio * 4).cast("int"), F.when(F.regexp(before, F.lit("[=:\"']\\s?$")), 1).otherwise(0) + F.when(F.regexp(left, F.lit(r"[a-z]\w*\W{0,4}$")), 2).otherwise(0))
-        return F.struct(F.when(secret, "secret").otherwise("number").alias("kind"), start.cast("int").alias("start"), (start + width).cast("int").alias("end"), *(votes[v].cast("int").alias(f"v{i}") for i, v in enumerate(VOTES)), *(f.cast("int").alias(f"f{i}") for i, f in enumerate(features)))
+        return F.struct(F.when(secret, "secret").otherwise("number").alias("kind"), start.cast("int").alias("start"), (start + width).cast("int").alias("end"), *(votes[v].cast("int").alias(f"v{i}") for i, v in enumerate(VOTES)), *(f.cast("int").alias(f"f{i}") for i, f in enumerate(features)), *([] if told_chars is None else [F.lower(F.right(before, F.lit(told_chars))).alias("told")]))
 
-    return spans_of(text, F.regexp(text, F.lit(OTHER)), OTHER, make, _CAND)
+    return spans_of(text, F.regexp(text, F.lit(OTHER)), OTHER, make, _CAND if told_chars is None else _CAND[:-1] + ",told:string>")
 
 
-def with_spans(df: DataFrame, text_col: str = "text", gazetteer: Entries = GAZETTEER) -> DataFrame:
-    """Adds ``__base`` (array of base spans, by kind and start) and ``__cand`` (further candidates that overlap none of them)."""
+def with_spans(df: DataFrame, text_col: str = "text", gazetteer: Entries | DataFrame = GAZETTEER) -> DataFrame:
+    """Adds ``__base`` (array of base spans, by kind and start) and ``__cand`` (further candidates that overlap none of them).
+
+    gazetteer: entries that are held in the plan, or a table (phrase, kind, vote) of any size, which is joined. Null and
+    empty texts have neither; texts of any length are searched whole, equal rows alike; all columns stay.
+    """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    df = df.withColumns({f"__{k}": v for k, v in base_spans(text).items()} | {"__cand": candidates(text, gazetteer)})
+    long = isinstance(gazetteer, DataFrame)
+    told = None
+    if long:
+        told = max(CONTEXT, (gazetteer.agg(F.max(F.length("phrase")).alias("n")).first()["n"] or 0) + CONTEXT // 2)
+    df = df.withColumns({f"__{k}": v for k, v in base_spans(text).items()} | {"__cand": candidates(text, () if long else gazetteer, told)})
     df = df.withColumn("__base", F.concat(*(F.col(f"__{k}") for k in KINDS)))
     clear = F.filter(F.col("__cand"), lambda c: ~F.exists(F.col("__base"), lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"])))
-    return df.withColumn("__cand", F.when(F.size("__cand") > 0, clear).otherwise(F.col("__cand"))).drop(*(f"__{k}" for k in KINDS))
+    df = df.withColumn("__cand", F.when(F.size("__cand") > 0, clear).otherwise(F.col("__cand"))).drop(*(f"__{k}" for k in KINDS))
+    return _with_votes(df, gazetteer) if long else df
+
+
+def _with_votes(df: DataFrame, gazetteer: DataFrame) -> DataFrame:
+    """``with_spans`` of candidates that hold the text before them: votes of a gazetteer of any size.
+
+    A phrase is filed under the first run of letters or of digits that a text can have where it stands (its words may
+    stand apart or together, so it may have several); the runs before a candidate fetch phrases, and only those are
+    tried. Phrases without a letter or digit are passed over; one that begins with digits is met where they are a whole
+    number.
+    """
+    rows = cut(df.withColumn("__at", F.monotonically_increasing_id()), "pii-candidates")
+    run = r"(\p{L}+|\p{N}+)"
+    words = F.split(F.lower("phrase"), " ")
+    starts = F.transform(F.sequence(F.lit(1), F.size(words)), lambda j: F.regexp_extract(F.array_join(F.slice(words, 1, j), ""), run, 1))
+    pattern = F.concat(F.lit(r"(?<![\p{L}])(?:"), F.array_join(F.transform(words, lambda w: F.concat(F.lit(r"\Q"), w, F.lit(r"\E"))), "[ _-]?"), F.lit(r")(?![\p{L}])"))
+    phrases = gazetteer.filter(r"phrase is not null and vote is not null and not contains(phrase, '\\\\E')")
+    phrases = phrases.select(F.explode(F.array_distinct(starts)).alias("start_run"), pattern.alias("pattern"), F.coalesce("kind", F.lit("any")).alias("said_kind"), F.signum("vote").cast("int").alias("vote")).filter("start_run <> ''").distinct()
+    each = rows.select("__at", F.posexplode("__cand").alias("k", "c")).select("__at", "k", "c.kind", "c.told", F.explode(F.array_distinct(F.regexp_extract_all("c.told", F.lit(run), F.lit(1)))).alias("run"))
+    fits = (F.col("run") == F.col("start_run")) & ((F.col("said_kind") == F.col("kind")) | (F.col("said_kind") == "any")) & F.regexp("told", F.col("pattern"))
+    votes = each.join(phrases, fits).groupBy("__at", "k").agg(F.when(F.max("vote") > 0, 1).when(F.min("vote") < 0, -1).otherwise(0).alias("vote"))
+    votes = votes.groupBy(F.col("__at").alias("__of")).agg(F.map_from_entries(F.collect_list(F.struct("k", "vote"))).alias("__votes"))
+    voted = VOTES.index("gazetteer")
+    fields = [x.split(":")[0] for x in _CAND[len("struct<") : -1].split(",")]
+    said = lambda c, k: F.struct(*((F.coalesce(F.try_element_at("__votes", k), c[x]) if x == f"v{voted}" else c[x]).alias(x) for x in fields))
+    out = rows.join(votes, F.col("__at") == F.col("__of"), "left").withColumn("__cand", F.transform("__cand", said))
+    return out.drop("__at", "__of", "__votes")
 
 
 @dataclass(frozen=True)
@@ -292,7 +331,7 @@ def all_spans(model: SpanModel) -> Column:
     return F.concat(F.col("__base"), *(F.transform(F.filter(kept, is_kind(k)), lambda c: F.struct(*(c[x].alias(x) for x in ("kind", "start", "end")))) for k in EXTRA_KINDS))
 
 
-def find_spans(df: DataFrame, keys: list[str], text_col: str = "text", model: SpanModel | None = None, gazetteer: Entries = GAZETTEER) -> DataFrame:
+def find_spans(df: DataFrame, keys: list[str], text_col: str = "text", model: SpanModel | None = None, gazetteer: Entries | DataFrame = GAZETTEER) -> DataFrame:
     """keys, base and spans (arrays of kind, start, end; code points, end exclusive) of every row; the texts are read once.
 
     Null or empty text: no spans. Texts of any length are searched whole, in time that grows with their length. Equal
@@ -305,7 +344,7 @@ def find_spans(df: DataFrame, keys: list[str], text_col: str = "text", model: Sp
     return found.select(*(F.col("row")[k].alias(k) for k in keys), F.col("__base").alias("base"), all_spans(model).alias("spans"))
 
 
-def redact(df: DataFrame, model: SpanModel | None = None, text_col: str = "text", gazetteer: Entries = GAZETTEER) -> DataFrame:
+def redact(df: DataFrame, model: SpanModel | None = None, text_col: str = "text", gazetteer: Entries | DataFrame = GAZETTEER) -> DataFrame:
     """``df`` with every span of its text replaced by its kind in brackets, ``[EMAIL]``; overlapping spans fall to the first.
 
     Without ``model`` one is trained on the candidates of these rows, whose spans are written beside them and found once.

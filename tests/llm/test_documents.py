@@ -470,6 +470,23 @@ def test_labelers_disagree_and_the_gazetteer_is_a_table(spark):
     assert got[0][0][at["gazetteer"]] == 1 and got[1][0][at["gazetteer"]] == 0
 
 
+def test_a_gazetteer_of_any_size_is_joined(spark):
+    texts = ["my ssn 123-45-6789 ok", "page 123-45-6789 ok", "the api key: q7w8e9r0t1y2u3i4o5", "apikey=q7w8e9r0t1y2u3i4o5", "API_KEY q7w8e9r0t1y2u3i4o5, page q1w8e9r0t1y2u3i4o5", "rapikey q7w8e9r0t1y2u3i4o5", "international bank account number 1234 5678 9012", None, "", "mail a@b.co phone 555 123 4567"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    entries = (*pii.GAZETTEER, ("international bank account number", "number", 1))
+    votes = lambda found: {r.doc_id: [(c["kind"], c["start"], *(c[f"v{i}"] for i in range(len(pii.VOTES)))) for c in r["__cand"]] for r in found.collect()}
+    want = votes(pii.with_spans(df, gazetteer=entries))
+    many = spark.range(20_000).select(F.concat(F.lit("name "), F.col("id").cast("string")).alias("phrase"), F.lit("any").alias("kind"), F.lit(1).alias("vote"))
+    table = spark.createDataFrame([*entries, (None, "any", 1), ("x", "any", None), ("--", "any", 1)], "phrase string, kind string, vote int").unionByName(many)
+    found = pii.with_spans(df, gazetteer=table)
+    assert found.columns == pii.with_spans(df).columns
+    assert votes(found) == want and any(v[3] == 1 for c in want.values() for v in c) and any(v[3] == -1 for c in want.values() for v in c)
+    named = spark.createDataFrame([(0, "name 19999 has 555 123 4567"), (1, "nome 19999 has 555 123 4567")], "doc_id long, text string")
+    got = votes(pii.with_spans(named, gazetteer=table))
+    assert got[0][0][3] == 1 and got[1][0][3] == 0
+    assert pii.find_spans(df, ["doc_id"], gazetteer=table).count() == len(texts) and pii.redact(df, gazetteer=table).columns == df.columns
+
+
 def test_texts_with_very_many_matches(spark):
     text = "a@b.c 1.2.3.4 " * 3000
     r = pii.find_spans(spark.createDataFrame([(1, text)], "doc_id long, text string"), ["doc_id"]).first()
