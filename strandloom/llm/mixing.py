@@ -223,7 +223,11 @@ def schedule(docs: DataFrame, weights: Mapping[str | None, float] | None = None,
 
 
 def mixed(docs: DataFrame, weights: Mapping[str | None, float] | None = None, **options) -> DataFrame:
-    """The rows of ``docs`` with their own columns, in the order of the mix: range-partitioned by slot and sorted within."""
+    """The rows of ``docs`` with their own columns, in the order of the mix: range-partitioned by slot and sorted within.
+
+    Null sources are one source, null ids are ids; equal rows stay repeated and lie together; texts play no part in the
+    order but by their hash, however long; columns of any name stay; an empty table gives no rows.
+    """
     boxed = docs.select(whole(docs), F.col("source"), F.col("doc_id"), fingerprint(docs).alias("order"))
     out = schedule(boxed, weights, order=F.col("order"), **options)
     return out.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select(*(F.col("row")[c].alias(c) for c in docs.columns))
