@@ -2,8 +2,9 @@
 
 One pass over the documents' bytes counts their words and those of the items' terms. A posting's *impact* is its share of
 the score without the term's weight, so it can be known before any query. Counts of impacts by term and level cut each
-term's postings into tiers: the highest levels that hold at least a sixteenth of them (and 256), then those down to a
-quarter, then the rest. The index is a table of documents with the terms and impacts of each tier in columns of their own,
+term's postings into tiers: the highest levels, as many postings as a 32nd of the documents (and 256), then as many as a
+quarter of them, then the rest. So rare terms are whole in the first tier, and only of frequent ones, which weigh little,
+is anything left below. The index is a table of documents with the terms and impacts of each tier in columns of their own,
 so that a tier is read without those below.
 
 Tier by tier, the documents' partial scores give lower bounds; the largest impact that a term has below the tier, its
@@ -35,13 +36,13 @@ from .common import batches, cut
 
 #: (item, term) pairs in a block: some tens of megabytes on the driver and in a worker.
 BLOCK_PAIRS = 200_000
-#: The share of a term's postings that the tiers reach, and the least number of them.
-SHARES, LEAST = (16, 4), 256
+#: Parts of the number of documents that a term's postings fill the tiers with, and the least number of them.
+SHARES, LEAST = (32, 4), 256
 TIERS = len(SHARES) + 1
 #: Levels into which impacts (below 1,000,000) are counted.
 LEVELS = 64
 #: Documents of a task that one item may keep as candidates before the last tier; with more it goes on to the next.
-CANDIDATES = 64
+CANDIDATES = 256
 #: Cells (document, item) and contributions that are summed at once.
 CELLS = 2_000_000
 
@@ -122,7 +123,7 @@ def _bounds(forward: DataFrame, n_docs: int, n_words: int) -> DataFrame:
     levels = levels.withColumns({"df": F.sum("n").over(by), "before": F.sum("n").over(by.orderBy(F.desc("level"))) - F.col("n")})
     out = [F.first("df").alias("df")]
     for t, share in enumerate(SHARES):
-        inside = F.col("before") < F.greatest(F.lit(LEAST), F.col("df") / share)
+        inside = F.col("before") < max(LEAST, n_docs // share)
         out += [F.min(F.when(inside, F.col("least"))).alias(f"floor{t}"), F.coalesce(F.max(F.when(~inside, F.col("most"))), F.lit(0)).alias(f"residual{t}")]
     return levels.groupBy("term").agg(*out)
 
@@ -153,9 +154,9 @@ def _index(forward: DataFrame, block) -> DataFrame:
 class _Best:
     """Candidates of each item: all whose upper bound reaches the k-th best lower bound so far; at the last tier the k best."""
 
-    def __init__(self, n_items: int, k: int, last: bool):
+    def __init__(self, limit: np.ndarray, k: int, last: bool):
         self.k, self.last = k, last
-        self.limit, self.open = np.zeros(n_items), np.zeros(n_items, bool)
+        self.limit, self.open = limit.copy(), np.zeros(len(limit), bool)
         self.rows, self.size = [], 0
 
     def add(self, *columns: np.ndarray) -> None:
@@ -182,8 +183,11 @@ class _Best:
         return out
 
 
-def _scored(index: DataFrame, block, asked: np.ndarray, tier: int, k: int) -> DataFrame:
-    """Candidates (item, key, doc_id, low, up) of the ``asked`` items by the tiers up to ``tier``, and (item) alone of those with too many."""
+def _scored(index: DataFrame, block, asked: np.ndarray, known: np.ndarray, tier: int, k: int) -> DataFrame:
+    """Candidates (item, key, doc_id, low, up) of the ``asked`` items by the tiers up to ``tier``, and (item) alone of those with too many.
+
+    known: a lower bound of each item's k-th score, from the tiers before.
+    """
     last = tier == TIERS - 1
     columns = [c for t in range(tier + 1) for c in (f"terms{t}", f"impacts{t}")]
 
@@ -194,7 +198,7 @@ def _scored(index: DataFrame, block, asked: np.ndarray, tier: int, k: int) -> Da
         mine = narrow[x.item] >= 0
         item, begin = narrow[x.item[mine]], np.searchsorted(x.term[mine], np.arange(len(x.hashes) + 1))
         missing, residual = x.missing(tier)[asked], x.residual[tier]
-        best = _Best(len(asked), k, last)
+        best = _Best(known, k, last)
         docs_at_once = max(1, CELLS // max(1, len(asked)))
         for b in it:
             keys, ids = b.column(0).to_numpy(), b.column(1)
@@ -278,22 +282,24 @@ def _search_block(docs: DataFrame, pairs: list[tuple[int, str]], n_items: int, k
     block = sc.broadcast(found.finish(sums["docs"], sums["words"], rows))
     index = cut(_index(forward, block), "tiers")
     forget(forward)
-    asked, out = np.unique(found.item), []
+    asked, out, known = np.unique(found.item), [], np.zeros(n_items)
     for tier in range(TIERS):
         if not len(asked):
             break
         if told is not None:
             told.append(len(asked))
-        rows = cut(_scored(index, block, asked, tier, k), "candidates")
+        rows = cut(_scored(index, block, asked, known[asked], tier, k), "candidates")
         if tier == TIERS - 1:
             out.append(rows.select("item", "key", "doc_id", F.col("low").alias("score")))
             break
         # Thresholds: one row an item. An item with a task that had too many candidates has no proof.
         open_ = {r["item"] for r in rows.filter("key is null").select("item").distinct().collect()}
         best = _best(rows.filter("key is not null").withColumn("score", F.col("low")), k).groupBy("item").agg(F.min("score").alias("limit"), F.count("*").alias("n"))
-        limit = {r["item"]: r["limit"] for r in best.collect() if r["n"] == k and r["item"] not in open_}
+        limit = {r["item"]: r["limit"] for r in best.collect() if r["n"] == k}
+        for i, x in limit.items():
+            known[i] = max(known[i], x)
         missing = found.missing(tier)
-        proven = [(i, x) for i, x in limit.items() if missing[i] < x]
+        proven = [(i, x) for i, x in limit.items() if i not in open_ and missing[i] < x]
         if proven:
             few = rows.join(F.broadcast(spark.createDataFrame(proven, "i int, least long")), F.col("item") == F.col("i")).filter("up >= least")
             few = cut(few.select("item", F.col("key").alias("k")), "proven")
