@@ -150,6 +150,18 @@ def test_search_proves_a_distinct_item_in_the_first_tier(spark):
     assert [tuple(r) for r in got.orderBy("rank").select("item_id", "rank", "doc_id", "score").collect()] == sorted(brute_search(docs, [("x", "rare1 rare2 rare3 word")]), key=lambda r: r[1])
 
 
+def test_most_items_need_no_last_tier(spark):
+    """Frequent words weigh little: what the lower tiers may add can't lift an unseen document to the k-th best."""
+    rng = random.Random(11)
+    common, rare = [f"c{k}" for k in range(30)], [f"r{k}" for k in range(3000)]
+    docs = [(i, " ".join(rng.choices(common, k=60) + rng.choices(rare, k=12))) for i in range(4000)]
+    items = [(i, " ".join(rng.choices(common, k=12) + rng.choices(rare, k=12))) for i in range(20)]
+    told = []
+    got = lexical.search(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), told=told)
+    assert sorted((tuple(r) for r in got.select("item_id", "rank", "doc_id", "score").collect()), key=str) == brute_search(docs, items)
+    assert told[0] == 20 and (len(told) < 3 or told[2] <= 5)
+
+
 def test_search_of_awkward_rows(spark, awkward, empty):
     items = spark.createDataFrame([(1, "one two seven", "x"), (None, "short", "x"), (2, None, None), (3, "", None)], "item_id long, text string, doc_id string")
     rows = [(r.doc_id, r.text) for r in awkward.collect()]
