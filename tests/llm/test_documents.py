@@ -104,7 +104,7 @@ def test_chains_are_settled_by_pairs(spark, monkeypatch):
         rows.append((1000 + i, " ".join(copy)))
     got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in got} == brute_components(rows, 85)
-    assert sent[0] <= 50
+    assert sum(sent) <= 50  # none where nothing is open
 
 
 def test_ids_with_several_texts_are_one_document(spark):
