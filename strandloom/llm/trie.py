@@ -100,7 +100,7 @@ def fingerprinted(paths: DataFrame, piece: int = PIECE, bits: int = 64) -> DataF
             sums = np.cumsum(h)
             carried = total if (c[0], d[0] // piece) == (conv, part) else np.uint64(0)
             start = np.where(first > 0, sums[first - 1], np.uint64(0))
-            start[0] -= carried
+            start[:1] -= carried  # wraps, as arrays do without a warning
             upto = sums - np.repeat(start, np.diff(np.append(first, len(c))))
             conv, part, total = c[-1], d[-1] // piece, upto[-1]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(upto.view(np.int64)), pa.array((upto - h).view(np.int64))], [*b.schema.names, "fp", "before"])
