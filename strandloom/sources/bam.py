@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .files import SPLIT, Bytes, Split, listed, opened, splits
+from .files import SPLIT, Bytes, Split, dealt, listed, opened
 
 SCHEMA = "read_id string, flag int, chrom string, pos long, mapq int, cigar string, mate_chrom string, mate_pos long, tlen long, seq string, qual string, tags map<string,string>"
 
@@ -356,7 +356,7 @@ class _Reader(DataSourceReader):
     def partitions(self) -> list[Split] | list[Range]:
         if self.ranges is not None:
             return self.ranges or [Split("", 0, 0, 0)]
-        return splits(listed(self.paths, (".bam",)), self.size) or [Split("", 0, 0, 0)]
+        return dealt(listed(self.paths, (".bam",)), self.size) or [Split("", 0, 0, 0)]
 
     def read(self, partition: Split | Range) -> Iterator[pa.RecordBatch]:
         if partition.path:

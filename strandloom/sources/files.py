@@ -10,8 +10,8 @@ from dataclasses import dataclass
 from pyarrow import fs as pafs
 from pyspark.sql.datasource import InputPartition
 
-#: Bytes of a file that one task reads.
-SPLIT = 64 << 20
+#: Bytes of a file that one task reads, and from how many splits on smaller ones are widened up to that.
+SPLIT, SPLITS = 64 << 20, 256
 
 
 def opened(path: str) -> tuple[pafs.FileSystem, str]:
@@ -47,6 +47,11 @@ def splits(files: list[tuple[str, int]], size: int = SPLIT) -> list[Split]:
     return [Split(path, at, min(at + size, n), n) for path, n in files for at in range(0, n, size)]
 
 
+def dealt(files: list[tuple[str, int]], size: int = SPLIT) -> list[Split]:
+    """Splits of ``size`` bytes; where the files would have more than SPLITS of them, wider ones (up to SPLIT), so that small splits don't make ever more tasks."""
+    return splits(files, max(size, min(SPLIT, -(-sum(n for _, n in files) // SPLITS))))
+
+
 class Bytes:
     """A file, read at any place."""
 

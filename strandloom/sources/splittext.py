@@ -23,12 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .files import SPLIT, Bytes, Split, listed, opened, splits
+from .files import SPLIT, Bytes, Split, dealt, listed, opened
 
 READS = "read_id string, seq string, qual string"
 LAYOUT = "path string, start long, k int, contig string, bases long, last boolean"
 CHUNKS = "contig string, chunk int, start0 long, seq string"
 WINDOW = 1 << 22
+#: What is read first of a place from which little may be needed.
+FIRST = 1 << 13
 #: Rows, and about as many bytes of text, of a batch.
 ROWS, TEXT = 1 << 14, 8 << 20
 #: A name's line is at most so long.
@@ -47,24 +49,31 @@ class Lines:
     """Lines of a file from a place on, with where each begins."""
 
     def __init__(self, file: Bytes, offset: int):
-        self.file, self.at, self.data, self.next = file, offset, b"", offset
+        self.file, self.base, self.data, self.pos = file, offset, b"", 0
+        self.next, self.window = offset, FIRST
+
+    @property
+    def at(self) -> int:
+        """Where the next line begins."""
+        return self.base + self.pos
 
     def line(self) -> tuple[int, bytes] | None:
         """(begin, line without its end), or None at the file's end."""
-        end = self.data.find(b"\n")
+        end = self.data.find(b"\n", self.pos)
         while end < 0:
-            more = self.file.at(self.next, WINDOW)
+            more = self.file.at(self.next, min(self.window, WINDOW))
+            self.window = min(2 * self.window, WINDOW)
             if not more:
-                if not self.data:
+                if self.pos == len(self.data):
                     return None
-                begin, out = self.at, self.data
-                self.at, self.data = self.at + len(out), b""
-                return begin, out.rstrip(b"\r")
-            had = len(self.data)
-            self.data, self.next = self.data + more, self.next + len(more)
+                end = len(self.data)
+                break
+            had = len(self.data) - self.pos
+            self.base, self.data, self.pos = self.at, self.data[self.pos :] + more, 0
+            self.next += len(more)
             end = self.data.find(b"\n", had)
-        begin, out = self.at, self.data[:end]
-        self.at, self.data = self.at + end + 1, self.data[end + 1 :]
+        begin, out = self.at, self.data[self.pos : end]
+        self.pos = min(end + 1, len(self.data))
         return begin, out.rstrip(b"\r")
 
 
@@ -150,7 +159,7 @@ class _Reads(DataSourceReader):
     def partitions(self) -> list[Split]:
         files = listed(self.paths)
         whole = [Split(p, 0, n, n) for p, n in files if p.endswith(".gz")]
-        return whole + splits([f for f in files if not f[0].endswith(".gz")], self.size) or [Split("", 0, 0, 0)]
+        return whole + dealt([f for f in files if not f[0].endswith(".gz")], self.size) or [Split("", 0, 0, 0)]
 
     def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
         if partition.size:
@@ -197,12 +206,13 @@ def _after_name(file: Bytes, offset: int) -> int:
 
 def _line_end(file: Bytes, offset: int) -> int:
     """Where the line after that of ``offset`` begins."""
+    window = FIRST
     while offset < file.size:
-        data = file.at(offset, NAME)
+        data = file.at(offset, min(window, NAME))
         end = data.find(b"\n")
         if end >= 0:
             return offset + end + 1
-        offset += len(data)
+        offset, window = offset + len(data), 2 * window
     return file.size
 
 
@@ -260,14 +270,14 @@ def _stream(file: Bytes, begin: int, end: int, goes_on: bool) -> Iterator[tuple[
     """(True, bases) of [begin, end), then (False, bases) of the same contig beyond, up to the next name."""
     for at in range(begin, end, WINDOW):
         yield True, file.at(at, min(WINDOW, end - at)).translate(None, BLANK).decode()
-    at, before = end, file.at(end - 1, 1) if end else b"\n"
-    while goes_on and (data := file.at(at, NAME)):
+    at, before, window = end, file.at(end - 1, 1) if end else b"\n", FIRST
+    while goes_on and (data := file.at(at, min(window, NAME))):
         stop = (before + data).find(b"\n>")
         if stop >= 0:
             yield False, data[:stop].translate(None, BLANK).decode()
             return
         yield False, data.translate(None, BLANK).decode()
-        at, before = at + len(data), data[-1:]
+        at, before, window = at + len(data), data[-1:], 2 * window
 
 
 def chunks_of(part: Placed) -> Iterator[tuple[str, int, int, str]]:
@@ -301,8 +311,9 @@ def chunks_of(part: Placed) -> Iterator[tuple[str, int, int, str]]:
                     if contig is not None and limit == 0 and not beyond and not any(more for _, more in stream):
                         yield name, 0, 0, ""
                     break
-                base, text = start, text[start - base :]
-                yield name, n, start, text[:whole]
+                yield name, n, start, text[start - base : start - base + whole]
+                if 2 * (start - base) > len(text):  # seldom: a chunk is far shorter than what was read at once
+                    base, text = start, text[start - base :]
                 n += 1
 
 
@@ -311,7 +322,7 @@ class _Layout(DataSourceReader):
         self.schema, self.paths, self.size = schema, paths, size
 
     def partitions(self) -> list[Split]:
-        return splits(listed(self.paths), self.size) or [Split("", 0, 0, 0)]
+        return dealt(listed(self.paths), self.size) or [Split("", 0, 0, 0)]
 
     def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
         if partition.size:
@@ -394,7 +405,7 @@ def read_fasta_chunks(spark: SparkSession, path: str | list[str], width: int = 1
     if packed := [p for p, _ in files if p.endswith(".gz")]:
         raise ValueError(f"{packed[0]}: compressed files have no splits; read them by read_fasta")
     lines = []
-    for s in splits(files, split_bytes):
+    for s in dealt(files, split_bytes):
         contig, base = carried[s.path, s.start]
         lines.append("\t".join(map(str, (s.path, s.start, s.end, s.size, "" if contig is None else f">{contig}", base, width, overlap))))
     spark.dataSource.register(ChunksSource)

@@ -9,7 +9,7 @@ import pytest
 
 from strandloom.operators import screens
 from strandloom.sources import sequences, splittext
-from strandloom.sources.files import splits
+from strandloom.sources.files import SPLIT, SPLITS, Bytes, dealt, splits
 
 
 def test_reads_of_any_splits(monkeypatch, tmp_path):
@@ -83,3 +83,32 @@ def test_reads_from_plain_and_compressed_files(spark, tmp_path):
     with pytest.raises(Exception, match="no whole record"):
         splittext.read_fastq_splits(spark, str(tmp_path / "c.fastq")).collect()
     assert splittext.read_fastq_splits(spark, str(tmp_path / "d.fastq")).count() == 0
+
+
+def test_small_splits_of_large_files_stay_few():
+    files = [("a", 6 << 30), ("b", 5)]
+    assert len(dealt(files, 1 << 15)) <= SPLITS + len(files)
+    assert [s for s in dealt(files, 1 << 15) if s.path == "b"] == splits([("b", 5)], 1 << 15)
+    assert dealt([("a", 100)], 40) == splits([("a", 100)], 40)
+    assert max(s.end - s.start for s in dealt([("a", 1 << 40)], 1 << 15)) == SPLIT
+
+
+def test_framing_reads_little_more_than_the_split(monkeypatch, tmp_path):
+    read = [0]
+    at = Bytes.at
+
+    def counted(self, offset, n):
+        out = at(self, offset, n)
+        read[0] += len(out)
+        return out
+
+    monkeypatch.setattr(Bytes, "at", counted)
+    reads = tmp_path / "r.fq"
+    reads.write_text("".join(f"@r{k}\n{'ACGT' * 100}\n+\n{'I@?5' * 100}\n" for k in range(8000)))
+    middle = splits([(str(reads), reads.stat().st_size)], 1 << 16)[3]
+    assert len(list(splittext.reads_of(middle))) > 70 and read[0] < 6 * (1 << 16)
+    read[0] = 0
+    contigs = tmp_path / "c.fa"
+    contigs.write_text("".join(f">c{k}\n{'ACGT' * 700}\n" for k in range(2000)))
+    size = contigs.stat().st_size
+    assert len(list(splittext.layout_of(splits([(str(contigs), size)], size)[0]))) == 2001 and read[0] < 6 * size
