@@ -76,8 +76,8 @@ def singletons_dropped(s: SparkSession, d: str) -> DataFrame:
     attrs = F.concat(F.lit('gene_id "g"; transcript_id "'), F.col("tx").cast("string"), F.lit('"; depth "'), F.col("n").cast("string"), F.lit('";'))
     lines = ex_.join(depth, "tx").select(tabbed("chrom", F.lit("x"), F.lit("exon"), F.col("start0") + 1, "end0", F.lit("."), "strand", F.lit("."), attrs))
     odd = s.createDataFrame([('chrUn_1\tx\texon\t1\t9\t.\t+\t.\tgene_id "g"; transcript_id "u"; depth "5";',)], "value string")
-    rows = gtf.read_gtf(s, put(s, lines.unionAll(odd), "depth-gtf"))
-    rows = rows.select(F.try_element_at("attrs", F.lit("transcript_id")).alias("tx"), "chrom", "start0", "end0", gtf.depth_of(F.col("attrs")).alias("depth"))
+    rows = gtf.read_gtf(s, put(s, lines.unionAll(odd), "depth-gtf"), names=("transcript_id", "depth"))
+    rows = rows.select(F.col("at__transcript_id").alias("tx"), "chrom", "start0", "end0", F.col("at__depth").try_cast("bigint").alias("depth"))
     return rd.on_chromosomes(rd.drop_singletons(rows))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,26 +28,45 @@ def _rows(spark: SparkSession, path: str | list[str], ordered: bool = False) ->
     return lines.filter(~F.startswith("value", F.lit("#"))).filter(F.size(c) >= 9).select(*columns)
 
 
+#: What stands between a key and its value; a value begins with no white space.
+_GAP = r"(?:\s*=\s*|\s+(?!=))"
+
+
+def _unquoted(value: Column) -> Column:
+    return F.translate(F.trim(value), '"', "")
+
+
 def _pairs(attributes: Column) -> Column:
     """Array of (key, value): ``key value`` or ``key=value``, quotes dropped; items without a value are passed over."""
     items = F.transform(F.split(attributes, ";"), lambda x: F.trim(x))
-    pair = lambda x: F.struct(F.regexp_extract(x, r"^([^\s=]+)", 1).alias("key"), F.translate(F.trim(F.regexp_extract(x, r"^[^\s=]+(?:\s*=\s*|\s+)(.*)$", 1)), '"', "").alias("value"))
-    return F.transform(F.filter(items, lambda x: F.regexp(x, F.lit(r"^[^\s=]+(?:\s*=\s*|\s+)\S"))), pair)
+    pair = lambda x: F.struct(F.regexp_extract(x, r"^([^\s=]+)", 1).alias("key"), _unquoted(F.regexp_extract(x, rf"^[^\s=]+{_GAP}(.*)$", 1)).alias("value"))
+    return F.transform(F.filter(items, lambda x: F.regexp(x, F.lit(rf"^[^\s=]+{_GAP}\S"))), pair)
 
 
 def attribute_map(attributes: Column) -> Column:
     """Map of the attributes; of a repeated key the last value stays."""
-    pairs = _pairs(attributes)
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["key"]))
-    last = lambda k: F.element_at(F.filter(pairs, lambda p: p["key"] == k), -1)["value"]
-    return F.map_from_arrays(keys, F.transform(keys, last))
+    last = lambda pairs, k: F.element_at(F.filter(pairs, lambda p: p["key"] == k), -1)["value"]
+    made = lambda pairs: F.transform(F.array_distinct(F.transform(pairs, lambda p: p["key"])), lambda k: F.struct(k.alias("key"), last(pairs, k).alias("value")))
+    # The pairs are a lambda's argument: made once, and not again for each key.
+    return F.map_from_entries(F.get(F.transform(F.array(_pairs(attributes)), made), F.lit(0)))
+
+
+def attribute(attributes: Column, name: str) -> Column:
+    """One attribute's last value, as ``attribute_map`` has it, by one match instead of a map of all; null without."""
+    found = F.regexp_extract(attributes, rf"(?s)^(?:.*;)? *{re.escape(name)}{_GAP}([^;\s][^;]*)", 1)
+    return F.when(found != "", _unquoted(found))
+
+
+def attribute_values(attributes: Column, name: str) -> Column:
+    """All values of an attribute, in order."""
+    return F.transform(F.regexp_extract_all(attributes, F.lit(rf"(?:^|;) *{re.escape(name)}{_GAP}([^;\s][^;]*)"), F.lit(1)), _unquoted)
 
 
-def read_gtf(spark: SparkSession, path: str | list[str], ordered: bool = False) -> DataFrame:
-    """Every feature: chrom, source, feature, start0, end0, score, strand, frame, attrs (map), tags (array of all ``tag`` values), and line if ``ordered``."""
+def read_gtf(spark: SparkSession, path: str | list[str], ordered: bool = False, names: tuple[str, ...] = ()) -> DataFrame:
+    """Every feature: chrom, source, feature, start0, end0, score, strand, frame, attrs (map), tags (array of all ``tag`` values), line if ``ordered``, and the attributes ``names`` as columns at__name, which cost less than the map."""
     rows = _rows(spark, path, ordered)
-    tags = F.transform(F.filter(_pairs(F.col("attributes")), lambda p: p["key"] == "tag"), lambda p: p["value"])
-    return rows.select("chrom", "source", "feature", (F.col("start").cast("bigint") - 1).alias("start0"), F.col("end").cast("bigint").alias("end0"), "score", "strand", "frame", attribute_map(F.col("attributes")).alias("attrs"), tags.alias("tags"), *(["line"] if ordered else []))
+    tags = attribute_values(F.col("attributes"), "tag")
+    return rows.select("chrom", "source", "feature", (F.col("start").cast("bigint") - 1).alias("start0"), F.col("end").cast("bigint").alias("end0"), "score", "strand", "frame", attribute_map(F.col("attributes")).alias("attrs"), tags.alias("tags"), *(["line"] if ordered else []), *(attribute(F.col("attributes"), n).alias(f"at__{n}") for n in names))
 
 
 def read_hierarchy(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -55,8 +75,9 @@ def read_hierarchy(spark: SparkSession, path: str | list[str]) -> DataFrame:
     ``_biotype`` stands for ``_type``; names default to ids; an exon without a number gets its place among the exons of
     its transcript, in order of appearance. Rows without a gene or transcript id are skipped.
     """
-    at = lambda *names: F.coalesce(*(F.try_element_at(F.col("attrs"), F.lit(n)) for n in names))
-    rows = read_gtf(spark, path, ordered=True).filter("feature = 'exon'").withColumns({"gene": at("gene_id"), "tx": at("transcript_id")}).filter("gene is not null and tx is not null")
+    at = lambda *names: F.coalesce(*(F.col(f"at__{n}") for n in names))
+    kinds = [f"{of}_{name}" for of in ("gene", "transcript") for name in ("id", "name", "type", "biotype")]
+    rows = read_gtf(spark, path, ordered=True, names=(*kinds, "exon_id", "exon_number")).filter("feature = 'exon'").withColumns({"gene": at("gene_id"), "tx": at("transcript_id")}).filter("gene is not null and tx is not null")
     place = F.row_number().over(Window.partitionBy("gene", "tx").orderBy("line"))
     number = F.coalesce(at("exon_number").try_cast("int"), place).alias("exon")
     return rows.select("gene", "tx", F.coalesce(at("gene_name"), "gene").alias("gene_name"), F.coalesce(at("transcript_name"), "tx").alias("transcript_name"), at("gene_type", "gene_biotype").alias("gene_type"), at("transcript_type", "transcript_biotype").alias("transcript_type"), at("exon_id").alias("exon_id"), number, "chrom", "strand", "start0", "end0", "tags")
@@ -73,18 +94,19 @@ def read_exons(spark: SparkSession, path: str | list[str], on_mixed: str = "drop
     Rows without transcript or gene id are skipped (empty ones too, unless keep_empty_ids). A transcript on several
     chromosomes or strands is dropped (``drop``) or takes those of its first line (``first``).
     """
-    rows = read_gtf(spark, path, ordered=True).filter("feature = 'exon'")
-    at = lambda k: F.try_element_at(F.col("attrs"), F.lit(k))
+    rows = read_gtf(spark, path, ordered=True, names=("transcript_id", "gene_id", "transcript_type", "transcript_biotype")).filter("feature = 'exon'")
+    at = lambda k: F.col(f"at__{k}")
     kind = F.coalesce(at("transcript_type"), at("transcript_biotype"))
     rows = rows.select(at("transcript_id").alias("tx"), at("gene_id").alias("gene"), "chrom", "strand", "start0", "end0", "line", kind.alias("transcript_type"), "tags").filter("tx is not null and gene is not null")
     if not keep_empty_ids:
         rows = rows.filter("tx <> '' and gene <> ''")
-    head = rows.groupBy("tx").agg(F.min(F.struct("line", "chrom", "strand")).alias("h"), F.count_distinct("chrom", "strand").alias("places"))
+    place = F.struct("chrom", "strand")
+    head = rows.groupBy("tx").agg(F.min(F.struct("line", "chrom", "strand")).alias("h"), F.min(place).alias("least"), F.max(place).alias("most"))
     if on_mixed == "drop":
-        head = head.filter("places = 1")
+        head = head.filter("least = most")
     elif on_mixed != "first":
         raise ValueError("on_mixed: drop or first")
-    rows = rows.join(head, "tx")
+    rows = rows.select("tx", "gene", "start0", "end0", "transcript_type", "tags").join(head.select("tx", "h"), "tx")
     return rows.select("tx", "gene", F.col("h.chrom").alias("chrom"), F.col("h.strand").alias("strand"), "start0", "end0", F.col("h.line").alias("ord"), "transcript_type", "tags")
 
 

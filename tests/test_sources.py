@@ -203,3 +203,19 @@ def test_configuration_files(tmp_path):
     over = put(tmp_path / "b.yaml", "filt_tpm_min_count: 3\n")
     cfg = EngineConfig.from_files(base, over)
     assert (cfg.filter_par, cfg.tpm_min, cfg.match_mode, cfg.tss_max_distance) == (False, 3, "exact", 10)
+
+
+def test_one_attribute_is_that_of_the_map(spark):
+    texts = ['gene_id "g"; transcript_id "t"; tag "a"; valueless; tag "b";', "gene_id=g1;tag=x y;gene_id = g2 ;", 'gene_id ""; tag  ;other "gene_id 7"; xgene_id 5', "gene_id", "gene_id = ; gene_id\t9", "", None, 'gene_id "a"; gene_id ; tag==z', ' gene_id  " q " ;tag "é;tag 3']
+    c = F.col("a")
+    rows = spark.createDataFrame([(x,) for x in texts], "a string").select(gtf.attribute_map(c).alias("m"), gtf.attribute(c, "gene_id").alias("one"), gtf.attribute_values(c, "tag").alias("tags"), F.transform(F.filter(gtf._pairs(c), lambda p: p["key"] == "tag"), lambda p: p["value"]).alias("want"))
+    got = rows.collect()
+    assert [(r.m or {}).get("gene_id") for r in got] == [r.one for r in got] == ["g", "g2", "", None, "9", None, None, "a", " q "]
+    assert [r.tags for r in got] == [r.want for r in got]
+
+
+def test_readers_of_exons_build_no_map(spark, tmp_path):
+    (tmp_path / "a.gtf").write_text('c\tx\texon\t1\t9\t.\t+\t.\tgene_id "g"; transcript_id "t"; tag "b";\n')
+    for rows in (gtf.read_exons(spark, str(tmp_path / "a.gtf")), gtf.read_hierarchy(spark, str(tmp_path / "a.gtf"))):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "map_from" not in plan and "Expand" not in plan and [r.tags for r in rows.collect()] == [["b"]]
