@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,6 +134,21 @@ class Stream:
         k = int(np.searchsorted(self.starts, at, side="right")) - 1
         return self.offsets[k], at - self.starts[k]
 
+    def places(self, at: list[int]) -> list[int]:
+        """``place`` (block << 16 | byte) of many."""
+        here = np.array(at, np.int64) + self.gone
+        k = np.maximum(np.searchsorted(self.starts, here, side="right") - 1, 0)
+        found = np.array(self.offsets, np.int64)[k] << 16 | here - np.array(self.starts, np.int64)[k]
+        return np.where(here == self.gone + len(self.data), self.next << 16, found).tolist()
+
+    def index(self, place: tuple[int, int]) -> int | None:
+        """Where ``place`` is in ``data``; None if it isn't read yet."""
+        if place == (self.next, 0):
+            return len(self.data)
+        if place[0] >= self.next:
+            return None
+        return self.starts[self.offsets.index(place[0])] + place[1] - self.gone if place[0] in self.offsets else -1
+
 
 class Header:
     """Text, references and where the records begin."""
@@ -206,9 +222,38 @@ def first_record(blocks: Blocks, offset: int, header: Header) -> tuple[int, int]
     return blocks.file.size, 0
 
 
-def _cigar(raw: bytes) -> str:
-    ops = np.frombuffer(raw, "<u4")
-    return "".join(f"{x >> 4}{CIGAR_OPS[x & 15]}" for x in ops.tolist()) or "*"
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of all stretches, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _texts(flat: np.ndarray, lengths: np.ndarray, none: np.ndarray | None = None) -> pa.Array:
+    """Texts of ``lengths`` bytes each, ``*`` where ``none``."""
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    out = pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(ends.tobytes()), pa.py_buffer(flat.astype(np.uint8, copy=False).tobytes()))
+    return out if none is None or not none.any() else pc.if_else(pa.array(none), pa.scalar("*", pa.large_string()), out)
+
+
+def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sums of stretches of ``lengths`` values each."""
+    upto = np.concatenate([[0], np.cumsum(values)])
+    ends = np.cumsum(lengths)
+    return upto[ends] - upto[ends - lengths]
+
+
+def _cigars(ops: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Texts of operations, ``lengths`` of them each."""
+    n, digits = (ops >> 4).astype(np.int64), np.ones(len(ops), np.int64)
+    for power in range(1, 9):
+        digits += n >= 10**power
+    after = np.cumsum(digits + 1)  # where an operation's text ends
+    out = np.empty(after[-1] if len(after) else 0, np.uint8)
+    out[after - 1] = np.frombuffer((CIGAR_OPS + "?" * 7).encode(), np.uint8)[ops & 15]
+    for k in range(int(digits.max(initial=0))):
+        some = digits > k
+        out[after[some] - 2 - k] = 48 + n[some] // 10**k % 10
+    return _texts(out, _sums(digits + 1, lengths), lengths == 0)
 
 
 def _number(x: float) -> str:
@@ -249,7 +294,10 @@ def _decoded(data: bytes, offs: np.ndarray, header: Header, names: list[str], pl
     qual_at = seq_at + (fixed["l_seq"].astype(np.int64) + 1) // 2
     tags_at, end = qual_at + fixed["l_seq"], offs + 4 + fixed["size"]
     spans = lambda a, b: [data[x:y] for x, y in zip(a.tolist(), b.tolist(), strict=True)]
-    chroms = [*header.names, None]
+    chroms = pa.array([*header.names, None], pa.string())  # the last one is number -1's too
+    raw = np.frombuffer(data, np.uint8)
+    n_ops, n_bases = fixed["n_cigar"].astype(np.int64), fixed["l_seq"].astype(np.int64)
+    words = lambda: raw[_spread(cigar_at, 4 * n_ops)].view("<u4")
     # More operations than the field counts are in a tag, beside one clip over the whole read.
     long = [k for k in np.flatnonzero(fixed["n_cigar"] == 2).tolist() if data[cigar_at[k] : cigar_at[k] + 4] == struct.pack("<I", int(fixed["l_seq"][k]) << 4 | 4)] if "cigar" in names or "tags" in names else []
     made = {k: _tags(data[tags_at[k] : end[k]]) for k in long}
@@ -257,34 +305,46 @@ def _decoded(data: bytes, offs: np.ndarray, header: Header, names: list[str], pl
     out = []
     for name in names:
         if name == "read_id":
-            out.append([x.decode() for x in spans(name_at, cigar_at - 1)])
+            n = cigar_at - 1 - name_at
+            out.append(_texts(raw[_spread(name_at, n)], n))
         elif name in ("flag", "mapq"):
             out.append(fixed[name].astype(np.int32))
         elif name in ("pos", "mate_pos", "tlen"):
             out.append(fixed[name].astype(np.int64))
         elif name in ("chrom", "mate_chrom"):
-            out.append([chroms[r] for r in fixed["ref" if name == "chrom" else "mate_ref"].tolist()])
+            out.append(chroms.take(pa.array(fixed["ref" if name == "chrom" else "mate_ref"] % (len(header.names) + 1))))
         elif name in ("begin", "next"):
             out.append(places[:-1] if name == "begin" else places[1:])
         elif name == "file":
             out.append([file] * len(offs))
         elif name == "end0":
-            ops = [np.frombuffer(x, "<u4") for x in spans(cigar_at, seq_at)]
-            out.append([p + int((x >> 4)[np.isin(x & 15, (0, 2, 3, 7, 8))].sum()) for p, x in zip(fixed["pos"].tolist(), ops, strict=True)])
+            ops = words()
+            out.append(fixed["pos"] + _sums(np.where(np.isin(ops & 15, (0, 2, 3, 7, 8)), (ops >> 4).astype(np.int64), 0), n_ops))
         elif name == "cigar":
-            values = [_cigar(x) for x in spans(cigar_at, seq_at)]
+            values = _cigars(words(), n_ops)
+            if long:
+                values = values.to_pylist()
             for k in long:
                 values[k] = "".join(f"{int(x) >> 4}{CIGAR_OPS[int(x) & 15]}" for x in made[k]["CG"].split(",")[1:])
             out.append(values)
         elif name == "seq":
-            out.append([_PAIRS[np.frombuffer(x, np.uint8)].tobytes()[:n].decode() or "*" for x, n in zip(spans(seq_at, qual_at), fixed["l_seq"].tolist(), strict=True)])
+            pairs = _PAIRS[raw[_spread(seq_at, (n_bases + 1) // 2)]].view(np.uint8)
+            odd = n_bases % 2 == 1
+            out.append(_texts(np.delete(pairs, np.cumsum(n_bases + n_bases % 2)[odd] - 1), n_bases, n_bases == 0))
         elif name == "qual":
-            out.append(["*" if not x or x[0] == 255 else (np.frombuffer(x, np.uint8) + np.uint8(33)).tobytes().decode() for x in spans(qual_at, tags_at)])
+            first = raw[np.minimum(qual_at, len(raw) - 1)]
+            none = (n_bases == 0) | (first == 255)
+            n = np.where(none, 0, n_bases)
+            scores = raw[_spread(qual_at, n)] + np.uint8(33)
+            if (scores > 127).any():
+                raise ValueError(f"qualities above 94 in {file}")
+            out.append(_texts(scores, n, none))
         elif name == "tags":
             values = [_tags(x) for x in spans(tags_at, end)]
             for k in long:
                 values[k].pop("CG")
-            out.append([list(v.items()) for v in values])
+            at = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
+            out.append(pa.MapArray.from_arrays(pa.array(at), pa.array([k for v in values for k in v], pa.string()), pa.array([x for v in values for x in v.values()], pa.string())))
         else:
             raise ValueError(f"no column {name!r} in binary alignments")
     return out
@@ -323,29 +383,24 @@ def _between(blocks: Blocks, header: Header, begin: tuple[int, int], stop: tuple
     while not done:
         while len(s.data) < BATCH and s.next <= stop[0] and s.more():
             pass
-        offs, at, places = [], 0, []
-        while True:
-            here = s.place(at)
-            if wanted:
-                places.append(here[0] << 16 | here[1])
-            if here >= stop or not s.need(at + 4):
+        offs, at, limit = [], 0, s.index(stop)
+        while at < BATCH:
+            if limit is None:
+                limit = s.index(stop)
+            if limit is not None and at >= limit or not s.need(at + 4):
                 done = True
-                if here != stop and (here < stop or len(s.data) > at) and not (stop[0] == size_of_file and s.next >= size_of_file and at == len(s.data)):
-                    raise ValueError(f"records from {begin} don't end at {stop} but at {here}")
+                if at != limit and not (stop[0] == size_of_file and s.next >= size_of_file and at == len(s.data)):
+                    raise ValueError(f"records from {begin} don't end at {stop} but at {s.place(at)}")
                 break
             size = struct.unpack_from("<i", s.data, at)[0]
             if size < 32 or not s.need(at + 4 + size):
-                raise ValueError(f"a broken record at {here}")
+                raise ValueError(f"a broken record at {s.place(at)}")
             offs.append(at)
             at += 4 + size
-            if at >= BATCH:
-                if wanted:
-                    here = s.place(at)
-                    places.append(here[0] << 16 | here[1])
-                break
         if offs:
+            places = s.places([*offs, at]) if wanted else []
             columns = _decoded(bytes(s.data[:at]), np.array(offs, np.int64), header, schema.names, places, file)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
         s.drop(at)
 
 
@@ -401,6 +456,12 @@ def _encoded_tags(tags: dict[str, str] | None) -> bytes:
 _CODE = np.full(256, 15, np.uint8)
 _CODE[[ord(c) for c in BASES]] = range(16)
 _OPS = {c: i for i, c in enumerate(CIGAR_OPS)}
+# The same for bytes of any case; digits are 10, all else 255.
+_CODE_ANY = _CODE.copy()
+_CODE_ANY[[ord(c.lower()) for c in BASES]] = _CODE[[ord(c) for c in BASES]]
+_OP_CODE = np.full(256, 255, np.uint8)
+_OP_CODE[48:58] = 10
+_OP_CODE[[ord(c) for c in CIGAR_OPS]] = range(len(CIGAR_OPS))
 
 
 def encoded(row: dict, place: dict[str, int]) -> bytes:
@@ -433,6 +494,96 @@ def encoded(row: dict, place: dict[str, int]) -> bytes:
     return struct.pack("<i", len(body)) + body
 
 
+def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of texts, and how many each has."""
+    texts = texts.cast(pa.large_string())
+    at = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8) if len(texts) else np.zeros(1, np.int64)
+    data = texts.buffers()[2]
+    return (np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.zeros(0, np.uint8)), np.diff(at)
+
+
+def _bins(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``bin_of`` of many."""
+    out, last = np.zeros(len(start), np.int64), end - 1
+    for shift, first in ((26, 1), (23, 9), (20, 73), (17, 585), (14, 4681)):
+        out = np.where(start >> shift == last >> shift, (first + (start >> shift)) & 0xFFFF, out)
+    return out
+
+
+def encoded_batch(b: pa.RecordBatch, place: dict[str, int]) -> bytes:
+    """``encoded`` of all rows, by columns; row by row where a value is one that the columns' way doesn't know."""
+    rows = lambda: b"".join(encoded(r, place) for r in b.to_pylist())
+    names, n = set(b.schema.names), b.num_rows
+    text = lambda c: pc.fill_null(b.column(c), "") if c in names else pa.array([""] * n, pa.string())
+    number = lambda c, missing: (pc.fill_null(b.column(c), missing).to_numpy(zero_copy_only=False) if c in names else np.full(n, missing)).astype(np.int64)
+
+    cigar, cigar_size = _flat(pc.replace_substring(text("cigar"), "*", ""))
+    seq, n_bases = _flat(pc.replace_substring(text("seq"), "*", ""))
+    code = _OP_CODE[cigar]
+    is_op = code < 10
+    ends = np.cumsum(cigar_size)[cigar_size > 0]
+    ordinal = np.cumsum(is_op) - is_op  # of the operation that a digit belongs to
+    where = np.flatnonzero(is_op)
+    if not is_op[ends - 1].all() or (code == 255).any() or (seq > 127).any():
+        return rows()
+    power = where[ordinal] - 1 - np.arange(len(cigar)) if len(where) else np.zeros(len(cigar), np.int64)
+    if power.max(initial=0) > 8:
+        return rows()
+    upto = np.cumsum(np.where(is_op, 0, (cigar.astype(np.int64) - 48) * 10 ** np.maximum(power, 0)))
+    counts, ops = np.diff(upto[where], prepend=0), code[where].astype(np.int64)
+    n_ops = _sums(is_op.astype(np.int64), cigar_size)
+    span = _sums(np.where(np.isin(ops, (0, 2, 3, 7, 8)), counts, 0), n_ops)
+    pos, flag, mapq, mate_pos, tlen = number("pos", -1), number("flag", 0), number("mapq", 0), number("mate_pos", -1), number("tlen", 0)
+    within = lambda x, low, high: ((x >= low) & (x <= high)).all()
+    if not (within(n_ops, 0, 65535) and within(counts, 0, (1 << 28) - 1) and within(flag, 0, 65535) and within(mapq, 0, 255) and all(within(x, -(1 << 31), (1 << 31) - 1) for x in (pos, mate_pos, tlen))):
+        return rows()
+    ids = {}
+    for c in ("chrom", "mate_chrom"):
+        found = pc.index_in(b.column(c), pa.array(place, b.column(c).type)) if c in names else pa.nulls(n, pa.int32())
+        if c in names and found.null_count != b.column(c).null_count:
+            return rows()
+        ids[c] = pc.fill_null(found, -1).to_numpy(zero_copy_only=False)
+
+    name = text("read_id")
+    name, name_size = _flat(pc.if_else(pc.equal(name, ""), "*", name))
+    if (name_size > 254).any():
+        return rows()
+    qual = text("qual")
+    none = pc.or_(pc.equal(qual, ""), pc.equal(qual, "*"))
+    scores, n_scores = _flat(pc.if_else(none, "", qual))
+    none = none.to_numpy(zero_copy_only=False)
+    if (n_scores[~none] != n_bases[~none]).any():
+        return rows()
+    tags = [b""] * n
+    if "tags" in names:
+        m = b.column("tags")
+        at, keys, values = m.offsets.to_pylist(), m.keys.to_pylist(), m.items.to_pylist()
+        tags = [_encoded_tags(dict(zip(keys[x:y], values[x:y], strict=True))) for x, y in zip(at, at[1:], strict=False)]
+    tag_size = np.array([len(x) for x in tags], np.int64)
+    packed_size = (n_bases + 1) // 2
+    packed = np.zeros(2 * int(packed_size.sum()), np.uint8)
+    packed[_spread(np.cumsum(2 * packed_size) - 2 * packed_size, n_bases)] = _CODE_ANY[seq]
+
+    sizes = (np.full(n, 36, np.int64), name_size + 1, 4 * n_ops, packed_size, n_bases, tag_size)
+    total = sum(sizes)
+    starts = np.cumsum(total) - total
+    fixed = np.zeros(n, FIXED)
+    columns = {"size": total - 4, "ref": ids["chrom"], "pos": pos, "l_name": name_size + 1, "mapq": mapq, "bin": _bins(np.maximum(pos, 0), np.maximum(pos, 0) + np.maximum(span, 1)), "n_cigar": n_ops, "flag": flag, "l_seq": n_bases, "mate_ref": ids["mate_chrom"], "mate_pos": mate_pos, "tlen": tlen}
+    for c, values in columns.items():
+        fixed[c] = values
+    out = np.zeros(int(total.sum()), np.uint8)
+    at = starts
+    name_at, cigar_at, packed_at, scores_at, tags_at = (at := at + size for size in sizes[:-1])
+    out[_spread(starts, sizes[0])] = fixed.view(np.uint8)
+    out[_spread(name_at, name_size)] = name  # and a zero byte
+    out[_spread(cigar_at, sizes[2])] = (counts << 4 | ops).astype("<u4").view(np.uint8)
+    out[_spread(packed_at, packed_size)] = packed[::2] << 4 | packed[1::2]
+    out[_spread(scores_at, np.where(none, n_bases, 0))] = 255
+    out[_spread(scores_at, np.where(none, 0, n_bases))] = scores - np.uint8(33)
+    out[_spread(tags_at, tag_size)] = np.frombuffer(b"".join(tags), np.uint8)
+    return out.tobytes()
+
+
 def header_bytes(refs: list[tuple[str, int]], order: str = "unsorted") -> bytes:
     text = "".join([f"@HD\tVN:1.6\tSO:{order}\n", *(f"@SQ\tSN:{n}\tLN:{k}\n" for n, k in refs)]).encode()
     return MAGIC + struct.pack("<i", len(text)) + text + struct.pack("<i", len(refs)) + b"".join(struct.pack("<i", len(n.encode()) + 1) + n.encode() + b"\0" + struct.pack("<i", k) for n, k in refs)
@@ -455,11 +606,11 @@ class _Writer(DataSourceArrowWriter):
         with fs.open_output_stream(f"{inner}/{self.stage}/{name}") as out:
             waiting = bytearray(header_bytes(self.refs, self.order))
             for b in iterator:
-                for row in b.to_pylist():
-                    waiting += encoded(row, place)
-                    while len(waiting) >= self.block_bytes:
-                        out.write(block(bytes(waiting[: self.block_bytes])))
-                        del waiting[: self.block_bytes]
+                waiting += encoded_batch(b, place)
+                whole = len(waiting) - len(waiting) % self.block_bytes
+                for at in range(0, whole, self.block_bytes):
+                    out.write(block(bytes(waiting[at : at + self.block_bytes])))
+                del waiting[:whole]
             if waiting:
                 out.write(block(bytes(waiting)))
             out.write(END_OF_FILE)

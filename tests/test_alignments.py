@@ -305,3 +305,27 @@ def test_ends_move_to_the_mode_of_their_region(spark):
     tx = spark.createDataFrame([("a", "c", "+", 105, 300), ("b", "c", "-", 400, 510), ("crossed", "c", "+", 105, 120), ("out", "c", "+", 170, 300), ("none", None, "+", 105, 300)], "tx string, chrom string, strand string, lo long, hi long")
     got = {r.tx: (r.lo, r.hi) for r in regions.with_region_modes(tx, starts, stops).collect()}
     assert got == {"a": (130, 300), "b": (390, 500), "crossed": (105, 120), "out": (170, 300), "none": (105, 300)}
+
+
+def test_records_by_columns_are_those_by_rows(spark, monkeypatch):
+    place = {"chr1": 0, "chr2": 1}
+    schema = bam.to_arrow_schema(spark.createDataFrame([], bam.SCHEMA).schema)
+    names = [f.name for f in schema]
+    rows = records(random.Random(8), 300, longest=400)
+    rows += [(None,) * 12, ("", 0, None, None, None, "", None, None, None, "acgtn", "", None), ("x", 65535, "chr2", 2**31 - 1, 255, "268435455N1M", "chr2", -1, -(2**31), "A", "~", {"AB": "-7", "CD": None, "EF": "2147483648"})]
+    rows = [dict(zip(names, r, strict=True)) for r in rows]
+    plain = [{**r, "tags": list(r["tags"].items()) if r["tags"] is not None else None} for r in rows]
+    batch = bam.pa.RecordBatch.from_pylist(plain, schema=schema)
+    want = b"".join(bam.encoded(r, place) for r in batch.to_pylist())
+    odd = [{**plain[0], "cigar": "3M5", "seq": "ACG", "qual": "*"}, {**plain[0], "cigar": "0000000000003M", "seq": "ACG", "qual": "*"}]
+    odd = bam.pa.RecordBatch.from_pylist(odd, schema=schema)
+    assert bam.encoded_batch(odd, place) == b"".join(bam.encoded(r, place) for r in odd.to_pylist())
+    few = batch.select(["pos", "read_id"])
+    want_few = b"".join(bam.encoded(r, place) for r in few.to_pylist())
+    cut_off = b"".join(bam.encoded(r, place) for r in batch.slice(7, 90).to_pylist())
+    for bad in ({"qual": "I" * 999}, {"read_id": "r" * 255}, {"flag": 1 << 16}, {"chrom": "gone"}, {"cigar": "3Q"}):
+        with pytest.raises((ValueError, KeyError, struct.error)):
+            bam.encoded_batch(bam.pa.RecordBatch.from_pylist([{**plain[0], **bad}], schema=schema), place)
+    monkeypatch.setattr(bam, "encoded", None)  # ordinary rows go by columns
+    assert bam.encoded_batch(batch, place) == want and bam.encoded_batch(few, place) == want_few and bam.encoded_batch(batch.slice(7, 90), place) == cut_off
+    assert bam.encoded_batch(batch.slice(0, 0), place) == b""
