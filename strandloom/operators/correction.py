@@ -6,13 +6,13 @@ Known junctions with a motif class of 0 (no accepted motif) are no targets, and
 whatever motif, stays. A transcript keeps all its junctions as they were if a move would leave one of its exons without
 a base, or would let one run over its neighbour.
 
-Junctions meet by both their bins, of ``max_offset`` + 1 bases, so a junction meets at most the known ones of nine cells,
-however many share its donor. Distinct junctions are moved, not each read's.
+Junctions meet by both their bins, of four times ``max_offset`` bases, so a junction meets the known ones of one to four
+cells (two and a quarter on average), however many share its donor. Distinct junctions are moved, not each read's.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.lineage import cut
@@ -20,21 +20,29 @@ from strandloom.lineage import cut
 PLACE = ("chrom", "strand", "donor", "acceptor")
 
 
+def _cell(at: Column, max_offset: int) -> Column:
+    return F.floor(at / max(4 * max_offset, 1))
+
+
+def _around(junctions: DataFrame, max_offset: int) -> DataFrame:
+    """Adds bd and ba: a row for each cell with a place at most ``max_offset`` bases away at both ends."""
+    cells = lambda c: F.explode(F.array_distinct(F.array(_cell(F.col(c) - max_offset, max_offset), _cell(F.col(c) + max_offset, max_offset))))
+    return junctions.withColumn("bd", cells("donor")).withColumn("ba", cells("acceptor"))
+
+
 def moves(junctions: DataFrame, known: DataFrame, max_offset: int = 5) -> DataFrame:
     """chrom, strand, donor, acceptor of the junctions that move, with new_donor, new_acceptor and offset (both ends' together).
 
     known: chrom, strand, donor, acceptor and, where it has them, motif and unique_reads; its repeated junctions are one.
     Junctions with a null in any of the four stay.
     """
-    step = max_offset + 1
     own = junctions.select(*PLACE).dropna().distinct()
     motif = F.max("motif") if "motif" in known.columns else F.lit(1)
     support = F.sum("unique_reads") if "unique_reads" in known.columns else F.lit(0)
     table = cut(known.groupBy(*PLACE).agg(motif.alias("motif"), support.cast("bigint").alias("support")), "known-junctions")
     open_ = own.join(table.select(*PLACE), list(PLACE), "left_anti")
-    cell = lambda c: F.floor(F.col(c) / step)
-    around = lambda c: F.explode(F.sequence(cell(c) - 1, cell(c) + 1))
-    probes = open_.withColumn("bd", around("donor")).withColumn("ba", around("acceptor"))
+    cell = lambda c: _cell(F.col(c), max_offset)
+    probes = _around(open_, max_offset)
     targets = table.filter("motif > 0").select(F.col("chrom").alias("kc"), F.col("strand").alias("ks"), F.col("donor").alias("new_donor"), F.col("acceptor").alias("new_acceptor"), "support", cell("donor").alias("kd"), cell("acceptor").alias("ka"))
     near = (F.abs(F.col("donor") - F.col("new_donor")) <= max_offset) & (F.abs(F.col("acceptor") - F.col("new_acceptor")) <= max_offset)
     met = probes.join(targets, (F.col("chrom") == F.col("kc")) & (F.col("strand") == F.col("ks")) & (F.col("bd") == F.col("kd")) & (F.col("ba") == F.col("ka")) & near)
