@@ -11,8 +11,9 @@ with the full sets of those classes alone that it needs:
 
 * anchors: in each bucket all registers meet the smallest member's; each class is verified against one such anchor, a
   class's text being sent once and an anchor's once a tile of its classes. That settles groups of copies of one text.
-* crossings: buckets in which several verified groups meet compare registers in tiles; of each two groups in a tile the
-  likeliest pair is verified. That settles chains.
+* crossings: buckets in which several verified groups meet compare registers in tiles, the largest group's among
+  themselves left out; the likeliest pairs that connect a tile's groups, a spanning forest of them, are verified. That
+  settles chains.
 * the rest: of the classes that still have a likely partner in another group, the full sets meet in tiles, and only a
   spanning forest of the confirmed links leaves a task.
 
@@ -143,14 +144,34 @@ def likely(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     return batches(pairs.join(side("a"), "a").join(side("b"), "b"), run, "a long, b long, est double")
 
 
+def in_tiles(members: DataFrame) -> DataFrame:
+    """Members (key, rep, n, label) of buckets in which several labels meet, once for each pair of tiles (i, j) that they go to; t: their own tile.
+
+    A bucket's largest label needs no pairs of its own: its tiles meet those of the other labels alone. So the rows grow
+    with the bucket's size, and with the square of only what lies outside its largest label. Small buckets are one tile.
+    """
+    counts = members.groupBy("key", "label").agg(F.count("*").alias("m"))
+    largest = counts.groupBy("key").agg(F.max(F.struct("m", "label")).alias("x"), F.sum("m").alias("m"))
+    tiles = lambda m: F.ceil(m / BUCKET_TILE).cast("int")
+    one, most = F.col("m") <= BUCKET_TILE, F.col("x.m")
+    largest = largest.select("key", F.col("x.label").alias("bulk"), F.when(one, 1).otherwise(tiles(F.col("m") - most)).alias("others"), F.when(one, 0).otherwise(tiles(most)).alias("bulks"))
+    rows = members.join(cut(largest, "bucket-tiles"), "key")
+    of_bulk, at = (F.col("label") == F.col("bulk")) & (F.col("bulks") > 0), F.xxhash64("rep")
+    own = F.when(of_bulk, F.col("others") + F.pmod(at, F.greatest("bulks", F.lit(1)))).otherwise(F.pmod(at, F.col("others"))).cast("int")
+    with_ = F.sequence(F.lit(0), F.when(of_bulk, F.col("others") - 1).otherwise(F.col("others") + F.col("bulks") - 1))
+    rows = rows.withColumn("t", own).withColumn("o", F.explode(with_))
+    return rows.select("key", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "t", "rep", "n", "label")
+
+
 def crossings(members: DataFrame, classes: DataFrame, least: float, percent: int, every: bool) -> DataFrame:
-    """Likely pairs between different labels of the same key: (a, b, la, lb), the likeliest of each two labels in a tile.
+    """Likely pairs between different labels of the same key, (a, b, la, lb): in each pair of tiles, those of the likeliest
+    spanning forest of its labels, fewer than it has labels.
 
-    members: key, rep, n, label, tiles (of their key). Registers meet in pairs of tiles of one bucket. With ``every``,
-    also a row (a, a, label, label) for each class that has a likely partner of another label.
+    members: key, rep, n, label. Registers meet in pairs of tiles of one bucket. With ``every``, also a row (a, a, label,
+    label) for each class that has a likely partner of another label; the labels that likely pairs connect are then those
+    that the forests connect.
     """
-    rows = members.withColumn("t", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")).join(classes.select("rep", "registers"), "rep")
-    met = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("key", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "t", "rep", "n", "label", "registers")
+    met = in_tiles(members).join(classes.select("rep", "registers"), "rep").select("key", "i", "j", "t", "rep", "n", "label", "registers")
 
     def tile_pair(key: tuple, table: pa.Table) -> pa.Table:
         i, j = key[1].as_py(), key[2].as_py()
@@ -174,8 +195,13 @@ def crossings(members: DataFrame, classes: DataFrame, least: float, percent: int
                 pair = (min(lab[r], other), max(lab[r], other))
                 best[pair] = min(best.get(pair, (0.0, 0, 0)), (-est[k], rep[r], rep[hits[k]]))
         flagged = np.flatnonzero(involved) if every else np.zeros(0, int)
-        a = np.array([x[1] for x in best.values()], np.int64)
-        b = np.array([x[2] for x in best.values()], np.int64)
+        root, forest = list(range(len(names))), []
+        for (p, q), (_, a, b) in sorted(best.items(), key=lambda x: x[1]):
+            p, q = find(root, p), find(root, q)
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                forest.append((a, b))
+        a, b = np.array(forest, np.int64).reshape(-1, 2).T
         label_of = dict(zip(rep.tolist(), label.tolist(), strict=True))
         own = lambda x: np.concatenate([x, rep[flagged]])
         side = lambda x: np.array([label_of[k] for k in x.tolist()], np.int64)
@@ -334,11 +360,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, text_col: str = "text")
         """Members, with the labels of linked classes, of the buckets in which several labels meet; None if there is no such bucket."""
         labels = cut(components(edges), "labels")
         named = members.join(labels, F.col("rep") == F.col("node"), "left").select("key", "rep", "n", F.coalesce("component", "rep").alias("label"))
-        mixed = named.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count("*").alias("m")).filter("l0 <> l1")
-        mixed = cut(mixed.select("key", F.ceil(F.col("m") / BUCKET_TILE).cast("int").alias("tiles")), "mixed-buckets")
+        mixed = named.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).filter("l0 <> l1")
+        mixed = cut(mixed.select("key"), "mixed-buckets")
         return None if mixed.isEmpty() else named.join(mixed, "key")
 
-    # Crossings: the likeliest pair of each two labels. Where none is likely, there is nothing to verify, here and below.
+    # Crossings: the likeliest pairs that connect labels. Where none is likely, there is nothing to verify, here and below.
     met = meeting(edges)
     likeliest = None if met is None else cut(crossings(met, classes, least, percent, every=False).select("a", "b").distinct(), "crossings")
     if likeliest is not None and not likeliest.isEmpty():

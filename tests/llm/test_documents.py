@@ -107,6 +107,44 @@ def test_chains_are_settled_by_pairs(spark, monkeypatch):
     assert sum(sent) <= 50  # none where nothing is open
 
 
+def registers_of(spark, labels):
+    """Classes whose registers differ in a few places, and members of one bucket with these labels."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 16, neardup.REGISTERS).astype(np.uint16)
+    rows, members = [], []
+    for i, label in enumerate(labels):
+        own = base.copy()
+        own[rng.integers(0, neardup.REGISTERS, 12)] ^= np.uint16(1)
+        rows.append((i, 100, own.tobytes()))
+        members.append((1, i, 100, label))
+    return spark.createDataFrame(members, "key long, rep long, n long, label long"), spark.createDataFrame(rows, "rep long, n long, registers binary")
+
+
+def test_crossings_are_a_forest(spark):
+    """Many labels that are all alike: fewer pairs than labels, which connect them all."""
+    members, classes = registers_of(spark, range(120))
+    got = neardup.crossings(members, classes, 0.7, 85, every=False).collect()
+    assert len(got) == 119 and {x for r in got for x in (r.la, r.lb)} == set(range(120))
+    root = list(range(120))
+    for r in got:
+        assert (r.a, r.b) == (r.la, r.lb)
+        root[max(neardup.find(root, r.a), neardup.find(root, r.b))] = min(neardup.find(root, r.a), neardup.find(root, r.b))
+    assert {neardup.find(root, k) for k in range(120)} == {0}
+    flagged = [r for r in neardup.crossings(members, classes, 0.7, 85, every=True).collect() if r.a == r.b]
+    assert len(flagged) == 120
+
+
+def test_the_largest_label_is_not_crossed_with_itself(spark, monkeypatch):
+    """A large group that a few others meet: its rows grow with it, not with its square."""
+    monkeypatch.setattr(neardup, "BUCKET_TILE", 8)
+    members, classes = registers_of(spark, [7] * 200 + [9, 9, 11])
+    sent = neardup.in_tiles(members).groupBy("i", "j").count().collect()
+    assert sum(r["count"] for r in sent) <= 200 + 3 * 27 and all(r.i == 0 for r in sent)
+    got = neardup.crossings(members, classes, 0.7, 85, every=True).collect()
+    assert {x for r in got if r.a != r.b for x in (r.la, r.lb)} == {7, 9, 11}
+    assert {r.a for r in got if r.a == r.b} == set(range(203))
+
+
 def test_ids_with_several_texts_are_one_document(spark):
     a, b, c = ("the first text of seven words here", "another text with other words in it", "and a third one that nobody has")
     rows = [(1, a), (3, b), (5, a), (5, b), (7, c), (8, c + " at"), (7, "unlike")]
