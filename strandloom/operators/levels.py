@@ -78,5 +78,9 @@ def level_join(a: DataFrame | Filed, b: DataFrame | Filed, extra: Column | None
     high = _side(a, "a_", b.levels, True).join(_side(b, "b_", a.levels, False), on, kind)
     if how == "inner":
         return low.unionByName(high).select(*(f"`a_{c}`" for c in a.columns), *(f"`b_{c}`" for c in b.columns))
+    if how == "left_semi" and not any("map<" in t for _, t in a.rows.dtypes):
+        # What meets something takes its columns along: the rows need no join with their numbers.
+        own = ("a___id", *(f"`a_{c}`" for c in a.columns))
+        return low.select(*own).unionByName(high.select(*own)).distinct().select(*(F.col(f"`a_{c}`").alias(c) for c in a.columns))
     hits = low.select("a___id").unionByName(high.select("a___id")).distinct()
     return a.rows.join(hits, F.col("__id") == F.col("a___id"), how).select(*(F.col(f"`{c}`") for c in a.columns))

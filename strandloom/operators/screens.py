@@ -222,9 +222,11 @@ def exon_overlap(exons: DataFrame, regions: DataFrame, stranded: bool = False) -
 @screen("region_overlap")
 def region_overlap(exons: DataFrame, regions: DataFrame, min_fraction: float = 0.0, stranded: bool = False) -> DataFrame:
     """Transcripts with at least ``min_fraction`` of their exon bases under the regions; 0 means any base."""
+    if min_fraction == 0:  # any base: neither sums nor merged regions are needed
+        hits = interval_join(exons, regions, keys=("chrom", "strand") if stranded else ("chrom",))
+        return hits.filter("a_tx is not null").select(F.col("a_tx").alias("tx")).distinct()
     rows = exon_overlap(exons, regions, stranded)
-    raw = F.col("overlap_bp") / F.col("total_exon_bp")
-    return rows.filter((F.col("overlap_bp") > 0) if min_fraction == 0 else (raw >= min_fraction)).select("tx")
+    return rows.filter(F.col("overlap_bp") / F.col("total_exon_bp") >= min_fraction).select("tx")
 
 
 def segdup_report(tx: DataFrame, segdups: DataFrame, genes: DataFrame, levels: tuple[int, ...] = (1, 2, 3, 4), exon_fraction: float = 0.9, strict_compat: bool = True) -> DataFrame:

@@ -16,6 +16,11 @@ def transcripts(exons: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     return rows.withColumns({"chain": coords.splice_chain(F.col("exons")), "lo": F.col("exons")[0]["start0"], "hi": F.array_max(F.transform("exons", lambda e: e["end0"]))})
 
 
+def exon_rows(tx: DataFrame) -> DataFrame:
+    """One row an exon: keys, start0, end0; what ``transcripts`` has gathered, without its shuffle."""
+    return tx.select(*KEYS, F.explode("exons").alias("e")).select(*KEYS, "e.start0", "e.end0")
+
+
 def junctions(tx: DataFrame) -> DataFrame:
     """One row a junction: keys, number (from 1), donor, acceptor."""
     return tx.select(*KEYS, F.posexplode("chain").alias("k", "j")).select(*KEYS, (F.col("k") + 1).alias("junction"), "j.donor", "j.acceptor")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandloom.lineage import cut
 from strandloom.operators import annotation, reads, reports, screens, splice
 from strandloom.operators.intervals import interval_join, subtract_intervals, union_intervals
 from strandloom.operators.numbering import number_by_range
@@ -224,9 +225,9 @@ def par_overlap(s: SparkSession, d: str) -> DataFrame:
     return screens.region_overlap(exons(s, d), _par(s, d), 0.0)
 
 
-def _segdup(s: SparkSession, d: str) -> DataFrame:
+def _segdup(s: SparkSession, d: str, tx: DataFrame | None = None) -> DataFrame:
     genes = regions(s, d, "p_partkey % 2 = 1").select("chrom", "start0", (F.col("start0") + 20).alias("end0"), (F.col("rid") % 3).alias("n_exons"))
-    return screens.segdup_report(tx_of(s, d), regions(s, d, "p_partkey % 2 = 0"), genes)
+    return screens.segdup_report(tx_of(s, d) if tx is None else tx, regions(s, d, "p_partkey % 2 = 0"), genes)
 
 
 _SEGDUP = """sd AS (SELECT * FROM reg WHERE rid % 2 = 0), gen AS (SELECT chrom, start0, start0 + 20 AS end0, rid % 3 AS n_exons FROM reg WHERE rid % 2 = 1),
@@ -256,8 +257,12 @@ def segdup_terminal(s: SparkSession, d: str) -> DataFrame:
 # --- set operations and the balance sheet
 
 
-def _failures(s: SparkSession, d: str) -> DataFrame:
-    return screens.failed({"par": par_overlap(s, d), "repeats": repeat_overlap(s, d), "segdup": segdup_terminal(s, d)})
+def _failures(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Transcripts, written once, and the (screen, tx) that fail: every screen reads what is written."""
+    tx = cut(tx_of(s, d), "transcripts")
+    ex_ = splice.exon_rows(tx)
+    found = {"par": screens.region_overlap(ex_, _par(s, d), 0.0), "repeats": screens.region_overlap(ex_, regions(s, d), 0.6), "segdup": screens.segdup_terminal(_segdup(s, d, tx), 100)}
+    return tx, screens.failed(found)
 
 
 _FAIL = f"{_UNION.format('reg')}, {_COVER}, few AS (SELECT rid, chrom, start0, start0 + 1 AS end0 FROM reg), fails AS (SELECT 'repeats' AS screen, tx FROM ovl WHERE overlap_bp / total_exon_bp >= 0.6 UNION SELECT 'par', e.tx FROM exon e JOIN few u ON e.chrom = u.chrom AND e.start0 < u.end0 AND u.start0 < e.end0 UNION SELECT 'segdup', tx FROM rep WHERE tx NOT IN (FROM inside) AND ((first_segdup AND first_multi > 0 AND first_len > 100) OR (last_segdup AND last_multi > 0 AND last_len > 100)))"
@@ -266,23 +271,26 @@ _FAIL_HEAD = ctes("exon", "junc", "txs", "reg") + f", {_SEGDUP}, {_FAIL}"
 
 @query("fail_union", _FAIL_HEAD + " SELECT DISTINCT tx FROM fails")
 def fail_union(s: SparkSession, d: str) -> DataFrame:
-    return _failures(s, d).select("tx").distinct()
+    return _failures(s, d)[1].select("tx").distinct()
 
 
 @query("semi_by_id", _FAIL_HEAD + " SELECT tx, chrom, lo, hi FROM txs WHERE tx IN (SELECT tx FROM fails)")
 def semi_by_id(s: SparkSession, d: str) -> DataFrame:
-    return tx_of(s, d).join(_failures(s, d).select("tx"), "tx", "left_semi").select("tx", "chrom", "lo", "hi")
+    tx, failures = _failures(s, d)
+    return tx.join(failures.select("tx"), "tx", "left_semi").select("tx", "chrom", "lo", "hi")
 
 
 @query("anti_by_id", _FAIL_HEAD + " SELECT tx, chrom, lo, hi FROM txs WHERE tx NOT IN (SELECT tx FROM fails)")
 def anti_by_id(s: SparkSession, d: str) -> DataFrame:
-    return tx_of(s, d).join(_failures(s, d).select("tx"), "tx", "left_anti").select("tx", "chrom", "lo", "hi")
+    tx, failures = _failures(s, d)
+    return tx.join(failures.select("tx"), "tx", "left_anti").select("tx", "chrom", "lo", "hi")
 
 
 @query("filter_totals", _FAIL_HEAD + """ SELECT 'removed' AS metric, count(DISTINCT tx) AS value, screen AS filter FROM fails GROUP BY screen
 UNION ALL SELECT 'removed_union', (SELECT count(DISTINCT tx) FROM fails), 'all' UNION ALL SELECT 'original', (SELECT count(*) FROM txs), 'all' UNION ALL SELECT 'remaining', (SELECT count(*) FROM txs WHERE tx NOT IN (SELECT tx FROM fails)), 'all'""")
 def filter_totals(s: SparkSession, d: str) -> DataFrame:
-    return reports.balance(tx_of(s, d).select("tx"), _failures(s, d))
+    tx, failures = _failures(s, d)
+    return reports.balance(tx.select("tx"), failures)
 
 
 @query("depth_gt1", "SELECT l_orderkey AS tx, count(*) AS depth FROM lineitem WHERE regexp_matches(concat('chr', CAST(l_orderkey % 30 AS VARCHAR)), '^chr([0-9]+|[XYxy])$') AND l_orderkey % 30 < 23 GROUP BY 1 HAVING count(*) > 1")
