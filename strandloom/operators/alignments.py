@@ -1,6 +1,6 @@
 """What alignments say about the reference: exon blocks from CIGAR, mismatches from MD, depth and single-base variants.
 
-All of it is column expressions over one read, and grouped sums; no read becomes a row a base. Depth comes from events: one
+CIGAR and MD are read together, once a read, in Arrow batches; the rest is grouped sums. No read becomes a row a base. Depth comes from events: one
 more where an aligned block begins, one less where it ends, summed by position before anything is ordered. Running sums go
 within bins of the position, with what the bins before add; a bin has at most two rows a position, however many reads
 cover it, so a hot locus is as many tasks as it has bins.
@@ -8,8 +8,13 @@ cover it, so a hot locus is as many tasks as it has bins.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from strandloom.lineage import cut
@@ -19,8 +24,6 @@ from .reads import REVERSE, UNMAPPED, primary
 SAMPLE_LOCUS = ("sample", "chrom")
 WIDTH = 1 << 16
 _BLOCK = "array<struct<start0:bigint,end0:bigint>>"
-_PIECE = "array<struct<kind:string,ref:bigint,query:bigint,md:bigint,n:bigint>>"
-_MISMATCH = "array<struct<md:bigint,ref:string>>"
 
 
 def cigar_ops(cigar: Column) -> Column:
@@ -39,37 +42,6 @@ def exon_blocks(pos: Column, cigar: Column) -> Column:
     return F.aggregate(cigar_ops(cigar), state(start, start, F.array().cast(_BLOCK)), step, lambda s: F.concat(s["out"], block(s)))
 
 
-def aligned_pieces(pos: Column, cigar: Column) -> Column:
-    """Pieces of an alignment in which bases of the read (kind M) or none (kind D) stand against the reference.
-
-    ref and query: where the piece begins on the reference and in the read; md: bases of the reference before it that
-    MD counts (gaps are not).
-    """
-    state = lambda ref, query, md, out: F.struct(ref.alias("ref"), query.alias("query"), md.alias("md"), out.alias("out"))
-    piece = lambda kind, s, x: F.concat(s["out"], F.array(F.struct(F.lit(kind).alias("kind"), s["ref"].alias("ref"), s["query"].alias("query"), s["md"].alias("md"), x["n"].alias("n"))).cast(_PIECE))
-    zero = F.lit(0).cast("bigint")
-    step = lambda s, x: (
-        F.when(x["op"].isin("M", "=", "X"), state(s["ref"] + x["n"], s["query"] + x["n"], s["md"] + x["n"], piece("M", s, x)))
-        .when(x["op"] == "D", state(s["ref"] + x["n"], s["query"], s["md"] + x["n"], piece("D", s, x)))
-        .when(x["op"] == "N", state(s["ref"] + x["n"], s["query"], s["md"], s["out"]))
-        .when(x["op"].isin("I", "S"), state(s["ref"], s["query"] + x["n"], s["md"], s["out"]))
-        .otherwise(s)
-    )
-    return F.aggregate(cigar_ops(cigar), state(pos.cast("bigint"), zero, zero, F.array().cast(_PIECE)), step, lambda s: s["out"])
-
-
-def md_mismatches(md: Column) -> Column:
-    """Mismatches (md: bases of the reference before it, ref: its base) of an MD string; deleted bases (after ^) only move on."""
-    tokens = F.coalesce(F.regexp_extract_all(md, F.lit(r"(\d+|\^[A-Za-z]+|[A-Za-z])"), F.lit(1)), F.array().cast("array<string>"))
-    state = lambda at, out: F.struct(at.alias("at"), out.alias("out"))
-    step = lambda s, t: (
-        F.when(t.rlike("^[0-9]"), state(s["at"] + t.try_cast("bigint"), s["out"]))
-        .when(F.startswith(t, F.lit("^")), state(s["at"] + F.length(t) - 1, s["out"]))
-        .otherwise(state(s["at"] + 1, F.concat(s["out"], F.array(F.struct(s["at"].alias("md"), F.upper(t).alias("ref"))).cast(_MISMATCH))))
-    )
-    return F.aggregate(tokens, state(F.lit(0).cast("bigint"), F.array().cast(_MISMATCH)), step, lambda s: s["out"])
-
-
 def mapped(reads: DataFrame) -> DataFrame:
     """Reads that are aligned once each: mapped, primary, with a position and operations."""
     return reads.filter(primary(F.col("flag")) & (F.col("flag").bitwiseAND(UNMAPPED) == 0) & F.col("chrom").isNotNull() & (F.col("pos") >= 0) & (F.size(cigar_ops(F.col("cigar"))) > 0))
@@ -86,10 +58,85 @@ def read_exons(reads: DataFrame, gene: Column | None = None) -> DataFrame:
     return rows.select(*keep, "tx", "gene", "chrom", "strand", "b.start0", "b.end0")
 
 
+_OP = re.compile(r"([0-9]+)([MIDNSHP=X])")
+_TOKEN = re.compile(r"[0-9]+|\^[A-Za-z]+|[A-Za-z]")
+
+
+def matched(pos: int, cigar: str | None) -> list[tuple[int, int, int, int]]:
+    """Pieces (ref, query, md, n) of an alignment in which bases of the read stand against the reference.
+
+    ref and query: where the piece begins on the reference and in the read; md: bases of the reference before it that
+    MD counts (gaps are not).
+    """
+    ref, query, md, out = pos, 0, 0, []
+    for digits, op in _OP.findall(cigar or ""):
+        n = int(digits)
+        if op in "M=X":
+            out.append((ref, query, md, n))
+            ref, query, md = ref + n, query + n, md + n
+        elif op == "D":
+            ref, md = ref + n, md + n
+        elif op == "N":
+            ref += n
+        elif op in "IS":
+            query += n
+    return out
+
+
+def differing(pieces: list[tuple[int, int, int, int]], md: str, seq: str, qual: str | None, min_quality: int) -> Iterator[tuple[int, str, str]]:
+    """Mismatches (pos, ref, alt) that MD and the read's bases show within its pieces."""
+    at = 0
+    for token in _TOKEN.findall(md):
+        if token[0] == "^":
+            at += len(token) - 1
+        elif token.isdigit():
+            at += int(token)
+        else:
+            piece = next((p for p in pieces if p[2] <= at < p[2] + p[3]), None)
+            if piece is not None:
+                q, ref = piece[1] + at - piece[2], token.upper()
+                alt = seq[q : q + 1].upper()
+                good = not min_quality or (qual is not None and q < len(qual) and ord(qual[q]) - 33 >= min_quality)
+                if good and alt != ref and alt in ("A", "C", "G", "T"):
+                    yield piece[0] + at - piece[2], ref, alt
+            at += 1
+
+
+def against_reference(reads: DataFrame, keys: tuple[str, ...] = SAMPLE_LOCUS, min_quality: int = 0, variants: bool = True) -> DataFrame:
+    """What mapped reads show, by one pass over them: keys, start0, end0, ref, alt.
+
+    A row an interval in which bases stand against the reference (ref and alt null), and with ``variants`` a row a mismatch
+    (its position as start0, end0 null). Batches of reads are decoded at once, each read's CIGAR and MD by one match each.
+    """
+    named = ["cigar", *(["md", "seq", *(["qual"] if min_quality else [])] if variants else [])]
+    kept = reads.filter(primary(F.col("flag")) & (F.col("flag").bitwiseAND(UNMAPPED) == 0) & F.col("chrom").isNotNull() & (F.col("pos") >= 0) & F.col("cigar").isNotNull())
+    rows = kept.select(F.col("pos").cast("bigint").alias("__pos"), *(F.col(c).alias(f"__{c}") for c in named), *keys)
+    at = 1 + len(named)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            own, starts, ends, refs, alts = [], [], [], [], []
+            read = [b.column(k).to_pylist() for k in range(at)]
+            read += [[None] * b.num_rows] * (5 - len(read))
+            for k, (pos, cigar, md, seq, qual) in enumerate(zip(*read, strict=True)):
+                pieces = matched(pos, cigar)
+                found = list(differing(pieces, md, seq, qual, min_quality)) if md is not None and seq is not None else []
+                own += [k] * (len(pieces) + len(found))
+                starts += [p[0] for p in pieces] + [x[0] for x in found]
+                ends += [p[0] + p[3] for p in pieces] + [None] * len(found)
+                refs += [None] * len(pieces) + [x[1] for x in found]
+                alts += [None] * len(pieces) + [x[2] for x in found]
+            number = pa.array(own, pa.int64())
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([*(b.column(at + k).take(number) for k in range(len(keys))), *(pa.array(c, t) for c, t in zip((starts, ends, refs, alts), kinds, strict=True))], [*keys, "start0", "end0", "ref", "alt"])
+
+    long, text = LongType(), StringType()
+    return rows.mapInArrow(run, StructType([*(rows.schema[k] for k in keys), StructField("start0", long), StructField("end0", long), StructField("ref", text), StructField("alt", text)]))
+
+
 def aligned_blocks(reads: DataFrame, keys: tuple[str, ...] = SAMPLE_LOCUS) -> DataFrame:
     """Intervals (keys, start0, end0) in which bases of mapped reads stand against the reference."""
-    pieces = F.filter(aligned_pieces(F.col("pos"), F.col("cigar")), lambda p: p["kind"] == "M")
-    return mapped(reads).select(*keys, F.explode(pieces).alias("p")).select(*keys, F.col("p.ref").alias("start0"), (F.col("p.ref") + F.col("p.n")).alias("end0"))
+    return against_reference(reads, keys, variants=False).select(*keys, "start0", "end0")
 
 
 def _summed(events: DataFrame, keys: tuple[str, ...], width: int) -> tuple[DataFrame, DataFrame]:
@@ -106,9 +153,10 @@ def _summed(events: DataFrame, keys: tuple[str, ...], width: int) -> tuple[DataF
     return rows, joined.drop("__bin", "__before", "__next", *(f"__{k}" for k in keys))
 
 
-def _steps(blocks: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """One more at each start and one less at each end, by position."""
-    ends = F.explode(F.array(F.struct(F.col("start0").alias("pos"), F.lit(1).alias("delta")), F.struct(F.col("end0").alias("pos"), F.lit(-1).alias("delta"))))
+def _steps(blocks: DataFrame, keys: tuple[str, ...], times: Column | None = None) -> DataFrame:
+    """One more at each start and one less at each end, by position; ``times``: how many intervals a row stands for."""
+    times = F.lit(1) if times is None else times
+    ends = F.explode(F.array(F.struct(F.col("start0").alias("pos"), times.alias("delta")), F.struct(F.col("end0").alias("pos"), (-times).alias("delta"))))
     return blocks.filter("end0 > start0").select(*keys, ends.alias("e")).groupBy(*keys, "e.pos").agg(F.sum("e.delta").alias("delta"))
 
 
@@ -126,13 +174,7 @@ def mismatches(reads: DataFrame, keys: tuple[str, ...] = SAMPLE_LOCUS, min_quali
 
     Without MD, or without bases, a read shows none. Bases N are no alternative.
     """
-    found = mapped(reads).filter("md is not null").select(*keys, "seq", *(["qual"] if min_quality else []), aligned_pieces(F.col("pos"), F.col("cigar")).alias("pieces"), F.explode(md_mismatches(F.col("md"))).alias("x"))
-    at = F.filter("pieces", lambda p: (p["kind"] == "M") & (p["md"] <= F.col("x.md")) & (F.col("x.md") < p["md"] + p["n"]))
-    found = found.withColumn("p", F.try_element_at(at, F.lit(1))).filter("p is not null").withColumn("q", (F.col("p.query") + F.col("x.md") - F.col("p.md") + 1).cast("int"))
-    if min_quality:
-        found = found.filter(F.ascii(F.substring("qual", F.col("q"), F.lit(1))) - 33 >= min_quality)
-    alt = F.upper(F.substring("seq", F.col("q"), F.lit(1)))
-    return found.select(*keys, (F.col("p.ref") + F.col("x.md") - F.col("p.md")).alias("pos"), F.col("x.ref").alias("ref"), alt.alias("alt")).filter("alt in ('A', 'C', 'G', 'T') and alt <> ref")
+    return against_reference(reads, keys, min_quality).filter("ref is not null").select(*keys, F.col("start0").alias("pos"), "ref", "alt")
 
 
 def snp_table(reads: DataFrame, min_coverage: int = 20, min_reads2: int = 4, keys: tuple[str, ...] = SAMPLE_LOCUS, width: int = WIDTH, min_quality: int = 0) -> DataFrame:
@@ -142,12 +184,14 @@ def snp_table(reads: DataFrame, min_coverage: int = 20, min_reads2: int = 4, key
     reads, where at least ``min_coverage`` reads have a base. The depth there is the running sum of ``depth_runs`` at that
     very position: candidates are events that change nothing.
     """
-    by = mismatches(reads, keys, min_quality).groupBy(*keys, "pos", "ref", "alt").agg(F.count("*").alias("n"))
+    # Reads are read once: what they show is counted by place before anything else, on the map side first.
+    shown = cut(against_reference(reads, keys, min_quality).groupBy(*keys, "start0", "end0", "ref", "alt").agg(F.count("*").alias("n")), "shown")
+    by = shown.filter("ref is not null").select(*keys, F.col("start0").alias("pos"), "ref", "alt", "n")
     top = F.max_by(F.struct("alt", "n"), F.struct("n", (-F.ascii("alt")).alias("a"))).alias("top")
     candidates = by.groupBy(*keys, "pos", "ref").agg(top, F.sum("n").alias("others")).filter(F.col("top.n") >= min_reads2)
     kind = "struct<ref:string,alt:string,n:bigint,others:bigint>"
     flagged = candidates.select(*keys, "pos", F.lit(0).cast("bigint").alias("delta"), F.struct("ref", "top.alt", "top.n", "others").cast(kind).alias("v"))
-    steps = _steps(aligned_blocks(reads, keys), keys).withColumn("v", F.lit(None).cast(kind))
+    steps = _steps(shown.filter("ref is null"), keys, F.col("n")).withColumn("v", F.lit(None).cast(kind))
     events = steps.unionByName(flagged).groupBy(*keys, "pos").agg(F.sum("delta").alias("delta"), F.collect_list("v").alias("vs"))  # at most three references a position
     _, rows = _summed(events, keys, width)
     rows = rows.filter((F.size("vs") > 0) & (F.col("depth") >= min_coverage)).select(*keys, "pos", "depth", F.explode("vs").alias("v"))
