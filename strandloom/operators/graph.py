@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.window import Window
 
 from strandloom.functions.coords import safe_fraction
 from strandloom.lineage import Observation, cut, forget
@@ -132,22 +136,118 @@ def linked(pairs: DataFrame, mode: str = "any_shared", min_shared: int = 1, min_
     return pairs.filter({"any_shared": enough, "subset": (F.col("shared") == F.least("size_a", "size_b")) & enough, "jaccard": (j >= min_jaccard) & enough, "bridge_safe": (F.col("shared") >= strong) | (j >= weak)}[mode])
 
 
-def clusters(tx: DataFrame, mode: str = "any_shared", **options) -> DataFrame:
+#: Junctions of all transcripts of a group that one task may link by itself; larger groups meet by shuffles.
+MOST_JUNCTIONS = 2_048
+#: Pairs that a task holds at a time.
+_PAIRS = 1 << 21
+
+
+def _smallest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of each of ``n`` nodes the smallest that the edges (a, b) reach."""
+    low = np.arange(n)
+    while True:
+        m, new = np.minimum(low[a], low[b]), low.copy()
+        for at in (a, b, low[a], low[b]):
+            np.minimum.at(new, at, m)
+        new = new[new]
+        if np.array_equal(new, low):
+            return low
+        low = new
+
+
+def _links(group: np.ndarray, member: np.ndarray, run: np.ndarray, size: np.ndarray, mode: str, min_shared: int = 1, min_jaccard: float = 0.5, strong: int = 2, weak: float = 0.15) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b) of members by ``mode``; rows are sorted by group and junction, ``run`` is where a junction's rows begin."""
+    if mode == "any_shared" and min_shared == 1:
+        return member, member[run]
+    before = np.arange(len(run)) - run  # rows of the junction that a row is paired with
+    ends = np.flatnonzero(np.diff(group, append=-1)) + 1
+    upto, found, at = np.cumsum(before), [], 0
+    while at < len(run):  # whole groups, as many as have few pairs
+        done = upto[at - 1] if at else 0
+        end = max(ends[np.searchsorted(ends, at, "right")], ends[max(np.searchsorted(upto[ends - 1], done + _PAIRS, "right") - 1, 0)])
+        k = before[at:end]
+        i = np.repeat(np.arange(at, end), k)
+        j = run[i] + np.arange(len(i)) - np.repeat(np.cumsum(k) - k, k)
+        pair, shared = np.unique(np.minimum(member[i], member[j]) * len(size) + np.maximum(member[i], member[j]), return_counts=True)
+        a, b = pair // len(size), pair % len(size)
+        share = shared / (size[a] + size[b] - shared)
+        ok = {"any_shared": shared >= min_shared, "subset": (shared == np.minimum(size[a], size[b])) & (shared >= min_shared), "jaccard": (share >= min_jaccard) & (shared >= min_shared), "bridge_safe": (shared >= strong) | (share >= weak)}[mode]
+        found.append((a[ok], b[ok]))
+        at = end
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (member, member)
+
+
+def link_members(chains: pa.Array, mode: str, **options) -> pa.Array:
+    """For lists (groups) of lists (members) of donors and acceptors: of each member the number of the smallest that is linked with it, and how many are."""
+    count = chains.value_lengths().to_numpy(zero_copy_only=False)
+    each = chains.flatten()
+    size = each.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64) // 2
+    places = each.flatten().to_numpy(zero_copy_only=False).reshape(-1, 2)
+    group, member = np.repeat(np.arange(len(count)), count), np.repeat(np.arange(len(size)), size)
+    order = np.lexsort((member, places[:, 1], places[:, 0], group[member]))
+    member, places = member[order], places[order]
+    new = np.ones(len(member), bool)
+    new[1:] = (places[1:] != places[:-1]).any(axis=1) | (group[member][1:] != group[member][:-1])
+    run = np.maximum.accumulate(np.where(new, np.arange(len(member)), 0))
+    low = _smallest(len(size), *_links(group[member], member, run, size, mode, **options))
+    first = np.concatenate(([0], np.cumsum(count)))
+    rows = pa.StructArray.from_arrays([pa.array(low - first[group], pa.int32()), pa.array(np.bincount(low, minlength=len(low))[low], pa.int64())], ["low", "n"])
+    return pa.ListArray.from_arrays(pa.array(first, pa.int32()), rows)
+
+
+def local_clusters(base: DataFrame, mode: str, **options) -> DataFrame:
+    """tx, group, twice, cluster_id and cluster_size of ``base`` (the same, and chain), each group by itself: a row a group, linked in one task."""
+
+    @F.arrow_udf(returnType=ArrayType(StructType([StructField("low", IntegerType()), StructField("n", LongType())])))
+    def link(chains: pa.Array) -> pa.Array:
+        return link_members(chains, mode, **options)
+
+    # Donors and acceptors as plain numbers: half the bytes of structs.
+    plain = F.flatten(F.transform("chain", lambda j: F.array(j["donor"], j["acceptor"])))
+    groups = base.groupBy(*GROUP).agg(F.sort_array(F.collect_list(F.struct("tx", "twice", plain.alias("plain")))).alias("m"))
+    rows = groups.select(*GROUP, F.col("m.tx").alias("t"), F.col("m.twice").alias("w"), link(F.col("m.plain")).alias("l"))
+    rows = rows.select(*GROUP, "t", F.explode(F.arrays_zip("t", "w", "l")).alias("r"))
+    return rows.select(F.col("r.t").alias("tx"), *GROUP, F.col("r.w").alias("twice"), F.get("t", F.col("r.l.low")).alias("cluster_id"), F.col("r.l.n").alias("cluster_size"))
+
+
+def clusters(tx: DataFrame, mode: str = "any_shared", most: int = MOST_JUNCTIONS, **options) -> DataFrame:
     """tx, group, cluster_id (smallest member) and cluster_size of every transcript; those without links are alone.
 
     ``exact`` groups equal junction sets of a gene and locus; there all transcripts without junctions are one cluster.
+    Groups of up to ``most`` junctions are linked in one task each. Larger ones, and what the same name in several groups
+    joins, are connected by shuffles.
     """
     if mode not in MODES:
         raise ValueError(f"mode {mode!r}: one of {', '.join(MODES)}")
     if options.get("min_shared", 1) < 1:
         raise ValueError("min_shared: at least 1")
     # Written: the chains are read several times below, and whatever they come from only once.
-    base = cut(tx.select("tx", *GROUP, F.array_sort(F.array_distinct("chain")).alias("chain")), "chains")
+    rows = tx.select("tx", *GROUP, F.array_sort(F.array_distinct("chain")).alias("chain"))
     if mode == "exact":
+        base = cut(rows, "chains")
         groups = base.groupBy(*GROUP, "chain").agg(F.min("tx").alias("cluster_id"), F.count("*").alias("cluster_size"))
         return base.join(groups, [*GROUP, "chain"]).select("tx", *GROUP, "cluster_id", "cluster_size")
-    edges = junction_stars(base) if mode == "any_shared" and options.get("min_shared", 1) == 1 else similar(base, mode, **options)
+    twice, many = Observation(), Observation()
+    rows = rows.filter("tx is not null").withColumn("twice", F.count("*").over(Window.partitionBy("tx")) > 1)
+    base = cut(rows, "chains", (twice, F.count_if("twice").alias("n")))
+    linkable = (F.size("chain") > 0) & F.col("gene").isNotNull() & F.col("chrom").isNotNull() & F.col("strand").isNotNull()
+    near, key = base.filter(linkable), F.xxhash64(*GROUP)
+    large = near.groupBy(key.alias("key")).agg(F.sum(F.size("chain")).alias("n")).filter(F.col("n") > most).select("key")
+    large = cut(large, "large-groups", (many, F.count("*").alias("n")))
+    far = None
+    if many.get["n"]:
+        near, far = near.join(large, key == F.col("key"), "left_anti"), near.join(large, key == F.col("key"), "left_semi")
+    alone = base.filter(~linkable)
+    single = lambda df: df.select("tx", *GROUP, "twice", F.col("tx").alias("cluster_id"), F.lit(1).cast("bigint").alias("cluster_size"))
+    rows = local_clusters(near, mode, **options).unionByName(single(alone))
+    if far is None and not twice.get["n"]:
+        return rows.drop("twice")
+    rows = cut(rows if far is None else rows.unionByName(single(far)), "local-clusters")
+    edges = rows.filter("twice and tx <> cluster_id").select(F.col("tx").alias("a"), F.col("cluster_id").alias("b"))
+    if far is not None:
+        far = cut(far.select("tx", *GROUP, "chain"), "large-chains")
+        edges = edges.unionByName(junction_stars(far) if mode == "any_shared" and options.get("min_shared", 1) == 1 else similar(far, mode, **options))
     found = components(edges)
-    rows = base.join(found, F.col("tx") == F.col("node"), "left").select("tx", *GROUP, F.coalesce("component", "tx").alias("cluster_id"))
+    rows = rows.join(found, F.col("cluster_id") == F.col("node"), "left").select("tx", *GROUP, F.coalesce("component", "cluster_id").alias("cluster_id"))
     sizes = rows.groupBy("cluster_id").agg(F.count("*").alias("cluster_size"))
     return rows.join(sizes, "cluster_id").select("tx", *GROUP, "cluster_id", "cluster_size")
