@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandloom.lineage import cut
+from strandloom.lineage import Observation, cut
 
 from .expression import dense, samples_of
 from .numbering import MOST_ROWS, running
 
 
-def scored(expr: DataFrame, clusters: DataFrame, score: str = "sum", samples: list | None = None) -> DataFrame:
-    """clusters with expr_sum, expr_max, expr_mean over all samples (missing values are 0) and score."""
+def scored(expr: DataFrame, clusters: DataFrame, score: str = "sum", samples: list | None = None, *more: Column) -> DataFrame:
+    """clusters with expr_sum, expr_max, expr_mean over all samples (missing values are 0), score, and ``more`` aggregates (named) of a transcript's rows."""
     samples = samples_of(expr) if samples is None else samples
     n = len(samples)
-    sums = expr.groupBy("tx").agg(F.sum("value").cast("double").alias("expr_sum"), F.max("value").cast("double").alias("m"), F.count("*").alias("c"))
+    sums = expr.groupBy("tx").agg(F.sum("value").cast("double").alias("expr_sum"), F.max("value").cast("double").alias("m"), F.count("*").alias("c"), *more)
     top = F.when(F.col("c") < n, F.greatest("m", F.lit(0.0))).otherwise(F.col("m"))
-    rows = clusters.join(sums, "tx").select(*clusters.columns, "expr_sum", top.alias("expr_max"), (F.col("expr_sum") / n).alias("expr_mean"))
+    rows = clusters.join(sums, "tx").select(*clusters.columns, "expr_sum", top.alias("expr_max"), (F.col("expr_sum") / n).alias("expr_mean"), *(c for c in sums.columns if c not in ("tx", "expr_sum", "m", "c")))
     return rows.withColumn("score", F.col(f"expr_{score}"))
 
 
@@ -57,7 +57,48 @@ def sample_support(expr: DataFrame, clusters: DataFrame, min_rel: float = 0.0, p
     if min_rel <= 0 and pct is None:
         raise ValueError("sample support needs min_rel above 0, or pct")
     samples = samples_of(expr) if samples is None else samples
-    rows = cut(scored(expr, clusters, score, samples), "scored")  # read twice
+    asked = [s for s in samples if s is not None]
+    cell = F.when(F.col("sample").isin(asked), F.struct("sample", F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("value")))
+    rows = cut(scored(expr, clusters, score, samples, F.collect_list(cell).alias("cells")), "scored")  # read twice
+    many = Observation()
+    large = rows.groupBy(F.col("cluster_id").alias("cluster")).agg(F.count("*").alias("n")).filter(F.col("n") > most).select("cluster")
+    large = cut(large, "large-clusters", (many, F.count("*").alias("n")))
+    if not many.get["n"]:
+        return _supported(rows, min_rel, pct, min_samples, min_keep, samples)
+    same = F.col("cluster_id").eqNullSafe(F.col("cluster"))
+    small, rest = rows.join(large, same, "left_anti"), rows.join(large, same, "left_semi").drop("cells")
+    return _supported(small, min_rel, pct, min_samples, min_keep, samples).unionByName(_spread_support(expr, rest, min_rel, pct, min_samples, min_keep, samples, most))
+
+
+def _supported(rows: DataFrame, min_rel: float, pct: float | None, min_samples: int, min_keep: int, samples: list) -> DataFrame:
+    """``sample_support`` of scored rows with cells (sample, value), a cluster in one task: one shuffle brings a cluster together, and the windows need no other."""
+    kind = dict(rows.dtypes)["cells"]
+    of = kind[len("array<struct<sample:") : kind.index(",value:")]
+    absent = F.array_except(F.array(*map(F.lit, samples)).cast(f"array<{of}>"), F.col("cells.sample"))
+    each = F.concat("cells", F.transform(absent, lambda s: F.struct(s.alias("sample"), F.lit(0.0).alias("value"))))
+    own = [c for c in rows.columns if c != "cells"]
+    # A row a sample; the first of them has the row's columns.
+    values = rows.repartition("cluster_id").select("cluster_id", "tx", F.struct(*own).alias("own"), F.posexplode(each).alias("at", "cell"))
+    values = values.select("cluster_id", "tx", F.when(F.col("at") == 0, F.col("own")).alias("own"), "cell.sample", "cell.value")
+    by, ok = Window.partitionBy("cluster_id", "sample"), F.lit(False)
+    if pct is not None:
+        v = F.greatest("value", F.lit(0.0))
+        ahead = by.orderBy(F.desc(v), "tx").rowsBetween(Window.unboundedPreceding, -1)
+        values = values.withColumns({"before": F.coalesce(F.sum(v).over(ahead), v * 0), "total": F.sum(v).over(by)})
+        ok |= (F.col("total") > 0) & (F.col("before") < pct / 100 * F.col("total"))
+    if min_rel > 0:
+        values = values.withColumn("least", F.max("value").over(by) * min_rel)
+        ok |= F.col("value") >= F.col("least")
+    passes = F.sum(ok.cast("int")).over(Window.partitionBy("cluster_id", "tx"))
+    out = values.select("own", passes.alias("passes")).filter("own is not null").select("own.*", "passes")
+    ok, whole = F.col("passes") >= min_samples, Window.partitionBy("cluster_id")
+    out = out.withColumns({"few": F.sum(ok.cast("int")).over(whole) < min_keep, "best": F.rank().over(whole.orderBy(F.desc("score"), "tx")) <= min_keep})
+    return out.withColumn("kept", F.when(F.col("few"), F.col("best")).otherwise(ok)).drop("few", "best")
+
+
+def _spread_support(expr: DataFrame, rows: DataFrame, min_rel: float, pct: float | None, min_samples: int, min_keep: int, samples: list, most: int) -> DataFrame:
+    """``sample_support`` of scored rows of large clusters, none of which is one task's."""
+    rows = cut(rows, "large-scored")
     values = cut(dense(expr, rows.select("tx", "cluster_id"), samples), "dense")
     ok = F.lit(False)
     if pct is not None:
