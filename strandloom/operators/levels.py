@@ -10,6 +10,7 @@ are, and no width needs to fit both. A pair is kept only in that one bin, so the
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +59,10 @@ def copies(a: Filed, b: Filed) -> tuple[int, int]:
     return count(a, b, "a_"), count(b, a, "b_")
 
 
+def _all(met: list[DataFrame], columns) -> DataFrame:
+    return reduce(DataFrame.unionByName, [df.select(*columns) for df in met])
+
+
 def level_join(a: DataFrame | Filed, b: DataFrame | Filed, extra: Column | None = None, keys: tuple[str, ...] = ("chrom",), how: str = "inner") -> DataFrame:
     """Pairs of rows of ``a`` (columns prefixed a_) and ``b`` (b_) that share at least one base, equal on ``keys``.
 
@@ -73,14 +78,21 @@ def level_join(a: DataFrame | Filed, b: DataFrame | Filed, extra: Column | None
     if extra is not None:
         on &= extra
     kind = "inner" if how == "inner" else "left_semi"
-    # At b's own level, where it is a's or above; then at a's, where that is above b's.
-    low = _side(a, "a_", b.levels, False).unionByName(_side(a, "a_", b.levels, True)).join(_side(b, "b_", a.levels, True), on, kind)
-    high = _side(a, "a_", b.levels, True).join(_side(b, "b_", a.levels, False), on, kind)
+    # At b's own level, where it is a's or above; then at a's, where that is above b's. Only rows of levels that can meet
+    # the other side's are sent, and a case that no two levels make is left out.
+    up, down = (any(y > x for x in s for y in t) for s, t in ((a.levels, b.levels), (b.levels, a.levels)))
+    sent = _side(a, "a_", b.levels, True).filter(F.col("a___at").isin(*b.levels))
+    if up:
+        sent = sent.unionByName(_side(a, "a_", b.levels, False))
+    low = sent.join(_side(b, "b_", a.levels, True).filter(F.col("b___at") >= min(a.levels, default=0)), on, kind)
+    met = [low]
+    if down:
+        met.append(_side(a, "a_", b.levels, True).filter(F.col("a___at") > min(b.levels)).join(_side(b, "b_", a.levels, False), on, kind))
     if how == "inner":
-        return low.unionByName(high).select(*(f"`a_{c}`" for c in a.columns), *(f"`b_{c}`" for c in b.columns))
+        return _all(met, [*(f"`a_{c}`" for c in a.columns), *(f"`b_{c}`" for c in b.columns)])
     if how == "left_semi" and not any("map<" in t for _, t in a.rows.dtypes):
         # What meets something takes its columns along: the rows need no join with their numbers.
         own = ("a___id", *(f"`a_{c}`" for c in a.columns))
-        return low.select(*own).unionByName(high.select(*own)).distinct().select(*(F.col(f"`a_{c}`").alias(c) for c in a.columns))
-    hits = low.select("a___id").unionByName(high.select("a___id")).distinct()
+        return _all(met, own).distinct().select(*(F.col(f"`a_{c}`").alias(c) for c in a.columns))
+    hits = _all(met, ["a___id"]).distinct()
     return a.rows.join(hits, F.col("__id") == F.col("a___id"), how).select(*(F.col(f"`{c}`") for c in a.columns))

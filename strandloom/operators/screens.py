@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandloom.functions import coords, sequence
-from strandloom.lineage import cut
+from strandloom.lineage import Observation, cut
 
 from . import splice
 from .intervals import interval_join, union_intervals
-from .levels import filed, level_join
+from .levels import Filed, filed, level_join
 
 SCREENS: dict[str, Callable[..., DataFrame]] = {}
 
@@ -88,43 +88,88 @@ def with_windows(rows: DataFrame, genome: DataFrame, windows: dict[str, tuple[Co
     window starts, by (contig, chunk), never a whole contig. genome: (contig, seq), or its chunks as ``chunked`` gives
     them with the same ``width``; windows are at most as long as the chunks overlap.
     """
-    pieces = genome if "chunk" in genome.columns else cut(chunked(genome, width), "chunks")  # the genome is read once
+    last, starts = None, {f"__s{i}": start for i, (start, _) in enumerate(windows.values())}
+    if "chunk" in genome.columns:
+        pieces = genome
+    else:  # the genome is read once
+        seen = Observation()
+        pieces = cut(chunked(genome, width), "chunks", (seen, F.max("chunk").alias("last")))
+        last = seen.get["last"]
+    piece = pieces.select(F.col("contig").alias("__c"), F.col("chunk").alias("__k"), F.col("start0").alias("__at"), F.col("seq").alias("__seq"), F.lit(True).alias("__known"))
+    out, names = rows.withColumns(starts), list(windows)
+
+    def fill(met: DataFrame, which: list[int]) -> DataFrame:
+        local = {names[i]: F.when(F.col("__known"), F.when(F.col(f"__s{i}") < 0, F.lit("")).otherwise(sequence.window(F.col("__seq"), F.col(f"__s{i}") - F.col("__at"), windows[names[i]][1]))) for i in which}
+        return met.withColumns(local).drop("__c", "__k", "__at", "__seq", "__known")
+
+    every = range(len(names))
+    here = F.col("contig") == F.col("__c")
+    if last == 0:  # every contig is one chunk
+        return fill(out.join(piece, here & (F.col("__k") == 0), "left"), every).drop(*starts)
     ends = pieces.groupBy(F.col("contig").alias("__c")).agg(F.max("chunk").alias("__last"))
-    out = rows.join(ends, F.col("contig") == F.col("__c"), "left").drop("__c")
-    piece = pieces.select(F.col("contig").alias("__c"), F.col("chunk").alias("__k"), F.col("start0").alias("__at"), F.col("seq").alias("__seq"))
-    for name, (start, length) in windows.items():
-        at = F.least(F.greatest(F.floor(start / width), F.lit(0)), F.col("__last")).cast("int")
-        met = out.withColumns({"__s": start, "__w": at}).join(piece, (F.col("contig") == F.col("__c")) & (F.col("__w") == F.col("__k")), "left")
-        local = sequence.window(F.col("__seq"), F.col("__s") - F.col("__at"), length)
-        out = met.withColumn(name, F.when(F.col("__last").isNotNull(), F.when(F.col("__s") < 0, F.lit("")).otherwise(local))).drop("__c", "__k", "__at", "__seq", "__s", "__w")
-    return out.drop("__last")
+    at = {f"__w{i}": F.least(F.greatest(F.floor(F.col(f"__s{i}") / width), F.lit(0)), F.col("__last")).cast("int") for i in every}
+    out = cut(out.join(ends, here, "left").withColumns(at).drop("__c", "__last"), "window-rows")  # read by both cases
+    one = F.lit(True)
+    for i in every:
+        one &= F.col(f"__w{i}") == F.col("__w0")
+    # Nearly all rows have their windows in one chunk: they meet it once. The others meet a chunk for each window.
+    single = fill(out.filter(one).join(piece, here & (F.col("__w0") == F.col("__k")), "left"), every)
+    apart = out.filter(~one)
+    for i in every:
+        apart = fill(apart.join(piece, here & (F.col(f"__w{i}") == F.col("__k")), "left"), [i])
+    return single.unionByName(apart).drop(*starts, *at)
+
+
+def _motif_windows() -> dict[str, tuple[Column, int]]:
+    return {"__md": (F.col("donor"), 2), "__ma": (F.col("acceptor") - 2, 2)}
+
+
+def _with_motif(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("motif", sequence.motif_of(F.col("__md"), F.col("__ma"), F.col("strand"))).drop("__md", "__ma")
 
 
 def motifs(junctions: DataFrame, genome: DataFrame) -> DataFrame:
     """junctions (with contig, and donor and acceptor on it) with their motif; NNNN where the contig is unknown."""
-    rows = with_windows(junctions, genome, {"__d": (F.col("donor"), 2), "__a": (F.col("acceptor") - 2, 2)})
-    return rows.withColumn("motif", sequence.motif_of(F.col("__d"), F.col("__a"), F.col("strand"))).drop("__d", "__a")
+    return _with_motif(with_windows(junctions, genome, _motif_windows()))
 
 
 @screen("noncanonical")
 def noncanonical_splice(junctions: DataFrame, genome: DataFrame, allowed: tuple[str, ...] = ("GTAG", "GCAG", "ATAC")) -> DataFrame:
     """Transcripts with a junction outside the allowed motifs: tx, motifs (distinct ones of all its bad junctions, sorted, comma-joined)."""
-    bad = motifs(junctions, genome).filter(~F.col("motif").isin(*allowed))
+    return noncanonical_motifs(motifs(junctions, genome), allowed)
+
+
+def noncanonical_motifs(rows: DataFrame, allowed: tuple[str, ...] = ("GTAG", "GCAG", "ATAC")) -> DataFrame:
+    """``noncanonical_splice`` of junctions that have their motif."""
+    bad = rows.filter(~F.col("motif").isin(*allowed))
     return bad.groupBy("tx").agg(F.array_join(F.array_sort(F.collect_set("motif")), ",").alias("motifs"))
 
 
 CORE = 10
 
 
+def _rt_sides(wiggle: int) -> dict[str, tuple[Column, int]]:
+    n, plus = CORE + 2 * wiggle, F.col("strand") == "+"
+    return {"__d": (F.when(plus, F.col("donor") - n + wiggle - 1).otherwise(F.col("donor") - wiggle - 1), n), "__a": (F.when(plus, F.col("acceptor") - n + wiggle).otherwise(F.col("acceptor") - wiggle), n)}
+
+
+def _with_rt(rows: DataFrame) -> DataFrame:
+    plus, d, a = F.col("strand") == "+", F.upper("__d"), F.upper("__a")
+    back = sequence.reverse_complement
+    return rows.withColumns({"seq_exon": F.when(plus, d).otherwise(back(a)), "seq_intron": F.when(plus, a).otherwise(back(d))})
+
+
 def rt_windows(junctions: DataFrame, genome: DataFrame, wiggle: int = 1) -> DataFrame:
     """junctions with the exon and intron windows in which template switching shows; contigs without sequence are left out."""
-    n = CORE + 2 * wiggle
-    plus = F.col("strand") == "+"
-    near = {"__d": (F.when(plus, F.col("donor") - n + wiggle - 1).otherwise(F.col("donor") - wiggle - 1), n), "__a": (F.when(plus, F.col("acceptor") - n + wiggle).otherwise(F.col("acceptor") - wiggle), n)}
-    rows = with_windows(junctions, genome, near).filter("__d is not null")
-    d, a = F.upper("__d"), F.upper("__a")
-    back = sequence.reverse_complement
-    return rows.withColumns({"seq_exon": F.when(plus, d).otherwise(back(a)), "seq_intron": F.when(plus, a).otherwise(back(d))}).drop("__d", "__a")
+    rows = with_windows(junctions, genome, _rt_sides(wiggle)).filter("__d is not null")
+    return _with_rt(rows).drop("__d", "__a")
+
+
+def motifs_and_windows(junctions: DataFrame, genome: DataFrame, wiggle: int = 1) -> tuple[DataFrame, DataFrame]:
+    """What ``motifs`` and ``rt_windows`` give, from one meeting of junctions and genome, written."""
+    rows = with_windows(junctions, genome, _motif_windows() | _rt_sides(wiggle)).withColumn("sequenced", F.col("__d").isNotNull())
+    rows = cut(_with_rt(_with_motif(rows)).drop("__d", "__a"), "junction-windows")
+    return rows.drop("sequenced", "seq_exon", "seq_intron"), rows.filter("sequenced").drop("sequenced", "motif")
 
 
 def _first(hits: Column) -> Column:
@@ -236,19 +281,20 @@ def segdup_report(tx: DataFrame, segdups: DataFrame, genes: DataFrame, levels: t
     measures it from one base further right, as the established report does. A gene counts where it lies wholly inside
     the intron.
     """
-    parts = cut(splice.numbered(tx), "parts")
+    parts = filed(splice.numbered(tx))  # exons and introns, written once
+    of = lambda kind: Filed(parts.rows.filter(F.col("kind") == kind), ["tx", "ord", "cnt", "chrom", "start0", "end0"], parts.levels)
     held_by = filed(segdups)
     shift = 1 if strict_compat else 0
     spans = tx.select("tx", "chrom", (F.col("lo") + shift).alias("start0"), F.col("hi").alias("end0"))
     inside = level_join(spans, held_by, (F.col("b_start0") <= F.col("a_start0")) & (F.col("b_end0") >= F.col("a_end0")), how="left_semi").select("tx").distinct().withColumn("contained", F.lit(True))
     enough = coords.overlap(F.col("a_start0"), F.col("a_end0"), F.col("b_start0"), F.col("b_end0")) >= exon_fraction * (F.col("a_end0") - F.col("a_start0"))
-    exons = level_join(parts.filter("kind = 'ex'"), held_by, enough, how="left_semi")
+    exons = level_join(of("ex"), held_by, enough, how="left_semi")
     by_level = lambda df: df.withColumn("level", F.explode(F.array(*map(F.lit, levels))))
     last = F.col("ord") >= F.col("cnt") - (F.col("level") - 1)
     ex = by_level(exons).filter("cnt > level").groupBy("tx", "level").agg(
         (F.sum((F.col("ord") <= F.col("level")).cast("int")) == F.col("level")).alias("first_segdup"), (F.sum(last.cast("int")) == F.col("level")).alias("last_segdup")
     )
-    held = level_join(parts.filter("kind = 'in'"), genes, (F.col("b_start0") >= F.col("a_start0")) & (F.col("b_end0") <= F.col("a_end0")))
+    held = level_join(of("in"), genes, (F.col("b_start0") >= F.col("a_start0")) & (F.col("b_end0") <= F.col("a_end0")))
     held = by_level(held.select(F.col("a_tx").alias("tx"), F.col("a_ord").alias("ord"), F.col("a_cnt").alias("cnt"), (F.col("a_end0") - F.col("a_start0")).alias("len"), F.col("b_n_exons").alias("n_exons"))).filter("cnt >= level")
     is_first, is_last, mono = F.col("ord") == F.col("level"), F.col("ord") == F.col("cnt") - (F.col("level") - 1), F.col("n_exons") == 1
     count = lambda c: F.sum(c.cast("int"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +33,8 @@ class Inputs:
 
 def run_screens(inp: Inputs, cfg: EngineConfig) -> DataFrame:
     """(screen, tx) of every active screen whose inputs are there; with none, no rows."""
-    tx = splice.transcripts(inp.exons)
-    ref = None if inp.reference is None else splice.transcripts(inp.reference).withColumn("ord", F.col("tx"))
+    tx = cut(splice.transcripts(inp.exons), "screened")  # read by nearly every screen, as is the reference
+    ref = None if inp.reference is None else cut(splice.transcripts(inp.reference).withColumn("ord", F.col("tx")), "reference")
     out: dict[str, DataFrame] = {}
     if cfg.filter_monoexon_tss and inp.reference_tss is not None:
         tss = inp.tss
@@ -46,12 +46,15 @@ def run_screens(inp: Inputs, cfg: EngineConfig) -> DataFrame:
         out["premrna"] = screens.premrna_monoexon(tx, ref, cfg.premrna_min_intron_overlap)
     if inp.genome is not None:
         j = splice.junctions(tx).withColumn("contig", F.col("chrom")) if inp.junctions is None else inp.junctions
-        if cfg.filter_noncanonical:
-            out["noncanonical"] = screens.noncanonical_splice(j, inp.genome, cfg.allowed_motifs).select("tx")
-        if cfg.filter_rt_switching:
-            windows = screens.rt_windows(j, inp.genome, cfg.rt_wiggle)
-            found = screens.rt_switching_mismatch if cfg.rt_allow_mismatch else screens.rt_switching
+        found = screens.rt_switching_mismatch if cfg.rt_allow_mismatch else screens.rt_switching
+        if cfg.filter_noncanonical and cfg.filter_rt_switching:
+            bases, windows = screens.motifs_and_windows(j.select("tx", "junction", "chrom", "strand", "contig", "donor", "acceptor"), inp.genome, cfg.rt_wiggle)
+            out["noncanonical"] = screens.noncanonical_motifs(bases, cfg.allowed_motifs).select("tx")
             out["rt_switching"] = found(windows, cfg.rt_min_match, cfg.rt_wiggle).select("tx")
+        elif cfg.filter_noncanonical:
+            out["noncanonical"] = screens.noncanonical_splice(j, inp.genome, cfg.allowed_motifs).select("tx")
+        elif cfg.filter_rt_switching:
+            out["rt_switching"] = found(screens.rt_windows(j, inp.genome, cfg.rt_wiggle), cfg.rt_min_match, cfg.rt_wiggle).select("tx")
     if cfg.filter_antisense and ref is not None:
         out["antisense"] = screens.antisense(tx, ref, cfg.antisense_mode)
     if cfg.filter_repeats and inp.repeats is not None:
@@ -92,6 +95,7 @@ def run_all(inp: Inputs, cfg: EngineConfig | None = None) -> dict[str, DataFrame
     Each stage's tables are written to the shared folder and reread: later stages use them several times.
     """
     cfg = cfg or EngineConfig()
+    inp = replace(inp, expr=cut(inp.expr, "input-expression"))
     samples = ex.samples_of(inp.expr)
     failures = cut(run_screens(inp, cfg), "failures")
     gone = failures.select("tx").distinct()

@@ -57,3 +57,15 @@ def test_empty_sides(spark):
     assert levels.level_join(df.limit(0), df).count() == levels.level_join(df, df.limit(0)).count() == 0
     assert levels.level_join(df, df.limit(0), how="left_anti").count() == 1
     assert levels.level_join(df, df).columns == [f"{p}{c}" for p in ("a_", "b_") for c in df.columns]
+
+
+def test_levels_that_cannot_meet_are_not_sent(spark):
+    """Short intervals on both sides: one join, not a second one whose other side is empty; with a longer one there are two."""
+    a = spark.createDataFrame([(i, "c", 100 * i, 100 * i + 60) for i in range(50)], "id int, chrom string, start0 long, end0 long")
+    b, long = a.filter("id % 7 = 0"), a.limit(1).selectExpr("-1 as id", "chrom", "0L as start0", "5000L as end0")
+    joins = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    met = levels.level_join(a, b)
+    assert joins(met) == 1 and met.count() == 8
+    assert joins(levels.level_join(a.unionByName(long), b)) == 2
+    assert sorted((r.a_id, r.b_id) for r in levels.level_join(b, a.unionByName(long)).collect()) == sorted([(i, i) for i in range(0, 50, 7)] + [(i, -1) for i in range(0, 50, 7)])
+    assert levels.level_join(a, b.limit(0)).count() == 0 and levels.level_join(a, b.limit(0), how="left_anti").count() == 50
